@@ -13,21 +13,11 @@ from opsframe.plans.domains import (
     AS_OF, AS_OF_SQL, PIPELINES_SQL, RUNS_SQL, TABLES_SQL, pipeline_settings, pipelines, runs,
     table, tables,
 )
+from opsframe.plans.registering import Registry
 from opsframe.schema import Index, PIPELINES, RUNS, TABLES, TableMeta
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
-
-
-def _query(sql: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLE[fn.__name__] = sql
-        return fn
-
-    return add
-
+REGISTRY = Registry()
+_query = REGISTRY.query
 
 _RUN_LIST = ("run_id, pipeline_id, status, start_time, end_time, duration_seconds, "
              "created_at, updated_at")
@@ -264,11 +254,9 @@ def _key_query(op: str, sql_op: str, low, low_sql: str, high=None, high_sql: str
         found = key_condition(lines, "l_returnflag", "N", "l_shipdate", op, low, high)
         return read.project(lines.where(found), ["l_orderkey", "l_linenumber", "l_shipdate"])
 
-    QUERIES[f"key_{op}"] = run
-    ORACLE[f"key_{op}"] = (
+    REGISTRY.add(f"key_{op}", run, (
         "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem "
-        f"WHERE l_returnflag = 'N' AND l_shipdate {sql_op} {low_sql} {high_sql}"
-    )
+        f"WHERE l_returnflag = 'N' AND l_shipdate {sql_op} {low_sql} {high_sql}"))
 
 
 _DATE, _DATE_SQL = datetime(1998, 3, 15), "TIMESTAMP '1998-03-15'"

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from opsframe.plans import reads
+from opsframe.plans import reads, reports
 
-MODULES = (reads,)
+MODULES = (reads, reports)
 
 
 def queries() -> dict:
-    return {name: fn for module in MODULES for name, fn in module.QUERIES.items()}
+    return {name: fn for module in MODULES for name, fn in module.REGISTRY.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
+    return {name: sql for module in MODULES for name, sql in module.REGISTRY.oracle.items()}

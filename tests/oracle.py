@@ -54,7 +54,8 @@ def compare(df, con, sql: str) -> list[str]:
     if not left:
         problems.append("no rows")
     if left != right:
-        gone = [r for r in right if r not in set(left)][:3]
-        more = [r for r in left if r not in set(right)][:3]
+        ours_set, theirs_set = set(left), set(right)
+        gone = [r for r in right if r not in ours_set][:3]
+        more = [r for r in left if r not in theirs_set][:3]
         problems.append(f"values differ: only here {more}; only there {gone}")
     return problems
