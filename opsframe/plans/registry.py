@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from opsframe.plans import reads, reports
+from opsframe.plans import reads, reports, values
 
-MODULES = (reads, reports)
+MODULES = (reads, reports, values)
 
 
 def queries() -> dict:
