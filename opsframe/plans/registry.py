@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from opsframe.plans import reads, reports, values
+from opsframe.plans import jobs, reads, reports, values, writes
 
-MODULES = (reads, reports, values)
+MODULES = (reads, reports, values, writes, jobs)
 
 
 def queries() -> dict:
