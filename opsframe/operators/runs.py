@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from opsframe.functions.predicates import col, literal, literal_for
 from opsframe.functions.rules import failed_message_ok
@@ -134,26 +135,37 @@ def cancel_running(s: DataFrame, as_of, pipelines: DataFrame | None = None, by:
 _LARGE = "more nested data than one item may hold"
 
 
-def _gathered(rows: DataFrame, keys: list[str], entry: Column, max_bytes: int) -> DataFrame:
+class _Lists(NamedTuple):
+    lists: DataFrame
+    large: DataFrame
+
+
+def _gathered(rows: DataFrame, keys: list[str], entry: Column, value: str, max_bytes: int) -> _Lists:
     """Entries of each key as one ordered list, for keys whose entries fit one item.
 
-    An item is bounded in bytes, so the sizes are summed first and a key beyond the bound
-    is never collected; its commands are refused.
+    An item is bounded in bytes, so the sizes of ``value`` inside the entries are summed
+    first, and a key beyond the bound is never collected: its commands are refused. There
+    are at most (all bytes / bound) such keys, mostly none, and an empty set of them makes
+    the anti join vanish at run time.
     """
     sized = rows.select(*keys, entry.alias("_entry"))
-    fits = (sized.groupBy(*keys).agg(F.sum(F.octet_length(F.to_json("_entry"))).alias("_bytes"))
-            .where(F.col("_bytes") <= max_bytes).select(*keys))
-    return (sized.join(fits, keys, "left_semi").groupBy(*keys)
-            .agg(F.sort_array(F.collect_list("_entry")).alias("_entries")))
-
-
-def _nested_outcomes(s, c, keys, bad, gathered) -> DataFrame:
-    kept = gathered.select(*keys).withColumn("_fits", F.lit(True))
-    found = update_outcomes(s, c, keys, bad).join(kept, keys, "left")
-    large = (F.col("outcome") == "applied") & F.col("_fits").isNull()
+    nested = F.col("_entry")[value]
+    kind = sized.schema["_entry"].dataType[value].dataType
+    nested = nested if isinstance(kind, T.StructType) else F.struct(nested.alias(value))
+    large = (sized.groupBy(*keys).agg(F.sum(F.octet_length(F.to_json(nested))).alias("_bytes"))
+             .where(F.col("_bytes") > max_bytes).select(*keys))
+    lists = (sized.join(large, keys, "left_anti").groupBy(*keys)
+             .agg(F.sort_array(F.collect_list("_entry")).alias("_entries")))
+    return _Lists(lists, large)
+
+
+def _nested_outcomes(s, c, keys, bad, large) -> DataFrame:
+    found = update_outcomes(s, c, keys, bad).join(
+        large.withColumn("_large", F.lit(True)), keys, "left")
+    refused = (F.col("outcome") == "applied") & F.col("_large").isNotNull()
     return found.select(
-        *keys, F.when(large, "invalid").otherwise(F.col("outcome")).alias("outcome"),
-        F.when(large, _LARGE).otherwise(F.col("reason")).alias("reason"), "commands")
+        *keys, F.when(refused, "invalid").otherwise(F.col("outcome")).alias("outcome"),
+        F.when(refused, _LARGE).otherwise(F.col("reason")).alias("reason"), "commands")
 
 
 def _named(field: str) -> Column:
@@ -189,7 +201,7 @@ def stage_upsert(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
     last = (_sound(c, keys, bad).groupBy(*keys, F.col("stage")["stage_name"].alias("_name"))
             .agg(F.min(seq).alias("_first"), F.max_by("stage", seq).alias("_stage")))
     entry = F.struct(F.col("_first"), _as_stage(s, c, F.col("_stage")).alias("stage"))
-    gathered = _gathered(last, keys, entry, max_bytes)
+    gathered, large = _gathered(last, keys, entry, "stage", max_bytes)
 
     old = F.coalesce(F.col("stages"), F.array().cast(s.schema["stages"].dataType))
     names = F.transform(old, lambda x: x["stage_name"])
@@ -203,7 +215,7 @@ def stage_upsert(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
     ).otherwise(x))
     added = F.filter(fresh, lambda n: ~F.array_contains(names, n["stage_name"]))
     state = _put_nested(s, gathered, keys, as_of, "stages", F.concat(replaced, added))
-    return Change(state, _nested_outcomes(s, c, keys, bad, gathered))
+    return Change(state, _nested_outcomes(s, c, keys, bad, large))
 
 
 def stage_append(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
@@ -220,11 +232,11 @@ def stage_append(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
         stage = stage.withField("timestamp", F.coalesce(
             stage["timestamp"], literal(as_of, kinds["timestamp"]).cast(kinds["timestamp"])))
     entry = F.struct(F.struct(*order).alias("_seq"), stage.alias("stage"))
-    gathered = _gathered(_sound(c, keys, bad), keys, entry, max_bytes)
+    gathered, large = _gathered(_sound(c, keys, bad), keys, entry, "stage", max_bytes)
     old = F.coalesce(F.col("stages"), F.array().cast(s.schema["stages"].dataType))
     value = F.concat(old, F.transform(F.col("_entries"), lambda e: e["stage"]))
     state = _put_nested(s, gathered, keys, as_of, "stages", value)
-    return Change(state, _nested_outcomes(s, c, keys, bad, gathered))
+    return Change(state, _nested_outcomes(s, c, keys, bad, large))
 
 
 def metrics_merge(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
@@ -237,13 +249,13 @@ def metrics_merge(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
             .groupBy(*keys, "_name")
             .agg(F.max_by(F.struct(F.col("_value").alias("v")), F.struct(*order)).alias("_value")))
     kind = s.schema["metrics"].dataType.valueType
-    entry = F.struct(F.col("_name").alias("key"), F.col("_value")["v"].cast(kind).alias("value"))
-    gathered = _gathered(last, keys, entry, max_bytes)
-    new = F.map_from_entries("_entries")
+    pair = F.struct(F.col("_name").alias("key"), F.col("_value")["v"].cast(kind).alias("value"))
+    gathered, large = _gathered(last, keys, F.struct(pair.alias("pair")), "pair", max_bytes)
+    new = F.map_from_entries(F.transform("_entries", lambda e: e["pair"]))
     old = F.coalesce(F.col("metrics"), F.create_map().cast(s.schema["metrics"].dataType))
     value = F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(new, k)), new)
     state = _put_nested(s, gathered, keys, as_of, "metrics", value)
-    return Change(state, _nested_outcomes(s, c, keys, bad, gathered))
+    return Change(state, _nested_outcomes(s, c, keys, bad, large))
 
 
 def record_outputs(s: DataFrame, c: DataFrame, as_of, keys: Sequence[str] = KEYS,
@@ -257,7 +269,7 @@ def record_outputs(s: DataFrame, c: DataFrame, as_of, keys: Sequence[str] = KEYS
     per_table = _sound(c, keys, bad).groupBy(*keys, "table_id").agg(F.sum("records").alias("_records"))
     kind = s.schema["output_tables"].dataType.elementType
     entry = F.struct(F.col("table_id").cast(kind).alias("table_id"), F.col("_records"))
-    gathered = _gathered(per_table, keys, entry, max_bytes)
+    gathered, large = _gathered(per_table, keys, entry, "table_id", max_bytes)
     joined = s.join(gathered, keys, "left")
     hit = F.col("_entries").isNotNull()
     old = F.coalesce(F.col("output_tables"), F.array().cast(s.schema["output_tables"].dataType))
@@ -273,7 +285,7 @@ def record_outputs(s: DataFrame, c: DataFrame, as_of, keys: Sequence[str] = KEYS
     state = joined.select(*[
         (F.when(hit, values[n]).otherwise(col(n)) if n in values else col(n)).alias(n)
         for n in s.columns])
-    return Change(state, _nested_outcomes(s, c, keys, bad, gathered))
+    return Change(state, _nested_outcomes(s, c, keys, bad, large))
 
 
 # -- event log --------------------------------------------------------------------------
