@@ -1,0 +1,206 @@
+"""Lookups, index queries and paging on small tables with known answers."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from opsframe.functions.predicates import (
+    index_condition, key_condition, match_all, model_condition, sort_condition,
+)
+from opsframe.operators import read
+from opsframe.schema import (
+    PIPELINES, RUNS, TABLES, Index, TableMeta, check_environment, physical_name,
+)
+
+T0 = datetime(2024, 1, 15, 10)
+
+
+@pytest.fixture(scope="module")
+def pipelines(spark):
+    """Ten pipelines, active when the number is even, all dev, created an hour apart."""
+    return spark.createDataFrame(
+        [(f"p{i}", f"name {i}", i % 2 == 0, "dev", T0 + timedelta(hours=i), T0 + timedelta(hours=i))
+         for i in range(10)],
+        "pipeline_id string, pipeline_name string, is_active boolean, environment string, "
+        "created_at timestamp, updated_at timestamp")
+
+
+@pytest.fixture(scope="module")
+def runs(spark):
+    data = [("r1", "a", "success", 10), ("r2", "a", "failed", 11), ("r3", "b", "running", 12),
+            ("r4", "a", "success", 13), ("r5", "a", None, 14), ("r6", "a", "success", None)]
+    return spark.createDataFrame(
+        [(r, p, s, None if h is None else datetime(2024, 1, 15, h)) for r, p, s, h in data],
+        "run_id string, pipeline_id string, status string, start_time timestamp")
+
+
+def ids(df):
+    return [r[0] for r in df.collect()]
+
+
+def test_pages_are_disjoint_and_cover(pipelines):
+    active = match_all({"is_active": True})
+    options = dict(sort="updated_at", ascending=False)
+    first = read.fetch_page(pipelines, PIPELINES, active, limit=3, **options)
+    rest = read.fetch_page(pipelines, PIPELINES, active, limit=5, after=first.token, **options)
+    assert [r.pipeline_id for r in first.rows] == ["p8", "p6", "p4"]
+    assert [r.pipeline_id for r in rest.rows] == ["p2", "p0"]
+    assert first.token and rest.token is None
+
+
+def test_page_edge_inside_equal_sort_keys(spark):
+    tied = spark.createDataFrame([(f"p{i}", "dev", T0) for i in range(7)],
+                                 "pipeline_id string, environment string, created_at timestamp")
+    seen, token = [], None
+    while True:
+        page = read.fetch_page(tied, PIPELINES, limit=3, sort="created_at", ascending=False, after=token)
+        seen += [r.pipeline_id for r in page.rows]
+        token = page.token
+        if token is None:
+            break
+    assert seen == [f"p{i}" for i in range(7)]
+
+
+def test_projection_keeps_the_token_columns(pipelines):
+    page = read.fetch_page(pipelines, PIPELINES, limit=2, sort="updated_at", columns=["pipeline_name"])
+    assert set(page.token) == {"updated_at", "pipeline_id"}
+
+
+def test_environment_and_status(pipelines):
+    assert read.pipelines_by_environment(pipelines, "dev").count() == 10
+    assert read.pipelines_by_environment(pipelines, "dev", True).count() == 5
+    assert ids(read.active_pipelines(pipelines))[0] == "p8"
+
+
+def test_limit_before_and_after_the_filter_differ(pipelines):
+    after = read.pipelines_by_environment(pipelines, "dev", True, limit=4)
+    before = read.pipelines_by_environment(pipelines, "dev", True, limit=4, limit_first=True)
+    assert ids(after) == ["p8", "p6", "p4", "p2"]
+    assert ids(before) == ["p8", "p6"]
+
+
+def test_limit_zero_is_no_limit(pipelines):
+    assert read.pipelines_by_environment(pipelines, "dev", limit=0).count() == 10
+
+
+def test_newest_first_within_a_pipeline(runs):
+    found = read.runs_by_pipeline(runs, "a")
+    assert ids(found) == ["r5", "r4", "r2", "r1"]  # r6 has no start: outside the index
+
+
+def test_null_index_key_is_outside_the_index(runs):
+    assert ids(read.runs_by_status(runs, "success")) == ["r4", "r1"]
+
+
+def test_range_ends_are_optional_and_inclusive(runs):
+    at = lambda h: datetime(2024, 1, 15, h)
+    assert ids(read.runs_by_pipeline(runs, "a", start=at(11))) == ["r5", "r4", "r2"]
+    assert ids(read.runs_by_pipeline(runs, "a", end=at(11))) == ["r2", "r1"]
+    assert ids(read.runs_by_pipeline(runs, "a", start=at(11), end=at(13))) == ["r4", "r2"]
+    assert ids(read.runs_by_pipeline(runs, "a", status="success", start=at(11))) == ["r4"]
+
+
+def test_windows_include_their_edge(runs):
+    as_of = datetime(2024, 1, 16, 11)
+    assert ids(read.failed_runs(runs, as_of)) == ["r2"]
+    assert ids(read.failed_runs(runs, as_of + timedelta(seconds=1))) == []
+    assert ids(read.recent_runs(runs, "a", as_of, limit=2)) == ["r5", "r4"]
+    assert ids(read.successful_runs(runs, as_of, pipeline_id="a")) == ["r4", "r1"]
+    assert ids(read.running_runs(runs)) == ["r3"]
+
+
+def test_top_three(spark):
+    five = spark.createDataFrame([(f"r{h}", "a", datetime(2024, 1, 1, h)) for h in range(10, 15)],
+                                 "run_id string, pipeline_id string, start_time timestamp")
+    assert ids(read.runs_by_pipeline(five, "a", limit=3)) == ["r14", "r13", "r12"]
+    newest = read.newest_per_key(five, ["pipeline_id"], "start_time", 2, ["run_id"])
+    assert sorted(ids(newest)) == ["r13", "r14"]
+
+
+def test_lookups(spark, pipelines, rows):
+    keys = spark.createDataFrame([("p1",), ("p1",), ("zz",)], "pipeline_id string")
+    found = read.get_many(pipelines, PIPELINES, keys)
+    assert rows(found, "pipeline_id", "found") == [("p1", True), ("zz", False)]
+    assert ids(read.missing_keys(pipelines, PIPELINES, keys)) == ["zz"]
+    assert ids(read.existing_keys(pipelines, PIPELINES, keys)) == ["p1"]
+    with pytest.raises(KeyError, match="zz"):
+        read.require(pipelines, PIPELINES, keys)
+    assert ids(read.require(pipelines, PIPELINES, keys.where("pipeline_id = 'p1'"))) == ["p1"]
+    assert read.get_one(pipelines, PIPELINES, pipeline_id="zz").first() is None
+    with pytest.raises(ValueError, match="missing key column"):
+        read.get_many(pipelines, PIPELINES, spark.range(1))
+
+
+def test_projections(pipelines):
+    assert read.project(pipelines, []).columns == pipelines.columns
+    assert read.project(pipelines, ["pipeline_id", "absent"]).columns == ["pipeline_id"]
+    assert read.summary(pipelines, PIPELINES).columns == list(PIPELINES.summary_columns)
+
+
+def test_reserved_and_odd_names(spark):
+    odd = spark.createDataFrame([(1, 2)], "`select` int, `a.b` int")
+    assert read.project(odd, ["a.b", "select"]).first() == (2, 1)
+    assert odd.where(match_all({"a.b": 2})).count() == 1
+
+
+def test_column_counts():
+    assert [len(m.fields) for m in (PIPELINES, TABLES, RUNS)] == [20, 29, 35]
+    assert [len(m.view_columns) for m in (PIPELINES, TABLES, RUNS)] == [14, 17, 18]
+    assert [len(m.summary_columns) for m in (PIPELINES, TABLES, RUNS)] == [5, 6, 6]
+    assert [len(m.list_columns) for m in (PIPELINES, TABLES, RUNS)] == [8, 9, 10]
+
+
+def test_declared_types_are_readable(spark):
+    for meta in (PIPELINES, TABLES, RUNS):
+        assert spark.createDataFrame([], meta.ddl).columns == list(meta.fields)
+
+
+def test_condition_errors(runs):
+    with pytest.raises(ValueError, match="eq, begins_with, between, gt, gte, lt, lte"):
+        sort_condition(F.col("x"), "like", "a")
+    with pytest.raises(ValueError, match="second value"):
+        key_condition(runs, "pipeline_id", "a", "run_id", "between", "r1")
+    with pytest.raises(ValueError, match="StatusRunsIndex"):
+        index_condition(runs, RUNS, "Nope", status="failed")
+    with pytest.raises(ValueError, match="status"):
+        index_condition(runs, RUNS, "StatusRunsIndex", pipeline_id="a")
+    with pytest.raises(ValueError, match="missing key part"):
+        RUNS.key(run_id="r1")
+    with pytest.raises(ValueError, match="missing partition key"):
+        model_condition(runs, RUNS, pipeline_id="a")
+    with pytest.raises(ValueError, match="at least one key"):
+        TableMeta("x", (), {})
+
+
+def test_sort_condition_without_value_is_ignored(runs):
+    assert runs.where(key_condition(runs, "pipeline_id", "a", "run_id", "gt", None)).count() == 5
+    found = runs.where(model_condition(runs, RUNS, run_id="r1", pipeline_id="a"))
+    assert found.count() == 1
+    assert runs.where(model_condition(runs, RUNS, run_id="r1")).count() == 1
+
+
+@pytest.mark.parametrize("op,low,high,expected", [
+    ("eq", "r2", None, ["r2"]), ("begins_with", "r", None, ["r1", "r2", "r4", "r5", "r6"]),
+    ("between", "r2", "r5", ["r2", "r4", "r5"]), ("gt", "r4", None, ["r5", "r6"]),
+    ("gte", "r4", None, ["r4", "r5", "r6"]), ("lt", "r2", None, ["r1"]),
+    ("lte", "r2", None, ["r1", "r2"]),
+])
+def test_sort_conditions(runs, op, low, high, expected):
+    found = runs.where(key_condition(runs, "pipeline_id", "a", "run_id", op, low, high))
+    assert sorted(ids(found)) == expected
+
+
+def test_metadata():
+    assert RUNS.index_names == ["PipelineRunsIndex", "StatusRunsIndex"]
+    assert RUNS.indexes_on("status") == [Index("StatusRunsIndex", "status", "start_time")]
+    assert PIPELINES.keys == ("pipeline_id",) and RUNS.keys == ("run_id", "pipeline_id")
+    assert physical_name("runs", "dev", "acme") == "acme_dev_runs"
+    assert physical_name("runs", "prod") == "runs"
+    with pytest.raises(ValueError):
+        check_environment("test")
+
+
+def test_filter_on_null_and_empty(runs):
+    assert match_all({}) is None and match_all(None) is None
+    assert runs.where(match_all({"status": None})).count() == 1
