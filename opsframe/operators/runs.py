@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from opsframe.functions.predicates import col, literal, literal_for
 from opsframe.functions.rules import failed_message_ok
 from opsframe.functions.times import seconds_between
+from opsframe.operators.joins import HASH, split_join
 from opsframe.operators.write import (
     Change, _sound, clock, hits, insert_if_absent, stamped, update_outcomes,
 )
@@ -108,7 +109,7 @@ def cancel_running(s: DataFrame, as_of, pipelines: DataFrame | None = None, by:
     picked = s
     if pipelines is not None:
         wanted = pipelines.select("pipeline_id").distinct().withColumn("_hit", F.lit(True))
-        picked = s.join(wanted, "pipeline_id", "left")
+        picked = split_join(s, wanted, ["pipeline_id"], "left")
         running = (F.col("status") == "running") & F.col("_hit").isNotNull()
     else:
         running = F.col("status") == "running"
@@ -154,8 +155,8 @@ def _gathered(rows: DataFrame, keys: list[str], entry: Column, value: str, max_b
     nested = nested if isinstance(kind, T.StructType) else F.struct(nested.alias(value))
     large = (sized.groupBy(*keys).agg(F.sum(F.octet_length(F.to_json(nested))).alias("_bytes"))
              .where(F.col("_bytes") > max_bytes).select(*keys))
-    lists = (sized.join(large, keys, "left_anti").groupBy(*keys)
-             .agg(F.sort_array(F.collect_list("_entry")).alias("_entries")))
+    lists = (split_join(sized, large, keys, "left_anti").groupBy(*keys, HASH)
+             .agg(F.sort_array(F.collect_list("_entry")).alias("_entries")).drop(HASH))
     return _Lists(lists, large)
 
 

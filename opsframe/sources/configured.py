@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -72,6 +73,16 @@ def storage_level(settings: Mapping) -> StorageLevel | None:
     return getattr(StorageLevel, name.removesuffix("_SER"))
 
 
+def _needing_package(name: str, action):
+    """Run ``action``; a format that Spark does not know is reported in plain words."""
+    try:
+        return action()
+    except (AnalysisException, Py4JJavaError) as error:
+        if "failed to find" in str(error).lower():
+            raise RuntimeError(f"format '{name}' needs its Spark package on the class path") from error
+        raise
+
+
 def config_read(spark: SparkSession, settings: Mapping) -> DataFrame:
     options = read_options(settings)
     reader = spark.read.format(options["format"])
@@ -81,14 +92,7 @@ def config_read(spark: SparkSession, settings: Mapping) -> DataFrame:
     for name, value in options.items():
         if name not in _READ_ONLY:
             reader = reader.option(name, _text(value))
-    try:
-        rows = reader.load(options["path"])
-    except AnalysisException as error:
-        if error.getCondition() in ("DATA_SOURCE_NOT_FOUND", "FAILED_FIND_DATA_SOURCE") or \
-                options["format"] in str(error) and "find" in str(error).lower():
-            raise RuntimeError(
-                f"format '{options['format']}' needs its Spark package on the class path") from error
-        raise
+    rows = _needing_package(options["format"], lambda: reader.load(options["path"]))
     level = storage_level(settings)
     return rows if level is None else rows.persist(level)
 
@@ -104,5 +108,5 @@ def config_write(df: DataFrame, settings: Mapping) -> int:
     for name, value in options.items():
         if name not in _WRITE_ONLY:
             writer = writer.option(name, _text(value))
-    writer.save(options["path"])
+    _needing_package(options["format"], lambda: writer.save(options["path"]))
     return int(seen.get["records"])
