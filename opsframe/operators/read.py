@@ -173,6 +173,8 @@ def fetch_page(df: DataFrame, meta: TableMeta, condition: Column | None = None,
                limit: int = DEFAULT_PAGE, columns: Sequence[str] | None = None,
                sort: str | None = None, **options) -> Page:
     """One page and the token of the next; the token is the last row's order values."""
+    if not limit or limit < 1:
+        raise ValueError("a page needs a positive limit")
     order = ([sort] if sort else []) + [k for k in meta.keys if k != sort]
     wanted = None if not columns else [*columns, *order]
     rows = query(df, meta, condition, sort=sort, limit=limit, columns=wanted, **options).collect()

@@ -29,6 +29,9 @@ class Change(NamedTuple):
     outcomes: DataFrame
 
 
+_EARLIER = "an earlier command for this key was tried"
+
+
 class WriteError(Exception):
     """Raised by ``strict`` when a command was not applied."""
 
@@ -230,8 +233,8 @@ def conditional_update(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, o
                        condition: Column, assign: Mapping[str, Column]) -> Change:
     """Apply a command only where ``condition`` holds; write both over ``s.x`` and ``c.x``.
 
-    Of several commands for one key the first is tried and the others conflict: they were
-    written against a row that it has changed, or was refused on.
+    Of several commands for one key the first is tried and the others conflict, as writers
+    that read the same row and came second.
     """
     keys = list(keys)
     one = latest(c.where(key_given(keys)), keys, order, first=True)
@@ -256,7 +259,7 @@ def conditional_update(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, o
         known, keys,
         _outcome(APPLIED, None, first),
         _outcome(CONFLICT, "condition not met", F.when(~F.col("_met"), 1).otherwise(0)),
-        _outcome(CONFLICT, "an earlier command changed the row",
+        _outcome(CONFLICT, _EARLIER,
                  F.when(F.col("_met").isNotNull(), F.col("_n") - 1).otherwise(0)),
         _outcome(NOT_FOUND, None,
                  F.when(key_given(keys) & F.col("_met").isNull(), F.col("_n")).otherwise(0)),
@@ -272,19 +275,29 @@ class Removal(NamedTuple):
     removed: DataFrame
 
 
-def delete_keys(s: DataFrame, c: DataFrame, keys: Sequence[str]) -> Removal:
-    """Of several deletes of one key the first is applied; the others find nothing."""
+def delete_keys(s: DataFrame, c: DataFrame, keys: Sequence[str],
+                condition: Column | None = None) -> Removal:
+    """Of several deletes of one key the first is applied; the others find nothing.
+
+    With a ``condition`` over the state row, a row that does not meet it stays, and the
+    deletes that name it conflict.
+    """
     keys = list(keys)
+    met = F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
     wanted = c.where(key_given(keys)).select(*keys).distinct()
+    gone = wanted if condition is None else s.where(met).join(wanted, keys, "left_semi").select(*keys)
     counted = c.groupBy(*keys).agg(F.count("*").alias("_n"))
-    known = counted.join(hits(s, c, keys), keys, "left")
-    done = F.when(F.col("_hit"), 1).otherwise(0)
+    tried = s.withColumn("_met", met).join(wanted, keys, "left_semi").select(*keys, "_met")
+    known = counted.join(tried, keys, "left")
+    done, given = F.when(F.col("_met"), 1).otherwise(0), key_given(keys)
     outcomes = listed(
         known, keys,
         _outcome(APPLIED, None, done),
-        _outcome(NOT_FOUND, None, F.when(key_given(keys), F.col("_n") - done).otherwise(0)),
-        _outcome(INVALID, "key missing", F.when(key_given(keys), 0).otherwise(F.col("_n"))))
-    return Removal(s.join(wanted, keys, "left_anti"), outcomes, s.join(wanted, keys, "left_semi"))
+        _outcome(CONFLICT, "condition not met", F.when(~F.col("_met"), F.col("_n")).otherwise(0)),
+        _outcome(NOT_FOUND, None, F.when(given & F.coalesce(F.col("_met"), F.lit(True)),
+                                         F.col("_n") - done).otherwise(0)),
+        _outcome(INVALID, "key missing", F.when(given, 0).otherwise(F.col("_n"))))
+    return Removal(s.join(gone, keys, "left_anti"), outcomes, s.where(met).join(wanted, keys, "left_semi"))
 
 
 # -- upserts ----------------------------------------------------------------------------
@@ -341,6 +354,42 @@ def upsert_many(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order: S
     return Change(change.state, outcomes)
 
 
+def conditional_put(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order: Sequence[str],
+                    condition: Column) -> Change:
+    """Put whole rows where ``condition`` over ``s.x`` and ``c.x`` holds.
+
+    For a key outside the state every ``s.x`` is null, so a condition that does not allow
+    for that conflicts. Of several commands for one key the first is tried.
+    """
+    keys = list(keys)
+    one = latest(c.where(key_given(keys)), keys, order, first=True)
+    old = s.join(one.select(*keys), keys, "left_semi")
+    on = [F.col(f"s.{k}") == F.col(f"c.{k}") for k in keys]
+    met = F.coalesce(condition, F.lit(False))
+    joined = one.alias("c").join(old.alias("s"), on, "left")
+    stamps = stamped(s, as_of, "updated_at")
+    if "created_at" in s.columns:
+        stamps["created_at"] = F.coalesce(F.col("s.created_at"), clock(s, "created_at", as_of))
+    names = [n for n in s.columns if n in stamps or n in one.columns]
+    changed = joined.where(met).select(*[
+        (stamps[n] if n in stamps else F.col(f"c.{n}")).cast(s.schema[n].dataType).alias(n)
+        for n in names])
+    state = s.join(changed.select(*keys), keys, "left_anti").unionByName(changed, allowMissingColumns=True)
+
+    counted = c.groupBy(*keys).agg(F.count("*").alias("_n"))
+    tried = joined.select(*[F.col(f"c.{k}").alias(k) for k in keys], met.alias("_met"))
+    known = counted.join(tried, keys, "left")
+    first = F.when(F.col("_met"), 1).otherwise(0)
+    outcomes = listed(
+        known, keys,
+        _outcome(APPLIED, None, first),
+        _outcome(CONFLICT, "condition not met", F.when(~F.col("_met"), 1).otherwise(0)),
+        _outcome(CONFLICT, _EARLIER,
+                 F.when(F.col("_met").isNotNull(), F.col("_n") - 1).otherwise(0)),
+        _outcome(INVALID, "key missing", F.when(key_given(keys), 0).otherwise(F.col("_n"))))
+    return Change(state, outcomes)
+
+
 # -- all or nothing ---------------------------------------------------------------------
 
 def set_active_together(s: DataFrame, ids: DataFrame, keys: Sequence[str], as_of, active: bool,

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from opsframe.operators import job, quality, runs as life
-from opsframe.plans.domains import AS_OF, TABLES_SQL, table, tables
+from opsframe.plans.domains import AS_OF, RUNS_SQL, TABLES_SQL, runs, table, tables
 from opsframe.plans.registering import Registry
 from opsframe.plans.writes import FOLD_SQL, events_as_log
 from opsframe.session import prepare
+from opsframe.sources import layout
 from opsframe.sources.configured import config_read as read_configured, config_write as write_configured
 from opsframe.sources.storage import new_path
 from opsframe.streaming import fold
@@ -93,6 +96,14 @@ def job_run(spark, sf_dir):
         "run_status": F.lit(row["status"]), "data_quality_passed": F.lit(passed)})
 
 
+@_query(f"""WITH {RUNS_SQL} SELECT run_id, pipeline_id, status, start_time FROM runs
+WHERE start_time BETWEEN TIMESTAMP '2024-01-10 12:00:00' AND TIMESTAMP '2024-01-20'""")
+def run_log_by_day(spark, sf_dir):
+    path = new_path(spark, "runs")
+    layout.write_run_log(runs(spark, sf_dir).select("run_id", "pipeline_id", "status", "start_time"), path)
+    return layout.read_run_log(spark, path, datetime(2024, 1, 10, 12), datetime(2024, 1, 20))
+
+
 @_query(FOLD_SQL)
 def fold_events_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema

@@ -141,7 +141,7 @@ t AS (SELECT n.pipeline_id, n, updated_at < seen AS met
   FROM n JOIN firsts ON k = n.pipeline_id LEFT JOIN pipelines p ON p.pipeline_id = n.pipeline_id)
 SELECT pipeline_id, 'applied' AS outcome, '' AS reason, 1::BIGINT AS commands FROM t WHERE met
 UNION ALL SELECT pipeline_id, 'conflict', 'condition not met', 1 FROM t WHERE NOT met
-UNION ALL SELECT pipeline_id, 'conflict', 'an earlier command changed the row', n - 1
+UNION ALL SELECT pipeline_id, 'conflict', 'an earlier command for this key was tried', n - 1
 FROM t WHERE met IS NOT NULL AND n > 1
 UNION ALL SELECT pipeline_id, 'not_found', '', n FROM t WHERE met IS NULL""")
 def conditional_outcomes(spark, sf_dir):
@@ -210,7 +210,44 @@ def delete_outcomes(spark, sf_dir):
     return _sorted_outcomes(_delete(spark, sf_dir))
 
 
-_UPSERT_COLUMNS = ("pipeline_id", "pipeline_name", "environment", "is_active", "created_at", "updated_at")
+def _conditional_delete(spark, sf_dir):
+    c = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS pipeline_id")
+    return write.delete_keys(pipelines(spark, sf_dir), c, _P, condition=~F.col("is_active"))
+
+
+@_query(f"""WITH {PIPELINES_SQL} SELECT * FROM pipelines
+WHERE is_active OR pipeline_id NOT IN (SELECT l_orderkey FROM lineitem)""")
+def conditional_delete(spark, sf_dir):
+    return _conditional_delete(spark, sf_dir).state
+
+
+@_query(f"""WITH {PIPELINES_SQL}, n AS (SELECT l_orderkey AS pipeline_id, count(*) AS n FROM lineitem GROUP BY 1),
+t AS (SELECT n.*, p.is_active FROM n LEFT JOIN pipelines p USING (pipeline_id))
+SELECT pipeline_id, 'applied' AS outcome, '' AS reason, 1::BIGINT AS commands FROM t WHERE NOT is_active
+UNION ALL SELECT pipeline_id, 'conflict', 'condition not met', n FROM t WHERE is_active
+UNION ALL SELECT pipeline_id, 'not_found', '', n - 1 FROM t WHERE NOT is_active AND n > 1
+UNION ALL SELECT pipeline_id, 'not_found', '', n FROM t WHERE is_active IS NULL""")
+def conditional_delete_outcomes(spark, sf_dir):
+    return _sorted_outcomes(_conditional_delete(spark, sf_dir))
+
+
+@_query(f"""WITH {PIPELINES_SQL}, firsts AS (SELECT * FROM lineitem {_LAST.format(order=_ASC)}),
+t AS (SELECT p.*, f.*, coalesce(p.is_active, f.l_linestatus = 'F') AS met
+  FROM pipelines p FULL JOIN firsts f ON f.l_partkey = p.pipeline_id)
+SELECT coalesce(pipeline_id, l_partkey) AS pipeline_id,
+  CASE WHEN met AND l_partkey IS NOT NULL THEN concat('order ', l_orderkey) ELSE pipeline_name END AS pipeline_name,
+  CASE WHEN met AND l_partkey IS NOT NULL THEN l_returnflag ELSE environment END AS environment,
+  CASE WHEN met AND l_partkey IS NOT NULL THEN l_linestatus = 'F' ELSE is_active END AS is_active,
+  coalesce(created_at, {AS_OF_SQL}) AS created_at,
+  CASE WHEN met AND l_partkey IS NOT NULL THEN {AS_OF_SQL} ELSE updated_at END AS updated_at
+FROM t WHERE pipeline_id IS NOT NULL OR met""")
+def conditional_put(spark, sf_dir):
+    c = _lines(spark, sf_dir, "l_partkey AS pipeline_id",
+               "concat('order ', l_orderkey) AS pipeline_name",
+               "l_returnflag AS environment", "l_linestatus = 'F' AS is_active")
+    return write.conditional_put(
+        pipelines(spark, sf_dir), c, _P, AS_OF, _ORDER,
+        condition=F.coalesce(F.col("s.is_active"), F.col("c.is_active"))).state
 
 
 @_query(f"""WITH {PIPELINES_SQL}

@@ -1,6 +1,7 @@
 """Plans and skew: what has to hold when the tables are a thousand times larger."""
 
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,10 +9,11 @@ from pyspark.sql import functions as F
 from opsframe.operators import report, runs as life, write
 from opsframe.operators.joins import split_join
 from opsframe.plans import registry
-from opsframe.plans.domains import AS_OF
+from opsframe.plans.domains import AS_OF, runs, tables
+from opsframe.sources import layout
 
 SF_DIR = "/root/testdata/sf0.001"
-EAGER = {"config_write", "write_stats", "job_run", "fold_events_stream"}
+EAGER = {"config_write", "write_stats", "job_run", "fold_events_stream", "run_log_by_day"}
 
 
 def plan(df, mode="formatted") -> str:
@@ -59,12 +61,29 @@ def test_predicates_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<c_mktsegment:string>" in counted
 
 
-def test_day_partitions_are_pruned(spark, tmp_path):
-    events = spark.read.parquet(f"{SF_DIR}/events.parquet").withColumn("day", F.to_date("ts"))
-    events.write.partitionBy("day").parquet(str(tmp_path / "log"))
-    log = spark.read.parquet(str(tmp_path / "log"))
-    text = plan(log.where("day >= DATE '2024-01-29'").groupBy("event_type").count())
-    assert re.search(r"PartitionFilters: \[[^\]]*day", text)
+def test_day_folders_are_pruned(spark, tmp_path):
+    log = runs(spark, SF_DIR).select("run_id", "pipeline_id", "status", "start_time")
+    path = str(tmp_path / "log")
+    layout.write_run_log(log, path)
+    text = plan(layout.read_run_log(spark, path, datetime(2024, 1, 29)).groupBy("status").count())
+    assert re.search(r"PartitionFilters: \[[^\]]*day[^\]]*>= 2024-01-29", text)
+    assert layout.read_run_log(spark, path).count() == log.count()
+    layout.write_run_log(log.where("start_time >= TIMESTAMP_NTZ '2024-01-30 00:00:00'"), path)
+    assert layout.read_run_log(spark, path).count() == log.count()  # other days stay
+
+
+def test_a_bucketed_state_is_not_shuffled(spark, no_broadcast, tmp_path):
+    state = tables(spark, SF_DIR).select("table_id", "record_count", "size_bytes")
+    layout.save_bucketed(state, "bucketed_tables", ["table_id"], 8, str(tmp_path / "b"))
+    try:
+        c = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").selectExpr(
+            "l_partkey AS table_id", "l_orderkey AS size_bytes", "l_orderkey AS seq")
+        change = write.update_given(spark.table("bucketed_tables"), c, ["table_id"], AS_OF, ["seq"], ["size_bytes"])
+        text = plan(change.state, "simple")
+        state_side = text[text.index("SortMergeJoin"):text.index("FileScan")]
+        assert "Exchange" not in state_side and "Bucketed: true" in text
+    finally:
+        spark.sql("DROP TABLE bucketed_tables")
 
 
 def test_top_rows_are_limited_before_the_shuffle(spark):

@@ -77,7 +77,7 @@ def test_conditional_update_is_an_optimistic_lock(spark, state):
     assert rows["p1"].cores == 5 and rows["p1"].updated_at == NOW
     assert rows["p2"].cores == 2 and rows["p2"].updated_at == T0
     assert outcomes(change) == [
-        ("p1", "applied", None, 1), ("p1", "conflict", "an earlier command changed the row", 1),
+        ("p1", "applied", None, 1), ("p1", "conflict", "an earlier command for this key was tried", 1),
         ("p2", "conflict", "condition not met", 1), ("zz", "not_found", None, 1)]
 
 
@@ -106,6 +106,29 @@ def test_delete(spark, state):
         ("p1", "applied", None, 1), ("p1", "not_found", None, 1), ("zz", "not_found", None, 1)]
 
 
+def test_conditional_delete(spark, state):
+    c = spark.createDataFrame([("p1",), ("p2",), ("p2",), ("zz",)], "pipeline_id string")
+    gone = write.delete_keys(state, c, K, condition=~F.col("is_active"))
+    assert set(by_key(gone.state)) == {"p1"} and set(by_key(gone.removed)) == {"p2"}
+    assert outcomes(gone) == [
+        ("p1", "conflict", "condition not met", 1), ("p2", "applied", None, 1),
+        ("p2", "not_found", None, 1), ("zz", "not_found", None, 1)]
+
+
+def test_conditional_put(spark, state):
+    c = spark.createDataFrame([("p1", "uno", 1, 1), ("p2", "dos", 1, 1), ("p9", "new", 1, 1), ("p1", "late", 1, 2)],
+                              "pipeline_id string, name string, cores bigint, seq int")
+    locked = write.conditional_put(state, c, K, NOW, ["seq"], F.col("s.cores") == F.col("c.cores"))
+    rows = by_key(locked.state)
+    assert (rows["p1"].name, rows["p1"].created_at, rows["p1"].updated_at) == ("uno", T0, NOW)
+    assert rows["p2"].name == "two" and "p9" not in rows
+    assert outcomes(locked) == [
+        ("p1", "applied", None, 1), ("p1", "conflict", "an earlier command for this key was tried", 1),
+        ("p2", "conflict", "condition not met", 1), ("p9", "conflict", "condition not met", 1)]
+    fresh = write.conditional_put(state, c, K, NOW, ["seq"], F.col("s.pipeline_id").isNull())
+    assert by_key(fresh.state)["p9"].created_at == NOW and by_key(fresh.state)["p1"].name == "one"
+
+
 def test_upsert_keeps_created_at_and_takes_the_last(spark, state):
     c = spark.createDataFrame([("p1", "uno", 2), ("p1", "old", 1), ("p9", "nine", 1)],
                               "pipeline_id string, name string, seq int")
