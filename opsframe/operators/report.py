@@ -69,25 +69,19 @@ def run_report(df: DataFrame, as_of, days: int = 30, zone: str | None = None,
                by: Sequence[str] = ("pipeline_id",)) -> DataFrame:
     """The whole run report, breakdowns as maps, in one pass over the runs.
 
-    Runs are reduced to one row per (key, day, status) and those rows to the report, so
-    the maps are collected from at most ``days + 1`` days times the known statuses.
+    Runs are reduced to one row per (key, day) and those rows to the report, so the maps
+    are made from at most ``days + 1`` rows of a key and a fixed list of statuses.
     With no ``by`` the report is one row, with zeros and empty maps when nothing ran.
     """
-    cells = (
+    known = F.col("status").isin(*RUN_STATUSES)
+    status = F.when(known, F.col("status")).otherwise(F.lit("unknown"))
+    days_of = (
         in_window(df, as_of, days)
-        .withColumns({
-            "status": F.when(F.col("status").isin(*RUN_STATUSES), F.col("status"))
-                       .otherwise(F.lit("unknown")),
-            "day": day_in_zone(F.col("start_time"), zone).cast("string"),
-        })
-        .groupBy(*by, "day", "status")
+        .withColumns({"status": status, "day": day_in_zone(F.col("start_time"), zone).cast("string")})
+        .groupBy(*by, "day")
         .agg(F.count("*").alias("n"),
-             F.sum(F.coalesce(F.col("duration_seconds").cast("double"), F.lit(0.0))).alias("seconds"))
-    )
-    days_of = cells.groupBy(*by, "day").agg(
-        F.sum("n").alias("n"), F.sum("seconds").alias("seconds"),
-        *[F.sum(F.when(F.col("status") == s, F.col("n")).otherwise(0)).alias(s)
-          for s in (*RUN_STATUSES, "unknown")],
+             F.sum(F.coalesce(F.col("duration_seconds").cast("double"), F.lit(0.0))).alias("seconds"),
+             *[F.count_if(F.col("status") == s).alias(s) for s in (*RUN_STATUSES, "unknown")])
     )
     total = F.coalesce(F.sum("n"), F.lit(0))
     counts = F.map_from_arrays(

@@ -351,15 +351,26 @@ def fold_events(c: DataFrame, order: Sequence[str], keys: Sequence[str] = KEYS)
     return finish_fold(partial_fold(c, keys, order), keys)
 
 
-def apply_folds(s: DataFrame, folded: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Lay folded runs over a state: known runs take the given values, others are added."""
+def apply_folds(s: DataFrame, folds: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Lay folds over a state: known runs go on from their row, others are added.
+
+    A known run keeps its start; its records add up; what no event gave stays.
+    """
     keys = list(keys)
-    fresh = folded.join(hits(s, folded, keys), keys, "left_anti")
-    given = [n for n in folded.columns if n not in keys and n in s.columns]
-    new = folded.select(*keys, *[col(n).alias(f"_new_{n}") for n in given])
-    kept = s.join(new, keys, "left").select(*[
-        (F.coalesce(F.col(f"_new_{n}").cast(s.schema[n].dataType), col(n))
-         if n in given and n not in ("created_at", "start_time") else col(n)).alias(n)
+    fresh = finish_fold(folds.join(hits(s, folds, keys), keys, "left_anti"), keys)
+    told = folds.select(*keys, F.struct(*[n for n in folds.columns if n not in keys]).alias("_f"))
+    new = {n: F.col("_f")[n]["v"] for n in ("latest", "status", "message", "end", "closed")}
+    records = F.col("_f")["records"]
+    values = {
+        "status": new["status"], "error_message": new["message"], "end_time": new["end"],
+        "updated_at": new["latest"],
+        "duration_seconds": seconds_between(F.col("start_time"), new["closed"]),
+        "total_records_processed":
+            records + F.coalesce(_optional(s, "total_records_processed", "bigint"), F.lit(0)),
+    }
+    kept = s.join(told, keys, "left").select(*[
+        (F.coalesce(values[n].cast(s.schema[n].dataType), col(n)) if n in values else col(n)).alias(n)
         for n in s.columns])
-    aligned = fresh.select(*keys, *[col(n).cast(s.schema[n].dataType).alias(n) for n in given])
+    aligned = fresh.select(*[
+        col(f.name).cast(f.dataType).alias(f.name) for f in s.schema.fields if f.name in fresh.columns])
     return kept.unionByName(aligned, allowMissingColumns=True)

@@ -531,6 +531,28 @@ def fold_events(spark, sf_dir):
     return folded.withColumn("duration_seconds", F.col("duration_seconds").cast("double"))
 
 
+def _halves(spark, sf_dir):
+    log = events_as_log(table(spark, sf_dir, "events"))
+    noon = F.expr("TIMESTAMP_NTZ '2024-01-15 12:00:00'")
+    return log.where(F.col("ts") < noon), log.where(F.col("ts") >= noon)
+
+
+@_query(FOLD_SQL)
+def merge_folds(spark, sf_dir):
+    keys = list(life.KEYS)
+    first, second = (life.partial_fold(half, keys, ["seq"]) for half in _halves(spark, sf_dir))
+    folded = life.finish_fold(life.merge_folds(second.unionByName(first), keys), keys)
+    return folded.withColumn("duration_seconds", F.col("duration_seconds").cast("double"))
+
+
+@_query(f"SELECT * EXCLUDE (events) FROM ({FOLD_SQL})")
+def apply_folds(spark, sf_dir):
+    first, second = _halves(spark, sf_dir)
+    state = life.fold_events(first, ["seq"]).drop("events")
+    laid = life.apply_folds(state, life.partial_fold(second, life.KEYS, ["seq"]))
+    return laid.withColumn("duration_seconds", F.col("duration_seconds").cast("double"))
+
+
 # -- life-cycle jobs --------------------------------------------------------------------
 
 _LATE = datetime(2001, 10, 1)

@@ -98,13 +98,22 @@ def config_read(spark: SparkSession, settings: Mapping) -> DataFrame:
 
 
 def config_write(df: DataFrame, settings: Mapping) -> int:
-    """Write, and return the row count observed by the write itself (no second job)."""
+    """Write, and return the row count observed by the write itself (no second job).
+
+    Rows of a partitioned table are rebalanced by its partition columns: few large files
+    for each value, and several tasks for a value that holds much of the table. The count
+    is taken after that, in the tasks that write, so a map task run again does not count
+    twice.
+    """
     options = write_options(settings)
+    parts = options.get("partitionBy")
+    if parts:
+        df = df.hint("rebalance", *parts)
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("records")).write
     writer = writer.format(options["format"]).mode(options["mode"])
-    if options.get("partitionBy"):
-        writer = writer.partitionBy(*options["partitionBy"])
+    if parts:
+        writer = writer.partitionBy(*parts)
     for name, value in options.items():
         if name not in _WRITE_ONLY:
             writer = writer.option(name, _text(value))

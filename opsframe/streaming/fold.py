@@ -2,14 +2,16 @@
 
 Every micro-batch is reduced to one partial row per run and written under its batch
 number, so a batch that is run again overwrites itself. Partial rows merge in any order:
-reading the folder gives the same runs as folding all the events at once.
+reading the folder gives the same runs as folding all the events at once. Now and then the
+partial rows are merged into a base, which bounds what a read has to merge.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opsframe.operators.runs import KEYS, finish_fold, merge_folds, partial_fold
@@ -30,11 +32,14 @@ def deduplicated(events: DataFrame, ids: Sequence[str], delay: str | None = None
 
 
 def start_fold(events: DataFrame, folder: str, order: Sequence[str], keys: Sequence[str] = KEYS,
-               delay: str | None = None, **trigger) -> StreamingQuery:
+               delay: str | None = None, compact_every: int = 100, **trigger) -> StreamingQuery:
     """Fold a stream of run events into ``folder``; ``trigger`` as for ``writeStream``."""
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+    spark = events.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
 
     def write(batch: DataFrame, number: int) -> None:
+        if number and number % compact_every == 0:
+            compact(spark, folder, number - 1, keys)
         partial_fold(batch, keys, order).write.mode("overwrite").parquet(
             f"{folder}/partials/batch={number}")
 
@@ -44,10 +49,43 @@ def start_fold(events: DataFrame, folder: str, order: Sequence[str], keys: Seque
             .trigger(**(trigger or {"processingTime": "1 minute"})).start())
 
 
-def partials(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/partials")
+def compact(spark: SparkSession, folder: str, upto: int, keys: Sequence[str] = KEYS) -> None:
+    """Merge the folds of the batches up to ``upto`` into one base.
+
+    The base counts once its number is noted, which is the last step and one small file.
+    Called before a batch is written, when all earlier ones are complete.
+    """
+    noted = _noted(spark, folder)
+    if noted is not None and noted >= upto:
+        return
+    merge_folds(_parts(spark, folder, upto), keys).write.mode("overwrite").parquet(
+        f"{folder}/base/upto={upto}")
+    spark.range(1).select(F.lit(upto).cast("bigint").alias("upto")).coalesce(1).write.mode(
+        "append").parquet(f"{folder}/compacted")
+
+
+def _noted(spark: SparkSession, folder: str) -> int | None:
+    try:
+        return spark.read.parquet(f"{folder}/compacted").agg(F.max("upto")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _parts(spark: SparkSession, folder: str, upto: int | None = None) -> DataFrame:
+    """The newest base and the batches after it, as far as ``upto``."""
+    rest = spark.read.parquet(f"{folder}/partials")
+    noted = _noted(spark, folder)
+    if upto is not None:
+        rest = rest.where(F.col("batch") <= upto)
+    if noted is not None:
+        rest = rest.where(F.col("batch") > noted)
+    rest = rest.drop("batch")
+    return rest if noted is None else rest.unionByName(
+        spark.read.parquet(f"{folder}/base/upto={noted}"))
 
 
 def folded(spark: SparkSession, folder: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """The runs of every batch written so far."""
-    return finish_fold(merge_folds(partials(spark, folder), keys), keys)
+    return finish_fold(merge_folds(_parts(spark, folder), keys), keys)

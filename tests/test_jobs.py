@@ -117,13 +117,32 @@ def test_streamed_fold_equals_batch_fold(spark, tmp_path, delay):
     stream = (spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", True).parquet(str(tmp_path / "in")))
     folder = str(tmp_path / "fold")
-    fold.start_fold(stream, folder, ["seq"], delay=delay, availableNow=True).awaitTermination()
-    assert fold.partials(spark, folder).select("batch").distinct().count() >= 4
+    fold.start_fold(stream, folder, ["seq"], delay=delay, compact_every=2,
+                    availableNow=True).awaitTermination()
+    assert spark.read.parquet(f"{folder}/partials").select("batch").distinct().count() >= 4
+    assert fold._noted(spark, folder) >= 1
     assert as_dict(fold.folded(spark, folder)) == brute_force(events)
     batch = life.fold_events(spark.createDataFrame(events, EVENTS), ["seq"])
     assert as_dict(batch) == as_dict(fold.folded(spark, folder))
 
 
+def test_compaction_changes_no_run(spark, tmp_path):
+    events, folder = random_events(13), str(tmp_path)
+    whole = spark.createDataFrame(events, EVENTS)
+
+    def batch(i):
+        life.partial_fold(whole.where(F.col("seq") % 4 == i), life.KEYS, ["seq"]).write.mode(
+            "overwrite").parquet(f"{folder}/partials/batch={i}")
+
+    for i in range(3):
+        batch(i)
+    fold.compact(spark, folder, 1)
+    fold.compact(spark, folder, 1)  # as a batch that is run again would
+    batch(3)
+    fold.compact(spark, folder, 2)
+    assert as_dict(fold.folded(spark, folder)) == brute_force(events)
+
+
 def test_a_batch_written_again_counts_once(spark, tmp_path):
     events = spark.createDataFrame(random_events(3), EVENTS)
     for _ in range(2):

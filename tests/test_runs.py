@@ -206,6 +206,17 @@ def test_folds_merge_in_any_split(spark):
 def test_folds_laid_over_a_state(spark, state):
     events = spark.createDataFrame(
         [("r1", "a", 1, NOW, "success", None, None, None), ("new", "a", 1, NOW, "running", None, None, None)], EVENTS)
-    rows = by_run(life.apply_folds(state, life.fold_events(events, ["seq"])))
+    rows = by_run(life.apply_folds(state, life.partial_fold(events, life.KEYS, ["seq"])))
     assert len(rows) == 6 and rows["r1"].status == "success" and rows["r1"].start_time == AT
+    assert rows["r1"].duration_seconds == Decimal(7200) and rows["r1"].updated_at == NOW
     assert rows["new"].status == "running" and rows["r2"].status == "running"
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_a_state_goes_on_from_later_events(spark, seed):
+    events = random_events(seed)
+    whole = spark.createDataFrame(events, EVENTS)
+    before = life.fold_events(whole.where("seq < 120"), ["seq"])
+    after = life.partial_fold(whole.where("seq >= 120"), life.KEYS, ["seq"])
+    found = as_dict(life.apply_folds(before.withColumn("events", F.lit(0)), after).withColumn("events", F.lit(0)))
+    assert found == {k: {**v, "n": 0} for k, v in brute_force(events).items()}
