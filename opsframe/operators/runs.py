@@ -200,8 +200,8 @@ def stage_upsert(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
     keys = list(keys)
     bad, seq = _named("stage"), F.struct(*order)
     last = (_sound(c, keys, bad).groupBy(*keys, F.col("stage")["stage_name"].alias("_name"))
-            .agg(F.min(seq).alias("_first"), F.max_by("stage", seq).alias("_stage")))
-    entry = F.struct(F.col("_first"), _as_stage(s, c, F.col("_stage")).alias("stage"))
+            .agg(F.min(seq).alias("_first"), F.max(F.struct(*order, "stage")).alias("_last")))
+    entry = F.struct(F.col("_first"), _as_stage(s, c, F.col("_last")["stage"]).alias("stage"))
     gathered, large = _gathered(last, keys, entry, "stage", max_bytes)
 
     old = F.coalesce(F.col("stages"), F.array().cast(s.schema["stages"].dataType))
@@ -248,9 +248,9 @@ def metrics_merge(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
     bad = F.when(given.isNull() | (F.size(given) == 0), F.lit("no metrics"))
     last = (_sound(c, keys, bad).select(*keys, *order, F.explode("metrics").alias("_name", "_value"))
             .groupBy(*keys, "_name")
-            .agg(F.max_by(F.struct(F.col("_value").alias("v")), F.struct(*order)).alias("_value")))
+            .agg(F.max(F.struct(*order, "_value")).alias("_last")))
     kind = s.schema["metrics"].dataType.valueType
-    pair = F.struct(F.col("_name").alias("key"), F.col("_value")["v"].cast(kind).alias("value"))
+    pair = F.struct(F.col("_name").alias("key"), F.col("_last")["_value"].cast(kind).alias("value"))
     gathered, large = _gathered(last, keys, F.struct(pair.alias("pair")), "pair", max_bytes)
     new = F.map_from_entries(F.transform("_entries", lambda e: e["pair"]))
     old = F.coalesce(F.col("metrics"), F.create_map().cast(s.schema["metrics"].dataType))

@@ -154,23 +154,25 @@ def partial_update(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of,
     keys = list(keys)
     kinds = {f.name: f.dataType for f in s.schema.fields if f.name not in keys}
     given = col(fields)
-    seq = F.struct(*order)
 
     bad = F.when(given.isNull() | (F.size(given) == 0), F.lit("no fields"))
+    known = sum((F.map_contains_key(given, name).cast("int") for name in kinds), F.lit(0))
     unknown = F.array_except(F.map_keys(given), F.array(*[F.lit(k) for k in kinds]))
-    bad = bad.when(F.size(unknown) > 0, F.concat(F.lit("cannot set "), F.array_join(unknown, ", ")))
+    bad = bad.when(known < F.size(given), F.concat(F.lit("cannot set "), F.array_join(unknown, ", ")))
     for name, kind in kinds.items():
-        bad = bad.when(given[name].isNotNull() & _read(given[name], kind).isNull(),
-                       F.lit(f"{name} is not {kind.simpleString()}"))
+        if not isinstance(kind, T.StringType):
+            bad = bad.when(given[name].isNotNull() & _read(given[name], kind).isNull(),
+                           F.lit(f"{name} is not {kind.simpleString()}"))
 
+    # The greatest (order, text) pair of the commands that name the field.
     touched = [
-        F.max_by(F.struct(given[name].alias("v")), F.when(F.map_contains_key(given, name), seq))
+        F.max(F.when(F.map_contains_key(given, name), F.struct(*order, given[name].alias("_text"))))
         .alias(f"_set_{i}") for i, name in enumerate(kinds)
     ]
     folded = _sound(c, keys, bad).groupBy(*keys).agg(F.lit(True).alias("_hit"), *touched)
     joined = s.join(folded, keys, "left")
     changed = {
-        name: F.when(F.col(f"_set_{i}").isNotNull(), _read(F.col(f"_set_{i}")["v"], kind))
+        name: F.when(F.col(f"_set_{i}").isNotNull(), _read(F.col(f"_set_{i}")["_text"], kind))
         .otherwise(col(name)) for i, (name, kind) in enumerate(kinds.items())
     }
     if "updated_at" in s.columns:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakSet
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution sizes the shuffles, and splits a hot key of a join even when the
@@ -24,8 +26,13 @@ def build_session(app: str = "opsframe", master: str | None = None, **extra) ->
     return builder.getOrCreate()
 
 
+_prepared: WeakSet[SparkSession] = WeakSet()
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session made elsewhere."""
-    for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
+    """Apply the settings, once, to a session made elsewhere."""
+    if spark not in _prepared:
+        for name, value in SETTINGS.items():
+            spark.conf.set(name, value)
+        _prepared.add(spark)
     return spark
