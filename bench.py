@@ -21,6 +21,12 @@ HEADLINE = [
     "fold_events", "rejected_rows", "dq_results", "pk_duplicates",
 ]
 
+# The table whose rows a query is measured in.
+DRIVING = {
+    "index_query": "events", "run_stats": "events", "fold_events": "events",
+    "upsert_many": "lineitem", "dedup_latest": "lineitem", "dq_results": "lineitem",
+}
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -45,11 +51,13 @@ def main() -> None:
     for name in names:
         once(name)
         seconds[name] = round(statistics.median(once(name) for _ in range(runs)), 4)
+    counts = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in set(DRIVING.values())}
     scale = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_total" if names is HEADLINE else "all_queries_total",
         "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": float(scale) if scale.replace(".", "").isdigit() else scale,
+        "rows_per_sec": {n: round(counts[t] / seconds[n]) for n, t in DRIVING.items() if n in seconds},
         "cores": int(cpus),
     }))
     spark.stop()

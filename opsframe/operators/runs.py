@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -12,7 +14,7 @@ from opsframe.functions.rules import failed_message_ok
 from opsframe.functions.times import seconds_between
 from opsframe.operators.joins import HASH, split_join
 from opsframe.operators.write import (
-    Change, _sound, clock, hits, insert_if_absent, stamped, update_outcomes,
+    Change, _sound, clock, folded_sound, hits, insert_if_absent, stamped, update_outcomes,
 )
 from opsframe.schema import MAX_ITEM_BYTES, RUN_STATUSES, TERMINAL_STATUSES
 
@@ -57,12 +59,12 @@ def run_status_update(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
     seq = F.struct(*order)
     end = F.when(is_terminal(status), F.coalesce(given_end, now)).otherwise(given_end)
     closes = end.isNotNull() if end_sets_duration else is_terminal(status)
-    folded = _sound(c, keys, bad).groupBy(*keys).agg(
-        F.max_by(status, seq).alias("_status"),
-        _last(message, message != "", seq).alias("_message"),
-        _last(end, end.isNotNull(), seq).alias("_end"),
-        _last(end, closes, seq).alias("_closed"),
-    )
+    folded = folded_sound(c, keys, bad, lambda ok: [
+        _last(status, ok, seq).alias("_status"),
+        _last(message, ok & (message != ""), seq).alias("_message"),
+        _last(end, ok & end.isNotNull(), seq).alias("_end"),
+        _last(end, ok & closes, seq).alias("_closed"),
+    ])
     joined = s.join(folded, keys, "left")
     hit = F.col("_status").isNotNull()
     changed = {
@@ -153,8 +155,14 @@ def _gathered(rows: DataFrame, keys: list[str], entry: Column, value: str, max_b
     nested = F.col("_entry")[value]
     kind = sized.schema["_entry"].dataType[value].dataType
     nested = nested if isinstance(kind, T.StructType) else F.struct(nested.alias(value))
-    large = (sized.groupBy(*keys).agg(F.sum(F.octet_length(F.to_json(nested))).alias("_bytes"))
-             .where(F.col("_bytes") > max_bytes).select(*keys))
+    # The other fields are counted so that both branches read the same columns: Spark then
+    # runs the aggregate below them once and reuses its shuffle.
+    others = [n for n in sized.schema["_entry"].dataType.names if n != value]
+    large = (sized.groupBy(*keys).agg(
+        F.sum(F.octet_length(F.to_json(nested))).alias("_bytes"),
+        *[F.count(F.col("_entry")[n]).alias(f"_n_{n}") for n in others])
+        .where(reduce(and_, [F.col(f"_n_{n}") >= 0 for n in others], F.col("_bytes") > max_bytes))
+        .select(*keys))
     lists = (split_join(sized, large, keys, "left_anti").groupBy(*keys, HASH)
              .agg(F.sort_array(F.collect_list("_entry")).alias("_entries")).drop(HASH))
     return _Lists(lists, large)

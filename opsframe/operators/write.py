@@ -110,6 +110,18 @@ def _sound(c: DataFrame, keys: Sequence[str], bad: Column) -> DataFrame:
     return c.where(key_given(keys) & bad.isNull())
 
 
+def folded_sound(c: DataFrame, keys: Sequence[str], bad: Column, pick) -> DataFrame:
+    """The sound commands of each key folded by the aggregates of ``pick(ok)``.
+
+    Soundness is a column and not a filter: a filter would be pushed below the projection
+    that makes the command's fields and have them made again for each use.
+    """
+    ok = F.col("_ok")
+    return (c.withColumn("_ok", bad.isNull()).groupBy(*keys)
+            .agg(F.bool_or(ok).alias("_hit"), *pick(ok))
+            .where(F.col("_hit") & key_given(keys)))
+
+
 # -- inserts ----------------------------------------------------------------------------
 
 def insert_if_absent(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of,
@@ -165,11 +177,10 @@ def partial_update(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of,
                            F.lit(f"{name} is not {kind.simpleString()}"))
 
     # The greatest (order, text) pair of the commands that name the field.
-    touched = [
-        F.max(F.when(F.map_contains_key(given, name), F.struct(*order, given[name].alias("_text"))))
-        .alias(f"_set_{i}") for i, name in enumerate(kinds)
-    ]
-    folded = _sound(c, keys, bad).groupBy(*keys).agg(F.lit(True).alias("_hit"), *touched)
+    folded = folded_sound(c, keys, bad, lambda ok: [
+        F.max(F.when(ok & F.map_contains_key(given, name),
+                     F.struct(*order, given[name].alias("_text")))).alias(f"_set_{i}")
+        for i, name in enumerate(kinds)])
     joined = s.join(folded, keys, "left")
     changed = {
         name: F.when(F.col(f"_set_{i}").isNotNull(), _read(F.col(f"_set_{i}")["_text"], kind))
@@ -201,9 +212,8 @@ def update_given(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order:
     for name in present:
         some = some | col(name).isNotNull()
     bad = F.when(~some, F.lit("nothing given"))
-    folded = _sound(c, keys, bad).groupBy(*keys).agg(
-        F.lit(True).alias("_hit"),
-        *[F.max_by(col(n), F.when(col(n).isNotNull(), seq)).alias(f"_new_{n}") for n in present])
+    folded = folded_sound(c, keys, bad, lambda ok: [
+        F.max_by(col(n), F.when(ok & col(n).isNotNull(), seq)).alias(f"_new_{n}") for n in present])
     joined = s.join(folded, keys, "left")
     changed = {n: F.coalesce(F.col(f"_new_{n}").cast(_kind_of(s, n)), _old(s, n)) for n in present}
     if "updated_at" in s.columns:

@@ -20,16 +20,15 @@ REGISTRY = Registry()
 _query = REGISTRY.query
 
 
-@_query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice >= 250000")
+@_query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def config_read(spark, sf_dir):
-    orders = read_configured(prepare(spark), {
+    return read_configured(prepare(spark), {
         "table_id": "orders", "data_format": "parquet", "location": f"{sf_dir}/orders.parquet",
         "schema_definition": {"fields": [
             {"name": "o_orderkey", "type": "bigint", "nullable": False},
             {"name": "o_custkey", "type": "bigint"}, {"name": "o_totalprice", "type": "double"}]},
         "read_options": {"mergeSchema": False},
     })
-    return orders.where("o_totalprice >= 250000")
 
 
 @_query("SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem")

@@ -85,6 +85,8 @@ class TableMeta:
         return df
 
 
+# ---------------------------------------------------------------------------
+# Columns, keys, indexes and column lists of the three domains.
 STAGE = (
     "STRUCT<stage_name: STRING, status: STRING, start_time: TIMESTAMP, end_time: TIMESTAMP, "
     "duration_seconds: DECIMAL(38,18), records_processed: BIGINT, error_message: STRING>"
@@ -195,6 +197,8 @@ RUNS = TableMeta(
     ),
 )
 
+# ---------------------------------------------------------------------------
+
 DOMAINS = {meta.name: meta for meta in (PIPELINES, TABLES, RUNS)}
 
 

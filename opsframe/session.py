@@ -6,6 +6,7 @@ from weakref import WeakSet
 
 from pyspark.sql import SparkSession
 
+# A rank filter is applied before the shuffle for ranks up to the group limit threshold.
 # Adaptive execution sizes the shuffles, and splits a hot key of a join even when the
 # split costs another exchange. Instants are UTC everywhere.
 SETTINGS = {
@@ -14,6 +15,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 

@@ -109,6 +109,18 @@ def test_a_short_command_list_leaves_the_state_unshuffled(spark, tmp_path):
     assert "Exchange" not in branch.replace("BroadcastHashJoin", "")
 
 
+def test_nested_writes_reduce_their_commands_once(spark, no_broadcast):
+    """The size check and the gathering share one shuffle of the reduced commands."""
+    for name in ("stage_upsert", "metrics_merge", "record_outputs"):
+        query = registry.queries()[name](spark, SF_DIR)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # reuse is decided before running
+        try:
+            text = query._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        assert text.count("lineitem.parquet") == 1 and "ReusedExchange" in text, name
+
+
 # -- hot keys ---------------------------------------------------------------------------
 
 HOT = 60_000

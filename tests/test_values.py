@@ -100,6 +100,19 @@ def test_item_round_trip(spark):
     assert items.from_item(stored, df.schema).collect() == df.collect()
 
 
+def test_free_form_fields_round_trip(spark):
+    df = spark.sql("""SELECT 'p' AS pipeline_id, true AS is_active,
+        parse_json('{"a":{"on":"true","n":null,"l":[1,2.5,"x"]},"e":{}}') AS config,
+        CAST(NULL AS VARIANT) AS spark_config""")
+    stored = items.to_item(df)
+    item = json.loads(stored.first().item)
+    assert item["config"] == {"a": {"on": "true", "n": None, "l": [1, 2.5, "x"]}, "e": {}}
+    assert "spark_config" not in item
+    back = items.from_item(stored, df.schema)
+    assert back.select(F.to_json("config")).first() == df.select(F.to_json("config")).first()
+    assert back.select(F.variant_get("config", "$.a.on", "boolean").alias("on")).first().on is True
+
+
 def test_only_declared_booleans_convert(spark):
     stored = spark.createDataFrame([('{"id":"true","flag":"TRUE"}',)], "item string")
     row = items.from_item(stored, T.StructType.fromDDL("id string, flag boolean")).first()
