@@ -6,7 +6,7 @@ its own offset, or as UTC when it has none.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -66,37 +66,31 @@ def day_in_zone(utc: Column, zone: str | None = None) -> Column:
     return F.to_date(to_zone(utc, zone))
 
 
-def time_columns(df: DataFrame) -> list[str]:
-    kinds = (T.TimestampType, T.TimestampNTZType)
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
+_TIMES = (T.TimestampType, T.TimestampNTZType)
 
 
-def _stage_times(kind: T.StructType) -> list[str]:
-    kinds = (T.TimestampType, T.TimestampNTZType)
+def _times_of(kind: T.StructType, kinds=_TIMES) -> list[str]:
     return [f.name for f in kind.fields if isinstance(f.dataType, kinds)]
 
 
-def map_times(df: DataFrame, change, columns: Sequence[str] | None = None,
-              nested: Iterable[str] = ("stages",)) -> DataFrame:
-    """Apply ``change`` to the time columns and to the times inside nested stage lists."""
-    chosen = {c: change(col(c)) for c in (time_columns(df) if columns is None else columns)}
+def map_times(df: DataFrame, change, columns: Sequence[str] | None = None, kinds=_TIMES,
+              nested: Sequence[str] = ("stages",)) -> DataFrame:
+    """Apply ``change`` to the time columns and to the times inside nested lists of structs."""
+    names = _times_of(df.schema, kinds)
+    chosen = {c: change(col(c)) for c in names if columns is None or c in columns}
     for name in nested:
-        if name not in df.columns or not isinstance(df.schema[name].dataType, T.ArrayType):
-            continue
-        names = _stage_times(df.schema[name].dataType.elementType)
-        if names:
-            chosen[name] = F.transform(
-                col(name), lambda s: s.withField(names[0], change(s[names[0]])) if len(names) == 1
-                else _with_fields(s, names, change)
-            )
-    return df.withColumns(chosen)
-
-
-def _with_fields(stage: Column, names: Sequence[str], change) -> Column:
-    out = stage
+        kind = df.schema[name].dataType if name in df.columns else None
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            inner = _times_of(kind.elementType, kinds)
+            if inner:
+                chosen[name] = F.transform(col(name), lambda s: _changed(s, inner, change))
+    return df.withColumns(chosen) if chosen else df
+
+
+def _changed(row: Column, names: Sequence[str], change) -> Column:
     for name in names:
-        out = out.withField(name, change(stage[name]))
-    return out
+        row = row.withField(name, change(row[name]))
+    return row
 
 
 def in_zone(df: DataFrame, zone: str | None, columns: Sequence[str] | None = None) -> DataFrame:
@@ -108,14 +102,4 @@ def in_zone(df: DataFrame, zone: str | None, columns: Sequence[str] | None = Non
 
 def to_utc(df: DataFrame, naive_zone: str = "UTC", columns: Sequence[str] | None = None) -> DataFrame:
     """Write boundary: naive times are read in ``naive_zone``; instants are left alone."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    names = [
-        c for c in (time_columns(df) if columns is None else columns)
-        if isinstance(kinds[c], T.TimestampNTZType)
-    ]
-    nested = [
-        n for n in ("stages",)
-        if n in kinds and isinstance(kinds[n], T.ArrayType) and any(
-            isinstance(f.dataType, T.TimestampNTZType) for f in kinds[n].elementType.fields)
-    ]
-    return map_times(df, lambda c: naive_to_utc(c, naive_zone), names, nested)
+    return map_times(df, lambda c: naive_to_utc(c, naive_zone), columns, T.TimestampNTZType)

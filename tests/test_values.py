@@ -273,3 +273,14 @@ def test_effective_conf(spark):
         "spark_config": F.lit(None).cast("map<string,string>"), "cpu_cores": F.lit(0).cast("bigint"),
         "memory_gb": F.lit(None).cast("decimal(38,18)")})).first().conf
     assert "spark.executor.cores" not in bare and "spark.executor.memory" not in bare
+
+
+def test_naive_times_become_utc_and_instants_stay(spark):
+    df = spark.sql("""SELECT TIMESTAMP_NTZ '2024-01-01 10:00:00' AS naive,
+        TIMESTAMP '2024-01-01 10:00:00' AS instant,
+        array(named_struct('stage_name', 's', 'start_time', TIMESTAMP_NTZ '2024-01-01 10:00:00')) AS stages""")
+    row = times.to_utc(df, "America/New_York").first()
+    assert row.naive == row.stages[0].start_time == datetime(2024, 1, 1, 15)
+    assert row.instant == datetime(2024, 1, 1, 10)
+    only = times.to_utc(df, "America/New_York", columns=[]).first()
+    assert only.naive == datetime(2024, 1, 1, 10)
