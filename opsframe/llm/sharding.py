@@ -13,8 +13,9 @@ from opsframe.llm.common import fresh, read_table, saved, text_or_empty
 MAX_RANGES = 50_000
 
 
-def _position(bounds: Column, steps: list[int], key: Column) -> Column:
-    """How many of the ascending bounds are not above the key, by halving."""
+def position(bounds: Column, n: int, key: Column) -> Column:
+    """How many of the n ascending bounds are not above the key, by halving."""
+    steps = [1 << i for i in reversed(range(n.bit_length()))]
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]), F.lit(0),
         lambda at, step: F.when(F.get(bounds, at + step - 1) <= key, at + step).otherwise(at),
@@ -25,12 +26,11 @@ def _range_of(frame: DataFrame, key: Column, kind: str, bounds: list[str]) -> Co
     """The range of a key; bounds are JSON texts of keys in ascending order."""
     if not bounds:
         return F.lit(0)
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
     held = F.from_json(F.lit("[" + ",".join(bounds) + "]"), f"array<{kind}>")
-    return _position(held, steps, key)
+    return position(held, len(bounds), key)
 
 
-def _looked_up(values: list[int], at: Column) -> Column:
+def looked_up(values: list[int], at: Column) -> Column:
     return F.get(F.from_json(F.lit(json.dumps(values)), "array<bigint>"), at)
 
 
@@ -123,8 +123,8 @@ def range_shards(records: DataFrame, key: list[str], size: str, shards: int = 8,
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         records.withColumn(at, _range_of(records, keys, kind, bounds))
-        .withColumn(passed, F.coalesce(F.sum(size).over(before), F.lit(0)) + _looked_up(bytes_before, F.col(at)))
-        .withColumn(row, F.row_number().over(order) - 1 + _looked_up(rows_before, F.col(at)))
+        .withColumn(passed, F.coalesce(F.sum(size).over(before), F.lit(0)) + looked_up(bytes_before, F.col(at)))
+        .withColumn(row, F.row_number().over(order) - 1 + looked_up(rows_before, F.col(at)))
         .withColumn(shard, F.least(
             F.lit(shards - 1),
             F.expr(f"((2 * `{passed}` + `{size}`) * {shards}L) div {2 * total}L").cast("int")))
@@ -133,7 +133,7 @@ def range_shards(records: DataFrame, key: list[str], size: str, shards: int = 8,
     kept = saved(placed, "shards")
     first = {r[0]: r[1] for r in kept.groupBy(shard).agg(F.min(row)).collect()}
     starts = [first.get(s, 0) for s in range(shards)]
-    return kept.withColumn("slot", F.col(row) - _looked_up(starts, F.col(shard))).drop(row)
+    return kept.withColumn("slot", F.col(row) - looked_up(starts, F.col(shard))).drop(row)
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
