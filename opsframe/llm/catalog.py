@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from opsframe.llm import exact_dedup, line_dedup, packing, sharding, token_files
+from opsframe.llm import exact_dedup, line_dedup, packing, quality, sharding, token_files
 
-MODULES = (packing, sharding, exact_dedup, token_files, line_dedup)
+MODULES = (packing, quality, sharding, exact_dedup, token_files, line_dedup)
 
 
 def queries() -> dict:
