@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from opsframe.llm import exact_dedup, line_dedup, packing, quality, sharding, token_files
+from opsframe.llm import (
+    exact_dedup, line_dedup, packing, quality, secrets, sharding, token_files, toxicity,
+)
 
-MODULES = (packing, quality, sharding, exact_dedup, token_files, line_dedup)
+MODULES = (packing, quality, secrets, sharding, exact_dedup, toxicity, token_files, line_dedup)
 
 
 def queries() -> dict:
