@@ -3,10 +3,56 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opsframe.llm.common import read_table, saved
+from opsframe.llm.common import fresh, read_table, saved
+from opsframe.llm.decontaminate import with_leaks
+from opsframe.llm.line_dedup import keep_bitmaps, with_kept_lines
+from opsframe.llm.near_dedup import near_duplicates
+from opsframe.llm.packing import pack
+from opsframe.llm.quality import quality_model, score
 
-STAGES: list = []
+# Documents of a lower score than this are rejected.
+LEAST_QUALITY = 0.3
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality suffices, by a model learned from the labels."""
+    model, into = quality_model(docs, read_table(spark, sf_dir, "labels")), fresh("score")
+    return score(docs, model, into=into, keep_text=True).where(F.col(into) >= LEAST_QUALITY).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that other documents hold as well."""
+    kept = with_kept_lines(docs, keep_bitmaps(docs), lines="__kept")
+    text = F.when(F.col("n_dropped") > 0, F.concat_ws("\n", "__kept")).otherwise(F.col("text"))
+    return kept.withColumn("text", text).withColumn(
+        "n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars")),
+    ).select(*docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates; documents without an id stay."""
+    gone = near_duplicates(docs).groupBy("id").agg(F.bool_or("kept").alias("kept")).where("NOT kept")
+    return docs.join(gone.select(F.col("id").alias("doc_id")), "doc_id", "left_anti").select(*docs.columns)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    into = fresh("leaks")
+    return with_leaks(docs, read_table(spark, sf_dir, "benchmark"), into=into).where(
+        F.size(into) == 0).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' ids in full windows, one row per piece."""
+    return pack(docs).withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("quality", quality), ("line_dedup", lines), ("near_dedup", near),
+    ("decontaminate", benchmark), ("packing", packing),
+]
 
 # Learned scores, sketches and packing are outside SQL; tests use brute force instead.
 ORACLE_SQL = None

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from opsframe.llm import (
-    exact_dedup, line_dedup, packing, quality, secrets, sharding, token_files, toxicity,
+    decontaminate, exact_dedup, line_dedup, near_dedup, packing, quality, secrets, sharding,
+    token_files, toxicity,
 )
 
-MODULES = (packing, quality, secrets, sharding, exact_dedup, toxicity, token_files, line_dedup)
+MODULES = (packing, quality, secrets, sharding, near_dedup, exact_dedup, toxicity, token_files,
+           line_dedup, decontaminate)
 
 
 def queries() -> dict:
