@@ -24,10 +24,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that other documents hold as well."""
-    kept = with_kept_lines(docs, keep_bitmaps(docs), lines="__kept")
-    text = F.when(F.col("n_dropped") > 0, F.concat_ws("\n", "__kept")).otherwise(F.col("text"))
-    return kept.withColumn("text", text).withColumn(
-        "n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars")),
+    kept, total, dropped = fresh("kept"), fresh("total"), fresh("dropped")
+    marked = with_kept_lines(docs, keep_bitmaps(docs), names=(kept, total, dropped))
+    changed = F.col(dropped) > 0
+    text = F.when(changed, F.concat_ws("\n", kept)).otherwise(F.col("text"))
+    return marked.withColumn("text", text).withColumn(
+        "n_chars", F.when(changed, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars")),
     ).select(*docs.columns)
 
 

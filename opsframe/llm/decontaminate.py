@@ -208,8 +208,8 @@ def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key:
     size = items.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     blocks = max(1, -(-size // ITEM_BYTES))
     ids = F.col(item_key).cast("bigint").alias("id")
-    columns = docs.columns
-    found = docs
+    found = docs.drop(into)
+    columns = found.columns
     for block in range(blocks):
         part = items.select(ids, F.col(item_text).alias("text")).where(
             F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)

@@ -17,14 +17,15 @@ def digest(text: str | Column) -> Column:
 
 
 class DigestIndex:
-    """One row per known digest: ``digest``, ``keep_id`` and the ``group_size`` it came with.
+    """One row per known digest: ``digest``, ``keep_id``, the ``group_size`` it came with and
+    the number of the ``batch`` that brought it.
 
     The files lie at ``path`` as a table of ``buckets`` buckets sorted by digest, so that a
     new batch is compared with it by a sort-merge anti-join that shuffles the batch alone.
     A later session opens the same folder with the same number of buckets.
     """
 
-    COLUMNS = "digest BINARY, keep_id BIGINT, group_size BIGINT"
+    COLUMNS = "digest BINARY, keep_id BIGINT, group_size BIGINT, batch BIGINT"
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
         self.spark, self.path, self.buckets = spark, path, buckets
@@ -44,8 +45,9 @@ class DigestIndex:
             F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
         return groups.join(self.rows().hint("merge"), "digest", "left_anti")
 
-    def append(self, entries: DataFrame) -> None:
-        entries.repartition(self.buckets, "digest").select("digest", "keep_id", "group_size") \
+    def append(self, entries: DataFrame, batch: int) -> None:
+        entries.repartition(self.buckets, "digest") \
+            .select("digest", "keep_id", "group_size", F.lit(batch).cast("bigint").alias("batch")) \
             .write.mode("append").format("parquet").bucketBy(self.buckets, "digest") \
             .sortBy("digest").option("path", self.path).saveAsTable(self.table)
 
@@ -57,20 +59,13 @@ class DigestIndex:
         repeat both id and text share the fate of their id. A null id never wins against
         another; a group of null ids alone keeps them. An empty batch adds nothing.
         """
-        batch = docs.select(F.col(key).cast("bigint").alias("id"), digest(text).alias("digest"))
-        before = self.rows().select("digest").withColumn("known", F.lit(True)) if self._holds() else None
-        self.append(self.new_entries(batch))
+        rows = docs.select(F.col(key).cast("bigint").alias("id"), digest(text).alias("digest"))
+        batch = 1 + (self.rows().agg(F.max("batch")).first()[0] or 0)
+        self.append(self.new_entries(rows), batch)
         # Read by path: both sides are then shuffled, and a digest that many rows share is split.
         index = self.spark.read.schema(self.COLUMNS).parquet(self.path)
-        found = batch.join(index, "digest", "left")
-        kept = F.col("id").eqNullSafe(F.col("keep_id"))
-        if before is not None:
-            found = found.join(before, "digest", "left")
-            kept = kept & F.col("known").isNull()
-        return found.select("id", "digest", "keep_id", "group_size", kept.alias("kept"))
-
-    def _holds(self) -> bool:
-        return bool(self.rows().limit(1).count())
+        kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("batch") == batch)
+        return rows.join(index, "digest").select("id", "digest", "keep_id", "group_size", kept.alias("kept"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsframe.llm.common import ascii_lower, read_table, text_or_empty
+from opsframe.llm.common import ascii_lower, fresh, read_table, text_or_empty
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -65,21 +65,23 @@ def keep_bitmaps(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def with_kept_lines(docs: DataFrame, bitmaps: DataFrame, key: str = "doc_id", text: str = "text",
-                    lines: str = "lines") -> DataFrame:
-    """The documents with ``lines`` (the kept ones, in order), ``n_lines`` and ``n_dropped``."""
-    marks = bitmaps.select(
-        F.col("id").alias("__id"), F.col("version").alias("__version"), F.col("gone").alias("__gone"))
-    joined = docs.withColumn("__v", F.xxhash64(text_or_empty(text))).join(
-        marks, (F.col("__v") == F.col("__version")) & F.col(key).eqNullSafe(F.col("__id")), "left")
-    held = joined.withColumn("__map", F.map_from_entries("__gone")).withColumn("__lines", lines_of(text))
-    bits = lambda i: F.coalesce(F.try_element_at("__map", F.expr("cast(0 as int)") + F.floor(i / 64).cast("int")), F.lit(0).cast("bigint"))
-    kept = F.when(F.col("__gone").isNull(), F.col("__lines")).otherwise(F.filter(
-        "__lines", lambda line, i: F.getbit(bits(i), (i % 64).cast("int")) == 0))
-    dropped = F.coalesce(F.aggregate(
-        "__gone", F.lit(0).cast("bigint"), lambda n, w: n + F.bit_count(w["bits"])), F.lit(0).cast("bigint"))
+                    names: tuple[str, str, str] = ("lines", "n_lines", "n_dropped")) -> DataFrame:
+    """The documents with their kept lines in order, the number of their lines and of those
+    dropped, under the given names; columns of these names are replaced."""
+    own, version, at, gone, by_word, every = (
+        fresh(n) for n in ("own", "version", "id", "gone", "words", "lines"))
+    marks = bitmaps.select(F.col("id").alias(at), F.col("version").alias(version), F.col("gone").alias(gone))
+    joined = docs.withColumn(own, F.xxhash64(text_or_empty(text))).join(
+        marks, (F.col(own) == F.col(version)) & F.col(key).eqNullSafe(F.col(at)), "left")
+    held = joined.withColumn(by_word, F.map_from_entries(gone)).withColumn(every, lines_of(text))
+    zero = F.lit(0).cast("bigint")
+    bits = lambda i: F.coalesce(F.try_element_at(by_word, F.floor(i / 64).cast("int")), zero)
+    kept = F.when(F.col(gone).isNull(), F.col(every)).otherwise(F.filter(
+        every, lambda line, i: F.getbit(bits(i), (i % 64).cast("int")) == 0))
+    dropped = F.coalesce(F.aggregate(gone, zero, lambda n, w: n + F.bit_count(w["bits"])), zero)
     return held.select(
-        *docs.columns, kept.alias(lines),
-        F.size("__lines").cast("bigint").alias("n_lines"), dropped.alias("n_dropped"))
+        *[c for c in docs.columns if c not in names], kept.alias(names[0]),
+        F.size(every).cast("bigint").alias(names[1]), dropped.alias(names[2]))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,8 +47,6 @@ def fill(items: list[Item], longest: int, shortest: int) -> Iterator[tuple[int,
             tier *= 2
         if total < tier:
             tier //= 2
-            if main[0] < tier:  # the lowest tier always has enough left
-                tier = shortest
         if main[0] > tier:
             insort(ready, (main[0] - tier, main[1], main[2] + tier))
             main = (tier, main[1], main[2])

@@ -164,8 +164,8 @@ def train(labelled: DataFrame) -> AdditiveModel:
 def score(docs: DataFrame, model: AdditiveModel, text: str = "text", into: str = "score",
           keep_text: bool = False) -> DataFrame:
     """The rows with the model's score of their whole text, in place of the text or beside
-    it. A null text is scored as an empty one."""
-    kept = [c for c in docs.columns if keep_text or c != text]
+    it. A null text is scored as an empty one; a column called ``into`` is replaced."""
+    kept = [c for c in docs.columns if c != into and (keep_text or c != text)]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]):

@@ -131,7 +131,7 @@ def scan(docs: DataFrame, models: MarkovPair, text: str = "text", margin: float
     than the model of identifiers by over ``margin`` a character. Ends are exclusive, in
     code points. A null or empty text has no spans.
     """
-    kept = [c for c in docs.columns if c != text]
+    kept = [c for c in docs.columns if c not in (text, "spans")]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 

@@ -171,7 +171,7 @@ def train(labelled: DataFrame, groups=IDENTITY_TERMS, size: int = 4000, ridge: f
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", into: str = "score") -> DataFrame:
     """The rows with the model's score of their whole text in place of the text. A null
     text is scored as an empty one."""
-    kept = [c for c in docs.columns if c != text]
+    kept = [c for c in docs.columns if c not in (text, into)]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]):
