@@ -30,25 +30,30 @@ def mixed(keys: np.ndarray, seed) -> np.ndarray:
 
 def build_hash(keys: np.ndarray) -> np.ndarray:
     """Displacements of a minimal perfect hash of distinct whole keys: keys share a small
-    bucket, and each bucket, the fullest first, gets a seed that sends its keys to free
-    slots. A bucket of one key names its slot itself, as -1 - slot."""
+    bucket, and each bucket, the fullest first, gets the first seed that sends its keys to
+    free slots. A bucket of one key names its slot itself, as -1 - slot. The buckets of one
+    size try a seed together; where two want a slot, the former gets it."""
     n = len(keys)
     buckets = max(1, -(-n // 4))
     home = (mixed(keys, 0) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(home, kind="stable")
     sizes = np.bincount(home, minlength=buckets)
-    ends = np.cumsum(sizes)
+    begins = np.cumsum(sizes) - sizes
     seeds, taken = np.zeros(buckets, np.int64), np.zeros(n, bool)
-    by_size = np.argsort(-sizes, kind="stable")
-    for b in by_size[: int((sizes > 1).sum())]:
-        members = keys[order[ends[b] - sizes[b]:ends[b]]]
-        seed = 1
-        while True:
-            slots = (mixed(members, seed) % np.uint64(n)).astype(np.int64)
-            if not taken[slots].any() and len(set(slots.tolist())) == len(slots):
-                break
+    for size in range(int(sizes.max(initial=0)), 1, -1):
+        waiting, seed = np.flatnonzero(sizes == size), 0
+        members = keys[order[begins[waiting][:, None] + np.arange(size)]]
+        while len(waiting):
             seed += 1
-        seeds[b], taken[slots] = seed, True
+            slots = (mixed(members, seed) % np.uint64(n)).astype(np.int64)
+            fits = np.flatnonzero(~taken[slots].any(axis=1))
+            first = np.unique(slots[fits], return_index=True)[1]
+            won = np.bincount(first // size, minlength=len(fits)) == size
+            placed = fits[won]
+            seeds[waiting[placed]], taken[slots[placed]] = seed, True
+            left = np.ones(len(waiting), bool)
+            left[placed] = False
+            waiting, members = waiting[left], members[left]
     singles = np.flatnonzero(sizes == 1)
     seeds[singles] = -1 - np.flatnonzero(~taken)[: len(singles)]
     return seeds
