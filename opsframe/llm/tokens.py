@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,10 +13,6 @@ TOKENIZER, END_ID = "word_bpe_49k.json", 2
 # Bytes of text that a task encodes at once, and words whose ids a Python worker remembers.
 BATCH_BYTES, CACHED_WORDS = 8 << 20, 500_000
 
-# A word of Latin letters and one mark after it: the tokenizer splits it there, whatever
-# the letters, and lower-cases these letters alike in every Unicode version.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
-
 _encoders: dict = {}
 
 
@@ -33,14 +28,26 @@ class WordEncoder:
     Such a tokenizer encodes each word by itself, so a text's ids are those of its words in
     a row and a word that was seen before need not be encoded again. Words are cut at space,
     tab, line feed and return alone; rarer white space stays inside a "word", which the
-    tokenizer then splits itself.
+    tokenizer then splits itself. A tokenizer of another kind, told by a probe, encodes
+    whole texts.
     """
 
     def __init__(self, path: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer, self.kind, self.known = Tokenizer.from_file(path), f"<u{width}", {"": b""}
+        bytes_as_text = ByteLevel(add_prefix_space=False, use_regex=False)
+        self._table = {k: bytes_as_text.pre_tokenize_str(chr(k))[0][0] for k in range(0xC0, 0x100)}
+        probe = "Zażółć gęślą, The THE don't\tx1 2.\nß é. É,"
+        self._by_word = self([probe]) == self._encoded([probe])
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        import numpy as np
+
+        return [np.array(e.ids, self.kind).tobytes()
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     @classmethod
     def of(cls, path: str, width: int) -> WordEncoder:
@@ -49,25 +56,38 @@ class WordEncoder:
             _encoders[path, width] = cls(path, width)
         return _encoders[path, width]
 
-    def _learn(self, words: list[str]) -> None:
-        import numpy as np
+    def _learn_letters(self, words: set[str]) -> None:
+        """Words of lower-case Latin letters: one piece each, so the merges alone are asked."""
+        from struct import pack
 
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        self.known |= {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(words, encoded, strict=True)}
+        tokenize, code = self.tokenizer.model.tokenize, "H" if self.kind == "<u2" else "I"
+        for word in words:
+            ids = [t.id for t in tokenize(word if word.isascii() else word.translate(self._table))]
+            self.known[word] = pack(f"<{len(ids)}{code}", *ids)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if not getattr(self, "_by_word", True):
+            return self._encoded(texts)
         if len(self.known) > CACHED_WORDS:
             self.known = {"": b""}
-        known, alike = self.known, {}
+        known, letters, marked, others = self.known, set(), [], []
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         new = set().union(*split).difference(known) if split else set()
         for word in new:
-            if (plain := _PLAIN.fullmatch(word)) and ((body := plain[1].lower()) != word):
-                alike[word] = (body, plain[2])
-        parts = {p for pair in alike.values() for p in pair}
-        self._learn(list((new - alike.keys() | parts) - known.keys()))
-        for word, (body, mark) in alike.items():
-            known[word] = known[body] + known[mark]
+            # Latin letters and one mark: the tokenizer splits before the mark, and
+            # lower-cases these letters alike in every Unicode version.
+            body, mark = (word[:-1], word[-1]) if word[-1] in ".," else (word, "")
+            if body.isalpha() and (body.isascii() or max(body) <= "\xff" and min(filter("\x7f".__lt__, body)) >= "\xc0"):
+                lower = body.lower()
+                letters.add(lower)
+                marked.append((word, lower, mark))
+            else:
+                others.append(word)
+        others += [m for m in ".," if m not in known and m not in new]
+        known.update(zip(others, self._encoded(others), strict=True))
+        self._learn_letters(letters - known.keys())
+        for word, body, mark in marked:
+            known[word] = known[body] + known[mark] if mark else known[body]
         out = [b"".join(map(known.__getitem__, words)) for words in split]
         for word in new:  # a word as long as a text is not worth its memory
             if len(word) > 64:
