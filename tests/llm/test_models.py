@@ -51,7 +51,7 @@ def test_additive_model_learns_an_interaction():
     x = np.pad(rng.uniform(size=(4000, 2)), ((0, 0), (0, 1)))
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
     model = quality.AdditiveModel.fit(x, y)
-    assert model.pairs and ((model.score(x) > 0.5) == y).mean() > 0.97
+    assert model.pairs and ((model.score(x) > 0.5) == y).mean() > 0.95
 
 
 def test_counterfactuals_clear_identity_terms(spark):
