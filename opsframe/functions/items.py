@@ -6,6 +6,8 @@ ISO text, and null fields are left out while nulls inside free-form maps stay.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from opsframe.functions.predicates import col
@@ -68,11 +70,58 @@ def to_item(df: DataFrame, keep: tuple[str, ...] = (), name: str = "item") -> Da
     return df.select(*[col(k) for k in keep], F.to_json(F.struct(*fields)).alias(name))
 
 
-def from_item(df: DataFrame, kind: T.StructType, name: str = "item") -> DataFrame:
-    """Typed rows from items. Only fields declared boolean or instant are converted."""
-    parsed = df.select(F.from_json(col(name), _text_kind(kind)).alias("_item"))
-    return parsed.select(*[
-        _loaded(F.col("_item")[f.name], f.dataType).alias(f.name) for f in kind.fields])
+class Loaded(NamedTuple):
+    """Typed rows, and the items that could not be read, with the names of their bad fields
+    in ``errors`` (``item`` where the whole is not a JSON object)."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+
+
+def from_item(df: DataFrame, kind: T.StructType, name: str = "item") -> Loaded:
+    """Typed rows from items. Only fields declared boolean or instant are converted.
+
+    A field that an item leaves out or gives as null is null; a value that is not of the
+    declared type, at any depth, rejects its item.
+    """
+    stored = _text_kind(kind)
+    corrupt = T.StructType([*stored.fields, T.StructField("_corrupt", T.StringType())])
+    item = col(name)
+    parsed = F.from_json(item, corrupt, {"columnNameOfCorruptRecord": "_corrupt"})
+    given = F.from_json(item, T.MapType(T.StringType(), T.StringType()))
+    read = df.withColumns({"_parsed": parsed, "_given": given})
+    values = {f.name: _loaded(F.col("_parsed")[f.name], f.dataType) for f in kind.fields}
+    broken = [F.when(F.col("_given")[f.name].isNotNull() & (values[f.name].isNull() | _holes(
+        F.col("_parsed")[f.name], values[f.name], f.dataType)), F.lit(f.name)) for f in kind.fields]
+    named = F.array_compact(F.array(*broken))
+    whole = F.col("_given").isNull() | (F.col("_parsed")["_corrupt"].isNotNull() & (F.size(named) == 0))
+    errors = F.when(whole, F.array(F.lit("item"))).otherwise(named)
+    # The row of a generator is made once, so that errors and values are not worked out twice.
+    row = F.struct(item.alias("_item"), errors.alias("errors"), F.struct(
+        *[v.alias(n) for n, v in values.items()]).alias("_row"))
+    told = read.select(F.inline(F.array(row)))
+    return Loaded(told.where(F.size("errors") == 0).select("_row.*"),
+                  told.where(F.size("errors") > 0).select(F.col("_item").alias(name), "errors"))
+
+
+def _holes(stored: Column, loaded: Column, kind: T.DataType) -> Column:
+    """Whether a converted value inside a list, map or struct was lost."""
+    if isinstance(kind, T.ArrayType):
+        pairs = F.arrays_zip(stored.alias("a"), loaded.alias("b"))
+        return F.coalesce(F.exists(pairs, lambda p: _hole(p["a"], p["b"], kind.elementType)), F.lit(False))
+    if isinstance(kind, T.MapType):
+        pairs = F.arrays_zip(F.map_values(stored).alias("a"), F.map_values(loaded).alias("b"))
+        return F.coalesce(F.exists(pairs, lambda p: _hole(p["a"], p["b"], kind.valueType)), F.lit(False))
+    if isinstance(kind, T.StructType):
+        found = F.lit(False)
+        for f in kind.fields:
+            found = found | _hole(stored[f.name], loaded[f.name], f.dataType)
+        return F.coalesce(found, F.lit(False))
+    return F.lit(False)
+
+
+def _hole(stored: Column, loaded: Column, kind: T.DataType) -> Column:
+    return (stored.isNotNull() & loaded.isNull()) | _holes(stored, loaded, kind)
 
 
 def texts_to_bools(json: Column) -> Column:

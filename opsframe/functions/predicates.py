@@ -6,7 +6,7 @@ They are plain comparisons on bare columns, so the file scan receives them.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -29,8 +29,6 @@ def literal(value, kind: T.DataType | None = None) -> Column:
         return value
     if isinstance(value, datetime):
         if value.tzinfo is not None:
-            from datetime import timezone
-
             value = value.astimezone(timezone.utc).replace(tzinfo=None)
         text = value.isoformat(sep=" ")
         if isinstance(kind, T.TimestampType):
@@ -45,6 +43,30 @@ def literal_for(df: DataFrame, column: str, value) -> Column:
     return literal(value, df.schema[column].dataType if column in df.columns else None)
 
 
+# Tables of these columns may be laid out in folders by their UTC day.
+DAYS = {"start_time": "day"}
+
+
+def day_bound(df: DataFrame, column: str, low=None, high=None) -> Column | None:
+    """The bound on the day folders that a bound on the instant implies, where the table has
+    them; it prunes folders that the instant alone would have opened."""
+    day = DAYS.get(column)
+    if day not in df.columns or not isinstance(df.schema[day].dataType, T.DateType):
+        return None
+    parts = []
+    for value, after in ((low, True), (high, False)):
+        if isinstance(value, datetime):
+            utc = value.astimezone(timezone.utc) if value.tzinfo else value
+            edge = literal(utc.date())
+            parts.append(col(day) >= edge if after else col(day) <= edge)
+    return reduce(lambda a, b: a & b, parts) if parts else None
+
+
+def with_day(condition: Column, df: DataFrame, column: str, low=None, high=None) -> Column:
+    bound = day_bound(df, column, low, high)
+    return condition if bound is None else bound & condition
+
+
 _SORT_OPS = {
     "eq": lambda c, low, high: c == low,
     "begins_with": lambda c, low, high: c.startswith(low),
@@ -72,10 +94,13 @@ def key_condition(
     found = col(partition) == literal_for(df, partition, value)
     if sort is None or low is None:
         return found
-    return found & sort_condition(
+    found = found & sort_condition(
         col(sort), op, literal_for(df, sort, low),
         None if high is None else literal_for(df, sort, high),
     )
+    from_day = low if op in ("eq", "between", "gt", "gte") else None
+    to_day = high if op == "between" else low if op in ("eq", "lt", "lte") else None
+    return with_day(found, df, sort, from_day, to_day)
 
 
 def model_condition(df: DataFrame, meta: TableMeta, op: str = "eq", high=None, **values) -> Column:
@@ -118,4 +143,4 @@ def time_range(df: DataFrame, column: str, start=None, end=None) -> Column | Non
         parts.append(col(column) >= literal_for(df, column, start))
     if end is not None:
         parts.append(col(column) <= literal_for(df, column, end))
-    return reduce(lambda a, b: a & b, parts) if parts else None
+    return with_day(reduce(lambda a, b: a & b, parts), df, column, start, end) if parts else None

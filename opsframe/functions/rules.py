@@ -6,7 +6,7 @@ pass and leave the names of the broken ones in ``errors``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -34,6 +34,7 @@ def length_ok(c: Column, low: int, high: int) -> Column:
 
 
 def semver_ok(c: Column) -> Column:
+    # Digits and spaces of any script count, as in the patterns these rules have to match.
     return c.rlike(r"\A\p{Nd}+\.\p{Nd}+\.\p{Nd}+\z")
 
 
@@ -116,6 +117,8 @@ def _ids(*names: str):
     return [(f"{n}_id", (n,), id_ok) for n in names]
 
 
+# -- fixed values: the bounds below are those of the stored tables -----------------------
+
 PIPELINE_RULES = [
     *_required("pipeline_id", "pipeline_name", "source_type", "destination_type"),
     *_ids("pipeline_id"),
@@ -180,10 +183,22 @@ def bind(df: DataFrame, rules) -> list[Rule]:
     return bound
 
 
+def type_rules(texts: DataFrame, kinds: Mapping[str, str]) -> list[Rule]:
+    """A rule ``<column>_type`` for each column of texts that are to become values."""
+    return [Rule(f"{n}_type", castable(col(n), kind)) for n, kind in kinds.items() if n in texts.columns]
+
+
 def check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The rows with the names of the rules they break in ``errors``.
+
+    The row passes through a generator, which the optimizer does not see through: whatever
+    is asked of ``errors`` afterwards, the rules are worked out once.
+    """
     broken = [F.when(~F.coalesce(r.ok, F.lit(True)), F.lit(r.name)) for r in rules]
     errors = F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
-    return df.withColumn("errors", errors)
+    others = [col(n) for n in df.columns if n != "errors"]
+    once = df.select(F.inline(F.array(F.struct(*[col(n) for n in df.columns]))))
+    return once.select(F.inline(F.array(F.struct(*others, errors.alias("errors")))))
 
 
 class Split(NamedTuple):
@@ -192,8 +207,5 @@ class Split(NamedTuple):
 
 
 def split(df: DataFrame, rules: Sequence[Rule]) -> Split:
-    """Rows are told apart by the rules alone; names are listed for the rejected ones only."""
-    clean = F.lit(True)
-    for rule in rules:
-        clean = clean & F.coalesce(rule.ok, F.lit(True))
-    return Split(df.where(clean), check(df.where(~clean), rules))
+    checked = check(df, rules)
+    return Split(checked.where(F.size("errors") == 0).drop("errors"), checked.where(F.size("errors") > 0))

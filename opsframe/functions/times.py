@@ -37,9 +37,13 @@ def to_zone(utc: Column, zone: str | None) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(check_zone(zone)), utc.cast("timestamp_ntz"))
 
 
+# A date, or a date and a time of day; a time alone would depend on today.
+_ISO = (r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2}(:\d{2})?)?)?)?$")
+
+
 def parse_iso(text: Column) -> Column:
     """ISO text with ``Z``, an offset or neither, as an instant; null where it is not one."""
-    return F.when(F.trim(text) != "", F.try_to_timestamp(text))
+    return F.when(text.rlike(_ISO), F.try_to_timestamp(text))
 
 
 def format_iso(utc: Column) -> Column:

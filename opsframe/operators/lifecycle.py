@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from opsframe.functions.predicates import literal_for
+from opsframe.functions.predicates import literal_for, time_range, with_day
 from opsframe.operators.read import _before
 
 
@@ -37,8 +37,10 @@ def archive_tables(s: DataFrame, as_of, days: int = 30, pipeline_id=None,
 
 def purge_runs(s: DataFrame, as_of, days: int = 90) -> DataFrame:
     """The runs to keep. On a log partitioned by day the cutoff prunes whole partitions."""
-    return s.where(F.col("start_time") >= literal_for(s, "start_time", _before(as_of, days=days)))
+    return s.where(time_range(s, "start_time", _before(as_of, days=days)))
 
 
 def purged_runs(s: DataFrame, as_of, days: int = 90) -> DataFrame:
-    return s.where(F.col("start_time") < literal_for(s, "start_time", _before(as_of, days=days)))
+    cutoff = _before(as_of, days=days)
+    older = F.col("start_time") < literal_for(s, "start_time", cutoff)
+    return s.where(with_day(older, s, "start_time", high=cutoff))

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from opsframe.functions.predicates import col, literal_for
+from opsframe.functions.predicates import col, literal, literal_for
 from opsframe.functions.rules import Rule
 from opsframe.functions.times import micros
 
@@ -105,7 +105,8 @@ _MEASURES = {
     "min": lambda c: F.min(col(c)),
     "max": lambda c: F.max(col(c)),
     "mean": lambda c: F.avg(col(c)),
-    "distinct_count": lambda c: F.approx_count_distinct(col(c), 0.01),
+    "distinct_count": lambda c: F.count_distinct(col(c)),
+    "approx_distinct_count": lambda c: F.approx_count_distinct(col(c), 0.01),
 }
 
 
@@ -113,7 +114,10 @@ def dq_results(df: DataFrame, checks: Sequence[Mapping]) -> DataFrame:
     """One row per check: measured value, expected bounds, ``passed`` and a message.
 
     A check names a ``measure`` (or gives a Column as one), a ``column`` and ``min`` and/or
-    ``max``. All checks are one aggregate over one scan.
+    ``max``. All checks are one aggregate over one scan. Bounds are compared in the measure's
+    own type, so whole numbers and decimals keep their digits and texts compare as texts;
+    ``actual_value`` is the measure as a double, null where it is not a number.
+    ``distinct_count`` is exact and shuffles every value; ``approx_distinct_count`` does not.
     """
     measured, rows = [], []
     for i, spec in enumerate(checks):
@@ -122,18 +126,18 @@ def dq_results(df: DataFrame, checks: Sequence[Mapping]) -> DataFrame:
             if measure not in _MEASURES:
                 raise ValueError(f"unknown measure '{measure}'; choices: {list(_MEASURES)}")
             measure = _MEASURES[measure](spec.get("column"))
-        measured.append(measure.cast("double").alias(f"_{i}"))
+        measured.append(measure.alias(f"_{i}"))
         value, low, high = F.col(f"_{i}"), spec.get("min"), spec.get("max")
         passed = F.lit(True)
         if low is not None:
-            passed = passed & (value >= F.lit(float(low)))
+            passed = passed & (value >= literal(low))
         if high is not None:
-            passed = passed & (value <= F.lit(float(high)))
+            passed = passed & (value <= literal(high))
         passed = F.coalesce(passed, F.lit(False))
         expected = f"{'' if low is None else low}..{'' if high is None else high}"
         rows.append(F.struct(
             F.lit(spec["name"]).alias("check_name"), passed.alias("passed"),
-            F.lit(expected).alias("expected_value"), value.alias("actual_value"),
+            F.lit(expected).alias("expected_value"), value.try_cast("double").alias("actual_value"),
             F.when(~passed, F.lit(f"{spec['name']} outside {expected}")).alias("error_message"),
         ))
     return df.agg(*measured).select(F.inline(F.array(*rows)))

@@ -97,20 +97,30 @@ def _order(order: Sequence[str], ascending: bool, leading: int = 1) -> list[Colu
 
 
 def after_token(df: DataFrame, order: Sequence[str], ascending: bool, token: dict) -> Column:
-    """Rows strictly after ``token`` in the order; never an offset."""
+    """Rows strictly after ``token`` in the order; never an offset.
+
+    Spark puts nulls first going up and last going down, and so does this.
+    """
     def beyond(i: int, name: str) -> Column:
-        value = literal_for(df, name, token[name])
-        return col(name) > value if ascending or i else col(name) < value
+        up, value = ascending or i > 0, literal_for(df, name, token[name])
+        if token[name] is None:
+            return col(name).isNotNull() if up else F.lit(False)
+        return col(name) > value if up else (col(name) < value) | col(name).isNull()
+
+    def same(name: str) -> Column:
+        return col(name).isNull() if token[name] is None else col(name) == literal_for(df, name, token[name])
 
     options, equal = [], []
     for i, name in enumerate(order):
         options.append(reduce(lambda a, b: a & b, [*equal, beyond(i, name)]))
-        equal.append(col(name) == literal_for(df, name, token[name]))
+        equal.append(same(name))
+    after = reduce(lambda a, b: a | b, options)
     first = order[0]
+    if token[first] is None:
+        return after if ascending else col(first).isNull() & after
     edge = literal_for(df, first, token[first])
     # The bare bound on the first column is implied; it is stated for the file scan.
-    bound = col(first) >= edge if ascending else col(first) <= edge
-    return bound & reduce(lambda a, b: a | b, options)
+    return (col(first) >= edge if ascending else (col(first) <= edge) | col(first).isNull()) & after
 
 
 def query(
@@ -171,14 +181,27 @@ class Page(NamedTuple):
 
 def fetch_page(df: DataFrame, meta: TableMeta, condition: Column | None = None, *,
                limit: int = DEFAULT_PAGE, columns: Sequence[str] | None = None,
-               sort: str | None = None, **options) -> Page:
-    """One page and the token of the next; the token is the last row's order values."""
+               sort: str | None = None, where: Column | dict | None = None,
+               limit_first: bool = False, **options) -> Page:
+    """One page and the token of the next: the order values of the last row examined.
+
+    With ``limit_first`` the filter is applied to the page, so rows it leaves out move the
+    token on as well, and a page may be short or empty before the last one.
+    """
     if not limit or limit < 1:
         raise ValueError("a page needs a positive limit")
     order = ([sort] if sort else []) + [k for k in meta.keys if k != sort]
     wanted = None if not columns else [*columns, *order]
-    rows = query(df, meta, condition, sort=sort, limit=limit, columns=wanted, **options).collect()
+    extra = match_all(where) if isinstance(where, dict) else where
+    late = limit_first and extra is not None
+    if late:
+        df = df.withColumn("_kept", F.coalesce(extra, F.lit(False)))
+        wanted = wanted and [*wanted, "_kept"]
+    rows = query(df, meta, condition, sort=sort, limit=limit, columns=wanted,
+                 where=None if late else extra, **options).collect()
     token = {c: rows[-1][c] for c in order} if len(rows) == limit else None
+    if late:
+        rows = [Row(**{n: v for n, v in r.asDict().items() if n != "_kept"}) for r in rows if r["_kept"]]
     return Page(rows, token)
 
 

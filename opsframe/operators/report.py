@@ -10,10 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from opsframe.functions.predicates import col, literal_for
+from opsframe.functions.predicates import col, time_range
 from opsframe.functions.times import day_in_zone
 from opsframe.operators.read import _before
-from opsframe.schema import RUN_STATUSES
 
 
 def count_by(df: DataFrame, *columns: str, name: str = "n") -> DataFrame:
@@ -31,7 +30,7 @@ def _known(status: Column) -> Column:
 
 
 def in_window(df: DataFrame, as_of, days: int, column: str = "start_time") -> DataFrame:
-    return df.where(col(column) >= literal_for(df, column, _before(as_of, days=days)))
+    return df.where(time_range(df, column, _before(as_of, days=days)))
 
 
 def _measures() -> list[Column]:
@@ -69,33 +68,34 @@ def run_report(df: DataFrame, as_of, days: int = 30, zone: str | None = None,
                by: Sequence[str] = ("pipeline_id",)) -> DataFrame:
     """The whole run report, breakdowns as maps, in one pass over the runs.
 
-    Runs are reduced to one row per (key, day) and those rows to the report, so the maps
-    are made from at most ``days + 1`` rows of a key and a fixed list of statuses.
-    With no ``by`` the report is one row, with zeros and empty maps when nothing ran.
+    Runs are reduced to one row per (key, day, status) and those rows to the report. The
+    window has no upper end, so days after ``as_of`` are in it. Statuses are reported as
+    they are, a null one as ``unknown``. With no ``by`` the report is one row, with zeros
+    and empty maps when nothing ran.
     """
-    known = F.col("status").isin(*RUN_STATUSES)
-    status = F.when(known, F.col("status")).otherwise(F.lit("unknown"))
-    days_of = (
+    cells = (
         in_window(df, as_of, days)
-        .withColumns({"status": status, "day": day_in_zone(F.col("start_time"), zone).cast("string")})
-        .groupBy(*by, "day")
+        .withColumns({"status": _known(F.col("status")), "day": day_in_zone(F.col("start_time"), zone).cast("string")})
+        .groupBy(*by, "day", "status")
         .agg(F.count("*").alias("n"),
-             F.sum(F.coalesce(F.col("duration_seconds").cast("double"), F.lit(0.0))).alias("seconds"),
-             *[F.count_if(F.col("status") == s).alias(s) for s in (*RUN_STATUSES, "unknown")])
+             F.sum(F.coalesce(F.col("duration_seconds").cast("double"), F.lit(0.0))).alias("seconds"))
     )
     total = F.coalesce(F.sum("n"), F.lit(0))
-    counts = F.map_from_arrays(
-        F.array(*[F.lit(s) for s in (*RUN_STATUSES, "unknown")]),
-        F.array(*[F.coalesce(F.sum(s), F.lit(0)) for s in (*RUN_STATUSES, "unknown")]),
-    )
-    return days_of.groupBy(*by).agg(
+    success = F.coalesce(F.sum(F.when(F.col("status") == "success", F.col("n"))), F.lit(0))
+    found = cells.groupBy(*by).agg(
         total.alias("total_runs"),
-        F.when(total == 0, F.lit(0.0)).otherwise(F.sum("success") / total * 100).alias("success_rate"),
+        F.when(total == 0, F.lit(0.0)).otherwise(success / total * 100).alias("success_rate"),
         F.when(total == 0, F.lit(0.0)).otherwise(F.sum("seconds") / total).alias("avg_duration_seconds"),
-        F.map_filter(counts, lambda k, v: v > 0).alias("status_counts"),
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("day", "n")))).alias("runs_by_day"),
+        F.collect_list(F.struct("day", "status", "n")).alias("_cells"),
     )
 
+    def summed(field: str) -> Column:
+        labels = F.array_sort(F.array_distinct(F.transform("_cells", lambda c: c[field])))
+        return F.map_from_arrays(labels, F.transform(labels, lambda label: F.aggregate(
+            F.filter("_cells", lambda c: c[field] == label), F.lit(0).cast("bigint"), lambda n, c: n + c["n"])))
+
+    return found.withColumns({"status_counts": summed("status"), "runs_by_day": summed("day")}).drop("_cells")
+
 
 # -- tables -----------------------------------------------------------------------------
 
@@ -112,13 +112,15 @@ def tables_by_type_count(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def table_report(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """The table report with its type breakdown as a map of at most five entries."""
-    types = tables_by_type_count(df, by).groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct("table_type", "n"))).alias("by_type"))
-    stats = table_stats(df, by)
-    if not by:
-        return stats.withColumn("by_type", types.select("by_type").scalar())
-    return stats.join(types, list(by))
+    """The table report with its type breakdown as a map with an entry for each type.
+
+    Tables are read once and reduced to one row per (key, type) before the report.
+    """
+    per_type = table_stats(df.withColumn("table_type", _known(F.col("table_type"))), [*by, "table_type"])
+    return per_type.groupBy(*by).agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n)
+          for n in ("total_tables", "total_records", "total_size_bytes")],
+        F.map_from_entries(F.collect_list(F.struct("table_type", "total_tables"))).alias("by_type"))
 
 
 # -- across domains ---------------------------------------------------------------------
@@ -137,14 +139,18 @@ def overview(pipelines: DataFrame, tables: DataFrame, runs: DataFrame, as_of, da
 
 
 def lineage_edges(runs: DataFrame, keys: Sequence[str] = ("run_id", "pipeline_id")) -> DataFrame:
-    """One row per run, direction and table id, read from the two id lists of a run."""
+    """One row per run, direction and table id, read from the two id lists of a run.
+
+    Runs are unique by their key, so an id that repeats does so within its row, where it is
+    dropped; no edge is shuffled.
+    """
     def tagged(name: str, direction: str) -> Column:
         return F.transform(
             F.coalesce(col(name), F.array()),
             lambda t: F.struct(F.lit(direction).alias("direction"), t.alias("table_id")))
 
     both = F.concat(tagged("input_tables", "input"), tagged("output_tables", "output"))
-    return runs.select(*keys, F.inline(both)).distinct()
+    return runs.select(*keys, F.inline(F.array_distinct(both)))
 
 
 def lineage_usage(runs: DataFrame, tables: DataFrame,

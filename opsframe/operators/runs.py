@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from opsframe.functions.predicates import col, literal, literal_for
 from opsframe.functions.rules import failed_message_ok
@@ -16,7 +14,8 @@ from opsframe.operators.joins import HASH, split_join
 from opsframe.operators.write import (
     Change, _sound, clock, folded_sound, hits, insert_if_absent, stamped, update_outcomes,
 )
-from opsframe.schema import MAX_ITEM_BYTES, RUN_STATUSES, TERMINAL_STATUSES
+from opsframe.schema import RUN_STATUSES, TERMINAL_STATUSES
+from opsframe.sources.storage import saved
 
 KEYS = ("run_id", "pipeline_id")
 
@@ -107,14 +106,16 @@ def finish_runs(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
 
 def cancel_running(s: DataFrame, as_of, pipelines: DataFrame | None = None, by: str | None = None,
                    keys: Sequence[str] = KEYS) -> Change:
-    """Cancel the running runs of the pipelines, or of all, in one pass."""
-    picked = s
+    """Cancel the running runs of the pipelines, or of all.
+
+    Only running runs meet the pipelines; all others are passed on where they are.
+    """
+    running = F.coalesce(F.col("status") == "running", F.lit(False))
+    picked, rest, go = s, None, running
     if pipelines is not None:
         wanted = pipelines.select("pipeline_id").distinct().withColumn("_hit", F.lit(True))
-        picked = split_join(s, wanted, ["pipeline_id"], "left")
-        running = (F.col("status") == "running") & F.col("_hit").isNotNull()
-    else:
-        running = F.col("status") == "running"
+        picked, rest = split_join(s.where(running), wanted, ["pipeline_id"], "left"), s.where(~running)
+        go = F.col("_hit").isNotNull()
     now = literal_for(s, "end_time", as_of)
     values = {
         "status": F.lit("cancelled"), "end_time": now,
@@ -123,178 +124,183 @@ def cancel_running(s: DataFrame, as_of, pipelines: DataFrame | None = None, by:
         .cast(s.schema["duration_seconds"].dataType),
         **stamped(s, as_of, "updated_at"),
     }
-    marked = picked.withColumn("_go", F.coalesce(running, F.lit(False)))
+    marked = picked.withColumn("_go", go)
     state = marked.select(*[
         (F.when(F.col("_go"), values[n]).otherwise(col(n)) if n in values else col(n)).alias(n)
         for n in s.columns])
+    if rest is not None:
+        state = rest.unionByName(state)
     outcomes = marked.where("_go").select(
         *keys, F.lit("applied").alias("outcome"), F.lit(None).cast("string").alias("reason"),
         F.lit(1).cast("bigint").alias("commands"))
     return Change(state, outcomes)
 
 
-# -- lists and maps inside a run --------------------------------------------------------
-
-_LARGE = "more nested data than one item may hold"
+# -- entries of a run -------------------------------------------------------------------
 
+class Nested(NamedTuple):
+    """The runs, stamped; the table of their entries; what became of the commands."""
 
-class _Lists(NamedTuple):
-    lists: DataFrame
-    large: DataFrame
+    state: DataFrame
+    entries: DataFrame
+    outcomes: DataFrame
 
 
-def _gathered(rows: DataFrame, keys: list[str], entry: Column, value: str, max_bytes: int) -> _Lists:
-    """Entries of each key as one ordered list, for keys whose entries fit one item.
+# Stages, metrics and outputs are tables of one row per entry. A run may have any number of
+# them, a batch may be cut into any batches, and nothing is gathered into a row.
 
-    An item is bounded in bytes, so the sizes of ``value`` inside the entries are summed
-    first, and a key beyond the bound is never collected: its commands are refused. There
-    are at most (all bytes / bound) such keys, mostly none, and an empty set of them makes
-    the anti join vanish at run time.
-    """
-    sized = rows.select(*keys, entry.alias("_entry"))
-    nested = F.col("_entry")[value]
-    kind = sized.schema["_entry"].dataType[value].dataType
-    nested = nested if isinstance(kind, T.StructType) else F.struct(nested.alias(value))
-    # The other fields are counted so that both branches read the same columns: Spark then
-    # runs the aggregate below them once and reuses its shuffle.
-    others = [n for n in sized.schema["_entry"].dataType.names if n != value]
-    large = (sized.groupBy(*keys).agg(
-        F.sum(F.octet_length(F.to_json(nested))).alias("_bytes"),
-        *[F.count(F.col("_entry")[n]).alias(f"_n_{n}") for n in others])
-        .where(reduce(and_, [F.col(f"_n_{n}") >= 0 for n in others], F.col("_bytes") > max_bytes))
-        .select(*keys))
-    lists = (split_join(sized, large, keys, "left_anti").groupBy(*keys, HASH)
-             .agg(F.sort_array(F.collect_list("_entry")).alias("_entries")).drop(HASH))
-    return _Lists(lists, large)
-
-
-def _nested_outcomes(s, c, keys, bad, large) -> DataFrame:
-    found = update_outcomes(s, c, keys, bad).join(
-        large.withColumn("_large", F.lit(True)), keys, "left")
-    refused = (F.col("outcome") == "applied") & F.col("_large").isNotNull()
-    return found.select(
-        *keys, F.when(refused, "invalid").otherwise(F.col("outcome")).alias("outcome"),
-        F.when(refused, _LARGE).otherwise(F.col("reason")).alias("reason"), "commands")
-
-
-def _named(field: str) -> Column:
-    name = F.col(field)["stage_name"]
-    return F.when(name.isNull() | (name == ""), F.lit("stage_name missing"))
-
-
-def _put_nested(s: DataFrame, gathered: DataFrame, keys, as_of, column: str, value: Column) -> DataFrame:
-    joined = s.join(gathered, keys, "left")
-    hit = F.col("_entries").isNotNull()
-    values = {column: value, **stamped(s, as_of, "updated_at")}
-    return joined.select(*[
-        (F.when(hit, values[n]).otherwise(col(n)) if n in values else col(n)).alias(n)
+def _touched(s: DataFrame, sound: DataFrame, keys: list[str], as_of) -> DataFrame:
+    stamps = stamped(s, as_of, "updated_at")
+    if not stamps:
+        return s
+    named = sound.select(*keys).distinct().withColumn("_hit", F.lit(True))
+    return s.join(named, keys, "left").select(*[
+        (F.when(F.col("_hit"), stamps[n]).otherwise(col(n)) if n in stamps else col(n)).alias(n)
         for n in s.columns])
 
 
-def _as_stage(s: DataFrame, c: DataFrame, stage: Column) -> Column:
-    """The command's stage with the fields and types of the state's stages, by name."""
+def _of_known_runs(rows: DataFrame, s: DataFrame, keys: list[str]) -> DataFrame:
+    return split_join(rows, s.select(*keys), keys, "left_semi").drop(HASH)
+
+
+def _stage_fields(entries: DataFrame, keys, order) -> list[T.StructField]:
+    return [f for f in entries.schema.fields if f.name not in (*keys, *order)]
+
+
+def _bad_stage(c: DataFrame, fields: list[T.StructField]) -> Column:
+    """The name has to be given, and every value has to fit the stages' columns."""
+    stage, given = F.col("stage"), {f.name: f.dataType for f in c.schema["stage"].dataType.fields}
+    bad = F.when(stage["stage_name"].isNull() | (stage["stage_name"] == ""), F.lit("stage_name missing"))
+    for f in fields:
+        if f.name in given and given[f.name] != f.dataType:
+            bad = bad.when(stage[f.name].isNotNull() & stage[f.name].try_cast(f.dataType).isNull(),
+                           F.lit(f"{f.name} is not {f.dataType.simpleString()}"))
+    return bad
+
+
+def _as_entry(c: DataFrame, fields: list[T.StructField], stage: Column) -> list[Column]:
     given = {f.name for f in c.schema["stage"].dataType.fields}
-    return F.struct(*[
-        (stage[f.name].cast(f.dataType) if f.name in given else F.lit(None).cast(f.dataType))
-        .alias(f.name) for f in s.schema["stages"].dataType.elementType.fields])
+    return [(stage[f.name].try_cast(f.dataType) if f.name in given else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in fields]
 
 
-def stage_upsert(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
-                 keys: Sequence[str] = KEYS, max_bytes: int = MAX_ITEM_BYTES) -> Change:
+def stage_upsert(s: DataFrame, stages: DataFrame, c: DataFrame, as_of, order: Sequence[str],
+                 keys: Sequence[str] = KEYS) -> Nested:
     """A stage replaces the first of its name in place, or is added at the end.
 
-    Commands are first reduced to the last one per key and stage name.
+    ``stages`` has a row for each stage of a run: the keys, the ``order`` columns of the
+    command that added it, which are its place, ``stage_name`` and what else a stage has.
+    Commands are first reduced to the last one per run and stage name.
     """
-    keys = list(keys)
-    bad, seq = _named("stage"), F.struct(*order)
-    last = (_sound(c, keys, bad).groupBy(*keys, F.col("stage")["stage_name"].alias("_name"))
-            .agg(F.min(seq).alias("_first"), F.max(F.struct(*order, "stage")).alias("_last")))
-    entry = F.struct(F.col("_first"), _as_stage(s, c, F.col("_last")["stage"]).alias("stage"))
-    gathered, large = _gathered(last, keys, entry, "stage", max_bytes)
+    keys, order = list(keys), list(order)
+    fields = _stage_fields(stages, keys, order)
+    bad = _bad_stage(c, fields)
+    sound = _sound(c, keys, bad)
+    on = [*keys, "stage_name", "_nth"]
+    last = (
+        sound.groupBy(*keys, F.col("stage")["stage_name"].alias("stage_name"))
+        .agg(F.min(F.struct(*order)).alias("_place"), F.max(F.struct(*order, "stage"))["stage"].alias("_stage"))
+    )
+    new = _of_known_runs(last, s, keys).withColumn("_nth", F.lit(1))
+    nth = F.row_number().over(Window.partitionBy(*keys, "stage_name").orderBy(*order))
+    old = stages.withColumns({"_nth": nth, "_old": F.lit(True)})
+    told = dict(zip([f.name for f in fields], _as_entry(c, fields, F.col("_stage")), strict=True))
+    entries = old.join(new, on, "full_outer").select(*[
+        (F.when(F.col("_old"), col(n)).otherwise(F.col("_place")[n]) if n in order
+         else F.when(F.col("_stage").isNotNull(), told[n]).otherwise(col(n)) if n in told and n != "stage_name"
+         else col(n)).alias(n) for n in stages.columns])
+    return Nested(_touched(s, sound, keys, as_of), entries, update_outcomes(s, c, keys, bad))
+
+
+def stage_append(s: DataFrame, stages: DataFrame, c: DataFrame, as_of, order: Sequence[str],
+                 keys: Sequence[str] = KEYS) -> Nested:
+    """Every stage is added at the end, in command order, whatever its name.
 
-    old = F.coalesce(F.col("stages"), F.array().cast(s.schema["stages"].dataType))
-    names = F.transform(old, lambda x: x["stage_name"])
-    fresh = F.transform(F.col("_entries"), lambda e: e["stage"])
+    Where the stages hold a ``timestamp``, a stage without one gets the clock.
+    """
+    keys, order = list(keys), list(order)
+    fields = _stage_fields(stages, keys, order)
+    bad = _bad_stage(c, fields)
+    sound = _sound(c, keys, bad)
+    new = _of_known_runs(sound, s, keys).select(*keys, *order, *_as_entry(c, fields, F.col("stage")))
+    kinds = {f.name: f.dataType for f in fields}
+    if "timestamp" in kinds:
+        new = new.withColumn("timestamp", F.coalesce(
+            "timestamp", literal(as_of, kinds["timestamp"]).cast(kinds["timestamp"])))
+    return Nested(_touched(s, sound, keys, as_of), stages.unionByName(_typed(new, stages)),
+                  update_outcomes(s, c, keys, bad))
 
-    def of_name(name: Column) -> Column:
-        return F.get(F.filter(fresh, lambda n: n["stage_name"] == name), F.lit(0))
 
-    replaced = F.transform(old, lambda x, i: F.when(
-        F.array_position(names, x["stage_name"]) == i + 1, F.coalesce(of_name(x["stage_name"]), x)
-    ).otherwise(x))
-    added = F.filter(fresh, lambda n: ~F.array_contains(names, n["stage_name"]))
-    state = _put_nested(s, gathered, keys, as_of, "stages", F.concat(replaced, added))
-    return Change(state, _nested_outcomes(s, c, keys, bad, large))
+def _typed(rows: DataFrame, like: DataFrame) -> DataFrame:
+    return rows.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
-def stage_append(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
-                 keys: Sequence[str] = KEYS, max_bytes: int = MAX_ITEM_BYTES) -> Change:
-    """Every stage is added at the end, in command order, whatever its name.
+def positions(entries: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos") -> DataFrame:
+    """The entries with their place in their run, counted from 0.
 
-    Where the state's stages hold a ``timestamp``, a stage without one gets the clock.
+    Entries are laid out by ranges of (keys, order) in the shared folder, counted by range,
+    and ranked within a range, so a run that holds much of the table is split.
     """
-    keys = list(keys)
-    bad = _named("stage")
-    stage = _as_stage(s, c, F.col("stage"))
-    kinds = {f.name: f.dataType for f in s.schema["stages"].dataType.elementType.fields}
-    if "timestamp" in kinds:
-        stage = stage.withField("timestamp", F.coalesce(
-            stage["timestamp"], literal(as_of, kinds["timestamp"]).cast(kinds["timestamp"])))
-    entry = F.struct(F.struct(*order).alias("_seq"), stage.alias("stage"))
-    gathered, large = _gathered(_sound(c, keys, bad), keys, entry, "stage", max_bytes)
-    old = F.coalesce(F.col("stages"), F.array().cast(s.schema["stages"].dataType))
-    value = F.concat(old, F.transform(F.col("_entries"), lambda e: e["stage"]))
-    state = _put_nested(s, gathered, keys, as_of, "stages", value)
-    return Change(state, _nested_outcomes(s, c, keys, bad, large))
-
-
-def metrics_merge(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
-                  keys: Sequence[str] = KEYS, max_bytes: int = MAX_ITEM_BYTES) -> Change:
-    """Merge each command's ``metrics`` map into the run's, the last value of a name winning."""
-    keys = list(keys)
-    given = F.col("metrics")
+    ordered = [*keys, *order]
+    laid = saved(entries.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
+                 .withColumn("_range", F.spark_partition_id()), "positions")
+    counts = laid.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    within = Window.partitionBy(*keys, "_range").orderBy(*order)
+    return laid.withColumn("_rank", F.row_number().over(within) - 1).join(before, [*keys, "_range"]).select(
+        *[col(n) for n in entries.columns], (F.col("_rank") + F.col("_before")).alias(name))
+
+
+def metrics_merge(s: DataFrame, metrics: DataFrame, c: DataFrame, as_of, order: Sequence[str],
+                  keys: Sequence[str] = KEYS) -> Nested:
+    """Merge each command's ``metrics`` map into the table of (keys, ``name``, ``value``), the
+    last value of a name winning."""
+    keys, given = list(keys), F.col("metrics")
+    kind = metrics.schema["value"].dataType
     bad = F.when(given.isNull() | (F.size(given) == 0), F.lit("no metrics"))
-    last = (_sound(c, keys, bad).select(*keys, *order, F.explode("metrics").alias("_name", "_value"))
-            .groupBy(*keys, "_name")
-            .agg(F.max(F.struct(*order, "_value")).alias("_last")))
-    kind = s.schema["metrics"].dataType.valueType
-    pair = F.struct(F.col("_name").alias("key"), F.col("_last")["_value"].cast(kind).alias("value"))
-    gathered, large = _gathered(last, keys, F.struct(pair.alias("pair")), "pair", max_bytes)
-    new = F.map_from_entries(F.transform("_entries", lambda e: e["pair"]))
-    old = F.coalesce(F.col("metrics"), F.create_map().cast(s.schema["metrics"].dataType))
-    value = F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(new, k)), new)
-    state = _put_nested(s, gathered, keys, as_of, "metrics", value)
-    return Change(state, _nested_outcomes(s, c, keys, bad, large))
-
-
-def record_outputs(s: DataFrame, c: DataFrame, as_of, keys: Sequence[str] = KEYS,
-                   max_bytes: int = MAX_ITEM_BYTES) -> Change:
+    if c.schema["metrics"].dataType.valueType != kind:
+        unfit = F.exists(F.map_values(given), lambda v: v.isNotNull() & v.try_cast(kind).isNull())
+        bad = bad.when(unfit, F.lit(f"a value is not {kind.simpleString()}"))
+    sound = _sound(c, keys, bad)
+    last = (sound.select(*keys, *order, F.explode("metrics").alias("name", "_value"))
+            .groupBy(*keys, "name").agg(F.max(F.struct(*order, "_value")).alias("_last")))
+    new = _of_known_runs(last, s, keys)
+    entries = metrics.join(new, [*keys, "name"], "full_outer").select(
+        *keys, "name", F.when(F.col("_last").isNotNull(), F.col("_last")["_value"].try_cast(kind))
+        .otherwise(F.col("value")).alias("value"))
+    return Nested(_touched(s, sound, keys, as_of), entries.select(*metrics.columns), update_outcomes(s, c, keys, bad))
+
+
+def record_outputs(s: DataFrame, outputs: DataFrame, c: DataFrame, as_of,
+                   keys: Sequence[str] = KEYS) -> Nested:
     """Bookkeeping of writes: each command names a ``table_id`` and its ``records``.
 
-    A table is added to ``output_tables`` if absent; the records add up.
+    ``outputs`` has a row (keys, ``table_id``, ``records``) for each table a run wrote. Records
+    add up there and in the run's ``total_records_processed``.
     """
     keys = list(keys)
+    kinds = {n: outputs.schema[n].dataType for n in ("table_id", "records")}
     bad = F.when(F.col("table_id").isNull(), F.lit("table_id missing"))
-    per_table = _sound(c, keys, bad).groupBy(*keys, "table_id").agg(F.sum("records").alias("_records"))
-    kind = s.schema["output_tables"].dataType.elementType
-    entry = F.struct(F.col("table_id").cast(kind).alias("table_id"), F.col("_records"))
-    gathered, large = _gathered(per_table, keys, entry, "table_id", max_bytes)
-    joined = s.join(gathered, keys, "left")
-    hit = F.col("_entries").isNotNull()
-    old = F.coalesce(F.col("output_tables"), F.array().cast(s.schema["output_tables"].dataType))
-    added = F.transform(F.col("_entries"), lambda e: e["table_id"])
-    total = F.aggregate(
-        "_entries", F.coalesce(F.col("total_records_processed"), F.lit(0)).cast("bigint"),
-        lambda n, e: n + F.coalesce(e["_records"], F.lit(0)).cast("bigint"))
+    for n, kind in kinds.items():
+        if c.schema[n].dataType != kind:
+            bad = bad.when(col(n).isNotNull() & col(n).try_cast(kind).isNull(), F.lit(f"{n} is not {kind.simpleString()}"))
+    sound = _sound(c, keys, bad)
+    per_table = (sound.groupBy(*keys, F.col("table_id").try_cast(kinds["table_id"]).alias("table_id"))
+                 .agg(F.sum(F.col("records").try_cast(kinds["records"])).alias("_records")))
+    known = _of_known_runs(per_table, s, keys)
+    added = F.coalesce(F.col("records"), F.lit(0)) + F.coalesce(F.col("_records"), F.lit(0))
+    entries = outputs.join(known, [*keys, "table_id"], "full_outer").select(
+        *keys, "table_id", added.cast(kinds["records"]).alias("records")).select(*outputs.columns)
+    per_run = per_table.groupBy(*keys).agg(F.sum("_records").alias("_sum"), F.lit(True).alias("_hit"))
     values = {
-        "output_tables": F.array_union(old, added),
-        "total_records_processed": total,
+        "total_records_processed": (F.coalesce(F.col("total_records_processed"), F.lit(0))
+                                    + F.coalesce(F.col("_sum"), F.lit(0))).cast(s.schema["total_records_processed"].dataType),
         **stamped(s, as_of, "updated_at"),
     }
-    state = joined.select(*[
-        (F.when(hit, values[n]).otherwise(col(n)) if n in values else col(n)).alias(n)
-        for n in s.columns])
-    return Change(state, _nested_outcomes(s, c, keys, bad, large))
+    state = s.join(per_run, keys, "left").select(*[
+        (F.when(F.col("_hit"), values[n]).otherwise(col(n)) if n in values else col(n)).alias(n) for n in s.columns])
+    return Nested(state, entries, update_outcomes(s, c, keys, bad))
 
 
 # -- event log --------------------------------------------------------------------------

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from opsframe.functions.items import item_bytes
 from opsframe.functions.predicates import col, literal_for
-from opsframe.schema import MAX_ITEM_BYTES
+from opsframe.operators.joins import split_join
 
 APPLIED, CONFLICT, NOT_FOUND, INVALID = "applied", "conflict", "not_found", "invalid"
 
@@ -29,7 +29,7 @@ class Change(NamedTuple):
     outcomes: DataFrame
 
 
-_EARLIER = "an earlier command for this key was tried"
+_EARLIER = "an earlier command for this key was applied"
 
 
 class WriteError(Exception):
@@ -69,6 +69,19 @@ def key_given(keys: Sequence[str]) -> Column:
     return given
 
 
+def misfit(c: DataFrame, s: DataFrame) -> Column:
+    """The reason a command's values do not fit the state's columns; null when they fit."""
+    reason = F.lit(None).cast("string")
+    for f in s.schema.fields:
+        if f.name in c.columns and c.schema[f.name].dataType != f.dataType:
+            reason = F.coalesce(reason, _unfit(col(f.name), f.name, f.dataType))
+    return reason
+
+
+def _unfit(value: Column, name: str, kind: T.DataType) -> Column:
+    return F.when(value.isNotNull() & value.try_cast(kind).isNull(), F.lit(f"{name} is not {kind.simpleString()}"))
+
+
 def clock(s: DataFrame, column: str, as_of) -> Column:
     return literal_for(s, column, as_of)
 
@@ -126,9 +139,13 @@ def folded_sound(c: DataFrame, keys: Sequence[str], bad: Column, pick) -> DataFr
 
 def insert_if_absent(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of,
                      order: Sequence[str], defaults: Mapping[str, Column] | None = None) -> Change:
-    """Of several inserts of one new key the first wins; the others conflict."""
+    """Of several inserts of one new key the first wins; the others conflict.
+
+    A command whose values do not fit the state's columns is invalid and the others go on.
+    """
     keys = list(keys)
-    sound = c.where(key_given(keys))
+    bad = misfit(c, s)
+    sound = _sound(c, keys, bad)
     new = latest(sound, keys, order, first=True).join(hits(s, sound, keys), keys, "left_anti")
     for name, value in (defaults or {}).items():
         given = col(name) if name in new.columns else F.lit(None)
@@ -136,23 +153,25 @@ def insert_if_absent(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of,
     new = new.withColumns(stamped(s, as_of, "created_at", "updated_at"))
     state = s.unionByName(_aligned(new, s), allowMissingColumns=True)
 
-    counted = c.groupBy(*keys).agg(F.count("*").alias("_n"))
+    counted = _reason_counts(c, keys, bad)
     known = counted.join(hits(s, sound, keys), keys, "left")
-    fresh = F.when(key_given(keys) & F.col("_hit").isNull(), 1).otherwise(0)
+    ok = F.col("_bad").isNull()
+    fresh = F.when(ok & F.col("_hit").isNull(), 1).otherwise(0)
     outcomes = listed(
         known, keys,
         _outcome(APPLIED, None, fresh),
         _outcome(CONFLICT, F.when(F.col("_hit"), F.lit("key exists"))
                  .otherwise(F.lit("inserted by an earlier command")),
-                 F.when(key_given(keys), F.col("_n") - fresh).otherwise(0)),
-        _outcome(INVALID, "key missing", F.when(key_given(keys), 0).otherwise(F.col("_n"))))
+                 F.when(ok, F.col("_n") - fresh).otherwise(0)),
+        _outcome(INVALID, F.col("_bad"), F.when(ok, 0).otherwise(F.col("_n"))))
     return Change(state, outcomes)
 
 
 def _aligned(rows: DataFrame, s: DataFrame) -> DataFrame:
-    """The rows with the state's columns and types, as far as they hold them."""
+    """The rows with the state's columns and types, as far as they hold them. A value that
+    does not fit is null; ``misfit`` has told the command before."""
     return rows.select(*[
-        col(f.name).cast(f.dataType).alias(f.name) for f in s.schema.fields if f.name in rows.columns])
+        col(f.name).try_cast(f.dataType).alias(f.name) for f in s.schema.fields if f.name in rows.columns])
 
 
 # -- updates ----------------------------------------------------------------------------
@@ -196,7 +215,11 @@ def partial_update(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of,
 def _read(text: Column, kind: T.DataType) -> Column:
     """Text as a value of the column's type, null when it is not one."""
     if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        return F.from_json(text, kind)
+        # A nested value that does not fit is told by the corrupt-record column.
+        wrapped = T.StructType([T.StructField("v", kind), T.StructField("_corrupt", T.StringType())])
+        parsed = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), wrapped,
+                             {"columnNameOfCorruptRecord": "_corrupt"})
+        return F.when(parsed["_corrupt"].isNull(), parsed["v"])
     if isinstance(kind, T.VariantType):
         return F.try_parse_json(text)
     return text.try_cast(kind)
@@ -211,11 +234,11 @@ def update_given(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order:
     some = F.lit(False)
     for name in present:
         some = some | col(name).isNotNull()
-    bad = F.when(~some, F.lit("nothing given"))
+    bad = F.coalesce(F.when(~some, F.lit("nothing given")), misfit(c.select(*keys, *present), s))
     folded = folded_sound(c, keys, bad, lambda ok: [
         F.max_by(col(n), F.when(ok & col(n).isNotNull(), seq)).alias(f"_new_{n}") for n in present])
     joined = s.join(folded, keys, "left")
-    changed = {n: F.coalesce(F.col(f"_new_{n}").cast(_kind_of(s, n)), _old(s, n)) for n in present}
+    changed = {n: F.coalesce(F.col(f"_new_{n}").try_cast(_kind_of(s, n)), _old(s, n)) for n in present}
     if "updated_at" in s.columns:
         changed["updated_at"] = F.when(F.col("_hit"), clock(s, "updated_at", as_of)).otherwise(
             F.col("updated_at"))
@@ -241,41 +264,62 @@ def update_stats(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order:
     return update_given(s, c, keys, as_of, order, ["record_count", "size_bytes", "last_updated_data"])
 
 
+def _tried(s: DataFrame, c: DataFrame, keys: Sequence[str], order: Sequence[str], bad: Column,
+           condition: Column, needs_row: bool, values: Column) -> tuple[DataFrame, DataFrame]:
+    """The first command of each key whose condition holds on its row, as ``_new``, and the
+    outcomes of all commands.
+
+    Conditions are taken for every command beside its row, before commands are ranked, so a
+    command that does not hold never stands in the way of one that does.
+    """
+    on = [F.col(f"s.{k}") == F.col(f"c.{k}") for k in keys]
+    beside = c.withColumn("_misfit", bad).alias("c").join(s.withColumn("_known", F.lit(True)).alias("s"), on, "left")
+    known = F.col("s._known").isNotNull()
+    given = F.lit(True)
+    for k in keys:
+        given = given & F.col(f"c.{k}").isNotNull()
+    reason = F.when(~given, F.lit("key missing")).otherwise(F.col("c._misfit"))
+    met = reason.isNull() & F.coalesce(condition, F.lit(False)) & (known if needs_row else F.lit(True))
+    rows = beside.select(
+        *[F.col(f"c.{k}").alias(k) for k in keys], F.struct(*[F.col(f"c.{o}") for o in order]).alias("_at"),
+        reason.alias("_bad"), known.alias("_known"), met.alias("_met"), values.alias("_new"))
+    first = latest(rows.where("_met").select(*keys, "_at", "_new"), keys, ["_at"], first=True)
+
+    placed = split_join(rows.drop("_new"), first.select(*keys, F.col("_at").alias("_first")), keys, "left")
+    ok = F.col("_bad").isNull() & (F.col("_known") if needs_row else F.lit(True))
+    later = F.col("_at") >= F.col("_first")
+    counted = placed.groupBy(*keys, "_bad").agg(
+        F.count("*").alias("_n"), F.count_if(ok & F.coalesce(later, F.lit(False))).alias("_later"),
+        F.count_if(ok & ~F.coalesce(later, F.lit(False))).alias("_unmet"),
+        F.count_if(F.col("_bad").isNull() & ~ok).alias("_absent"))
+    applied = F.when(F.col("_later") > 0, 1).otherwise(0)
+    return first, listed(
+        counted, keys,
+        _outcome(APPLIED, None, applied),
+        _outcome(CONFLICT, "condition not met", F.col("_unmet")),
+        _outcome(CONFLICT, _EARLIER, F.col("_later") - applied),
+        _outcome(NOT_FOUND, None, F.col("_absent")),
+        _outcome(INVALID, F.col("_bad"), F.when(F.col("_bad").isNotNull(), F.col("_n")).otherwise(0)))
+
+
 def conditional_update(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order: Sequence[str],
                        condition: Column, assign: Mapping[str, Column]) -> Change:
     """Apply a command only where ``condition`` holds; write both over ``s.x`` and ``c.x``.
 
-    Of several commands for one key the first is tried and the others conflict, as writers
-    that read the same row and came second.
+    Of several commands for one key the first that holds on the row is applied. Those before
+    it did not meet their condition, and those after it conflict, as writers that read the
+    same row and came second.
     """
     keys = list(keys)
-    one = latest(c.where(key_given(keys)), keys, order, first=True)
-    left, right = s.alias("s"), one.alias("c")
-    on = [F.col(f"s.{k}") == F.col(f"c.{k}") for k in keys]
-    met = F.coalesce(F.col(f"c.{keys[0]}").isNotNull() & condition, F.lit(False))
-    changed = dict(assign)
+    kinds = {n: s.schema[n].dataType for n in assign}
+    values = F.struct(*[v.try_cast(kinds[n]).alias(n) for n, v in assign.items()])
+    first, outcomes = _tried(s, c, keys, order, F.lit(None).cast("string"), condition, True, values)
+    changed = {n: F.col("_new")[n] for n in assign}
     if "updated_at" in s.columns:
         changed.setdefault("updated_at", clock(s, "updated_at", as_of))
-    state = left.join(right, on, "left").select(*[
-        (F.when(met, changed[n].cast(s.schema[n].dataType)).otherwise(F.col(f"s.{n}"))
-         if n in changed else F.col(f"s.{n}")).alias(n) for n in s.columns])
-
-    counted = c.groupBy(*keys).agg(F.count("*").alias("_n"))
-    touched = s.join(one.select(*keys), keys, "left_semi").alias("s")
-    tried = touched.join(right, on).select(
-        *[F.col(f"s.{k}").alias(k) for k in keys],
-        F.coalesce(condition, F.lit(False)).alias("_met"))
-    known = counted.join(tried, keys, "left")
-    first = F.when(F.col("_met"), 1).otherwise(0)
-    outcomes = listed(
-        known, keys,
-        _outcome(APPLIED, None, first),
-        _outcome(CONFLICT, "condition not met", F.when(~F.col("_met"), 1).otherwise(0)),
-        _outcome(CONFLICT, _EARLIER,
-                 F.when(F.col("_met").isNotNull(), F.col("_n") - 1).otherwise(0)),
-        _outcome(NOT_FOUND, None,
-                 F.when(key_given(keys) & F.col("_met").isNull(), F.col("_n")).otherwise(0)),
-        _outcome(INVALID, "key missing", F.when(key_given(keys), 0).otherwise(F.col("_n"))))
+    state = s.join(first.select(*keys, "_new"), keys, "left").select(*[
+        (F.when(F.col("_new").isNotNull(), changed[n]).otherwise(col(n)) if n in changed else col(n)).alias(n)
+        for n in s.columns])
     return Change(state, outcomes)
 
 
@@ -314,55 +358,67 @@ def delete_keys(s: DataFrame, c: DataFrame, keys: Sequence[str],
 
 # -- upserts ----------------------------------------------------------------------------
 
+def _replaced(s: DataFrame, new: DataFrame, keys: list[str], as_of) -> DataFrame:
+    """The state with the rows of ``new`` put in, the time of creation of a replaced row kept.
+
+    Known keys take their row in one left join, which leaves the state where it is when the
+    rows are few; only the keys of the state are read again, to add the others.
+    """
+    rest = [n for n in s.columns if n not in keys]
+    values = _aligned(new.withColumns(stamped(s, as_of, "updated_at", "created_at")), s)
+    whole = values.select(*keys, F.struct(*[
+        (col(n) if n in values.columns else F.lit(None).cast(s.schema[n].dataType)).alias(n) for n in rest
+    ] or [F.lit(True).alias("_row")]).alias("_new"))
+    kept = {"created_at"} if "created_at" in s.columns else set()
+    known = s.join(whole, keys, "left").select(*[
+        (col(n) if n in keys else F.coalesce(col(n), F.col("_new")[n]) if n in kept
+         else F.when(F.col("_new").isNotNull(), F.col("_new")[n]).otherwise(col(n))).alias(n) for n in s.columns])
+    added = values.join(s.select(*keys), keys, "left_anti")
+    return known.unionByName(added, allowMissingColumns=True)
+
+
 def upsert(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order: Sequence[str],
            allowed: Column | None = None) -> Change:
     """Replace or add whole rows, the last command of a key winning.
 
-    ``created_at`` stays that of the row replaced. ``allowed`` is a one-value column that
-    lets the whole batch through or none of it.
+    ``created_at`` stays that of the row replaced. A command whose values do not fit the
+    state's columns is invalid. ``allowed`` is a one-value column that lets the whole batch
+    through or none of it.
     """
     keys = list(keys)
-    sound = c.where(key_given(keys))
+    bad = misfit(c, s)
+    sound = _sound(c, keys, bad)
     if allowed is not None:
         sound = sound.where(allowed)
-    kept_at = [n for n in ("created_at",) if n in s.columns]
-    old = hits(s, sound, keys, kept_at)
-    for name in kept_at:
-        old = old.withColumnRenamed(name, f"_old_{name}")
-    new = latest(sound, keys, order).join(old, keys, "left")
-    stamps = stamped(s, as_of, "updated_at")
-    for name in kept_at:
-        stamps[name] = F.coalesce(F.col(f"_old_{name}"), clock(s, name, as_of))
-    changed = _aligned(new.withColumns(stamps), s)
-    unchanged = s.join(sound.select(*keys).distinct(), keys, "left_anti")
-    state = unchanged.unionByName(changed, allowMissingColumns=True)
-
-    counted = c.groupBy(*keys).agg(F.count("*").alias("_n"))
+    state = _replaced(s, latest(sound, keys, order), keys, as_of)
+    ok = F.col("_bad").isNull()
     outcomes = listed(
-        counted, keys,
-        _outcome(APPLIED, None, F.when(key_given(keys), F.col("_n")).otherwise(0)),
-        _outcome(INVALID, "key missing", F.when(key_given(keys), 0).otherwise(F.col("_n"))))
+        _reason_counts(c, keys, bad), keys,
+        _outcome(APPLIED, None, F.when(ok, F.col("_n")).otherwise(0)),
+        _outcome(INVALID, F.col("_bad"), F.when(ok, 0).otherwise(F.col("_n"))))
     return Change(state, outcomes)
 
 
 def upsert_many(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order: Sequence[str],
-                max_bytes: int = MAX_ITEM_BYTES) -> Change:
-    """Bulk upsert behind the size gate: one oversized row rejects the batch."""
+                max_bytes: int | None = None) -> Change:
+    """Bulk upsert. With ``max_bytes``, one row of more bytes rejects the batch; that is a
+    limit of stores of items, and a table has none unless the caller says so."""
     keys = list(keys)
+    if max_bytes is None:
+        return upsert(s, c, keys, as_of, order)
     payload = c.select(*[col(n) for n in c.columns if n in s.columns])
     sized = c.withColumn("_over", item_bytes(payload) > max_bytes)
     over = sized.where("_over").agg(F.count("*").alias("n")).scalar()
     change = upsert(s, c, keys, as_of, order, allowed=over == 0)
-    counted = sized.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.count_if("_over").alias("_o")
-    ).withColumn("_ok", over == 0)
+    reason = F.when(F.col("_over"), F.lit("item too large")).otherwise(misfit(c, s))
+    counted = (sized.withColumn("_bad", F.when(~F.col("_over") & ~key_given(keys), F.lit("key missing")).otherwise(reason))
+               .groupBy(*keys, "_bad").agg(F.count("*").alias("_n")).withColumn("_ok", over == 0))
+    ok = F.col("_bad").isNull()
     outcomes = listed(
         counted, keys,
-        _outcome(INVALID, "item too large", F.col("_o")),
-        _outcome(INVALID, "key missing", F.when(key_given(keys), 0).otherwise(F.col("_n") - F.col("_o"))),
-        _outcome(APPLIED, None, F.when(F.col("_ok") & key_given(keys), F.col("_n")).otherwise(0)),
-        _outcome(CONFLICT, "batch rejected",
-                 F.when(~F.col("_ok") & key_given(keys), F.col("_n") - F.col("_o")).otherwise(0)))
+        _outcome(INVALID, F.col("_bad"), F.when(ok, 0).otherwise(F.col("_n"))),
+        _outcome(APPLIED, None, F.when(ok & F.col("_ok"), F.col("_n")).otherwise(0)),
+        _outcome(CONFLICT, "batch rejected", F.when(ok & ~F.col("_ok"), F.col("_n")).otherwise(0)))
     return Change(change.state, outcomes)
 
 
@@ -371,34 +427,11 @@ def conditional_put(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, orde
     """Put whole rows where ``condition`` over ``s.x`` and ``c.x`` holds.
 
     For a key outside the state every ``s.x`` is null, so a condition that does not allow
-    for that conflicts. Of several commands for one key the first is tried.
+    for that conflicts. Of several commands for one key the first that holds is put.
     """
     keys = list(keys)
-    one = latest(c.where(key_given(keys)), keys, order, first=True)
-    old = s.join(one.select(*keys), keys, "left_semi")
-    on = [F.col(f"s.{k}") == F.col(f"c.{k}") for k in keys]
-    met = F.coalesce(condition, F.lit(False))
-    joined = one.alias("c").join(old.alias("s"), on, "left")
-    stamps = stamped(s, as_of, "updated_at")
-    if "created_at" in s.columns:
-        stamps["created_at"] = F.coalesce(F.col("s.created_at"), clock(s, "created_at", as_of))
-    names = [n for n in s.columns if n in stamps or n in one.columns]
-    changed = joined.where(met).select(*[
-        (stamps[n] if n in stamps else F.col(f"c.{n}")).cast(s.schema[n].dataType).alias(n)
-        for n in names])
-    state = s.join(changed.select(*keys), keys, "left_anti").unionByName(changed, allowMissingColumns=True)
-
-    counted = c.groupBy(*keys).agg(F.count("*").alias("_n"))
-    tried = joined.select(*[F.col(f"c.{k}").alias(k) for k in keys], met.alias("_met"))
-    known = counted.join(tried, keys, "left")
-    first = F.when(F.col("_met"), 1).otherwise(0)
-    outcomes = listed(
-        known, keys,
-        _outcome(APPLIED, None, first),
-        _outcome(CONFLICT, "condition not met", F.when(~F.col("_met"), 1).otherwise(0)),
-        _outcome(CONFLICT, _EARLIER,
-                 F.when(F.col("_met").isNotNull(), F.col("_n") - 1).otherwise(0)),
-        _outcome(INVALID, "key missing", F.when(key_given(keys), 0).otherwise(F.col("_n"))))
+    first, outcomes = _tried(s, c, keys, order, misfit(c, s), condition, False, F.struct("c.*"))
+    state = _replaced(s, first.select("_new.*"), keys, as_of)
     return Change(state, outcomes)
 
 

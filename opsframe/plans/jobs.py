@@ -6,8 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from opsframe.operators import job, quality, runs as life
-from opsframe.plans.domains import AS_OF, RUNS_SQL, TABLES_SQL, runs, table, tables
+from opsframe.operators import job, lifecycle, quality, read, report, runs as life
+from opsframe.plans.domains import AS_OF, AS_OF_SQL, RUNS_SQL, TABLES_SQL, runs, table, tables
 from opsframe.plans.registering import Registry
 from opsframe.plans.writes import FOLD_SQL, events_as_log
 from opsframe.session import prepare
@@ -60,13 +60,13 @@ SELECT e.run_id, e.t AS table_id, coalesce(total.n, 0) + 5 AS total_records_proc
 FROM (SELECT run_id, t FROM old UNION SELECT run_id, t FROM new
       WHERE run_id IN (SELECT run_id FROM old)) e LEFT JOIN total USING (run_id)""")
 def record_outputs(spark, sf_dir):
-    state = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey AS run_id", "array(o_custkey) AS output_tables",
-        "CAST(5 AS BIGINT) AS total_records_processed")
+    orders = table(spark, sf_dir, "orders")
+    state = orders.selectExpr("o_orderkey AS run_id", "CAST(5 AS BIGINT) AS total_records_processed")
+    outputs = orders.selectExpr("o_orderkey AS run_id", "o_custkey AS table_id", "0L AS records")
     c = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS run_id", "l_partkey AS table_id", "CAST(l_quantity AS BIGINT) AS records")
-    done = life.record_outputs(state, c, AS_OF, keys=["run_id"]).state
-    return done.select("run_id", F.explode("output_tables").alias("table_id"), "total_records_processed")
+    done = life.record_outputs(state, outputs, c, AS_OF, keys=["run_id"])
+    return done.entries.join(done.state, "run_id").select("run_id", "table_id", "total_records_processed")
 
 
 @_query("""SELECT o_custkey AS customer_id, round(sum(o_totalprice), 2) AS total_amount,
@@ -103,6 +103,38 @@ def run_log_by_day(spark, sf_dir):
     return layout.read_run_log(spark, path, datetime(2024, 1, 10, 12), datetime(2024, 1, 20))
 
 
+_LOG_COLUMNS = ["run_id", "pipeline_id", "status", "trigger_type", "start_time", "end_time", "duration_seconds"]
+
+
+def _log_by_day(spark, sf_dir):
+    path = new_path(spark, "runs")
+    log = runs(spark, sf_dir)
+    layout.write_run_log(log.select(*[c for c in _LOG_COLUMNS if c in log.columns]), path)
+    return layout.open_run_log(spark, path)
+
+
+@_query(f"""WITH {RUNS_SQL} SELECT run_id, pipeline_id, status, start_time FROM runs
+WHERE status = 'failed' AND start_time >= {AS_OF_SQL} - INTERVAL 96 HOUR""")
+def failed_runs_by_day(spark, sf_dir):
+    return read.failed_runs(_log_by_day(spark, sf_dir), AS_OF, hours=96).select(
+        "run_id", "pipeline_id", "status", "start_time")
+
+
+@_query(f"""WITH {RUNS_SQL} SELECT pipeline_id, count(*) AS total_runs,
+  round(count(*) FILTER (status = 'success') * 100.0::DOUBLE / count(*), 6) AS success_rate
+FROM runs WHERE start_time >= {AS_OF_SQL} - INTERVAL 5 DAY GROUP BY 1""")
+def run_stats_by_day(spark, sf_dir):
+    found = report.run_stats(_log_by_day(spark, sf_dir), AS_OF, 5)
+    return found.select("pipeline_id", "total_runs", F.round("success_rate", 6).alias("success_rate"))
+
+
+@_query(f"""WITH {RUNS_SQL} SELECT run_id, pipeline_id, status, start_time FROM runs
+WHERE start_time >= {AS_OF_SQL} - INTERVAL 10 DAY""")
+def purge_runs_by_day(spark, sf_dir):
+    return lifecycle.purge_runs(_log_by_day(spark, sf_dir), AS_OF, 10).select(
+        "run_id", "pipeline_id", "status", "start_time")
+
+
 @_query(FOLD_SQL)
 def fold_events_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema

@@ -124,10 +124,11 @@ def overview(spark, sf_dir):
 
 
 def _lines_as_runs(spark, sf_dir):
-    """An order line reads its part and writes to its supplier's table."""
-    return table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey AS run_id", "l_linenumber AS pipeline_id",
-        "array(l_partkey) AS input_tables", "array(l_suppkey) AS output_tables")
+    """An order line reads its parts and writes to its suppliers' tables; lines that repeat
+    their key are one run."""
+    return table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_orderkey").alias("run_id"), F.col("l_linenumber").alias("pipeline_id"),
+    ).agg(F.collect_list("l_partkey").alias("input_tables"), F.collect_list("l_suppkey").alias("output_tables"))
 
 
 _EDGES_SQL = """edges AS (

@@ -85,7 +85,7 @@ def to_item(spark, sf_dir):
 @_query(f"WITH {TABLES_SQL} SELECT * FROM tables")
 def from_item(spark, sf_dir):
     rows = tables(spark, sf_dir)
-    return items.from_item(items.to_item(rows), rows.schema)
+    return items.from_item(items.to_item(rows), rows.schema).accepted
 
 
 @_query("""SELECT conv_id, turn,

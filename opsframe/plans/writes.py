@@ -122,28 +122,29 @@ def _conditional(spark, sf_dir):
         assign={"environment": F.col("c.environment")})
 
 
-_FIRST_SQL = f"""firsts AS (SELECT l_partkey AS k, l_returnflag, l_shipdate + INTERVAL 1800 DAY AS seen
-  FROM lineitem {_LAST.format(order=_ASC)})"""
+_TRIED_SQL = f"""tried AS (
+  SELECT l_partkey AS k, l_returnflag, updated_at < l_shipdate + INTERVAL 1800 DAY AS met,
+         row_number() OVER (PARTITION BY l_partkey ORDER BY {_ASC}) AS nth
+  FROM lineitem LEFT JOIN pipelines ON pipeline_id = l_partkey),
+firsts AS (SELECT k, arg_min(l_returnflag, nth) AS l_returnflag, min(nth) AS nth FROM tried WHERE met GROUP BY 1)"""
 
 
-@_query(f"""WITH {PIPELINES_SQL}, {_FIRST_SQL}
+@_query(f"""WITH {PIPELINES_SQL}, {_TRIED_SQL}
 SELECT pipeline_id, pipeline_name, is_active, created_at,
-  CASE WHEN updated_at < seen THEN l_returnflag ELSE environment END AS environment,
-  CASE WHEN updated_at < seen THEN {AS_OF_SQL} ELSE updated_at END AS updated_at
+  CASE WHEN k IS NOT NULL THEN l_returnflag ELSE environment END AS environment,
+  CASE WHEN k IS NOT NULL THEN {AS_OF_SQL} ELSE updated_at END AS updated_at
 FROM pipelines LEFT JOIN firsts ON k = pipeline_id""")
 def conditional_update(spark, sf_dir):
     return _conditional(spark, sf_dir).state
 
 
-@_query(f"""WITH {PIPELINES_SQL}, {_FIRST_SQL},
-n AS (SELECT l_partkey AS pipeline_id, count(*) AS n FROM lineitem GROUP BY 1),
-t AS (SELECT n.pipeline_id, n, updated_at < seen AS met
-  FROM n JOIN firsts ON k = n.pipeline_id LEFT JOIN pipelines p ON p.pipeline_id = n.pipeline_id)
-SELECT pipeline_id, 'applied' AS outcome, '' AS reason, 1::BIGINT AS commands FROM t WHERE met
-UNION ALL SELECT pipeline_id, 'conflict', 'condition not met', 1 FROM t WHERE NOT met
-UNION ALL SELECT pipeline_id, 'conflict', 'an earlier command for this key was tried', n - 1
-FROM t WHERE met IS NOT NULL AND n > 1
-UNION ALL SELECT pipeline_id, 'not_found', '', n FROM t WHERE met IS NULL""")
+@_query(f"""WITH {PIPELINES_SQL}, {_TRIED_SQL},
+t AS (SELECT tried.k AS pipeline_id, CASE WHEN met IS NULL THEN 'not_found' WHEN tried.nth = f.nth THEN 'applied'
+             ELSE 'conflict' END AS outcome,
+        CASE WHEN met IS NULL OR tried.nth = f.nth THEN '' WHEN tried.nth > f.nth
+             THEN 'an earlier command for this key was applied' ELSE 'condition not met' END AS reason
+  FROM tried LEFT JOIN firsts f ON f.k = tried.k)
+SELECT pipeline_id, outcome, reason, count(*) AS commands FROM t GROUP BY ALL""")
 def conditional_outcomes(spark, sf_dir):
     return _sorted_outcomes(_conditional(spark, sf_dir))
 
@@ -231,9 +232,14 @@ def conditional_delete_outcomes(spark, sf_dir):
     return _sorted_outcomes(_conditional_delete(spark, sf_dir))
 
 
-@_query(f"""WITH {PIPELINES_SQL}, firsts AS (SELECT * FROM lineitem {_LAST.format(order=_ASC)}),
-t AS (SELECT p.*, f.*, coalesce(p.is_active, f.l_linestatus = 'F') AS met
-  FROM pipelines p FULL JOIN firsts f ON f.l_partkey = p.pipeline_id)
+_PUT_SQL = f"""put AS (SELECT l.*, coalesce(p.is_active, l.l_linestatus = 'F') AS met,
+    row_number() OVER (PARTITION BY l_partkey ORDER BY {_ASC}) AS nth
+  FROM lineitem l LEFT JOIN pipelines p ON l.l_partkey = p.pipeline_id)"""
+
+
+@_query(f"""WITH {PIPELINES_SQL}, {_PUT_SQL}, firsts AS (SELECT * FROM put WHERE met
+  QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY nth) = 1),
+t AS (SELECT p.*, f.* FROM pipelines p FULL JOIN firsts f ON f.l_partkey = p.pipeline_id)
 SELECT coalesce(pipeline_id, l_partkey) AS pipeline_id,
   CASE WHEN met AND l_partkey IS NOT NULL THEN concat('order ', l_orderkey) ELSE pipeline_name END AS pipeline_name,
   CASE WHEN met AND l_partkey IS NOT NULL THEN l_returnflag ELSE environment END AS environment,
@@ -242,12 +248,26 @@ SELECT coalesce(pipeline_id, l_partkey) AS pipeline_id,
   CASE WHEN met AND l_partkey IS NOT NULL THEN {AS_OF_SQL} ELSE updated_at END AS updated_at
 FROM t WHERE pipeline_id IS NOT NULL OR met""")
 def conditional_put(spark, sf_dir):
+    return _put(spark, sf_dir).state
+
+
+@_query(f"""WITH {PIPELINES_SQL}, {_PUT_SQL},
+firsts AS (SELECT l_partkey AS k, min(nth) AS first FROM put WHERE met GROUP BY 1)
+SELECT l_partkey AS pipeline_id, CASE WHEN nth = first THEN 'applied' ELSE 'conflict' END AS outcome,
+  CASE WHEN nth = first THEN '' WHEN nth > first THEN 'an earlier command for this key was applied'
+       ELSE 'condition not met' END AS reason, count(*) AS commands
+FROM put LEFT JOIN firsts ON k = l_partkey GROUP BY ALL""")
+def conditional_put_outcomes(spark, sf_dir):
+    return _sorted_outcomes(_put(spark, sf_dir))
+
+
+def _put(spark, sf_dir):
     c = _lines(spark, sf_dir, "l_partkey AS pipeline_id",
                "concat('order ', l_orderkey) AS pipeline_name",
                "l_returnflag AS environment", "l_linestatus = 'F' AS is_active")
     return write.conditional_put(
         pipelines(spark, sf_dir), c, _P, AS_OF, _ORDER,
-        condition=F.coalesce(F.col("s.is_active"), F.col("c.is_active"))).state
+        condition=F.coalesce(F.col("s.is_active"), F.col("c.is_active")))
 
 
 @_query(f"""WITH {PIPELINES_SQL}
@@ -274,10 +294,42 @@ SELECT coalesce(l_partkey, pipeline_id) AS pipeline_id,
   CASE WHEN l_partkey IS NULL THEN updated_at ELSE {AS_OF_SQL} END AS updated_at
 FROM pipelines FULL JOIN last ON l_partkey = pipeline_id""")
 def upsert_many(spark, sf_dir):
+    return _upserted(spark, sf_dir).state
+
+
+# Order lines whose extended price is over 50,000 name their account by a text.
+def _misfits(spark, sf_dir):
+    return _lines(spark, sf_dir, "l_partkey AS pipeline_id", "l_returnflag AS environment",
+                  "IF(l_extendedprice > 50000, 'many', IF(l_linestatus = 'F', 'true', 'false')) AS is_active")
+
+
+@_query(f"""SELECT l_partkey AS pipeline_id,
+  CASE WHEN l_extendedprice > 50000 THEN 'invalid' ELSE 'applied' END AS outcome,
+  CASE WHEN l_extendedprice > 50000 THEN 'is_active is not boolean' ELSE '' END AS reason,
+  count(*) AS commands FROM lineitem GROUP BY ALL""")
+def upsert_invalid(spark, sf_dir):
+    return _sorted_outcomes(write.upsert_many(
+        pipelines(spark, sf_dir), _misfits(spark, sf_dir), _P, AS_OF, _ORDER, max_bytes=1 << 20))
+
+
+@_query(f"""WITH {PIPELINES_SQL}, n AS (
+  SELECT l_partkey AS pipeline_id, l_partkey IN (SELECT pipeline_id FROM pipelines) AS known,
+    l_extendedprice > 50000 AS bad, count(*) AS n FROM lineitem GROUP BY ALL)
+SELECT pipeline_id, 'applied' AS outcome, '' AS reason, 1::BIGINT AS commands FROM n WHERE NOT known AND NOT bad
+UNION ALL SELECT pipeline_id, 'conflict', 'key exists', n FROM n WHERE known AND NOT bad
+UNION ALL SELECT pipeline_id, 'conflict', 'inserted by an earlier command', n - 1
+FROM n WHERE NOT known AND NOT bad AND n > 1
+UNION ALL SELECT pipeline_id, 'invalid', 'is_active is not boolean', n FROM n WHERE bad""")
+def insert_invalid(spark, sf_dir):
+    return _sorted_outcomes(write.insert_if_absent(
+        pipelines(spark, sf_dir), _misfits(spark, sf_dir), _P, AS_OF, _ORDER))
+
+
+def _upserted(spark, sf_dir):
     c = _lines(spark, sf_dir, "l_partkey AS pipeline_id",
                "concat('order ', l_orderkey) AS pipeline_name",
                "l_returnflag AS environment", "l_linestatus = 'F' AS is_active")
-    return write.upsert_many(pipelines(spark, sf_dir), c, _P, AS_OF, _ORDER).state
+    return write.upsert_many(pipelines(spark, sf_dir), c, _P, AS_OF, _ORDER)
 
 
 # -- all or nothing ---------------------------------------------------------------------
@@ -421,13 +473,23 @@ def cancel_running(spark, sf_dir):
 _R = ["run_id"]
 
 
+def _run_ids(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("run_id"))
+
+
 def _staged(spark, sf_dir):
     return table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey AS run_id",
-        """array(named_struct('stage_name', 'line-1', 'status', 'pending', 'records_processed', 0L),
-                 named_struct('stage_name', 'check', 'status', o_orderstatus, 'records_processed', 0L))
-           AS stages""",
-        "map('line-1', CAST(0 AS BIGINT), 'checks', o_custkey) AS metrics")
+        "o_orderkey AS run_id", "o_orderstatus", "explode(array(0, 1)) AS n",
+    ).selectExpr(
+        "run_id", "IF(n = 0, 'line-1', 'check') AS stage_name", "IF(n = 0, 'pending', o_orderstatus) AS status",
+        "0L AS records_processed", "CAST(NULL AS TIMESTAMP_NTZ) AS l_shipdate", "run_id AS l_orderkey",
+        "n AS l_linenumber", "CAST(NULL AS BIGINT) AS l_suppkey", "CAST(NULL AS DOUBLE) AS l_extendedprice")
+
+
+def _measured(spark, sf_dir):
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS run_id", "inline(array(named_struct('name', 'line-1', 'value', 0L), "
+        "named_struct('name', 'checks', 'value', o_custkey)))")
 
 
 def _stage_commands(spark, sf_dir):
@@ -438,9 +500,9 @@ def _stage_commands(spark, sf_dir):
         "map(concat('line-', l_linenumber), CAST(l_quantity AS BIGINT)) AS metrics")
 
 
-def _long_stages(state):
-    return state.select("run_id", F.posexplode("stages").alias("pos", "stage")).select(
-        "run_id", "pos", "stage.*")
+def _numbered(stages):
+    placed = life.positions(stages, _R, _ORDER).withColumn("pos", F.col("pos").cast("int"))
+    return placed.select("run_id", "pos", "stage_name", "status", "records_processed")
 
 
 _STATE_STAGES = """old AS (
@@ -464,8 +526,9 @@ SELECT run_id, pos, stage_name, coalesce(last.status, old.status) AS status,
 FROM old LEFT JOIN last USING (run_id, stage_name)
 UNION ALL SELECT * FROM added""")
 def stage_upsert(spark, sf_dir):
-    change = life.stage_upsert(_staged(spark, sf_dir), _stage_commands(spark, sf_dir), AS_OF, _ORDER, _R)
-    return _long_stages(change.state)
+    change = life.stage_upsert(_run_ids(spark, sf_dir), _staged(spark, sf_dir),
+                               _stage_commands(spark, sf_dir), AS_OF, _ORDER, _R)
+    return _numbered(change.entries)
 
 
 @_query(f"""WITH {_STATE_STAGES}
@@ -474,8 +537,9 @@ UNION ALL SELECT l_orderkey, CAST(1 + row_number() OVER (PARTITION BY l_orderkey
   concat('line-', l_linenumber), l_linestatus, CAST(l_quantity AS BIGINT)
 FROM lineitem WHERE l_orderkey IN (SELECT run_id FROM old)""")
 def stage_append(spark, sf_dir):
-    change = life.stage_append(_staged(spark, sf_dir), _stage_commands(spark, sf_dir), AS_OF, _ORDER, _R)
-    return _long_stages(change.state)
+    change = life.stage_append(_run_ids(spark, sf_dir), _staged(spark, sf_dir),
+                               _stage_commands(spark, sf_dir), AS_OF, _ORDER, _R)
+    return _numbered(change.entries)
 
 
 @_query(f"""WITH last AS (SELECT l_orderkey AS run_id, concat('line-', l_linenumber) AS name,
@@ -489,8 +553,7 @@ FROM old FULL JOIN last USING (run_id, name)
 WHERE coalesce(old.run_id, last.run_id) IN (SELECT o_orderkey FROM orders)""")
 def metrics_merge(spark, sf_dir):
     c = _stage_commands(spark, sf_dir).drop("stage")
-    change = life.metrics_merge(_staged(spark, sf_dir), c, AS_OF, _ORDER, _R)
-    return change.state.select("run_id", F.explode("metrics").alias("name", "value"))
+    return life.metrics_merge(_run_ids(spark, sf_dir), _measured(spark, sf_dir), c, AS_OF, _ORDER, _R).entries
 
 
 # -- event fold -------------------------------------------------------------------------

@@ -36,6 +36,12 @@ def read_run_log(spark: SparkSession, path: str, start: datetime | None = None,
     return log.drop("day")
 
 
+def open_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log with its ``day``; every read, report and purge with a time bound then opens
+    the folders of its days alone."""
+    return spark.read.parquet(path)
+
+
 def save_bucketed(state: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str) -> None:
     """A state kept in buckets of its key, so that applying commands does not shuffle it."""
     (state.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)

@@ -204,3 +204,31 @@ def test_metadata():
 def test_filter_on_null_and_empty(runs):
     assert match_all({}) is None and match_all(None) is None
     assert runs.where(match_all({"status": None})).count() == 1
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_pages_hold_null_sort_values(spark, ascending):
+    rows = [(k, None if k % 5 < 2 else k // 4) for k in range(23)]
+    table = spark.createDataFrame(rows, "pipeline_id bigint, created_at bigint")
+    for limit in (1, 3, 23, 50):
+        seen, token = [], None
+        while True:
+            page = read.fetch_page(table, PIPELINES, limit=limit, sort="created_at", ascending=ascending, after=token)
+            seen += [r.pipeline_id for r in page.rows]
+            token = page.token
+            if token is None:
+                break
+        expected = [r.pipeline_id for r in read.query(table, PIPELINES, sort="created_at", ascending=ascending).collect()]
+        assert seen == expected and len(seen) == 23
+
+
+def test_late_filter_moves_the_token_past_what_it_drops(spark):
+    table = spark.createDataFrame([(k, k % 7 == 6) for k in range(30)], "pipeline_id bigint, is_active boolean")
+    seen, token, pages = [], None, 0
+    while True:
+        page = read.fetch_page(table, PIPELINES, limit=4, where={"is_active": True}, limit_first=True, after=token)
+        seen += [r.pipeline_id for r in page.rows]
+        token, pages = page.token, pages + 1
+        if token is None:
+            break
+    assert seen == [6, 13, 20, 27] and pages == 8 and set(page.rows[0].asDict() if page.rows else {"pipeline_id": 0, "is_active": 0}) == {"pipeline_id", "is_active"}

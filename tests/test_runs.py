@@ -78,11 +78,16 @@ def test_cancel_running(spark, state):
     assert {r.error_message for r in life.cancel_running(state, NOW).state.collect()} == {"Cancelled"}
 
 
-def stage_state(spark):
+def run_ids(spark):
+    return spark.createDataFrame([("r1", "a"), ("r2", "a")], "run_id string, pipeline_id string")
+
+
+STAGE = "run_id string, pipeline_id string, seq int, stage_name string, status string, records_processed bigint"
+
+
+def stages(spark):
     return spark.createDataFrame(
-        [("r1", "a", [("load", "running", None), ("load", "old", None), ("sink", "pending", None)], {"x": 1}),
-         ("r2", "a", None, None)],
-        f"run_id string, pipeline_id string, stages {STAGES}, metrics map<string,bigint>")
+        [("r1", "a", -3, "load", "running", None), ("r1", "a", -2, "load", "old", None), ("r1", "a", -1, "sink", "pending", None)], STAGE)
 
 
 def stage_commands(spark):
@@ -93,54 +98,73 @@ def stage_commands(spark):
         "run_id string, pipeline_id string, seq int, stage struct<stage_name: string, status: string, records_processed: bigint>")
 
 
+def listed(entries, run):
+    placed = life.positions(entries, life.KEYS, ["seq"]).where(F.col("run_id") == run).orderBy("pos").collect()
+    assert [r.pos for r in placed] == list(range(len(placed)))
+    return [(r.stage_name, r.status, r.records_processed) for r in placed]
+
+
 def test_stage_upsert_replaces_in_place(spark):
-    change = life.stage_upsert(stage_state(spark), stage_commands(spark), NOW, ["seq"])
-    rows = by_run(change.state)
-    assert [tuple(s) for s in rows["r1"].stages] == [
+    change = life.stage_upsert(run_ids(spark), stages(spark), stage_commands(spark), NOW, ["seq"])
+    assert listed(change.entries, "r1") == [
         ("load", "completed", 5000), ("load", "old", None), ("sink", "pending", None), ("new", "running", 0)]
-    assert [s.stage_name for s in rows["r2"].stages] == ["only"]
+    assert listed(change.entries, "r2") == [("only", "running", 0)] and listed(change.entries, "zz") == []
     found = {(r.run_id, r.outcome, r.reason, r.commands) for r in change.outcomes.collect()}
     assert found == {("r1", "applied", None, 3), ("r1", "invalid", "stage_name missing", 1),
                      ("r2", "applied", None, 1), ("zz", "not_found", None, 1)}
 
 
 def test_stage_append_keeps_every_command(spark):
-    rows = by_run(life.stage_append(stage_state(spark), stage_commands(spark), NOW, ["seq"]).state)
-    assert [s.status for s in rows["r1"].stages] == ["running", "old", "pending", "half", "completed", "running"]
+    change = life.stage_append(run_ids(spark), stages(spark), stage_commands(spark), NOW, ["seq"])
+    assert [s[1] for s in listed(change.entries, "r1")] == ["running", "old", "pending", "half", "completed", "running"]
 
 
 def test_appended_stage_gets_the_clock_where_stages_hold_one(spark):
-    state = spark.createDataFrame([("r1", "a", [])], "run_id string, pipeline_id string, stages array<struct<stage_name: string, timestamp: timestamp>>")
-    done = life.stage_append(state, stage_commands(spark), NOW, ["seq"]).state
-    assert {s.timestamp for s in by_run(done)["r1"].stages} == {NOW}
+    old = spark.createDataFrame([], "run_id string, pipeline_id string, seq int, stage_name string, timestamp timestamp")
+    done = life.stage_append(run_ids(spark), old, stage_commands(spark), NOW, ["seq"]).entries
+    assert {r.timestamp for r in done.collect()} == {NOW} and done.count() == 4
 
 
-def test_nested_data_beyond_an_item_is_refused_and_the_rest_applied(spark):
-    c = stage_commands(spark).unionByName(spark.range(2000).selectExpr(
-        "'r2' AS run_id", "'a' AS pipeline_id", "CAST(id AS INT) + 10 AS seq",
-        "named_struct('stage_name', concat('s', id), 'status', 'x', 'records_processed', 0L) AS stage"))
-    change = life.stage_upsert(stage_state(spark), c, NOW, ["seq"], max_bytes=10_000)
-    rows = by_run(change.state)
-    assert rows["r2"].stages is None and len(rows["r1"].stages) == 4
-    assert ("r2", "invalid", 2001) in {(r.run_id, r.outcome, r.commands) for r in change.outcomes.collect()}
+def test_many_stages_are_alike_in_one_batch_and_in_four(spark):
+    """20,000 stages of one run: no batch is too large, and the cut of the log is not seen."""
+    c = spark.range(20_000).selectExpr(
+        "'r2' AS run_id", "'a' AS pipeline_id", "CAST(id AS INT) AS seq",
+        "named_struct('stage_name', concat('s', id % 15000), 'status', concat('x', id), 'records_processed', id) AS stage")
+    whole = life.stage_upsert(run_ids(spark), stages(spark), c, NOW, ["seq"])
+    assert {(r.outcome, r.commands) for r in whole.outcomes.collect()} == {("applied", 20_000)}
+    parts = stages(spark)
+    for k in range(4):
+        parts = life.stage_upsert(run_ids(spark), parts, c.where(f"seq div 5000 = {k}"), NOW, ["seq"]).entries
+    assert whole.entries.exceptAll(parts).count() == 0 and parts.count() == 15_003
+
+
+def test_stage_values_that_do_not_fit_are_invalid(spark):
+    c = spark.createDataFrame([("r1", "a", 1, ("load", "done", "many")), ("r1", "a", 2, ("sink", "done", "7"))],
+                              "run_id string, pipeline_id string, seq int, stage struct<stage_name: string, status: string, records_processed: string>")
+    change = life.stage_upsert(run_ids(spark), stages(spark), c, NOW, ["seq"])
+    assert listed(change.entries, "r1") == [("load", "running", None), ("load", "old", None), ("sink", "done", 7)]
+    assert {(r.outcome, r.reason) for r in change.outcomes.collect()} == {("invalid", "records_processed is not bigint"), ("applied", None)}
 
 
 def test_metrics_merge(spark):
-    c = spark.createDataFrame([("r1", "a", {"x": 2, "y": 3}, 1), ("r1", "a", {"y": 4}, 2), ("r2", "a", {}, 1)],
+    old = spark.createDataFrame([("r1", "a", "x", 1)], "run_id string, pipeline_id string, name string, value bigint")
+    c = spark.createDataFrame([("r1", "a", {"x": 2, "y": 3}, 1), ("r1", "a", {"y": 4}, 2), ("r2", "a", {}, 1), ("zz", "a", {"q": 1}, 1)],
                               "run_id string, pipeline_id string, metrics map<string,bigint>, seq int")
-    change = life.metrics_merge(stage_state(spark), c, NOW, ["seq"])
-    assert by_run(change.state)["r1"].metrics == {"x": 2, "y": 4}
-    assert ("r2", "invalid") in {(r.run_id, r.outcome) for r in change.outcomes.collect()}
+    change = life.metrics_merge(run_ids(spark), old, c, NOW, ["seq"])
+    assert {(r.run_id, r.name, r.value) for r in change.entries.collect()} == {("r1", "x", 2), ("r1", "y", 4)}
+    assert {(r.run_id, r.outcome) for r in change.outcomes.collect()} == {("r1", "applied"), ("r2", "invalid"), ("zz", "not_found")}
 
 
 def test_record_outputs(spark):
-    state = spark.createDataFrame([("r1", "a", ["t1"], 5), ("r2", "a", None, None)],
-                                  "run_id string, pipeline_id string, output_tables array<string>, total_records_processed bigint")
-    c = spark.createDataFrame([("r1", "a", "t1", 10), ("r1", "a", "t2", 1), ("r2", "a", "t3", 7)],
+    state = spark.createDataFrame([("r1", "a", 5, AT), ("r2", "a", None, AT)],
+                                  "run_id string, pipeline_id string, total_records_processed bigint, updated_at timestamp")
+    old = spark.createDataFrame([("r1", "a", "t1", 5)], "run_id string, pipeline_id string, table_id string, records bigint")
+    c = spark.createDataFrame([("r1", "a", "t1", 10), ("r1", "a", "t2", 1), ("r2", "a", "t3", 7), ("zz", "a", "t", 1)],
                               "run_id string, pipeline_id string, table_id string, records bigint")
-    rows = by_run(life.record_outputs(state, c, NOW).state)
-    assert (rows["r1"].output_tables, rows["r1"].total_records_processed) == (["t1", "t2"], 16)
-    assert (rows["r2"].output_tables, rows["r2"].total_records_processed) == (["t3"], 7)
+    change = life.record_outputs(state, old, c, NOW)
+    rows = by_run(change.state)
+    assert (rows["r1"].total_records_processed, rows["r2"].total_records_processed, rows["r2"].updated_at) == (16, 7, NOW)
+    assert {(r.run_id, r.table_id, r.records) for r in change.entries.collect()} == {("r1", "t1", 15), ("r1", "t2", 1), ("r2", "t3", 7)}
 
 
 # -- fold -------------------------------------------------------------------------------

@@ -6,14 +6,16 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from opsframe.operators import report, runs as life, write
+from opsframe.operators import lifecycle, read, report, runs as life, write
 from opsframe.operators.joins import split_join
 from opsframe.plans import registry
 from opsframe.plans.domains import AS_OF, runs, tables
+from opsframe.schema import RUNS
 from opsframe.sources import layout
 
 SF_DIR = "/root/testdata/sf0.001"
-EAGER = {"config_write", "write_stats", "job_run", "fold_events_stream", "run_log_by_day"}
+EAGER = {"config_write", "write_stats", "job_run", "fold_events_stream", "run_log_by_day", "all_pages",
+         "all_pages_limit_first", "failed_runs_by_day", "run_stats_by_day", "purge_runs_by_day"}
 
 
 def plan(df, mode="formatted") -> str:
@@ -109,16 +111,35 @@ def test_a_short_command_list_leaves_the_state_unshuffled(spark, tmp_path):
     assert "Exchange" not in branch.replace("BroadcastHashJoin", "")
 
 
-def test_nested_writes_reduce_their_commands_once(spark, no_broadcast):
-    """The size check and the gathering share one shuffle of the reduced commands."""
-    for name in ("stage_upsert", "metrics_merge", "record_outputs"):
-        query = registry.queries()[name](spark, SF_DIR)
-        spark.conf.set("spark.sql.adaptive.enabled", "false")  # reuse is decided before running
-        try:
-            text = query._jdf.queryExecution().executedPlan().toString()
-        finally:
-            spark.conf.set("spark.sql.adaptive.enabled", "true")
-        assert text.count("lineitem.parquet") == 1 and "ReusedExchange" in text, name
+def scans(df, file: str) -> int:
+    return plan(df, "simple").count(f"/{file}.parquet")
+
+
+def test_a_write_reads_its_inputs_few_times(spark, no_broadcast):
+    """The state with its columns once and its keys once; the commands once for each."""
+    state = spark.read.parquet(f"{SF_DIR}/orders.parquet").selectExpr("o_orderkey AS table_id", "o_totalprice AS size_bytes")
+    c = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").selectExpr(
+        "l_partkey AS table_id", "l_extendedprice AS size_bytes", "l_orderkey AS seq")
+    changed = write.upsert(state, c, ["table_id"], AS_OF, ["seq"]).state
+    assert (scans(changed, "orders"), scans(changed, "lineitem")) == (2, 2)
+    assert plan(changed, "simple").count("SortMergeJoin") == 2
+
+
+def test_days_are_pruned_by_every_bound_on_the_start(spark, tmp_path):
+    path = str(tmp_path / "log")
+    layout.write_run_log(runs(spark, SF_DIR).select("run_id", "pipeline_id", "status", "start_time", "duration_seconds"), path)
+    log = layout.open_run_log(spark, path)
+    bounded = [read.failed_runs(log, AS_OF, hours=24), read.recent_runs(log, 7, AS_OF), report.run_stats(log, AS_OF, 5),
+               report.status_counts(log, AS_OF, 5), report.runs_by_day(log, AS_OF, 5), report.run_report(log, AS_OF, 5),
+               lifecycle.purge_runs(log, AS_OF, 5), lifecycle.purged_runs(log, AS_OF, 5),
+               read.index_query(log, RUNS, "PipelineRunsIndex", 7, op="gte", low=AS_OF)]
+    for df in bounded:
+        assert re.search(r"PartitionFilters: \[[^\]]*day[^\]]*[<>]= 2024-01-", plan(df)), plan(df)
+
+
+def test_rules_are_worked_out_once(spark):
+    text = plan(registry.queries()["rejected_rows"](spark, SF_DIR), "simple")
+    assert text.count("get_json_object") <= 2 * 2
 
 
 # -- hot keys ---------------------------------------------------------------------------
@@ -183,17 +204,16 @@ def test_hot_key_results_are_whole(spark, hot, no_broadcast):
     assert report.count_by(hot, "run_id").where("n > 1").first().n == HOT
 
 
-def test_hot_list_is_refused_and_never_gathered(spark, hot, no_broadcast):
-    """The hot run would need more nested data than an item holds; all others are applied."""
-    state = spark.range(-1, 3 * HOT).selectExpr(
-        "id AS run_id", "0L AS pipeline_id",
-        "CAST(array() AS ARRAY<STRUCT<stage_name: STRING, status: STRING>>) AS stages")
+def test_hot_run_takes_all_its_stages(spark, hot, no_broadcast):
+    known = spark.range(-1, 3 * HOT).selectExpr("id AS run_id", "0L AS pipeline_id")
+    old = hot.limit(0).selectExpr("run_id", "pipeline_id", "seq", "name AS stage_name", "status")
     c = hot.selectExpr("run_id", "pipeline_id", "seq",
                        "named_struct('stage_name', concat('s', seq), 'status', status) AS stage")
-    change = life.stage_append(state, c, AS_OF, ["seq"])
-    assert change.state.where("size(stages) = 1").count() == 2 * HOT
-    refused = change.outcomes.where("outcome = 'invalid'").collect()
-    assert [(r.run_id, r.commands) for r in refused] == [(-1, HOT)]
+    change = life.stage_append(known, old, c, AS_OF, ["seq"])
+    placed = life.positions(change.entries, life.KEYS, ["seq"]).where("run_id = -1")
+    row = placed.agg(F.count("*"), F.count_distinct("pos"), F.max("pos"), F.bool_and(F.col("pos") == F.col("seq"))).first()
+    assert tuple(row) == (HOT, HOT, HOT - 1, True)
+    assert change.outcomes.where("outcome <> 'applied'").count() == 0
 
 
 @pytest.fixture
@@ -223,12 +243,12 @@ def test_hot_key_of_a_join_is_split(spark, hot, tiny_splits):
     assert "skew=true" in executed(joined)
 
 
-def test_hot_list_is_split_before_it_is_refused(spark, hot, tiny_splits):
-    state = spark.range(-1, 3 * HOT).selectExpr(
-        "id AS run_id", "0L AS pipeline_id", "CAST(array() AS ARRAY<STRUCT<stage_name: STRING>>) AS stages")
+def test_hot_run_of_entries_is_split(spark, hot, tiny_splits):
+    known = spark.range(-1, 3 * HOT).selectExpr("id AS run_id", "0L AS pipeline_id")
+    old = hot.limit(0).selectExpr("run_id", "pipeline_id", "seq", "name AS stage_name")
     c = hot.selectExpr("run_id", "pipeline_id", "seq",
                        "named_struct('stage_name', sha2(CAST(seq AS STRING), 256)) AS stage")
-    assert "skew=true" in executed(life.stage_append(state, c, AS_OF, ["seq"]).state)
+    assert "skew=true" in executed(life.stage_append(known, old, c, AS_OF, ["seq"]).entries)
 
 
 def test_cancelling_a_hot_pipeline_is_split(spark, hot, tiny_splits):

@@ -97,7 +97,7 @@ def test_item_round_trip(spark):
     assert first["flag"] == "true" and first["at"] == "2024-01-15T12:00:00.000005+00:00"
     assert first["tags"] == {"k": None, "b": "true"}  # a null inside a map stays
     assert json.loads(stored.collect()[1].item) == {"id": "b", "tags": {}, "parts": []}
-    assert items.from_item(stored, df.schema).collect() == df.collect()
+    assert items.from_item(stored, df.schema).accepted.collect() == df.collect()
 
 
 def test_free_form_fields_round_trip(spark):
@@ -108,14 +108,14 @@ def test_free_form_fields_round_trip(spark):
     item = json.loads(stored.first().item)
     assert item["config"] == {"a": {"on": "true", "n": None, "l": [1, 2.5, "x"]}, "e": {}}
     assert "spark_config" not in item
-    back = items.from_item(stored, df.schema)
+    back = items.from_item(stored, df.schema).accepted
     assert back.select(F.to_json("config")).first() == df.select(F.to_json("config")).first()
     assert back.select(F.variant_get("config", "$.a.on", "boolean").alias("on")).first().on is True
 
 
 def test_only_declared_booleans_convert(spark):
     stored = spark.createDataFrame([('{"id":"true","flag":"TRUE"}',)], "item string")
-    row = items.from_item(stored, T.StructType.fromDDL("id string, flag boolean")).first()
+    row = items.from_item(stored, T.StructType.fromDDL("id string, flag boolean")).accepted.first()
     assert (row.id, row.flag) == ("true", True)
 
 
@@ -132,7 +132,7 @@ def test_greedy_texts_to_bools(spark):
 @pytest.mark.parametrize("value", ["15.75", "15.123456789", "0.000000001", "999999999.999", "123.0", "0", "-15.75"])
 def test_decimals_survive(spark, value):
     df = spark.createDataFrame([(Decimal(value),)], "d decimal(38,18)")
-    assert items.from_item(items.to_item(df), df.schema).first().d == Decimal(value)
+    assert items.from_item(items.to_item(df), df.schema).accepted.first().d == Decimal(value)
 
 
 def test_json_field(spark):
@@ -284,3 +284,40 @@ def test_naive_times_become_utc_and_instants_stay(spark):
     assert row.instant == datetime(2024, 1, 1, 10)
     only = times.to_utc(df, "America/New_York", columns=[]).first()
     assert only.naive == datetime(2024, 1, 1, 10)
+
+
+def test_items_that_cannot_be_read_are_rejected_with_their_fields(spark):
+    kind = T.StructType.fromDDL("id string, ok boolean, at timestamp, n bigint, parts array<struct<name: string, done: boolean, k: bigint>>")
+    texts = ['{"id":"a","ok":"true","at":"2024-01-15T12:00:00Z","n":3,"parts":[{"name":"x","done":"false","k":1}]}', '{"id":"b"}',
+             '{"id":"c","n":null,"parts":[]}', 'not json', '{"id":"d","ok":"yes"}', '{"id":"e","at":"bad","ok":"no"}', '{"id":"f","n":"x"}',
+             '{"id":"g","parts":[{"done":"maybe"}]}', '{"id":"h","parts":[{"k":"oops"}]}', None]
+    loaded = items.from_item(spark.createDataFrame([(t,) for t in texts], "item string"), kind)
+    assert {r.id for r in loaded.accepted.collect()} == {"a", "b", "c"}
+    found = {r.item: set(r.errors) for r in loaded.rejected.collect()}
+    assert found[texts[3]] == {"item"} and found[texts[4]] == {"ok"} and found[texts[5]] == {"ok", "at"}
+    assert found[texts[6]] & {"n", "item"} and found[texts[7]] == {"parts"} and found[texts[8]] & {"parts", "item"} and found[None] == {"item"}
+
+
+@pytest.mark.parametrize("text, ok", [
+    ("12:30", False), ("T10:00:00", False), ("2024", False), ("2024-1-5", False), ("", False), (" 2024-01-15", False),
+    ("2024-01-15", True), ("2024-01-15T10:00", True), ("2024-01-15 10:00:00.123456+02:00", True), ("2024-13-01", False)])
+def test_only_iso_text_is_a_time(spark, text, ok):
+    row = spark.createDataFrame([(text,)], "t string").select(times.parse_iso(F.col("t")).alias("t")).first()
+    assert (row.t is not None) == ok
+
+
+def test_checks_compare_in_the_measure_s_own_type(spark):
+    df = spark.createDataFrame([(2**53 + 1, "b"), (1, "a"), (1, "a")], "n bigint, t string")
+    found = {r.check_name: r for r in quality.dq_results(df, [
+        {"name": "top", "measure": "max", "column": "n", "max": 2**53},
+        {"name": "first", "measure": "min", "column": "t", "min": "a", "max": "a"},
+        {"name": "kinds", "measure": "distinct_count", "column": "n", "min": 2, "max": 2},
+        {"name": "about", "measure": "approx_distinct_count", "column": "n", "max": 9}]).collect()}
+    assert [found[n].passed for n in ("top", "first", "kinds", "about")] == [False, True, True, True]
+    assert found["first"].actual_value is None
+
+
+def test_texts_that_are_no_values_break_a_type_rule(spark):
+    rows = spark.createDataFrame([("1", "x"), (None, "2.5")], "n string, m string")
+    checked = rules.check(rows, rules.type_rules(rows, {"n": "bigint", "m": "decimal(5,2)", "absent": "int"}))
+    assert sorted(r.errors for r in checked.collect()) == [[], ["m_type"]]

@@ -77,7 +77,7 @@ def test_conditional_update_is_an_optimistic_lock(spark, state):
     assert rows["p1"].cores == 5 and rows["p1"].updated_at == NOW
     assert rows["p2"].cores == 2 and rows["p2"].updated_at == T0
     assert outcomes(change) == [
-        ("p1", "applied", None, 1), ("p1", "conflict", "an earlier command for this key was tried", 1),
+        ("p1", "applied", None, 1), ("p1", "conflict", "an earlier command for this key was applied", 1),
         ("p2", "conflict", "condition not met", 1), ("zz", "not_found", None, 1)]
 
 
@@ -123,7 +123,7 @@ def test_conditional_put(spark, state):
     assert (rows["p1"].name, rows["p1"].created_at, rows["p1"].updated_at) == ("uno", T0, NOW)
     assert rows["p2"].name == "two" and "p9" not in rows
     assert outcomes(locked) == [
-        ("p1", "applied", None, 1), ("p1", "conflict", "an earlier command for this key was tried", 1),
+        ("p1", "applied", None, 1), ("p1", "conflict", "an earlier command for this key was applied", 1),
         ("p2", "conflict", "condition not met", 1), ("p9", "conflict", "condition not met", 1)]
     fresh = write.conditional_put(state, c, K, NOW, ["seq"], F.col("s.pipeline_id").isNull())
     assert by_key(fresh.state)["p9"].created_at == NOW and by_key(fresh.state)["p1"].name == "one"
@@ -143,7 +143,8 @@ def test_upsert_keeps_created_at_and_takes_the_last(spark, state):
 def test_size_gate_rejects_the_whole_batch(spark, state, rows):
     c = spark.createDataFrame([("a", "x", 1), ("big", "x" * 450_000, 2), ("b", "y", 3)],
                               "pipeline_id string, name string, seq int")
-    change = write.upsert_many(state, c, K, NOW, ["seq"])
+    assert len(by_key(write.upsert_many(state, c, K, NOW, ["seq"]).state)) == 5  # no gate unless asked for
+    change = write.upsert_many(state, c, K, NOW, ["seq"], max_bytes=400 * 1024)
     assert rows(change.state) == rows(state)
     assert outcomes(change) == [
         ("a", "conflict", "batch rejected", 1), ("b", "conflict", "batch rejected", 1),
@@ -195,3 +196,42 @@ def test_archive_and_purge(spark, rows):
     runs = spark.createDataFrame([("r1", T0), ("r2", datetime(2024, 1, 2))], "run_id string, start_time timestamp")
     assert rows(lifecycle.purge_runs(runs, NOW, 30), "run_id") == [("r2",)]
     assert rows(lifecycle.purged_runs(runs, NOW, 30), "run_id") == [("r1",)]
+
+
+def test_the_command_that_holds_is_not_hidden_by_an_earlier_one(spark, state):
+    """The row is at 1: who expects 9 fails, who expects 1 comes second and is applied."""
+    c = spark.createDataFrame([("p1", 9, 50, 1), ("p1", 1, 60, 2), ("p1", 1, 70, 3), ("p1", 9, 80, 4), (None, 1, 1, 1)],
+                              "pipeline_id string, expected bigint, cores bigint, seq int")
+    change = write.conditional_update(state, c, K, NOW, ["seq"], F.col("s.cores") == F.col("c.expected"), {"cores": F.col("c.cores")})
+    assert by_key(change.state)["p1"].cores == 60
+    assert sorted(outcomes(change), key=repr) == sorted([
+        ("p1", "applied", None, 1), ("p1", "conflict", "condition not met", 1),
+        ("p1", "conflict", "an earlier command for this key was applied", 2), (None, "invalid", "key missing", 1)], key=repr)
+    put = write.conditional_put(state, c.drop("expected"), K, NOW, ["seq"], F.col("c.cores") > 65)
+    assert by_key(put.state)["p1"].cores == 70
+    assert ("p1", "conflict", "condition not met", 2) in outcomes(put)
+
+
+def test_a_value_that_does_not_fit_is_an_outcome(spark, state):
+    c = spark.createDataFrame([("p1", "x", 1), ("p2", "7", 1), ("p8", "y", 1), ("p9", "8", 1)], "pipeline_id string, cores string, seq int")
+    unfit = "cores is not bigint"
+    change = write.upsert(state, c, K, NOW, ["seq"])
+    rows = by_key(change.state)
+    assert (rows["p1"].cores, rows["p2"].cores, rows["p9"].cores) == (1, 7, 8) and "p8" not in rows
+    assert outcomes(change) == [("p1", "invalid", unfit, 1), ("p2", "applied", None, 1), ("p8", "invalid", unfit, 1), ("p9", "applied", None, 1)]
+    fresh = write.insert_if_absent(state, c, K, NOW, ["seq"])
+    assert outcomes(fresh) == [("p1", "invalid", unfit, 1), ("p2", "conflict", "key exists", 1), ("p8", "invalid", unfit, 1), ("p9", "applied", None, 1)]
+    told = write.update_given(state, c, K, NOW, ["seq"], ["cores"])
+    assert (by_key(told.state)["p1"].cores, by_key(told.state)["p2"].cores) == (1, 7)
+    put = write.conditional_put(state, c, K, NOW, ["seq"], F.lit(True))
+    assert ("p1", "invalid", unfit, 1) in outcomes(put) and by_key(put.state)["p2"].cores == 7
+
+
+def test_nested_values_that_do_not_fit_are_refused(spark):
+    s = spark.createDataFrame([("p1", [("x", 1)])], "pipeline_id string, parts array<struct<name: string, n: bigint>>")
+    c = spark.createDataFrame([("p1", {"parts": '[{"name":"y","n":"oops"}]'}, 1), ("p1", {"parts": "[{"}, 2), ("p1", {"parts": '[{"name":"z"}]'}, 3)],
+                              "pipeline_id string, fields map<string,string>, seq int")
+    change = write.partial_update(s, c.where("seq < 3"), K, NOW, ["seq"])
+    assert [tuple(p) for p in change.state.first().parts] == [("x", 1)]
+    assert [o[1] for o in outcomes(change)] == ["invalid"]
+    assert [tuple(p) for p in write.partial_update(s, c, K, NOW, ["seq"]).state.first().parts] == [("z", None)]
