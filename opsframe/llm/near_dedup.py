@@ -90,81 +90,165 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                       .otherwise(in_sketch >= least_common(percent))).select("a", "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets have the similarity. Only texts in a pair are hashed again."""
-    pairs = saved(pairs, "candidates")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-
+def _sets_of(docs: DataFrame, asked: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """``node`` and ``set`` (the full set as raw 64-bit numbers) of the asked nodes. Only their
+    texts are hashed again; sets of all documents are never kept."""
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in small_batches(batches, "text"):
-            sets = list(shingle_sets([t or "" for t in batch.column("text").to_pylist()], words))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
+            sets = [s.tobytes() for s in shingle_sets([t or "" for t in batch.column("text").to_pylist()], words)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "set"])
 
     texts = docs.select(F.col(key).cast("bigint").alias("node"), F.col(text).alias("text")).join(asked, "node", "left_semi")
-    sets = saved(texts.mapInArrow(run, "node bigint, set array<bigint>"), "sets")
+    return texts.mapInArrow(run, "node bigint, set binary")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
+    """The pairs whose full sets have the similarity."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            a, b, sa, sb = (batch.column(c).to_pylist() for c in ("a", "b", "sa", "sb"))
+            held = []
+            for k, (x, y) in enumerate(zip(sa, sb, strict=True)):
+                x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if common * 100 >= (len(x) + len(y) - common) * percent:
+                    held.append(k)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([side[k] for k in held], pa.int64()) for side in (a, b)], names=["a", "b"])
+
+    pairs = saved(pairs, "candidates")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = saved(_sets_of(docs, asked, key, text, words), "sets")
     side = lambda s: sets.select(F.col("node").alias(s), F.col("set").alias(f"s{s}"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(side("b"), "b").join(side("a"), "a").where(
-        common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b")
+    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _across(batches: Iterator[pa.RecordBatch], percent: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components that share enough of their sketches, list by list.
+class _Merged(dict):
+    """A union-find forest of numbers."""
 
-    The rows of a list, or of two blocks of a long one, follow each other; they are held
-    together, and the rarer components are looked up in the inverted sketches of the rest.
-    """
+    def root(self, k: int) -> int:
+        while (up := self.setdefault(k, k)) != k:
+            self[k] = self[up]
+            k = up
+        return k
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.root(a), self.root(b)
+        self[max(a, b)] = min(a, b)
+        return a != b
+
+
+class _Block:
+    """Nodes compared within one task: their sets or sketches in inverted form."""
+
+    def __init__(self, members: list[tuple]):
+        self.node, self.n, self.component, self.part = (np.array([m[k] for m in members], np.int64) for k in range(4))
+        values = [m[4] for m in members]
+        sizes = np.array([len(v) for v in values])
+        distinct, self.code = np.unique(np.concatenate(values), return_inverse=True)
+        owner = np.repeat(np.arange(len(members)), sizes)
+        self.holders = owner[np.argsort(self.code, kind="stable")]
+        self.begin = np.concatenate([[0], np.cumsum(np.bincount(self.code, minlength=len(distinct)))])
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+
+    def pairs(self, apart: bool, near) -> Iterator[tuple[int, int]]:
+        """Pairs of different components, and of different parts if ``apart``, for which
+        ``near(shared, size, sizes)`` holds. The largest component is only compared with."""
+        names, counts = np.unique(self.component, return_counts=True)
+        largest = names[np.argmax(counts)]
+        for k in np.flatnonzero(self.component != largest):
+            lists = [self.holders[self.begin[c]:self.begin[c + 1]] for c in self.code[self.first[k]:self.first[k + 1]]]
+            shared = np.bincount(np.concatenate(lists), minlength=len(self.node))
+            found = near(shared, self.n[k], self.n) & (self.component != self.component[k])
+            if apart:
+                found &= self.part != self.part[k]
+            for other in np.flatnonzero(found):
+                yield int(k), int(other)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], decode) -> Iterator[tuple[bool, _Block]]:
+    """The rows of a group, or of two blocks of a large one, which follow each other."""
     def rows():
         for batch in batches:
-            yield from zip(*(batch.column(c).to_pylist() for c in (
-                "list", "i", "j", "node", "n", "component", "part", "sketch")), strict=True)
+            yield from zip(*(batch.column(c).to_pylist() for c in ("list", "i", "j", "node", "n", "component", "part")),
+                           decode(batch.column("set")), strict=True)
 
     for (_, i, j), group in groupby(rows(), lambda r: r[:3]):
-        members = list(group)
-        node, n, comp, part = (np.array([m[k] for m in members]) for k in (3, 4, 5, 6))
-        sizes = np.array([len(m[7]) for m in members])
-        values, code = np.unique(np.concatenate([m[7] for m in members]), return_inverse=True)
-        owner = np.repeat(np.arange(len(members)), sizes)
-        order = np.argsort(code, kind="stable")
-        holders, begin = owner[order], np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(values)))])
-        first = np.concatenate([[0], np.cumsum(sizes)])
-        names, counts = np.unique(comp, return_counts=True)
-        largest = names[np.argmax(counts)]
-        found: list[tuple[int, int]] = []
-        for k in np.flatnonzero(comp != largest):
-            lists = [holders[begin[c]:begin[c + 1]] for c in code[first[k]:first[k + 1]]]
-            shared = np.bincount(np.concatenate(lists), minlength=len(members))
-            whole = (n[k] <= RETAINED) & (n <= RETAINED)
-            near = np.where(whole, shared * 100 >= (n[k] + n - shared) * percent, shared >= least)
-            near &= (np.minimum(n, n[k]) * 100 >= np.maximum(n, n[k]) * percent) & (comp != comp[k])
-            if i != j:
-                near &= part != part[k]
-            found += [(int(node[k]), int(node[o])) for o in np.flatnonzero(near)]
-        if found:
-            pairs = sorted({(min(p), max(p)) for p in found})
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+        yield i != j, _Block([r[3:] for r in group])
 
 
-def _left_over(listed: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of lists that still hold several components. A list of more than ``BLOCK``
-    members is dealt out as pairs of blocks."""
-    labelled = listed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_lists = labelled.groupBy("list").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"),
-    ).where("low <> high").select("list", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+def _dealt(rows: DataFrame, group: str) -> DataFrame:
+    """Rows of a group together; a group of more than ``BLOCK`` rows as pairs of blocks."""
+    sizes = rows.groupBy(group).agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("component").alias("low"),
+        F.max("component").alias("high")).where("low <> high").drop("low", "high")
     part = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = rows.join(sizes, group).withColumn("part", part).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select(
+        F.col(group).alias("list"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+        "node", "n", "component", "part", "set",
+    ).repartition("list", "i", "j").sortWithinPartitions("list", "i", "j", "node")
+
+
+def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([min(p) for p in pairs], pa.int64()), pa.array([max(p) for p in pairs], pa.int64())], names=["a", "b"])
+
+
+def _families(listed: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Groups of nodes (``node``, ``component`` for the group) that hold every pair of
+    different components which shares a list and, by its sketches, may be similar.
+
+    A list's task tells which of its members belong together, one row for each, and never
+    the pairs themselves.
+    """
+    least = least_common(percent)
+
+    def near(shared, n, others):
+        whole = (n <= RETAINED) & (others <= RETAINED)
+        sizes = np.minimum(n, others) * 100 >= np.maximum(n, others) * percent
+        return sizes & np.where(whole, shared * 100 >= (n + others - shared) * percent, shared >= least)
+
+    def sketches_of(column: pa.Array) -> list[np.ndarray]:
+        values, ends = column.flatten().to_numpy(), np.cumsum([0, *column.value_lengths().to_pylist()])
+        return [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def run(batches):
+        for apart, block in _blocks(batches, sketches_of):
+            merged = _Merged()
+            for a, b in block.pairs(apart, near):
+                merged.join(a, b)
+            found = [(int(block.node[merged.root(k)]), int(block.node[k])) for k in list(merged) if merged.root(k) != k]
+            if found:
+                yield _edges(found)
+
+    labelled = listed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = labelled.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    rows = labelled.join(mixed.select("list"), "list").join(nodes.select("node", "n", F.col("sketch").alias("set")), "node")
+    return components(_dealt(rows, "list").mapInArrow(run, "a bigint, b bigint").distinct())
+
+
+def _links_within(families: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of a family, by full sets: enough of them to tell
+    what hangs together, at most one less than the components."""
+    def near(shared, n, others):
+        return shared * 100 >= (n + others - shared) * percent
+
+    def run(batches):
+        for apart, block in _blocks(batches, lambda c: [np.frombuffer(s, np.int64) for s in c.to_pylist()]):
+            merged = _Merged()
+            found = [(int(block.node[a]), int(block.node[b])) for a, b in block.pairs(apart, near)
+                     if merged.join(int(block.component[a]), int(block.component[b]))]
+            if found:
+                yield _edges(found)
+
     rows = (
-        labelled.join(mixed_lists, "list").withColumn("part", part)
-        .join(nodes.select("node", "n", "sketch"), "node")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("list", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-                "node", "n", "component", "part", "sketch")
+        sets.withColumn("n", (F.octet_length("set") / 8).cast("bigint"))
+        .join(families.select("node", F.col("component").alias("family")), "node")
+        .join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     )
-    least = least_common(percent)
-    return rows.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j", "node").mapInArrow(
-        lambda batches: _across(batches, percent, least), "a bigint, b bigint").distinct()
+    return _dealt(rows, "family").mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
@@ -179,9 +263,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     that both sets hold are neighbours in both, so two similar sets share a list but for one
     pair in some 10**9, and in none where the sketches hold the whole sets. 3. In each list
     all members are compared with the least one: union sketches filter, full sets verify.
-    4. Lists whose members are by then in one component are done; in the others members of
-    different components are compared by their sketches, and verified. No list is cut or
-    skipped, and members of one component are not paired.
+    4. Lists whose members are by then in one component are done. In the others, members of
+    different components that may be similar by their sketches make families, and the full
+    sets of a family meet in a task, or its blocks pair by pair, where components are joined
+    by exact links. No list is cut or skipped, and no task emits more rows than it has
+    members, however many pairs come near the similarity.
 
     An empty or null text links with nothing; rows that repeat an id count as one document
     with several texts; a row without id joins documents of an equal set and no others, and
@@ -202,8 +288,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     star = listed.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     links = saved(_verified(_estimated(star, nodes, percent), docs, key, text, words, percent), "links")
     labels = components(links)
-    rest = _estimated(_left_over(listed.select("list", "node"), labels, nodes, percent), nodes, percent)
-    more = saved(_verified(rest, docs, key, text, words, percent), "links")
+    families = _families(listed.select("list", "node"), labels, nodes, percent)
+    sets = saved(_sets_of(docs, families.select("node"), key, text, words), "sets")
+    more = saved(_links_within(families, labels, sets, percent), "links")
     if not more.isEmpty():
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
