@@ -1,4 +1,8 @@
-"""A table-driven job: its run is recorded as events and folded like any other log."""
+"""A table-driven job: its run is recorded as events and folded like any other log.
+
+Events are appended to the log as they happen, so a run is seen while it goes on, after it
+failed, and when its driver was lost.
+"""
 
 from __future__ import annotations
 
@@ -22,11 +26,38 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+class EventLog:
+    """An append-only table of run events in a folder."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def append(self, event: tuple) -> None:
+        self.spark.createDataFrame([event], EVENT_DDL).coalesce(1).write.mode("append").parquet(self.path)
+
+    def events(self) -> DataFrame:
+        return self.spark.read.schema(EVENT_DDL).parquet(self.path)
+
+    def runs(self) -> DataFrame:
+        """All runs as they stand, with the tables they wrote."""
+        return run_rows(self.events())
+
+
+def run_rows(events: DataFrame) -> DataFrame:
+    keys = ["run_id", "pipeline_id"]
+    extra = events.groupBy(*keys).agg(
+        F.first("trigger_type").alias("trigger_type"), F.first("created_by").alias("created_by"),
+        F.sort_array(F.collect_set("table_id")).alias("output_tables"))
+    return fold_events(events, ["seq"]).join(extra, keys)
+
+
 class JobRun:
-    """The events of one running job: a handful of rows made by the driver."""
+    """The events of one running job: a handful of rows made by the driver, each appended to
+    the log, if there is one, before the job goes on."""
 
     def __init__(self, pipeline_id: str, trigger_type: str, created_by: str | None,
-                 clock: Callable[[], datetime]):
+                 clock: Callable[[], datetime], log: EventLog | None = None):
+        self._log = log
         self.run_id = str(uuid.uuid4())
         self.pipeline_id = pipeline_id
         self.trigger_type = trigger_type
@@ -36,9 +67,11 @@ class JobRun:
 
     def record(self, status: str | None = None, error_message: str | None = None,
                table_id: str | None = None, records: int | None = None) -> None:
-        self._events.append((
-            self.run_id, self.pipeline_id, self.trigger_type, self.created_by,
-            len(self._events), self._clock(), status, error_message, table_id, records))
+        event = (self.run_id, self.pipeline_id, self.trigger_type, self.created_by,
+                 len(self._events), self._clock(), status, error_message, table_id, records)
+        self._events.append(event)
+        if self._log:
+            self._log.append(event)
 
     def wrote(self, table_id: str, records: int) -> None:
         self.record(table_id=table_id, records=records)
@@ -48,19 +81,14 @@ class JobRun:
 
     def run_row(self, spark: SparkSession) -> DataFrame:
         """The finished run, with the tables it wrote."""
-        events = self.events(spark)
-        keys = ["run_id", "pipeline_id"]
-        extra = events.groupBy(*keys).agg(
-            F.first("trigger_type").alias("trigger_type"), F.first("created_by").alias("created_by"),
-            F.sort_array(F.collect_set("table_id")).alias("output_tables"))
-        return fold_events(events, ["seq"]).join(extra, keys)
+        return run_rows(self.events(spark))
 
 
 @contextmanager
 def job_run(pipeline_id: str, trigger_type: str = "manual", created_by: str | None = None,
-            clock: Callable[[], datetime] = _now) -> Iterator[JobRun]:
+            clock: Callable[[], datetime] = _now, log: EventLog | None = None) -> Iterator[JobRun]:
     """pending, running, then success; or failed with the message, and the error goes on."""
-    run = JobRun(pipeline_id, trigger_type, created_by, clock)
+    run = JobRun(pipeline_id, trigger_type, created_by, clock, log)
     run.record("pending")
     run.record("running")
     try:

@@ -12,8 +12,10 @@ from opsframe.plans.registering import Registry
 from opsframe.plans.writes import FOLD_SQL, events_as_log
 from opsframe.session import prepare
 from opsframe.sources import layout
-from opsframe.sources.configured import config_read as read_configured, config_write as write_configured
-from opsframe.sources.storage import new_path
+from opsframe.sources.configured import (
+    config_read as read_configured, config_write as write_configured, table_settings,
+)
+from opsframe.sources.storage import new_path, saved
 from opsframe.streaming import fold
 
 REGISTRY = Registry()
@@ -95,6 +97,42 @@ def job_run(spark, sf_dir):
         "run_status": F.lit(row["status"]), "data_quality_passed": F.lit(passed)})
 
 
+@_query("""SELECT 'summary' AS pipeline_id, 'running' AS status, CAST(NULL AS VARCHAR) AS error_message,
+  count(*) AS records FROM orders
+UNION ALL SELECT 'check', 'failed', concat(count(*), ' lines are returned'), NULL FROM lineitem
+WHERE l_returnflag = 'R'""")
+def job_states(spark, sf_dir):
+    """A job as others see it while it runs, beside one that failed."""
+    log = job.EventLog(prepare(spark), new_path(spark, "events"))
+    with job.job_run("summary", log=log) as run:
+        run.wrote("orders", table(spark, sf_dir, "orders").count())
+        try:
+            with job.job_run("check", log=log):
+                returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").count()
+                raise ValueError(f"{returned} lines are returned")
+        except ValueError:
+            pass
+        seen = saved(log.runs(), "seen")
+    return seen.select("pipeline_id", "status", "error_message", F.col("total_records_processed").alias("records"))
+
+
+@_query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice >= 100000")
+def table_driven_job(spark, sf_dir):
+    """Source and target are rows of a tables state; the source is kept as its row says."""
+    target = new_path(spark, "large_orders")
+    state = prepare(spark).createDataFrame(
+        [("orders", "parquet", f"{sf_dir}/orders.parquet", True, "MEMORY_AND_DISK"),
+         ("large_orders", "parquet", target, False, None)],
+        "table_id string, data_format string, location string, caching_enabled boolean, cache_level string")
+    orders = read_configured(spark, table_settings(state, "orders"))
+    try:
+        large = orders.where("o_totalprice >= 100000").select("o_orderkey", "o_custkey", "o_totalprice")
+        write_configured(large, table_settings(state, "large_orders"))
+    finally:
+        orders.unpersist()
+    return read_configured(spark, table_settings(state, "large_orders"))
+
+
 @_query(f"""WITH {RUNS_SQL} SELECT run_id, pipeline_id, status, start_time FROM runs
 WHERE start_time BETWEEN TIMESTAMP '2024-01-10 12:00:00' AND TIMESTAMP '2024-01-20'""")
 def run_log_by_day(spark, sf_dir):

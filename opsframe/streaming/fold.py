@@ -3,57 +3,86 @@
 Every micro-batch is reduced to one partial row per run and written under its batch
 number, so a batch that is run again overwrites itself. Partial rows merge in any order:
 reading the folder gives the same runs as folding all the events at once. Now and then the
-partial rows are merged into a base, which bounds what a read has to merge.
+partial rows are merged into a base, which bounds what a read has to merge; what the base
+before it held is then removed.
+
+The ids of events are kept in a table by the day of the event. A batch looks up the days
+it holds alone, so an event counts once however late it comes or comes again, and no state
+is held between batches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opsframe.operators.runs import KEYS, finish_fold, merge_folds, partial_fold
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
-def deduplicated(events: DataFrame, ids: Sequence[str], delay: str | None = None) -> DataFrame:
-    """Each event once.
-
-    Without ``delay`` every id is remembered and the result is exact. With it, ids are
-    forgotten once ``delay`` has passed and events later than that are left out, which is
-    the caller's choice to make.
-    """
-    if delay is None:
-        return events.dropDuplicates(list(ids))
-    return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(ids))
+def _new_events(batch: DataFrame, folder: str, number: int, ids: Sequence[str]) -> DataFrame:
+    """The events of a batch that no earlier batch held. An event comes again with its time."""
+    spark = batch.sparkSession
+    once = batch.withColumn("day", F.to_date("ts")).dropDuplicates([*ids])
+    days = [r["day"] for r in once.select("day").distinct().collect()]
+    seen = _existing(spark, f"{folder}/ids")
+    if seen is None or not days:
+        return once
+    earlier = seen.where(F.col("day").isin(days) & (F.col("batch") < number))
+    return once.join(earlier.select(*ids), [*ids], "left_anti")
 
 
 def start_fold(events: DataFrame, folder: str, order: Sequence[str], keys: Sequence[str] = KEYS,
-               delay: str | None = None, compact_every: int = 100, **trigger) -> StreamingQuery:
-    """Fold a stream of run events into ``folder``; ``trigger`` as for ``writeStream``."""
-    spark = events.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+               compact_every: int = 100, **trigger) -> StreamingQuery:
+    """Fold a stream of run events into ``folder``; ``trigger`` as for ``writeStream``.
+
+    An event is known by its keys and ``order`` columns.
+    """
+    spark, ids = events.sparkSession, [*keys, *order]
+    if _existing(spark, f"{folder}/partials") is None:
+        none = spark.createDataFrame([], events.schema)
+        partial_fold(none, keys, order).write.mode("overwrite").parquet(f"{folder}/partials/batch=-1")
 
     def write(batch: DataFrame, number: int) -> None:
         if number and number % compact_every == 0:
             compact(spark, folder, number - 1, keys)
-        partial_fold(batch, keys, order).write.mode("overwrite").parquet(
+        new = _new_events(batch, folder, number, ids)
+        partial_fold(new.drop("day"), keys, order).write.mode("overwrite").parquet(
             f"{folder}/partials/batch={number}")
+        # Last, and by the batch's number: a batch that is run again does not see its own ids.
+        (new.select(*ids, "day", F.lit(number).cast("bigint").alias("batch"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day", "batch").parquet(f"{folder}/ids"))
 
-    once = deduplicated(events, [*keys, *order], delay)
-    return (once.writeStream.foreachBatch(write)
+    return (events.writeStream.foreachBatch(write)
             .option("checkpointLocation", f"{folder}/progress")
             .trigger(**(trigger or {"processingTime": "1 minute"})).start())
 
 
+def _folder(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    files, found = _folder(spark, path)
+    parts = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/[!_.]*")) if files.exists(found) else None
+    return spark.read.parquet(path) if parts else None
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, found = _folder(spark, path)
+    files.delete(found, True)
+
+
 def compact(spark: SparkSession, folder: str, upto: int, keys: Sequence[str] = KEYS) -> None:
     """Merge the folds of the batches up to ``upto`` into one base.
 
     The base counts once its number is noted, which is the last step and one small file.
-    Called before a batch is written, when all earlier ones are complete.
+    Called before a batch is written, when all earlier ones are complete. What the base
+    noted before this one replaced is removed after that, so a read that began before is
+    not cut off.
     """
     noted = _noted(spark, folder)
     if noted is not None and noted >= upto:
@@ -62,15 +91,17 @@ def compact(spark: SparkSession, folder: str, upto: int, keys: Sequence[str] = K
         f"{folder}/base/upto={upto}")
     spark.range(1).select(F.lit(upto).cast("bigint").alias("upto")).coalesce(1).write.mode(
         "append").parquet(f"{folder}/compacted")
+    if noted is not None:
+        replaced = spark.read.parquet(f"{folder}/partials").where(F.col("batch") <= noted)
+        for row in replaced.select("batch").distinct().collect():
+            _remove(spark, f"{folder}/partials/batch={row['batch']}")
+        for row in spark.read.parquet(f"{folder}/compacted").where(F.col("upto") < noted).distinct().collect():
+            _remove(spark, f"{folder}/base/upto={row['upto']}")
 
 
 def _noted(spark: SparkSession, folder: str) -> int | None:
-    try:
-        return spark.read.parquet(f"{folder}/compacted").agg(F.max("upto")).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    noted = _existing(spark, f"{folder}/compacted")
+    return None if noted is None else noted.agg(F.max("upto")).first()[0]
 
 
 def _parts(spark: SparkSession, folder: str, upto: int | None = None) -> DataFrame:

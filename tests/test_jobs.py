@@ -106,24 +106,45 @@ def test_shared_folder_is_the_one_the_session_names(spark):
         assert storage.new_path(spark, "x").startswith(named.rstrip("/"))
 
 
-@pytest.mark.parametrize("delay", [None, "30 days"])
-def test_streamed_fold_equals_batch_fold(spark, tmp_path, delay):
-    """Events over several files, out of order, some delivered twice in other batches."""
+def test_streamed_fold_equals_batch_fold(spark, tmp_path):
+    """Events over several files, out of order and late, some delivered twice in other batches;
+    the stream is stopped and started again, and compacted on the way."""
     events = random_events(11)
     rnd = random.Random(5)
     sent = rnd.sample(events, len(events)) + rnd.sample(events, 60)
-    for i in range(4):
-        spark.createDataFrame(sent[i::4], EVENTS).coalesce(1).write.parquet(str(tmp_path / "in" / f"f{i}"))
-    stream = (spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", True).parquet(str(tmp_path / "in")))
     folder = str(tmp_path / "fold")
-    fold.start_fold(stream, folder, ["seq"], delay=delay, compact_every=2,
-                    availableNow=True).awaitTermination()
-    assert spark.read.parquet(f"{folder}/partials").select("batch").distinct().count() >= 4
+
+    def go(parts):
+        for i in parts:
+            spark.createDataFrame(sent[i::6], EVENTS).coalesce(1).write.parquet(str(tmp_path / "in" / f"f{i}"))
+        stream = (spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1)
+                  .option("recursiveFileLookup", True).parquet(str(tmp_path / "in")))
+        fold.start_fold(stream, folder, ["seq"], compact_every=2, availableNow=True).awaitTermination()
+
+    go(range(4))
     assert fold._noted(spark, folder) >= 1
+    go(range(4, 6))
+    assert spark.read.parquet(f"{folder}/partials").select("batch").distinct().count() < 6  # replaced ones are gone
     assert as_dict(fold.folded(spark, folder)) == brute_force(events)
-    batch = life.fold_events(spark.createDataFrame(events, EVENTS), ["seq"])
-    assert as_dict(batch) == as_dict(fold.folded(spark, folder))
+
+
+def test_a_fold_without_events_is_empty(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(EVENTS).parquet(str(tmp_path / "in"))
+    query = fold.start_fold(stream, str(tmp_path / "fold"), ["seq"], availableNow=True)
+    assert fold.folded(spark, str(tmp_path / "fold")).count() == 0
+    query.awaitTermination()
+
+
+def test_a_run_is_seen_while_it_goes_on_and_after_it_failed(spark, tmp_path):
+    log = job.EventLog(spark, str(tmp_path / "log"))
+    with pytest.raises(ValueError):
+        with job.job_run("p", log=log) as run:
+            run.wrote("t", 3)
+            assert [(r.status, r.total_records_processed) for r in log.runs().collect()] == [("running", 3)]
+            raise ValueError("boom")
+    row = log.runs().first()
+    assert (row.run_id, row.status, row.error_message) == (run.run_id, "failed", "boom")
 
 
 def test_compaction_changes_no_run(spark, tmp_path):

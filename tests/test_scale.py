@@ -15,7 +15,8 @@ from opsframe.sources import layout
 
 SF_DIR = "/root/testdata/sf0.001"
 EAGER = {"config_write", "write_stats", "job_run", "fold_events_stream", "run_log_by_day", "all_pages",
-         "all_pages_limit_first", "failed_runs_by_day", "run_stats_by_day", "purge_runs_by_day"}
+         "all_pages_limit_first", "failed_runs_by_day", "run_stats_by_day", "purge_runs_by_day",
+         "job_states", "table_driven_job"}
 
 
 def plan(df, mode="formatted") -> str:
