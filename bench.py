@@ -19,6 +19,8 @@ HEADLINE = [
     "overview", "lineage_usage", "dedup_latest", "insert_if_absent", "partial_update", "upsert",
     "upsert_many", "conditional_update", "activate_all", "run_status_update", "stage_upsert",
     "fold_events", "rejected_rows", "dq_results", "pk_duplicates",
+    "conditional_put", "stage_append", "metrics_merge", "record_outputs", "apply_folds", "cancel_running",
+    "failed_runs_by_day", "config_write", "job_run", "run_log_by_day", "fold_events_stream",
 ]
 
 # The table whose rows a query is measured in.
