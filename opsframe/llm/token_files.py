@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +16,9 @@ from opsframe.llm.sharding import looked_up, position
 from opsframe.llm.tokens import END_ID, encode, id_width, tokenizer_path
 from opsframe.sources.storage import new_path
 
-# Bytes of ids in a block, keys in a part of the index, documents in a shard.
-BLOCK_BYTES, PART_KEYS, SHARD_DOCS = 4 << 20, 50_000, 100_000
+# Bytes of ids in a block, keys in a part of the index, documents in a shard. The driver
+# holds a bound and a sum for each shard: so many shards at most, larger ones beyond.
+BLOCK_BYTES, PART_KEYS, SHARD_DOCS, MAX_SHARDS = 4 << 20, 50_000, 20_000, 50_000
 
 
 def mixed(keys: np.ndarray, seed) -> np.ndarray:
@@ -101,11 +103,11 @@ class TokenFiles:
         width = id_width(tokenizer, end_id)
         keyed = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
         rows = keyed.count()
-        shards = max(1, rows // SHARD_DOCS, min(48, rows // 1000))
+        shards = max(1, min(MAX_SHARDS, rows // SHARD_DOCS), min(48, rows // 1000))
         ranks = [k / shards for k in range(1, shards)]
-        bounds = keyed.agg(F.percentile_approx("key", ranks, 100 * shards)).first()[0] if ranks else []
-        shard = position(F.array(*[F.lit(b).cast("bigint") for b in bounds]), len(bounds), F.col("key")) \
-            if bounds else F.lit(0)
+        bounds = (keyed.agg(F.percentile_approx("key", ranks, 100 * shards)).first()[0] or []) if ranks else []
+        held = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>")
+        shard = position(held, len(bounds), F.col("key")) if bounds else F.lit(0)
         ids = encode(keyed.withColumn("shard", F.coalesce(shard, F.lit(0))), "text", tokenizer, end_id, width)
         blocks = (
             ids.repartition(shards, "shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "ids")
