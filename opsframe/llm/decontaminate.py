@@ -16,7 +16,7 @@ from opsframe.llm.wordhash import MARKS, Words, shingled
 
 # Bits of a fingerprint and its blocks; bytes of item texts that a task holds at once.
 BITS, BLOCKS, ITEM_BYTES = 64, 8, 8 << 20
-HASHED_BYTES = 2 << 20
+HASHED_BYTES = 1 << 20
 
 _ONES = np.array([bin(v).count("1") for v in range(256)], np.uint8)
 

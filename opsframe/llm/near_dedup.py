@@ -20,7 +20,7 @@ from opsframe.llm.wordhash import Words
 # Values a sketch retains, and those of them whose neighbours make inverted lists.
 RETAINED, LISTED = 48, 32
 # Bytes hashed at once; members of a list that one task compares with as many others.
-HASHED_BYTES, BLOCK = 2 << 20, 2000
+HASHED_BYTES, BLOCK = 1 << 20, 2000
 
 
 def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:

@@ -27,7 +27,7 @@ IDENTITY_TERMS = (
 # A word counts whole and by its first bytes, as inflected words share these.
 PREFIXES = (None, 4, 5, 6)
 # Bytes hashed at once, which takes some 30 times as much memory.
-HASHED_BYTES = 2 << 20
+HASHED_BYTES = 1 << 20
 
 
 def word_features(texts: list[str]) -> list[np.ndarray]:
