@@ -1,7 +1,8 @@
 """Keyed lookups, index queries, paging and projections.
 
 Every function takes and returns DataFrames; nothing runs until the caller acts, except
-``fetch_page`` and ``require``, which bring back at most one page of rows.
+``fetch_page`` and ``require``, which bring back at most one page of rows, and
+``saved_pages``, which writes every page to the shared folder.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from opsframe.functions.predicates import (
     col, index_condition, key_condition, literal_for, match_all, time_range,
 )
 from opsframe.schema import DEFAULT_PAGE, PIPELINES, RUNS, TABLES, TableMeta
+from opsframe.sources.storage import saved
 
 
 # -- projection -------------------------------------------------------------------------
@@ -205,6 +207,45 @@ def fetch_page(df: DataFrame, meta: TableMeta, condition: Column | None = None,
     return Page(rows, token)
 
 
+def page_tokens(df: DataFrame, order: Sequence[str], ascending: bool, size: int) -> list[dict]:
+    """The order values of the last row of every page but the last, found without a limit:
+    the order columns are sorted into the shared folder, and of these only a count by
+    partition and the wanted rows reach the driver."""
+    placed = saved(df.select(*[col(c) for c in order]).orderBy(*_order(order, ascending)).withColumn(
+        "_at", F.monotonically_increasing_id()), "page_order")
+    counts = placed.groupBy(F.shiftright("_at", 33).alias("part")).count().orderBy("part").collect()
+    total, before, wanted = sum(r["count"] for r in counts), 0, []
+    for r in counts:
+        first = -(-(before + 1) // size) * size
+        wanted += [(r["part"] << 33) + k - before - 1 for k in range(first, before + r["count"] + 1, size) if k < total]
+        before += r["count"]
+    edges = placed.where(F.col("_at").isin(wanted)).orderBy("_at").collect() if wanted else []
+    return [{c: r[c] for c in order} for r in edges]
+
+
+def saved_pages(df: DataFrame, meta: TableMeta, size: int, *, columns: Sequence[str] | None = None,
+                sort: str | None = None, where: Column | dict | None = None, ascending: bool = True,
+                limit_first: bool = False) -> list[DataFrame]:
+    """All pages of ``size`` rows, each written to the shared folder. A page is what lies
+    after the token of the one before it and up to its own, so no task holds a page whole,
+    and the driver holds a token per page.
+
+    With ``limit_first`` the size counts the rows before the filter.
+    """
+    if not size or size < 1:
+        raise ValueError("a page needs a positive limit")
+    order = ([sort] if sort else []) + [k for k in meta.keys if k != sort]
+    extra = match_all(where) if isinstance(where, dict) else where
+    examined = df if extra is None or limit_first else df.where(extra)
+    pages, token = [], None
+    for edge in [*page_tokens(examined, order, ascending, size), None]:
+        upto = None if edge is None else ~F.coalesce(after_token(df, order, ascending, edge), F.lit(False))
+        pages.append(saved(query(df, meta, upto, sort=sort, where=extra, columns=columns,
+                                 ascending=ascending, after=token), "page"))
+        token = edge
+    return pages
+
+
 def scan_page(df: DataFrame, meta: TableMeta, *, columns: Sequence[str] | None = None,
               limit: int = DEFAULT_PAGE, after: dict | None = None) -> DataFrame:
     """A page of the whole table in key order, cut to the list columns unless told."""

@@ -9,6 +9,7 @@ from opsframe.functions.predicates import (
     index_condition, key_condition, match_all, model_condition, sort_condition,
 )
 from opsframe.operators import read
+from opsframe.plans import registry
 from opsframe.schema import (
     PIPELINES, RUNS, TABLES, Index, TableMeta, check_environment, physical_name,
 )
@@ -232,3 +233,39 @@ def test_late_filter_moves_the_token_past_what_it_drops(spark):
         if token is None:
             break
     assert seen == [6, 13, 20, 27] and pages == 8 and set(page.rows[0].asDict() if page.rows else {"pipeline_id": 0, "is_active": 0}) == {"pipeline_id", "is_active"}
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+@pytest.mark.parametrize("limit_first", [True, False])
+def test_saved_pages_are_cut_like_fetched_ones(spark, ascending, limit_first):
+    """Null sort values, ties, and a filter before or after the page is cut."""
+    table = spark.range(23).selectExpr(
+        "id AS pipeline_id", "IF(id % 3 = 0, NULL, DATE '2024-01-01' + CAST(id % 4 AS INT)) AS created_at",
+        "id % 7 = 6 AS is_active").repartition(5)
+    for size in (6, 23):
+        options = {"sort": "created_at", "ascending": ascending, "where": {"is_active": False}, "limit_first": limit_first}
+        expected, token = [], None
+        while True:
+            page = read.fetch_page(table, PIPELINES, limit=size, after=token, **options)
+            expected.append({r.pipeline_id for r in page.rows})
+            token = page.token
+            if token is None:
+                break
+        found = [{r.pipeline_id for r in p.collect()} for p in read.saved_pages(table, PIPELINES, size, **options)]
+        assert [p for p in found if p] == [p for p in expected if p]
+    assert [p.count() for p in read.saved_pages(table.limit(0), PIPELINES, 4)] == [0]
+
+
+@pytest.mark.parametrize("name", ["all_pages", "all_pages_limit_first"])
+def test_all_pages_do_not_pass_the_driver(spark, monkeypatch, name):
+    seen, collect = [], type(spark.range(1)).collect
+
+    def counted(df):
+        seen.append(collect(df))
+        return seen[-1]
+
+    monkeypatch.setattr(type(spark.range(1)), "collect", counted)
+    out = registry.queries()[name](spark, "/root/testdata/sf0.001")
+    monkeypatch.undo()
+    assert sum(map(len, seen)) < 40 < out.count()
+    assert len(out.inputFiles()) >= 4 and all("/page-" in f for f in out.inputFiles())
