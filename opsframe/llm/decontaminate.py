@@ -17,6 +17,8 @@ from opsframe.llm.wordhash import MARKS, Words, shingled
 # Bits of a fingerprint and its blocks; bytes of item texts that a task holds at once.
 BITS, BLOCKS, ITEM_BYTES = 64, 8, 8 << 20
 HASHED_BYTES = 1 << 20
+# Windows whose fingerprints are made at once; room for rounding in sums of weights.
+RUN, _SLACK = 4096, 1e-6
 
 _ONES = np.array([bin(v).count("1") for v in range(256)], np.uint8)
 
@@ -36,13 +38,14 @@ def radius(similarity: float, misses: float = 1e-6) -> int:
 
 def _signed(shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """A row of +-weight by bit for each shingle."""
-    bits = np.unpackbits(shingles.view(np.uint8).reshape(-1, 8), axis=1).astype(np.float32)
-    return (2 * bits - 1) * weights[:, None].astype(np.float32)
+    bits = np.unpackbits(shingles.view(np.uint8).reshape(-1, 8), axis=1).astype(np.float64)
+    return (2 * bits - 1) * weights[:, None]
 
 
 def _prints(sums: np.ndarray) -> np.ndarray:
-    """Fingerprints, as rows of eight bytes, of sums by bit."""
-    return np.packbits(sums > 0, axis=1)
+    """Fingerprints, as rows of eight bytes, of sums by bit; a tie is no bit, however it
+    was rounded."""
+    return np.packbits(sums > 1e-6, axis=1)
 
 
 def _similarity(a: np.ndarray, b: np.ndarray, weight) -> float:
@@ -74,14 +77,13 @@ class ItemIndex:
         self.shingles, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64),) * 2
         self.rare = math.log(1 + max(1, len(rows)))
         self.weights = np.log(1 + len(rows) / counts) if sets else np.zeros(0)
-        # Where each shingle stands in which item, in the order of the shingles.
-        flat = np.concatenate(self.bags) if self.bags else np.zeros(0, np.uint64)
-        order = np.argsort(flat, kind="stable")
-        sizes = [len(b) for b in self.bags]
-        self.place_item = np.repeat(np.arange(len(sizes)), sizes)[order]
-        self.place_at = (np.concatenate([np.arange(n) for n in sizes]) if sizes else np.zeros(0, np.int64))[order]
-        self.place_first = np.searchsorted(flat[order], self.shingles)
-        self.place_end = np.searchsorted(flat[order], self.shingles, side="right")
+        # The places of each item's shingles, and for each place the items that hold it.
+        self.held = [np.searchsorted(self.shingles, x) for x in sets]
+        places = np.concatenate(self.held) if sets else np.zeros(0, np.int64)
+        order = np.argsort(places, kind="stable")
+        self.holder = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[order]
+        self.holder_first = np.searchsorted(places[order], np.arange(len(self.shingles) + 1))
+        self.totals = np.array([self.weight(b).sum() for b in self.bags])
         self.prints = np.array([_prints(_signed(b, self.weight(b)).sum(0)[None])[0] for b in self.bags], np.uint8).reshape(-1, 8)
         values = np.arange(256, dtype=np.uint8)
         self.near = [_ONES[values[:, None] ^ self.prints[:, k][None]] <= self.radius // BLOCKS for k in range(BLOCKS)]
@@ -96,60 +98,66 @@ class ItemIndex:
     def matches(self, words: np.ndarray) -> list[tuple[int, int, int, float]]:
         """(item, first word, number of words, similarity) of the best window of each item.
 
-        A window without a shingle of the item has no similarity to it, so windows are tried
-        around shared shingles: a quarter of the item's length to both sides of where its
-        begin would lie.
+        Every window of the item's length counts. Those whose shared shingles, repeats and
+        all, weigh too little for the similarity are left out before the fingerprints: the
+        shared weight is at least what the similarity counts, so none of them has it.
         """
-        best: dict[int, tuple[float, int]] = {}
+        out = []
         for span in self.spans:
             if len(words) < span or not len(words):
                 continue
             bag = shingled(words, span)
-            at = np.minimum(np.searchsorted(self.shingles, bag), len(self.shingles) - 1)
-            shared = np.flatnonzero(self.shingles[at] == bag)
-            if not len(shared):
+            at = np.minimum(np.searchsorted(self.shingles, bag), max(0, len(self.shingles) - 1))
+            shared = self.shingles[at] == bag
+            if not shared.any():
                 continue
-            starts: dict[int, set[int]] = {}
-            for p in shared.tolist():
-                for k in range(self.place_first[at[p]], self.place_end[at[p]]):
-                    item = int(self.place_item[k])
-                    if min(self.words, self.lengths[item]) == span:
-                        starts.setdefault(item, set()).add(p - int(self.place_at[k]))
-            by_length: dict[int, list[int]] = {}
-            for item in starts:
-                by_length.setdefault(int(self.lengths[item]), []).append(item)
-            for length, items in by_length.items():
-                slack = -(-length // 4)
-                begins = np.unique(np.clip(np.concatenate([
-                    np.arange(s - slack, s + slack + 1) for item in items for s in starts[item]]),
-                    0, max(0, len(words) - length)))
+            weights = self.weight(bag)
+            # An item's shared weight in the whole text is a bound for any window.
+            found, times = np.unique(at[shared], return_counts=True)
+            first, n = self.holder_first[found], self.holder_first[found + 1] - self.holder_first[found]
+            holders = self.holder[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            held = np.bincount(holders, np.repeat(times * self.weights[found], n), len(self.ids))
+            asked = (held > 0) & (held >= self.similarity * self.totals - _SLACK)
+            asked &= np.minimum(self.words, self.lengths) == span
+            sums = np.concatenate([[0.0], np.cumsum(weights)])
+            of_item = np.zeros(len(self.shingles), bool)
+            for item in np.flatnonzero(asked).tolist():
+                length = int(self.lengths[item])
                 size = min(length, len(words)) - span + 1
-                found = self._windows(bag, begins, size, items)
-                for item, begin, value in found:
-                    if value > best.get(item, (0.0, 0))[0]:
-                        best[item] = (value, begin)
-        return [(item, begin, int(self.lengths[item]), value) for item, (value, begin) in sorted(best.items())]
-
-    def _windows(self, bag: np.ndarray, begins: np.ndarray, size: int, items: list[int]):
-        """Windows of the bag within the radius of one of the items, with their similarity
-        where it suffices."""
-        chosen = np.array(sorted(items))
-        runs = np.split(begins, np.flatnonzero(np.diff(begins) > size) + 1)
-        for run in runs:
-            low, high = int(run[0]), int(run[-1]) + size
-            part = bag[low:high]
-            sums = np.concatenate([np.zeros((1, BITS), np.float32), np.cumsum(_signed(part, self.weight(part)), axis=0)])
+                of_item[self.held[item]] = True
+                mine = np.concatenate([[0.0], np.cumsum(np.where(shared & of_item[at], weights, 0.0))])
+                of_item[self.held[item]] = False
+                common, whole = mine[size:] - mine[:-size], sums[size:] - sums[:-size]
+                bound = common / (whole + self.totals[item] - common)
+                begins = np.flatnonzero(bound >= self.similarity - _SLACK)
+                if len(begins):
+                    begin, value = self._best(bag, weights, begins, bound[begins], size, item)
+                    if value:
+                        out.append((item, begin, length, value))
+        return sorted(out)
+
+    def _best(self, bag: np.ndarray, weights: np.ndarray, begins: np.ndarray, bound: np.ndarray,
+              size: int, item: int) -> tuple[int, float]:
+        """The first of the most similar windows within the radius of the item, or a value
+        of 0."""
+        near = np.zeros(len(begins), bool)
+        cuts = (np.flatnonzero((np.diff(begins) > size) | (begins[1:] // RUN != begins[:-1] // RUN)) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, len(begins)], strict=True):
+            run, low, high = begins[a:b], int(begins[a]), int(begins[b - 1]) + size
+            sums = np.concatenate([np.zeros((1, BITS)), np.cumsum(_signed(bag[low:high], weights[low:high]), axis=0)])
             prints = _prints(sums[run - low + size] - sums[run - low])
-            near = np.zeros((len(run), len(chosen)), bool)
             for k in range(BLOCKS):
-                near |= self.near[k][prints[:, k]][:, chosen]
-            for w, c in zip(*np.nonzero(near), strict=True):
-                item = int(chosen[c])
-                if int(_ONES[prints[w] ^ self.prints[item]].sum()) <= self.radius:
-                    begin = int(run[w])
-                    value = _similarity(bag[begin:begin + size], self.bags[item], self.weight)
-                    if value >= self.similarity:
-                        yield item, begin, value
+                near[a:b] |= self.near[k][prints[:, k], item]
+            near[a:b] &= _ONES[prints ^ self.prints[item]].sum(1) <= self.radius
+        best = (0, 0.0)
+        for w in np.flatnonzero(near)[np.argsort(-bound[near], kind="stable")].tolist():
+            begin = int(begins[w])
+            if bound[w] < best[1] - _SLACK:
+                break
+            value = _similarity(bag[begin:begin + size], self.bags[item], self.weight)
+            if value >= self.similarity and (value > best[1] or value == best[1] and begin < best[0]):
+                best = (begin, value)
+        return best
 
 
 LEAK = pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("similarity", pa.float64())])

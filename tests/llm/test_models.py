@@ -1,5 +1,6 @@
 """Learned scores, near duplicates, decontamination and the pipeline."""
 
+import random
 import re
 import string
 import zlib
@@ -161,6 +162,32 @@ def test_leaks_equal_brute_force(spark):
     assert decontaminate.with_leaks(docs.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("cut", [20, 50, 80])
+def test_passages_with_swapped_parts_are_found(cut):
+    words = [f"item{k}" for k in range(100)]
+    text = " ".join([*[f"x{k}" for k in range(300)], *words[cut:], *words[:cut], *[f"y{k}" for k in range(300)]])
+    items = [(1, " ".join(words)), (2, "other words of another item")]
+    index = decontaminate.ItemIndex(items, 5, 0.8)
+    found = index.matches(Words([text.encode()], MARKS).hashes())
+    assert {(1, index.ids[item]) for item, *_ in found} == leaks_by_hand([(1, text)], items) == {(1, 1)}
+    assert found[0][1:3] == (300, 100) and found[0][3] >= 0.9
+
+
+def test_windows_equal_brute_force_on_shuffled_items():
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(30)]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.choice((1, 3, 8, 30, 60))))) for k in range(30)]
+    texts = []
+    for k in range(60):
+        parts = rng.choice(items)[1].split()
+        at = rng.randrange(len(parts))
+        around = [rng.choice(vocabulary) for _ in range(40)]
+        texts.append((k, " ".join([*around[:20], *parts[at:], *parts[:at], *around[20:]])))
+    index = decontaminate.ItemIndex(items, 5, 0.8)
+    found = {(d, index.ids[item]) for d, t in texts for item, *_ in index.matches(Words([t.encode()], MARKS).hashes())}
+    assert found == leaks_by_hand(texts, items)
+
+
 def test_item_blocks_find_the_same(spark, documents, monkeypatch):
     bench = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
     found = lambda: {(r.doc_id, r.x.item_id) for r in decontaminate.with_leaks(documents, bench).select("doc_id", F.explode("leaks").alias("x")).collect()}
