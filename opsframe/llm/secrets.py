@@ -20,14 +20,17 @@ ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]{32,}")
-# What the models judge: runs that could be a key or an identifier.
-CANDIDATE = re.compile("[A-Za-z0-9+/_=-]{16,}")
-ORDINARY = re.compile("[A-Za-z0-9_]{8,}")
+# Words, of any length: numbers and short words are ordinary too.
+ORDINARY = re.compile("[A-Za-z0-9_]+")
+# What the models judge: runs that could be a key, in pieces between separators.
+SEPARATORS = "+/_=-"
+_PIECE = re.compile("[A-Za-z0-9]+")
 
 _SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 _SIDE = len(_SYMBOLS) + 1  # the last stands for a string's begin
 _CODE = np.full(128, _SIDE - 1, np.int64)
 _CODE[[ord(c) for c in _SYMBOLS]] = np.arange(_SIDE - 1)
+_PARTS = np.array([c in SEPARATORS for c in _SYMBOLS] + [True])  # what ends a piece
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -60,9 +63,14 @@ def _steps(strings: list[str]) -> np.ndarray:
 
 @dataclass
 class MarkovPair:
-    """Log-likelihood ratios of character steps: random strings against identifiers."""
+    """Log-likelihood ratios of character steps: random strings against identifiers.
+
+    ``threshold`` is the ratio of a whole string from which it is rather a random one: the
+    logarithm of how many identifiers the samples have for each random string.
+    """
 
     ratio: np.ndarray
+    threshold: float = 0.0
 
     @classmethod
     def fit(cls, random: np.ndarray, ordinary: np.ndarray, smoothing: float = 1.0) -> MarkovPair:
@@ -72,7 +80,8 @@ class MarkovPair:
         for counts in (random, ordinary):
             grid = counts.reshape(_SIDE, _SIDE)[:, :-1] + smoothing
             logs.append(np.log(grid / grid.sum(1, keepdims=True)))
-        return cls(logs[0] - logs[1])
+        begun = [counts.reshape(_SIDE, _SIDE)[-1].sum() + smoothing for counts in (random, ordinary)]
+        return cls(logs[0] - logs[1], float(max(0.0, np.log(begun[1] / begun[0]))))
 
     def mean_ratio(self, string: str) -> float:
         """The ratio of a whole string, by character."""
@@ -102,34 +111,75 @@ def train(docs: DataFrame, text: str = "text") -> MarkovPair:
     return MarkovPair.fit(counts[0], counts[1])
 
 
-def spans_of(text: str, models: MarkovPair, margin: float) -> list[tuple[int, int, int]]:
-    """The base spans, and every other candidate whose mean ratio exceeds the margin."""
-    out = base_spans(text)
-    ends = 0
-    taken = []
-    for a, _, b in out:
-        taken.append((a, max(ends, b)))
-        ends = max(ends, b)
-    added, at = [], 0
-    for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        while at < len(taken) and taken[at][1] <= a:
-            at += 1
-        if at < len(taken) and taken[at][0] < b:
+def _keys(run: str, models: MarkovPair, margin: float) -> list[tuple[int, int]]:
+    """The random parts of a run: pieces that are likelier random, joined with the one before
+    where both and what lies between are likelier together than either alone; or the whole
+    run, where no part suffices."""
+    codes = _CODE[np.frombuffer(run.encode(), np.uint8)]
+    first = models.ratio[-1, codes].tolist()
+    after = np.concatenate([[0.0], np.cumsum(models.ratio[codes[:-1], codes[1:]])]).tolist()
+
+    def total(a: int, b: int) -> float:
+        return first[a] + after[b - 1] - after[a]
+
+    groups: list[tuple[int, int, float]] = []
+    for m in _PIECE.finditer(run):
+        value = total(*m.span())
+        if value <= 0:
             continue
-        string = m[0]
-        if not string.isalpha() and any(c.isdigit() for c in string) and models.mean_ratio(string) > margin:
-            added.append((a, 3, b))
-    return sorted(out + added)
+        if groups and (joined := total(groups[-1][0], m.end())) >= max(value, groups[-1][2]):
+            groups[-1] = (groups[-1][0], m.end(), joined)
+        else:
+            groups.append((*m.span(), value))
+    found = [(a, b) for a, b, value in groups if value > margin]
+    return found or ([(0, len(run))] if total(0, len(run)) > margin else [])
+
+
+def _random_spans(text: str, taken: list[tuple[int, int, int]], models: MarkovPair, margin: float) -> list[tuple[int, int]]:
+    """The random strings of the text outside the taken spans, by the ratio alone."""
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    codes = np.where(points < 128, _CODE[np.minimum(points, 127)], _SIDE - 1)
+    codes[points == ord(".")] = _SIDE - 1
+    for a, _, b in taken:
+        codes[a:b] = _SIDE - 1
+    inside = np.concatenate([[False], codes < _SIDE - 1, [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    begins, ends = edges[::2], edges[1::2]
+    if not len(begins):
+        return []
+    before = np.concatenate([[_SIDE - 1], codes[:-1]])
+    step = np.where(codes < _SIDE - 1, models.ratio[before, np.minimum(codes, _SIDE - 2)], 0.0)
+    sums = np.concatenate([[0.0], np.cumsum(step)])
+    asked = sums[ends] - sums[begins] > margin - 1e-6
+    # Runs with separators are cut into pieces one by one where a piece is likelier random.
+    piece = ~_PARTS[codes]
+    own = np.where(piece, models.ratio[np.where(_PARTS[before], _SIDE - 1, before), np.minimum(codes, _SIDE - 2)], 0.0)
+    firsts = np.flatnonzero(piece & _PARTS[before])
+    if len(firsts):
+        totals = np.add.reduceat(own, firsts)
+        run_of = np.searchsorted(begins, firsts[totals > 0], side="right") - 1
+        separated = np.add.reduceat(~piece, begins) - np.add.reduceat(codes == _SIDE - 1, begins) > 0
+        asked[run_of] |= separated[run_of]
+    return [(a + x, a + y) for a, b in zip(begins[asked].tolist(), ends[asked].tolist(), strict=True)
+            for x, y in _keys(text[a:b], models, margin)]
+
+
+def spans_of(text: str, models: MarkovPair, margin: float | None = None) -> list[tuple[int, int, int]]:
+    """The base spans, and outside them every string whose ratio exceeds the margin."""
+    out = base_spans(text)
+    added = _random_spans(text, out, models, models.threshold if margin is None else margin)
+    return sorted(out + [(a, 3, b) for a, b in added])
 
 
-def scan(docs: DataFrame, models: MarkovPair, text: str = "text", margin: float = 0.5) -> DataFrame:
+def scan(docs: DataFrame, models: MarkovPair, text: str = "text", margin: float | None = None) -> DataFrame:
     """The rows with ``spans``, an array of (kind, start, end) in order, for the text.
 
-    Kinds: ``assign``, ``access`` and ``hex`` by pattern, ``random`` for a string of 16 or
-    more key characters, a digit among them, that the model of random strings finds likelier
-    than the model of identifiers by over ``margin`` a character. Ends are exclusive, in
-    code points. A null or empty text has no spans.
+    Kinds: ``assign``, ``access`` and ``hex`` by pattern, ``random`` for a string of key
+    characters outside these, of any length and kind, whose log-likelihood ratio of the model
+    of random strings to that of identifiers is over ``margin``; by default the threshold
+    that the labelled samples set. In a run of key characters the pieces between separators
+    are judged, random ones that belong together as one string, and then the whole run. Ends
+    are exclusive, in code points. A null or empty text has no spans.
     """
     kept = [c for c in docs.columns if c not in (text, "spans")]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)

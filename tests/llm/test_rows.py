@@ -260,6 +260,21 @@ def test_models_tell_random_strings_from_identifiers(spark):
     assert secrets.spans_of(text, models, 0.5) == [(4, 3, 28)]
 
 
+def test_the_ratio_alone_decides(spark):
+    """Keys without a digit, short ones, with separators, glued to names, paths and base spans."""
+    models = secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"))
+    key, other = "qZvLkXwBtRmPjHgQ", "Xk/qZ+vLkXwB-tRm_PjHgQzzW"
+    for text in (f"see {key} now", f"see {other} now", f"in host/path/{key}", f"my_key_name={key}", f"é {key[:12]}."):
+        (a, kind, b), = secrets.spans_of(text, models)
+        found = next(k for k in (other, key, key[:12]) if k in text)
+        assert kind == 3 and a <= text.index(found) and b == text.index(found) + len(found)
+    (a, kind, b), = secrets.spans_of(f"in host/path/{key}", models)
+    assert (a, b) == (13, 13 + len(key))
+    text = "0123456789abcdef" * 2 + key
+    assert secrets.spans_of(text, models) == [(0, 2, 32), (32, 3, len(text))]
+    assert secrets.spans_of("an ordinary_name of some host/path/internationalization in 2024 and 12345", models) == []
+
+
 def test_no_text_no_secret(empty):
     models = secrets.train(empty)
     assert secrets.scan(empty, models).count() == 0 and secrets.spans_of("abcdefgh12345678ABCDEFGH", models, 0.5) == []
