@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsframe.llm.common import read_table
+from opsframe.llm.common import fresh, read_table, saved
 from opsframe.llm.tokens import small_batches
 from opsframe.llm.wordhash import MARKS, Words, shingled
 
@@ -63,10 +64,14 @@ class ItemIndex:
 
     Two fingerprints within the radius agree in some block up to radius // BLOCKS bits, so
     the items to compare are those near the window in any block. A shingle weighs
-    log(1 + items / items that hold it).
+    log(1 + items / items that hold it); one that no item holds weighs as if one did.
+
+    Where the items are a part of a table, ``held`` has the table's number of items and its
+    shingles of more than one holder, in order, with their numbers of holders.
     """
 
-    def __init__(self, items: list[tuple], words: int, similarity: float):
+    def __init__(self, items: list[tuple], words: int, similarity: float,
+                 held: tuple[int, np.ndarray, np.ndarray] | None = None):
         hashed = Words([(text or "").encode("utf-8", "replace") for _, text in items], MARKS)
         own, limits = hashed.hashes(), hashed.first
         self.words, self.similarity, self.radius = words, similarity, radius(similarity)
@@ -75,8 +80,9 @@ class ItemIndex:
         self.bags = [shingled(r[1], words) for r in rows]
         sets = [np.unique(bag) for bag in self.bags]
         self.shingles, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64),) * 2
-        self.rare = math.log(1 + max(1, len(rows)))
-        self.weights = np.log(1 + len(rows) / counts) if sets else np.zeros(0)
+        n, self.common, holders = held or (len(rows), self.shingles[counts > 1], counts[counts > 1])
+        self.rare, self.common_weights = float(np.log(1 + max(1, n))), np.log(1 + n / holders)
+        self.weights = self.weight(self.shingles)
         # The places of each item's shingles, and for each place the items that hold it.
         self.held = [np.searchsorted(self.shingles, x) for x in sets]
         places = np.concatenate(self.held) if sets else np.zeros(0, np.int64)
@@ -90,10 +96,10 @@ class ItemIndex:
         self.spans = sorted({min(words, int(n)) for n in self.lengths})
 
     def weight(self, shingles: np.ndarray) -> np.ndarray:
-        if not len(self.shingles):
+        if not len(self.common):
             return np.full(len(shingles), self.rare)
-        at = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
-        return np.where(self.shingles[at] == shingles, self.weights[at], self.rare)
+        at = np.minimum(np.searchsorted(self.common, shingles), len(self.common) - 1)
+        return np.where(self.common[at] == shingles, self.common_weights[at], self.rare)
 
     def matches(self, words: np.ndarray) -> list[tuple[int, int, int, float]]:
         """(item, first word, number of words, similarity) of the best window of each item.
@@ -211,31 +217,62 @@ def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key:
     empty texts hold nothing and are found nowhere.
 
     Items reach the tasks in blocks of at most about ``ITEM_BYTES``; each block is one pass
-    over the documents.
+    over the documents, with the shingles' weights of the whole table, and its leaks are
+    written to the shared folder before the next block is collected. For more than one block
+    the shingles that several items hold, 16 bytes each, are on the driver and in each task.
     """
     size = items.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     blocks = max(1, -(-size // ITEM_BYTES))
-    ids = F.col(item_key).cast("bigint").alias("id")
+    items = items.select(F.col(item_key).cast("bigint").alias("id"), F.col(item_text).alias("text"))
     found = docs.drop(into)
     columns = found.columns
-    for block in range(blocks):
-        part = items.select(ids, F.col(item_text).alias("text")).where(
-            F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
-        found = _pass(found, sorted(map(tuple, part.collect()), key=repr), text, words, similarity, into)
-    return found if keep_text else found.select(*[c for c in columns if c != text], into)
-
-
-def _pass(docs: DataFrame, items: list[tuple], text: str, words: int, similarity: float, into: str) -> DataFrame:
-    kept = [c for c in docs.columns if c != into]
-    earlier = into in docs.columns
+    if blocks == 1:
+        found = _pass(found, items, None, text, words, similarity, into)
+    else:
+        held, row = _holders(items, words), fresh("row")
+        found = saved(found.withColumn(row, F.monotonically_increasing_id()), "documents")
+        passes = []
+        for block in range(blocks):
+            part = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
+            leaks = _pass(found.select(row, text), part, held, text, words, similarity, into)
+            passes.append(saved(leaks.where(F.size(into) > 0).select(row, into), "leaks"))
+        every = reduce(DataFrame.unionAll, passes).groupBy(row).agg(F.flatten(F.collect_list(into)).alias(into))
+        found = found.join(every, row, "left").withColumn(
+            into, F.coalesce(into, F.array().cast(every.schema[into].dataType)))
+    kept = [c for c in columns if keep_text or c != text]
+    return found.select(*[F.col(f"`{c}`") for c in kept], F.array_sort(into).alias(into))
+
+
+def _holders(items: DataFrame, words: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """The number of items with words, and the shingles of more than one item, in order,
+    with the number of items that hold each."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in small_batches(batches, "text"):
+            for t in batch.column("text").to_pylist():
+                hashed = Words([(t or "").encode("utf-8", "replace")], MARKS)
+                own = np.unique(hashed.shingles(words, 0, hashed.hashes()))
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.array([None, *own.view(np.int64).tolist()], pa.int64())], names=["shingle"])
+
+    counts = items.select("text").mapInArrow(run, "shingle bigint").groupBy("shingle").count()
+    rows = counts.where("shingle IS NULL OR count > 1").toArrow()
+    shingles, n = rows.column("shingle"), rows.column("count").to_numpy()
+    none = shingles.is_null().to_numpy()
+    known = shingles.drop_null().to_numpy().view(np.uint64)
+    order = np.argsort(known)
+    return int(n[none].sum()), known[order], n[~none][order]
+
+
+def _pass(docs: DataFrame, part: DataFrame, held: tuple | None, text: str, words: int, similarity: float,
+          into: str) -> DataFrame:
+    items = sorted(map(tuple, part.collect()), key=repr)
+    kept = docs.columns
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        index = ItemIndex(items, words, similarity)
+        index = ItemIndex(items, words, similarity, held)
         for batch in small_batches(batches, text):
             leaks = _search([t or "" for t in batch.column(text).to_pylist()], index)
-            if earlier:
-                leaks = [a + b for a, b in zip(batch.column(into).to_pylist(), leaks, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(leaks, pa.list_(LEAK))], names=[*kept, into])
 

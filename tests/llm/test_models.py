@@ -196,6 +196,20 @@ def test_item_blocks_find_the_same(spark, documents, monkeypatch):
     assert found() == whole and whole
 
 
+def test_item_blocks_weigh_shingles_alike(spark, monkeypatch):
+    """Items of one template: their similarities depend on the holders in all blocks."""
+    template = [f"t{k}" for k in range(30)]
+    items = [(k, " ".join([*template, *[f"i{k}w{j}" for j in range(20)]])) for k in range(40)]
+    texts = [(k, items[k][1].replace(f"i{k}w18", "other")) for k in range(40)] * 2 + [(None, items[0][1]), (99, None)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = lambda: sorted((tuple(r) for r in decontaminate.with_leaks(docs, bench).collect()), key=repr)
+    whole = found()
+    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 2000)
+    assert found() == whole and len(whole) == 82 and sum(len(r[2]) for r in whole) >= 81
+    assert any("/leaks-" in f for f in decontaminate.with_leaks(docs, bench).inputFiles())
+
+
 def test_fingerprints_of_similar_bags_stay_within_the_radius():
     rng, far = np.random.default_rng(3), decontaminate.radius(0.8)
     for _ in range(300):
