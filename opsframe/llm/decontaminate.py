@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,16 +20,22 @@ BITS, BLOCKS, ITEM_BYTES = 64, 8, 8 << 20
 HASHED_BYTES = 1 << 20
 # Windows whose fingerprints are made at once; room for rounding in sums of weights.
 RUN, _SLACK = 4096, 1e-6
+# Steps of the weight that a bag lacks.
+STEPS = 64
 
 _ONES = np.array([bin(v).count("1") for v in range(256)], np.uint8)
 
 
 def radius(similarity: float, misses: float = 1e-6) -> int:
-    """Fingerprints of two weighted sets of at least this similarity differ in at most so
-    many bits, but for a share of ``misses`` of such pairs: each bit differs with the chance
-    of the angle between the sets."""
-    cosine = 2 * similarity / (1 + similarity)
-    p, passed = math.acos(cosine) / math.pi, 0.0
+    """Fingerprints of two sets of equal weights of at least this similarity differ in at
+    most so many bits, but for a share of ``misses`` of such pairs."""
+    return _radius(2 * similarity / (1 + similarity), misses)
+
+
+@lru_cache(maxsize=1024)
+def _radius(cosine: float, misses: float = 1e-6) -> int:
+    """Each bit differs with the chance of the angle between the bags."""
+    p, passed = math.acos(min(1.0, cosine)) / math.pi, 0.0
     for k in range(BITS + 1):
         passed += math.comb(BITS, k) * p**k * (1 - p) ** (BITS - k)
         if 1 - passed <= misses:
@@ -37,6 +43,23 @@ def radius(similarity: float, misses: float = 1e-6) -> int:
     return BITS
 
 
+def least_cosine(bag: np.ndarray, weights: np.ndarray, similarity: float, most: float) -> float:
+    """No bag of at most as many shingles, each of a weight up to ``most``, with at least this
+    weighted similarity to the bag has a lower cosine with it.
+
+    Over steps of the weight it lacks: at worst its heaviest shingles are gone, which takes
+    the most from the product, and what came instead is one shingle, repeated.
+    """
+    sums = np.sort(np.bincount(np.unique(bag, return_inverse=True)[1], weights))[::-1]
+    square, whole, single = float((sums**2).sum()), float(sums.sum()), np.cumsum(np.sort(weights))
+    lost = np.linspace(0, (1 - similarity) * whole, STEPS + 1)
+    gone = np.interp(lost[1:], np.concatenate([[0.0], np.cumsum(sums)]), np.concatenate([[0.0], np.cumsum(sums**2)]))
+    came = most * np.searchsorted(single, lost[1:] + _SLACK, side="right")
+    came = np.minimum(came, (whole - lost[:-1]) / similarity - whole)
+    left = np.maximum(square - gone, 0.0)
+    return float((left / np.sqrt(square * (left + came**2))).min()) if square else 1.0
+
+
 def _signed(shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """A row of +-weight by bit for each shingle."""
     bits = np.unpackbits(shingles.view(np.uint8).reshape(-1, 8), axis=1).astype(np.float64)
@@ -63,7 +86,8 @@ class ItemIndex:
     """Items by their shingles and, for each byte of a fingerprint, by all values near it.
 
     Two fingerprints within the radius agree in some block up to radius // BLOCKS bits, so
-    the items to compare are those near the window in any block. A shingle weighs
+    the items to compare are those near the window in any block. Each item has the radius of
+    the least cosine that its own weights allow at the similarity. A shingle weighs
     log(1 + items / items that hold it); one that no item holds weighs as if one did.
 
     Where the items are a part of a table, ``held`` has the table's number of items and its
@@ -74,7 +98,7 @@ class ItemIndex:
                  held: tuple[int, np.ndarray, np.ndarray] | None = None):
         hashed = Words([(text or "").encode("utf-8", "replace") for _, text in items], MARKS)
         own, limits = hashed.hashes(), hashed.first
-        self.words, self.similarity, self.radius = words, similarity, radius(similarity)
+        self.words, self.similarity = words, similarity
         rows = [(item, own[a:b]) for (item, _), a, b in zip(items, limits[:-1], limits[1:], strict=True) if b > a]
         self.ids, self.lengths = [r[0] for r in rows], np.array([len(r[1]) for r in rows], np.int64)
         self.bags = [shingled(r[1], words) for r in rows]
@@ -91,6 +115,8 @@ class ItemIndex:
         self.holder_first = np.searchsorted(places[order], np.arange(len(self.shingles) + 1))
         self.totals = np.array([self.weight(b).sum() for b in self.bags])
         self.prints = np.array([_prints(_signed(b, self.weight(b)).sum(0)[None])[0] for b in self.bags], np.uint8).reshape(-1, 8)
+        cosines = [least_cosine(b, self.weight(b), similarity, self.rare) for b in self.bags]
+        self.radius = np.array([_radius(math.floor(c * 256) / 256) for c in cosines], np.int64)
         values = np.arange(256, dtype=np.uint8)
         self.near = [_ONES[values[:, None] ^ self.prints[:, k][None]] <= self.radius // BLOCKS for k in range(BLOCKS)]
         self.spans = sorted({min(words, int(n)) for n in self.lengths})
@@ -154,7 +180,7 @@ class ItemIndex:
             prints = _prints(sums[run - low + size] - sums[run - low])
             for k in range(BLOCKS):
                 near[a:b] |= self.near[k][prints[:, k], item]
-            near[a:b] &= _ONES[prints ^ self.prints[item]].sum(1) <= self.radius
+            near[a:b] &= _ONES[prints ^ self.prints[item]].sum(1) <= self.radius[item]
         best = (0, 0.0)
         for w in np.flatnonzero(near)[np.argsort(-bound[near], kind="stable")].tolist():
             begin = int(begins[w])

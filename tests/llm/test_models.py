@@ -219,6 +219,38 @@ def test_fingerprints_of_similar_bags_stay_within_the_radius():
         assert decontaminate._ONES[prints[0] ^ prints[1]].sum() <= far
 
 
+def test_the_radius_follows_the_weights_of_the_item():
+    """200 light template shingles and 10 heavy own ones, of which 3 are replaced."""
+    shared, heavy = np.log(2), np.log(1001)
+    weights = np.array([shared] * 200 + [heavy] * 10)
+    bag = np.arange(210).astype(np.uint64)
+    similarity = weights[:207].sum() / (weights.sum() + 3 * heavy)
+    cosine = (weights[:207] ** 2).sum() / (weights**2).sum()
+    assert similarity >= 0.8 and cosine < 2 * similarity / (1 + similarity) - 0.1
+    least = decontaminate.least_cosine(bag, weights, 0.8, heavy)
+    assert least <= cosine and decontaminate._radius(least) > decontaminate.radius(0.8)
+    index = decontaminate.ItemIndex([(k, " ".join([*[f"t{j}" for j in range(200)], *[f"i{k}w{j}" for j in range(10)]]))
+                                     for k in range(60)], 5, 0.8)
+    assert (index.radius > decontaminate.radius(0.8)).all()
+
+
+def test_no_similar_bag_has_a_lower_cosine():
+    rng, asked = np.random.default_rng(4), 0
+    for _ in range(3000):
+        n = int(rng.integers(5, 60))
+        kinds = rng.uniform(0.1, 5, 80) ** 2
+        bag = rng.integers(0, 60, n)
+        other = bag.copy()
+        at = rng.choice(n, int(rng.integers(0, n // 5 + 1)), replace=False)
+        other[at] = rng.integers(0, 80, len(at)) if rng.integers(2) else 79
+        a, b = (np.bincount(x, minlength=80) * kinds for x in (bag, other))
+        if np.minimum(a, b).sum() >= 0.8 * np.maximum(a, b).sum():
+            asked += 1
+            cosine = (a * b).sum() / np.sqrt((a**2).sum() * (b**2).sum())
+            assert decontaminate.least_cosine(bag.astype(np.uint64), kinds[bag], 0.8, kinds.max()) <= cosine + 1e-9
+    assert asked > 500
+
+
 # -- pipeline ---------------------------------------------------------------------------
 
 def test_pipeline_stages_take_effect(spark, documents):
