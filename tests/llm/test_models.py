@@ -118,6 +118,11 @@ def test_chains_across_blocks_of_a_long_list(spark, monkeypatch):
     assert sorted(((r.id, r.n_shingles, r.component_id) for r in out), key=repr) == near_by_hand(texts, 3, 85)
 
 
+def test_similarities_whose_lists_lose_pairs_are_refused(empty):
+    with pytest.raises(ValueError, match="under 80 percent"):
+        near_dedup.near_duplicates(empty, percent=79)
+
+
 def test_no_documents_no_components(empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
