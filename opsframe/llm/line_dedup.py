@@ -39,9 +39,9 @@ def keep_bitmaps(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Keys are counted with one row per document and key, combined before the shuffle, and the
     few repeated keys are then joined to the line hashes, where adaptive execution splits a
-    hot one. The surviving occurrences are range-partitioned by document and sorted by
-    position for the bitmaps. Every row is a document of its own; rows repeated in id and
-    text get the same bitmap; a null id is never the largest.
+    hot one. The bitmaps come from hash aggregates: the bits of a word are combined by
+    ``bit_or``, and the words of a document collected and sorted. Every row is a document of
+    its own; rows repeated in id and text get the same bitmap; a null id is never the largest.
     """
     source = docs.select(
         F.col(key).alias("id"), F.xxhash64(text_or_empty(text)).alias("version"),
