@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from opsframe.llm import (
-    decontaminate, exact_dedup, line_dedup, near_dedup, packing, quality, secrets, sharding,
-    token_files, toxicity,
+    centroids, decontaminate, exact_dedup, languages, line_dedup, near_dedup, packing, quality, secrets,
+    sharding, token_files, toxicity, vector_codes,
 )
 
 MODULES = (packing, quality, secrets, sharding, near_dedup, exact_dedup, toxicity, token_files,
-           line_dedup, decontaminate)
+           line_dedup, decontaminate, vector_codes, languages, centroids)
 
 
 def queries() -> dict:
