@@ -207,28 +207,59 @@ def fetch_page(df: DataFrame, meta: TableMeta, condition: Column | None = None,
     return Page(rows, token)
 
 
-def page_tokens(df: DataFrame, order: Sequence[str], ascending: bool, size: int) -> list[dict]:
-    """The order values of the last row of every page but the last, found without a limit:
-    the order columns are sorted into the shared folder, and of these only a count by
-    partition and the wanted rows reach the driver."""
-    placed = saved(df.select(*[col(c) for c in order]).orderBy(*_order(order, ascending)).withColumn(
-        "_at", F.monotonically_increasing_id()), "page_order")
-    counts = placed.groupBy(F.shiftright("_at", 33).alias("part")).count().orderBy("part").collect()
-    total, before, wanted = sum(r["count"] for r in counts), 0, []
-    for r in counts:
-        first = -(-(before + 1) // size) * size
-        wanted += [(r["part"] << 33) + k - before - 1 for k in range(first, before + r["count"] + 1, size) if k < total]
-        before += r["count"]
-    edges = placed.where(F.col("_at").isin(wanted)).orderBy("_at").collect() if wanted else []
-    return [{c: r[c] for c in order} for r in edges]
-
-
-def saved_pages(df: DataFrame, meta: TableMeta, size: int, *, columns: Sequence[str] | None = None,
-                sort: str | None = None, where: Column | dict | None = None, ascending: bool = True,
-                limit_first: bool = False) -> list[DataFrame]:
-    """All pages of ``size`` rows, each written to the shared folder. A page is what lies
-    after the token of the one before it and up to its own, so no task holds a page whole,
-    and the driver holds a token per page.
+class Pages:
+    """All pages of a query, made by one sort and one write.
+
+    The rows lie in the shared folder in their order, numbered by partition and place. A
+    count per partition, which is all the driver holds, turns the numbers into ranks, and a
+    rank into a page. A page is read by the range of numbers it stands for, which skips the
+    row groups of all others; nothing is scanned once per page.
+    """
+
+    def __init__(self, laid: DataFrame, columns: list[str], order: list[str], size: int, number: str, kept: str | None):
+        self._laid, self._columns, self._order, self._size = laid, columns, order, size
+        self._number, self._kept = number, kept
+        part = F.shiftright(number, 33)
+        found = {r["part"]: r["count"] for r in laid.groupBy(part.alias("part")).count().collect()}
+        self._counts = [found.get(k, 0) for k in range(max(found, default=-1) + 1)]
+        before = [0]
+        for n in self._counts:
+            before.append(before[-1] + n)
+        self._before, self.total = before, before[-1]
+        starts = F.array(*[F.lit(b).cast("bigint") for b in before])
+        self._rank = F.get(starts, part) + F.col(number).bitwiseAND((1 << 33) - 1)
+
+    def __len__(self) -> int:
+        """The number of pages; without rows there is one empty page."""
+        return max(1, -(-self.total // self._size))
+
+    def _shown(self, rows: DataFrame, *more: Column) -> DataFrame:
+        return (rows.where(self._kept) if self._kept else rows).select(*[col(c) for c in self._columns], *more)
+
+    def rows(self, page: str = "page") -> DataFrame:
+        """The rows of all pages with the number of their page, from 0."""
+        return self._shown(self._laid, F.floor(self._rank / self._size).cast("bigint").alias(page))
+
+    def page(self, number: int) -> DataFrame:
+        """The rows of one page, in order."""
+        low, high = number * self._size, min(self.total, (number + 1) * self._size)
+        spans = [
+            F.col(self._number).between((k << 33) + max(low, first) - first, (k << 33) + min(high, first + n) - first - 1)
+            for k, (first, n) in enumerate(zip(self._before, self._counts, strict=False)) if first < high and first + n > low]
+        held = reduce(lambda a, b: a | b, spans) if spans else F.lit(False)
+        return self._shown(self._laid.where(held).orderBy(self._number))
+
+    def tokens(self, page: str = "page") -> DataFrame:
+        """For every page but the last, the order values of its last row, from which the next
+        page goes on, also by ``after``."""
+        ends = ((self._rank + 1) % self._size == 0) & (self._rank + 1 < self.total)
+        return self._laid.where(ends).select(F.floor(self._rank / self._size).cast("bigint").alias(page), *[col(c) for c in self._order])
+
+
+def all_pages(df: DataFrame, meta: TableMeta, size: int, *, columns: Sequence[str] | None = None,
+              sort: str | None = None, where: Column | dict | None = None, ascending: bool = True,
+              limit_first: bool = False) -> Pages:
+    """The pages of ``size`` rows that ``fetch_page`` would give one after another.
 
     With ``limit_first`` the size counts the rows before the filter.
     """
@@ -236,14 +267,15 @@ def saved_pages(df: DataFrame, meta: TableMeta, size: int, *, columns: Sequence[
         raise ValueError("a page needs a positive limit")
     order = ([sort] if sort else []) + [k for k in meta.keys if k != sort]
     extra = match_all(where) if isinstance(where, dict) else where
-    examined = df if extra is None or limit_first else df.where(extra)
-    pages, token = [], None
-    for edge in [*page_tokens(examined, order, ascending, size), None]:
-        upto = None if edge is None else ~F.coalesce(after_token(df, order, ascending, edge), F.lit(False))
-        pages.append(saved(query(df, meta, upto, sort=sort, where=extra, columns=columns,
-                                 ascending=ascending, after=token), "page"))
-        token = edge
-    return pages
+    shown, number = list(columns or df.columns), "_at"
+    wanted = [col(c) for c in dict.fromkeys([*shown, *order])]
+    late = extra is not None and limit_first
+    if extra is not None and not limit_first:
+        df = df.where(extra)
+    if late:
+        wanted.append(F.coalesce(extra, F.lit(False)).alias("_kept"))
+    placed = df.select(*wanted).orderBy(*_order(order, ascending)).withColumn(number, F.monotonically_increasing_id())
+    return Pages(saved(placed, "pages"), shown, order, size, number, "_kept" if late else None)
 
 
 def scan_page(df: DataFrame, meta: TableMeta, *, columns: Sequence[str] | None = None,

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from opsframe.functions.fits import fitted, misfit_at
 from opsframe.functions.predicates import col, literal, literal_for
 from opsframe.functions.rules import failed_message_ok
 from opsframe.functions.times import seconds_between
 from opsframe.operators.joins import HASH, split_join
 from opsframe.operators.write import (
-    Change, _sound, clock, folded_sound, hits, insert_if_absent, stamped, update_outcomes,
+    Change, _sound, clock, folded_sound, hits, insert_if_absent, keyed, misfit, stamped, update_outcomes, valued,
 )
 from opsframe.schema import RUN_STATUSES, TERMINAL_STATUSES
 from opsframe.sources.storage import saved
@@ -45,6 +46,7 @@ def run_status_update(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
     terminal. An empty message changes nothing.
     """
     keys = list(keys)
+    c = valued(keyed(c, s, keys), s, ["status", "error_message", "end_time"])
     status = F.col("status")
     message = _optional(c, "error_message", "string")
     given_end = _optional(c, "end_time", s.schema["end_time"].dataType.simpleString())
@@ -54,6 +56,7 @@ def run_status_update(s: DataFrame, c: DataFrame, as_of, order: Sequence[str],
     if require_message:
         bad = bad.when(~failed_message_ok(status, message), F.lit("failed needs a message"))
 
+    bad = F.coalesce(misfit(c), bad)
     now = literal_for(s, "end_time", as_of)
     seq = F.struct(*order)
     end = F.when(is_terminal(status), F.coalesce(given_end, now)).otherwise(given_end)
@@ -113,7 +116,7 @@ def cancel_running(s: DataFrame, as_of, pipelines: DataFrame | None = None, by:
     running = F.coalesce(F.col("status") == "running", F.lit(False))
     picked, rest, go = s, None, running
     if pipelines is not None:
-        wanted = pipelines.select("pipeline_id").distinct().withColumn("_hit", F.lit(True))
+        wanted = keyed(pipelines, s, ["pipeline_id"]).select("pipeline_id").distinct().withColumn("_hit", F.lit(True))
         picked, rest = split_join(s.where(running), wanted, ["pipeline_id"], "left"), s.where(~running)
         go = F.col("_hit").isNotNull()
     now = literal_for(s, "end_time", as_of)
@@ -147,7 +150,9 @@ class Nested(NamedTuple):
 
 
 # Stages, metrics and outputs are tables of one row per entry. A run may have any number of
-# them, a batch may be cut into any batches, and nothing is gathered into a row.
+# them, a batch may be cut into any batches, and nothing is gathered into a row. Commands are
+# reduced first, into the shared folder: there Spark knows their size before it plans, so that
+# few of them are broadcast and the entries and runs are only scanned.
 
 def _touched(s: DataFrame, sound: DataFrame, keys: list[str], as_of) -> DataFrame:
     stamps = stamped(s, as_of, "updated_at")
@@ -160,27 +165,43 @@ def _touched(s: DataFrame, sound: DataFrame, keys: list[str], as_of) -> DataFram
 
 
 def _of_known_runs(rows: DataFrame, s: DataFrame, keys: list[str]) -> DataFrame:
-    return split_join(rows, s.select(*keys), keys, "left_semi").drop(HASH)
+    """The rows of runs that the state has, which has a run once."""
+    return split_join(rows, s.select(*keys), keys, "inner").drop(HASH)
+
+
+def _entries_merged(entries: DataFrame, new: DataFrame, on: list[str], values: Mapping[str, Column]) -> DataFrame:
+    """The entries with ``new`` laid over them, which has a ``_new`` for each of its keys
+    ``on``: the ``values`` of those it names are made anew, and those not there are added,
+    as from an entry of nulls. Equal entries of a key would all take the value."""
+    known = entries.join(new.select(*on, "_new"), on, "left").select(*[
+        (F.when(F.col("_new").isNotNull(), values[n]).otherwise(col(n)) if n in values else col(n)).alias(n)
+        for n in entries.columns])
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in entries.schema.fields if f.name not in on}
+    there = entries.select(*on).join(new.select(*on), on, "left_semi")
+    added = new.join(there, on, "left_anti").withColumns(absent).select(*[
+        (values[n] if n in values else col(n)).alias(n) for n in entries.columns])
+    return known.unionByName(added)
 
 
 def _stage_fields(entries: DataFrame, keys, order) -> list[T.StructField]:
     return [f for f in entries.schema.fields if f.name not in (*keys, *order)]
 
 
+def _stage_kinds(c: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in c.schema["stage"].dataType.fields}
+
+
 def _bad_stage(c: DataFrame, fields: list[T.StructField]) -> Column:
     """The name has to be given, and every value has to fit the stages' columns."""
-    stage, given = F.col("stage"), {f.name: f.dataType for f in c.schema["stage"].dataType.fields}
+    stage, given = F.col("stage"), _stage_kinds(c)
     bad = F.when(stage["stage_name"].isNull() | (stage["stage_name"] == ""), F.lit("stage_name missing"))
-    for f in fields:
-        if f.name in given and given[f.name] != f.dataType:
-            bad = bad.when(stage[f.name].isNotNull() & stage[f.name].try_cast(f.dataType).isNull(),
-                           F.lit(f"{f.name} is not {f.dataType.simpleString()}"))
-    return bad
+    unfit = [misfit_at(stage[f.name], given[f.name], f.dataType, f.name) for f in fields if f.name in given]
+    return F.coalesce(bad, misfit(c), *unfit)
 
 
 def _as_entry(c: DataFrame, fields: list[T.StructField], stage: Column) -> list[Column]:
-    given = {f.name for f in c.schema["stage"].dataType.fields}
-    return [(stage[f.name].try_cast(f.dataType) if f.name in given else F.lit(None).cast(f.dataType)).alias(f.name)
+    given = _stage_kinds(c)
+    return [(fitted(stage[f.name], given[f.name], f.dataType) if f.name in given else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in fields]
 
 
@@ -190,25 +211,30 @@ def stage_upsert(s: DataFrame, stages: DataFrame, c: DataFrame, as_of, order: Se
 
     ``stages`` has a row for each stage of a run: the keys, the ``order`` columns of the
     command that added it, which are its place, ``stage_name`` and what else a stage has.
-    Commands are first reduced to the last one per run and stage name.
+    Commands are first reduced to the last one per run and stage name. Only the entries of
+    these names are put in order to find the first; the others stay where they are.
     """
     keys, order = list(keys), list(order)
     fields = _stage_fields(stages, keys, order)
+    c = valued(keyed(c, s, keys), stages, order)
     bad = _bad_stage(c, fields)
     sound = _sound(c, keys, bad)
-    on = [*keys, "stage_name", "_nth"]
+    name = [f for f in fields if f.name == "stage_name"]
+    on = [*keys, "stage_name"]
     last = (
-        sound.groupBy(*keys, F.col("stage")["stage_name"].alias("stage_name"))
+        sound.groupBy(*keys, *_as_entry(c, name, F.col("stage")))
         .agg(F.min(F.struct(*order)).alias("_place"), F.max(F.struct(*order, "stage"))["stage"].alias("_stage"))
     )
-    new = _of_known_runs(last, s, keys).withColumn("_nth", F.lit(1))
-    nth = F.row_number().over(Window.partitionBy(*keys, "stage_name").orderBy(*order))
-    old = stages.withColumns({"_nth": nth, "_old": F.lit(True)})
-    told = dict(zip([f.name for f in fields], _as_entry(c, fields, F.col("_stage")), strict=True))
-    entries = old.join(new, on, "full_outer").select(*[
+    new = saved(_of_known_runs(last, s, keys), "stages")
+    named = new.select(*on)
+    nth = F.row_number().over(Window.partitionBy(*on).orderBy(*order))
+    old = stages.join(named, on, "left_semi").withColumns({"_nth": nth, "_old": F.lit(True)})
+    told = {f.name: e for f, e in zip(fields, _as_entry(c, fields, F.col("_stage")), strict=True)}
+    met = old.join(new.withColumn("_nth", F.lit(1)), [*on, "_nth"], "full_outer").select(*[
         (F.when(F.col("_old"), col(n)).otherwise(F.col("_place")[n]) if n in order
          else F.when(F.col("_stage").isNotNull(), told[n]).otherwise(col(n)) if n in told and n != "stage_name"
          else col(n)).alias(n) for n in stages.columns])
+    entries = stages.join(named, on, "left_anti").select(*stages.columns).unionByName(met)
     return Nested(_touched(s, sound, keys, as_of), entries, update_outcomes(s, c, keys, bad))
 
 
@@ -220,6 +246,7 @@ def stage_append(s: DataFrame, stages: DataFrame, c: DataFrame, as_of, order: Se
     """
     keys, order = list(keys), list(order)
     fields = _stage_fields(stages, keys, order)
+    c = valued(keyed(c, s, keys), stages, order)
     bad = _bad_stage(c, fields)
     sound = _sound(c, keys, bad)
     new = _of_known_runs(sound, s, keys).select(*keys, *order, *_as_entry(c, fields, F.col("stage")))
@@ -257,19 +284,17 @@ def metrics_merge(s: DataFrame, metrics: DataFrame, c: DataFrame, as_of, order:
     """Merge each command's ``metrics`` map into the table of (keys, ``name``, ``value``), the
     last value of a name winning."""
     keys, given = list(keys), F.col("metrics")
-    kind = metrics.schema["value"].dataType
+    c = keyed(c, s, keys)
+    wanted = T.MapType(metrics.schema["name"].dataType, metrics.schema["value"].dataType)
     bad = F.when(given.isNull() | (F.size(given) == 0), F.lit("no metrics"))
-    if c.schema["metrics"].dataType.valueType != kind:
-        unfit = F.exists(F.map_values(given), lambda v: v.isNotNull() & v.try_cast(kind).isNull())
-        bad = bad.when(unfit, F.lit(f"a value is not {kind.simpleString()}"))
+    bad = F.coalesce(bad, misfit_at(given, c.schema["metrics"].dataType, wanted, "metrics"))
     sound = _sound(c, keys, bad)
-    last = (sound.select(*keys, *order, F.explode("metrics").alias("name", "_value"))
-            .groupBy(*keys, "name").agg(F.max(F.struct(*order, "_value")).alias("_last")))
-    new = _of_known_runs(last, s, keys)
-    entries = metrics.join(new, [*keys, "name"], "full_outer").select(
-        *keys, "name", F.when(F.col("_last").isNotNull(), F.col("_last")["_value"].try_cast(kind))
-        .otherwise(F.col("value")).alias("value"))
-    return Nested(_touched(s, sound, keys, as_of), entries.select(*metrics.columns), update_outcomes(s, c, keys, bad))
+    entry = F.explode(fitted(given, c.schema["metrics"].dataType, wanted)).alias("name", "_value")
+    last = (sound.select(*keys, *order, entry)
+            .groupBy(*keys, "name").agg(F.max(F.struct(*order, "_value")).alias("_new")))
+    new = saved(_of_known_runs(last, s, keys), "metrics")
+    entries = _entries_merged(metrics, new, [*keys, "name"], {"value": F.col("_new")["_value"]})
+    return Nested(_touched(s, sound, keys, as_of), entries, update_outcomes(s, c, keys, bad))
 
 
 def record_outputs(s: DataFrame, outputs: DataFrame, c: DataFrame, as_of,
@@ -280,18 +305,13 @@ def record_outputs(s: DataFrame, outputs: DataFrame, c: DataFrame, as_of,
     add up there and in the run's ``total_records_processed``.
     """
     keys = list(keys)
-    kinds = {n: outputs.schema[n].dataType for n in ("table_id", "records")}
-    bad = F.when(F.col("table_id").isNull(), F.lit("table_id missing"))
-    for n, kind in kinds.items():
-        if c.schema[n].dataType != kind:
-            bad = bad.when(col(n).isNotNull() & col(n).try_cast(kind).isNull(), F.lit(f"{n} is not {kind.simpleString()}"))
+    c = valued(keyed(c, s, keys), outputs, ["table_id", "records"])
+    bad = F.coalesce(misfit(c), F.when(F.col("table_id").isNull(), F.lit("table_id missing")))
     sound = _sound(c, keys, bad)
-    per_table = (sound.groupBy(*keys, F.col("table_id").try_cast(kinds["table_id"]).alias("table_id"))
-                 .agg(F.sum(F.col("records").try_cast(kinds["records"])).alias("_records")))
-    known = _of_known_runs(per_table, s, keys)
-    added = F.coalesce(F.col("records"), F.lit(0)) + F.coalesce(F.col("_records"), F.lit(0))
-    entries = outputs.join(known, [*keys, "table_id"], "full_outer").select(
-        *keys, "table_id", added.cast(kinds["records"]).alias("records")).select(*outputs.columns)
+    per_table = sound.groupBy(*keys, "table_id").agg(F.sum("records").alias("_records"))
+    new = saved(_of_known_runs(per_table, s, keys).withColumn("_new", F.struct("_records")), "outputs")
+    added = F.coalesce(F.col("records"), F.lit(0)) + F.coalesce(F.col("_new")["_records"], F.lit(0))
+    entries = _entries_merged(outputs, new, [*keys, "table_id"], {"records": added.cast(outputs.schema["records"].dataType)})
     per_run = per_table.groupBy(*keys).agg(F.sum("_records").alias("_sum"), F.lit(True).alias("_hit"))
     values = {
         "total_records_processed": (F.coalesce(F.col("total_records_processed"), F.lit(0))

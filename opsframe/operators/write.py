@@ -8,6 +8,10 @@ reduced to one row per key before they meet the state, by aggregates that start
 shuffle, so a key that most commands share costs one row per input task. The state is
 first cut to the commanded keys by a semi join: where the commands are small enough for
 Spark to broadcast, the state is only scanned.
+
+Commands take the state's types before anything else. A value, at any depth, or a key that
+does not fit its column without loss makes its command invalid, by the path of what does
+not fit; a key that does not fit is null in the outcome. The rest of the batch goes on.
 """
 
 from __future__ import annotations
@@ -17,6 +21,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from opsframe.functions.fits import (
+    as_column, fitted, misfit_at, row_misfit, same_kind, text_fitted, text_misfit,
+)
 from opsframe.functions.items import item_bytes
 from opsframe.functions.predicates import col, literal_for
 from opsframe.operators.joins import split_join
@@ -69,17 +76,44 @@ def key_given(keys: Sequence[str]) -> Column:
     return given
 
 
-def misfit(c: DataFrame, s: DataFrame) -> Column:
+# Why a command's key or values do not fit, beside a command whose types are not the state's.
+_KEY_MISFIT, _MISFIT = "_key_misfit", "_misfit"
+
+
+def _typed(c: DataFrame, like: DataFrame, columns: Sequence[str], into: str) -> DataFrame:
+    kinds = {f.name: f.dataType for f in like.schema.fields}
+    other = [n for n in columns if n in kinds and n in c.columns and not same_kind(c.schema[n].dataType, kinds[n])]
+    if not other:
+        return c
+    return c.withColumns({into: F.coalesce(_told(c, into), row_misfit(c, like, other)),
+                          **{n: as_column(c, like, n) for n in other}})
+
+
+def _told(c: DataFrame, name: str) -> Column:
+    return F.col(name) if name in c.columns else F.lit(None).cast("string")
+
+
+def keyed(c: DataFrame, s: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The commands with keys of the state's types, null where they do not fit."""
+    return _typed(c, s, keys, _KEY_MISFIT)
+
+
+def valued(c: DataFrame, s: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The commands with the state's types in these columns, null where they do not fit."""
+    return _typed(c, s, columns, _MISFIT)
+
+
+def checked(c: DataFrame, s: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return valued(keyed(c, s, keys), s, [n for n in c.columns if n not in keys])
+
+
+def misfit(c: DataFrame) -> Column:
     """The reason a command's values do not fit the state's columns; null when they fit."""
-    reason = F.lit(None).cast("string")
-    for f in s.schema.fields:
-        if f.name in c.columns and c.schema[f.name].dataType != f.dataType:
-            reason = F.coalesce(reason, _unfit(col(f.name), f.name, f.dataType))
-    return reason
+    return _told(c, _MISFIT)
 
 
-def _unfit(value: Column, name: str, kind: T.DataType) -> Column:
-    return F.when(value.isNotNull() & value.try_cast(kind).isNull(), F.lit(f"{name} is not {kind.simpleString()}"))
+def _absent_key(c: DataFrame) -> Column:
+    return F.coalesce(_told(c, _KEY_MISFIT), F.lit("key missing"))
 
 
 def clock(s: DataFrame, column: str, as_of) -> Column:
@@ -105,7 +139,7 @@ def listed(rows: DataFrame, keys: Sequence[str], *found: Column) -> DataFrame:
 
 def _reason_counts(c: DataFrame, keys: Sequence[str], bad: Column) -> DataFrame:
     """Per key: how many commands are sound, and how many are not for each reason."""
-    return (c.withColumn("_bad", F.when(~key_given(keys), F.lit("key missing")).otherwise(bad))
+    return (c.withColumn("_bad", F.when(~key_given(keys), _absent_key(c)).otherwise(bad))
             .groupBy(*keys, "_bad").agg(F.count("*").alias("_n")))
 
 
@@ -144,7 +178,8 @@ def insert_if_absent(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of,
     A command whose values do not fit the state's columns is invalid and the others go on.
     """
     keys = list(keys)
-    bad = misfit(c, s)
+    c = checked(c, s, keys)
+    bad = misfit(c)
     sound = _sound(c, keys, bad)
     new = latest(sound, keys, order, first=True).join(hits(s, sound, keys), keys, "left_anti")
     for name, value in (defaults or {}).items():
@@ -168,10 +203,8 @@ def insert_if_absent(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of,
 
 
 def _aligned(rows: DataFrame, s: DataFrame) -> DataFrame:
-    """The rows with the state's columns and types, as far as they hold them. A value that
-    does not fit is null; ``misfit`` has told the command before."""
-    return rows.select(*[
-        col(f.name).try_cast(f.dataType).alias(f.name) for f in s.schema.fields if f.name in rows.columns])
+    """The rows with the state's columns and types, as far as they hold them."""
+    return rows.select(*[as_column(rows, s, n).alias(n) for n in s.columns if n in rows.columns])
 
 
 # -- updates ----------------------------------------------------------------------------
@@ -183,6 +216,7 @@ def partial_update(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of,
     Commands of one key are folded field by field, the last one naming a field winning.
     """
     keys = list(keys)
+    c = keyed(c, s, keys)
     kinds = {f.name: f.dataType for f in s.schema.fields if f.name not in keys}
     given = col(fields)
 
@@ -192,8 +226,8 @@ def partial_update(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of,
     bad = bad.when(known < F.size(given), F.concat(F.lit("cannot set "), F.array_join(unknown, ", ")))
     for name, kind in kinds.items():
         if not isinstance(kind, T.StringType):
-            bad = bad.when(given[name].isNotNull() & _read(given[name], kind).isNull(),
-                           F.lit(f"{name} is not {kind.simpleString()}"))
+            unfit = text_misfit(given[name], kind, name)
+            bad = bad.when(unfit.isNotNull(), unfit)
 
     # The greatest (order, text) pair of the commands that name the field.
     folded = folded_sound(c, keys, bad, lambda ok: [
@@ -202,7 +236,7 @@ def partial_update(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of,
         for i, name in enumerate(kinds)])
     joined = s.join(folded, keys, "left")
     changed = {
-        name: F.when(F.col(f"_set_{i}").isNotNull(), _read(F.col(f"_set_{i}")["_text"], kind))
+        name: F.when(F.col(f"_set_{i}").isNotNull(), text_fitted(F.col(f"_set_{i}")["_text"], kind))
         .otherwise(col(name)) for i, (name, kind) in enumerate(kinds.items())
     }
     if "updated_at" in s.columns:
@@ -212,33 +246,21 @@ def partial_update(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of,
     return Change(state, update_outcomes(s, c, keys, bad))
 
 
-def _read(text: Column, kind: T.DataType) -> Column:
-    """Text as a value of the column's type, null when it is not one."""
-    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        # A nested value that does not fit is told by the corrupt-record column.
-        wrapped = T.StructType([T.StructField("v", kind), T.StructField("_corrupt", T.StringType())])
-        parsed = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), wrapped,
-                             {"columnNameOfCorruptRecord": "_corrupt"})
-        return F.when(parsed["_corrupt"].isNull(), parsed["v"])
-    if isinstance(kind, T.VariantType):
-        return F.try_parse_json(text)
-    return text.try_cast(kind)
-
-
 def update_given(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order: Sequence[str],
                  columns: Sequence[str]) -> Change:
     """Set the typed ``columns`` a command gives; a null leaves the column alone."""
     keys = list(keys)
     present = [n for n in columns if n in c.columns]
+    c = valued(keyed(c, s, keys), s, present)
     seq = F.struct(*order)
     some = F.lit(False)
     for name in present:
         some = some | col(name).isNotNull()
-    bad = F.coalesce(F.when(~some, F.lit("nothing given")), misfit(c.select(*keys, *present), s))
+    bad = F.coalesce(misfit(c), F.when(~some, F.lit("nothing given")))
     folded = folded_sound(c, keys, bad, lambda ok: [
         F.max_by(col(n), F.when(ok & col(n).isNotNull(), seq)).alias(f"_new_{n}") for n in present])
     joined = s.join(folded, keys, "left")
-    changed = {n: F.coalesce(F.col(f"_new_{n}").try_cast(_kind_of(s, n)), _old(s, n)) for n in present}
+    changed = {n: F.coalesce(F.col(f"_new_{n}"), _old(s, n)) for n in present}
     if "updated_at" in s.columns:
         changed["updated_at"] = F.when(F.col("_hit"), clock(s, "updated_at", as_of)).otherwise(
             F.col("updated_at"))
@@ -247,10 +269,6 @@ def update_given(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order:
     return Change(state, update_outcomes(s, c, keys, bad))
 
 
-def _kind_of(s: DataFrame, name: str):
-    return s.schema[name].dataType if name in s.columns else "string"
-
-
 def _old(s: DataFrame, name: str) -> Column:
     return col(name) if name in s.columns else F.lit(None)
 
@@ -264,21 +282,30 @@ def update_stats(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order:
     return update_given(s, c, keys, as_of, order, ["record_count", "size_bytes", "last_updated_data"])
 
 
-def _tried(s: DataFrame, c: DataFrame, keys: Sequence[str], order: Sequence[str], bad: Column,
-           condition: Column, needs_row: bool, values: Column) -> tuple[DataFrame, DataFrame]:
+def _tried(s: DataFrame, c: DataFrame, keys: Sequence[str], order: Sequence[str], condition: Column,
+           assign: Mapping[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """The first command of each key whose condition holds on its row, as ``_new``, and the
-    outcomes of all commands.
+    outcomes of all commands. With ``assign`` the row has to be there, and ``_new`` has the
+    assigned values; without, ``_new`` is the whole command.
 
     Conditions are taken for every command beside its row, before commands are ranked, so a
     command that does not hold never stands in the way of one that does.
     """
     on = [F.col(f"s.{k}") == F.col(f"c.{k}") for k in keys]
-    beside = c.withColumn("_misfit", bad).alias("c").join(s.withColumn("_known", F.lit(True)).alias("s"), on, "left")
+    bad_key, bad = _absent_key(c), misfit(c)
+    tried = c.withColumns({"_bad_key": bad_key, "_bad_value": bad})
+    beside = tried.alias("c").join(s.withColumn("_known", F.lit(True)).alias("s"), on, "left")
     known = F.col("s._known").isNotNull()
+    needs_row, reason, values = assign is not None, F.col("c._bad_value"), F.struct("c.*")
+    if needs_row:
+        kinds = beside.select(*[v.alias(n) for n, v in assign.items()]).schema
+        unfit = [misfit_at(v, kinds[n].dataType, s.schema[n].dataType, n) for n, v in assign.items()]
+        reason = F.coalesce(reason, F.when(known, F.coalesce(*unfit)))
+        values = F.struct(*[fitted(v, kinds[n].dataType, s.schema[n].dataType).alias(n) for n, v in assign.items()])
     given = F.lit(True)
     for k in keys:
         given = given & F.col(f"c.{k}").isNotNull()
-    reason = F.when(~given, F.lit("key missing")).otherwise(F.col("c._misfit"))
+    reason = F.when(~given, F.col("c._bad_key")).otherwise(reason)
     met = reason.isNull() & F.coalesce(condition, F.lit(False)) & (known if needs_row else F.lit(True))
     rows = beside.select(
         *[F.col(f"c.{k}").alias(k) for k in keys], F.struct(*[F.col(f"c.{o}") for o in order]).alias("_at"),
@@ -308,12 +335,11 @@ def conditional_update(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, o
 
     Of several commands for one key the first that holds on the row is applied. Those before
     it did not meet their condition, and those after it conflict, as writers that read the
-    same row and came second.
+    same row and came second. A command of which an assigned value does not fit its column
+    is invalid, whatever its condition.
     """
     keys = list(keys)
-    kinds = {n: s.schema[n].dataType for n in assign}
-    values = F.struct(*[v.try_cast(kinds[n]).alias(n) for n, v in assign.items()])
-    first, outcomes = _tried(s, c, keys, order, F.lit(None).cast("string"), condition, True, values)
+    first, outcomes = _tried(s, keyed(c, s, keys), keys, order, condition, assign)
     changed = {n: F.col("_new")[n] for n in assign}
     if "updated_at" in s.columns:
         changed.setdefault("updated_at", clock(s, "updated_at", as_of))
@@ -339,10 +365,11 @@ def delete_keys(s: DataFrame, c: DataFrame, keys: Sequence[str],
     deletes that name it conflict.
     """
     keys = list(keys)
+    c = keyed(c, s, keys)
     met = F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
     wanted = c.where(key_given(keys)).select(*keys).distinct()
     gone = wanted if condition is None else s.where(met).join(wanted, keys, "left_semi").select(*keys)
-    counted = c.groupBy(*keys).agg(F.count("*").alias("_n"))
+    counted = _reason_counts(c, keys, F.lit(None).cast("string"))
     tried = s.withColumn("_met", met).join(wanted, keys, "left_semi").select(*keys, "_met")
     known = counted.join(tried, keys, "left")
     done, given = F.when(F.col("_met"), 1).otherwise(0), key_given(keys)
@@ -352,7 +379,7 @@ def delete_keys(s: DataFrame, c: DataFrame, keys: Sequence[str],
         _outcome(CONFLICT, "condition not met", F.when(~F.col("_met"), F.col("_n")).otherwise(0)),
         _outcome(NOT_FOUND, None, F.when(given & F.coalesce(F.col("_met"), F.lit(True)),
                                          F.col("_n") - done).otherwise(0)),
-        _outcome(INVALID, "key missing", F.when(given, 0).otherwise(F.col("_n"))))
+        _outcome(INVALID, F.col("_bad"), F.when(given, 0).otherwise(F.col("_n"))))
     return Removal(s.join(gone, keys, "left_anti"), outcomes, s.where(met).join(wanted, keys, "left_semi"))
 
 
@@ -386,7 +413,8 @@ def upsert(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order: Sequen
     through or none of it.
     """
     keys = list(keys)
-    bad = misfit(c, s)
+    c = checked(c, s, keys)
+    bad = misfit(c)
     sound = _sound(c, keys, bad)
     if allowed is not None:
         sound = sound.where(allowed)
@@ -407,11 +435,11 @@ def upsert_many(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, order: S
     if max_bytes is None:
         return upsert(s, c, keys, as_of, order)
     payload = c.select(*[col(n) for n in c.columns if n in s.columns])
-    sized = c.withColumn("_over", item_bytes(payload) > max_bytes)
+    sized = checked(c.withColumn("_over", item_bytes(payload) > max_bytes), s, keys)
     over = sized.where("_over").agg(F.count("*").alias("n")).scalar()
     change = upsert(s, c, keys, as_of, order, allowed=over == 0)
-    reason = F.when(F.col("_over"), F.lit("item too large")).otherwise(misfit(c, s))
-    counted = (sized.withColumn("_bad", F.when(~F.col("_over") & ~key_given(keys), F.lit("key missing")).otherwise(reason))
+    reason = F.when(F.col("_over"), F.lit("item too large")).otherwise(misfit(sized))
+    counted = (sized.withColumn("_bad", F.when(~F.col("_over") & ~key_given(keys), _absent_key(sized)).otherwise(reason))
                .groupBy(*keys, "_bad").agg(F.count("*").alias("_n")).withColumn("_ok", over == 0))
     ok = F.col("_bad").isNull()
     outcomes = listed(
@@ -430,7 +458,7 @@ def conditional_put(s: DataFrame, c: DataFrame, keys: Sequence[str], as_of, orde
     for that conflicts. Of several commands for one key the first that holds is put.
     """
     keys = list(keys)
-    first, outcomes = _tried(s, c, keys, order, misfit(c, s), condition, False, F.struct("c.*"))
+    first, outcomes = _tried(s, checked(c, s, keys), keys, order, condition)
     state = _replaced(s, first.select("_new.*"), keys, as_of)
     return Change(state, outcomes)
 
@@ -445,11 +473,12 @@ def set_active_together(s: DataFrame, ids: DataFrame, keys: Sequence[str], as_of
     into a single value, and every change is guarded by it.
     """
     keys = list(keys)
-    wanted = ids.select(*keys).distinct()
+    ids = keyed(ids, s, keys)
+    wanted = ids.select(*keys, _told(ids, _KEY_MISFIT).alias("_bad")).distinct()
     eligible = s if owner is None else s.where(owner)
     absent = wanted.join(hits(eligible, wanted, keys), keys, "left_anti")
     failed = absent.agg(F.count("*").alias("n")).scalar()
-    joined = s.join(wanted.withColumn("_hit", F.lit(True)), keys, "left")
+    joined = s.join(wanted.where(key_given(keys)).select(*keys, F.lit(True).alias("_hit")), keys, "left")
     change = F.col("_hit") & (failed == 0)
     values = {"is_active": F.lit(active), **stamped(s, as_of, "updated_at")}
     if by and "updated_by" in s.columns:
@@ -458,11 +487,11 @@ def set_active_together(s: DataFrame, ids: DataFrame, keys: Sequence[str], as_of
         (F.when(F.col("_change"), values[n]).otherwise(col(n)) if n in values else col(n)).alias(n)
         for n in s.columns])
     known = wanted.join(hits(eligible, wanted, keys), keys, "left").withColumn("_failed", failed)
-    outcome = (F.when(F.col("_hit").isNull(), NOT_FOUND)
+    outcome = (F.when(F.col("_bad").isNotNull(), INVALID).when(F.col("_hit").isNull(), NOT_FOUND)
                .when(F.col("_failed") > 0, CONFLICT).otherwise(APPLIED))
     outcomes = known.select(
         *keys, outcome.alias("outcome"),
-        F.when(F.col("_hit") & (F.col("_failed") > 0), F.lit("batch rejected")).alias("reason"),
+        F.coalesce(F.col("_bad"), F.when(F.col("_hit") & (F.col("_failed") > 0), F.lit("batch rejected"))).alias("reason"),
         F.lit(1).cast("bigint").alias("commands"))
     return Change(state, outcomes)
 

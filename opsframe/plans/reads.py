@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import functions as F
 
 from opsframe.functions import times
 from opsframe.functions.predicates import key_condition, match_all
@@ -287,19 +286,29 @@ def display_timezone(spark, sf_dir):
 
 # -- all pages --------------------------------------------------------------------------
 
-def _pages(df, meta, **options):
-    """The rows of all pages, a quarter of the table each, as they lie in the shared folder."""
-    return reduce(DataFrame.unionAll, read.saved_pages(df, meta, max(10, df.count() // 4), **options))
+# Pages of 100 rows, however many there are.
+_PAGE_OF = "(row_number() OVER (ORDER BY {order}) - 1) // 100 AS page"
+_BY_END = "end_time DESC NULLS LAST, run_id, pipeline_id"
 
 
-@_query(f"WITH {RUNS_SQL} SELECT run_id, pipeline_id, end_time FROM runs")
+@_query(f"WITH {RUNS_SQL} SELECT run_id, pipeline_id, end_time, {_PAGE_OF.format(order=_BY_END)} FROM runs")
 def all_pages(spark, sf_dir):
     """Sorted by an end that many runs do not have, newest first."""
     log = runs(spark, sf_dir).select("run_id", "pipeline_id", "end_time")
-    return _pages(log, RUNS, sort="end_time", ascending=False)
+    return read.all_pages(log, RUNS, 100, sort="end_time", ascending=False).rows()
 
 
-@_query(f"WITH {RUNS_SQL} SELECT run_id, pipeline_id, status FROM runs WHERE status = 'failed'")
+@_query(f"""WITH {RUNS_SQL} SELECT run_id, pipeline_id, status, page FROM (
+  SELECT *, {_PAGE_OF.format(order="run_id, pipeline_id")} FROM runs) WHERE status = 'failed'""")
 def all_pages_limit_first(spark, sf_dir):
     log = runs(spark, sf_dir).select("run_id", "pipeline_id", "status")
-    return _pages(log, RUNS, where={"status": "failed"}, limit_first=True)
+    return read.all_pages(log, RUNS, 100, where={"status": "failed"}, limit_first=True).rows()
+
+
+@_query(f"""WITH {RUNS_SQL} SELECT page, end_time, run_id, pipeline_id FROM (
+  SELECT *, {_PAGE_OF.format(order=_BY_END)}, row_number() OVER (ORDER BY {_BY_END}) AS nth, count(*) OVER () AS total FROM runs)
+WHERE nth % 100 = 0 AND nth < total""")
+def page_tokens(spark, sf_dir):
+    """Where each page but the last ends."""
+    log = runs(spark, sf_dir).select("run_id", "pipeline_id", "end_time")
+    return read.all_pages(log, RUNS, 100, sort="end_time", ascending=False).tokens()

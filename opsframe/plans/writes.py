@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -11,6 +11,9 @@ from opsframe.plans.domains import (
     AS_OF, AS_OF_SQL, PIPELINES_SQL, RUNS_SQL, TABLES_SQL, pipelines, runs, table, tables,
 )
 from opsframe.plans.registering import Registry
+from opsframe.session import prepare
+from opsframe.sources import layout
+from opsframe.sources.storage import new_path
 
 REGISTRY = Registry()
 _query = REGISTRY.query
@@ -325,6 +328,120 @@ def insert_invalid(spark, sf_dir):
         pipelines(spark, sf_dir), _misfits(spark, sf_dir), _P, AS_OF, _ORDER))
 
 
+# Parts as rows with nested and narrow columns; order lines name them by a text, and give
+# values that fit, that lose a fraction, or that are none.
+
+def _boxes(spark, sf_dir):
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS part_id", "CAST(floor(p_retailprice) AS DECIMAL(10,0)) AS price", "array(p_size) AS sizes",
+        "map('size', CAST(p_size AS BIGINT)) AS limits", "named_struct('size', p_size, 'tags', array(p_brand)) AS box")
+
+
+_PART_KEY = "IF(l_linestatus = 'F', CAST(l_partkey AS STRING), concat('part ', l_partkey))"
+
+
+def _box_commands(spark, sf_dir):
+    return _lines(
+        spark, sf_dir, f"{_PART_KEY} AS part_id", "CAST(l_quantity AS DECIMAL(12,2)) / 2 AS price",
+        "array('7', IF(l_returnflag = 'R', 'many', '8')) AS sizes",
+        "map('size', IF(l_linenumber = 1, 1.5D, 2D)) AS limits",
+        "named_struct('tags', array(l_returnflag), 'size', CAST(l_linenumber AS STRING)) AS box")
+
+
+# In the order of the state's columns as the commands have them.
+_BOX_REASON = """CASE WHEN l_linestatus <> 'F' THEN 'part_id is not bigint'
+  WHEN CAST(l_quantity AS BIGINT) % 2 = 1 THEN 'price is not decimal(10,0)'
+  WHEN l_returnflag = 'R' THEN 'sizes[] is not int' WHEN l_linenumber = 1 THEN 'limits{} is not bigint' END"""
+_BOX_SQL = f"""c AS (SELECT *, CASE WHEN l_linestatus = 'F' THEN l_partkey END AS part_id, {_BOX_REASON} AS why FROM lineitem)"""
+
+
+@_query(f"""WITH {_BOX_SQL} SELECT part_id, CASE WHEN why IS NULL THEN 'applied' ELSE 'invalid' END AS outcome,
+  coalesce(why, '') AS reason, count(*) AS commands FROM c GROUP BY ALL""")
+def upsert_nested_invalid(spark, sf_dir):
+    """Whole rows with nested values, fractions and keys of another type."""
+    return _sorted_outcomes(write.upsert(_boxes(spark, sf_dir), _box_commands(spark, sf_dir), ["part_id"], AS_OF, _ORDER))
+
+
+@_query(f"""WITH {_BOX_SQL}, last AS (SELECT * FROM c WHERE why IS NULL {_LAST.format(order=_DESC)})
+SELECT p_partkey AS part_id, CASE WHEN l_partkey IS NULL THEN CAST(floor(p_retailprice) AS BIGINT) ELSE CAST(l_quantity AS BIGINT) // 2 END AS price,
+  CASE WHEN l_partkey IS NULL THEN p_size ELSE 7 END AS size, CASE WHEN l_partkey IS NULL THEN p_size ELSE 2 END AS most,
+  CASE WHEN l_partkey IS NULL THEN p_size ELSE CAST(l_linenumber AS INTEGER) END AS box_size,
+  CASE WHEN l_partkey IS NULL THEN p_brand ELSE l_returnflag END AS tag
+FROM part LEFT JOIN last ON l_partkey = p_partkey
+UNION ALL SELECT part_id, CAST(l_quantity AS BIGINT) // 2, 7, 2, CAST(l_linenumber AS INTEGER), l_returnflag
+FROM last WHERE part_id NOT IN (SELECT p_partkey FROM part)""")
+def upsert_nested(spark, sf_dir):
+    """The state after these commands: what fits is read as the columns' own types."""
+    state = write.upsert(_boxes(spark, sf_dir), _box_commands(spark, sf_dir), ["part_id"], AS_OF, _ORDER).state
+    return state.select("part_id", F.col("price").cast("bigint").alias("price"), F.col("sizes")[0].alias("size"),
+                        F.col("limits")["size"].cast("int").alias("most"), F.col("box")["size"].alias("box_size"),
+                        F.col("box")["tags"][0].alias("tag"))
+
+
+_KNOWN_PART = "part_id IN (SELECT p_partkey FROM part)"
+
+
+@_query(f"""WITH {_BOX_SQL}, k AS (SELECT *, {_KNOWN_PART} AS known,
+    CASE WHEN part_id IS NULL THEN 'part_id is not bigint' WHEN {_KNOWN_PART} AND l_returnflag = 'R' THEN 'sizes[] is not int' END AS bad FROM c),
+n AS (SELECT part_id, bad, known, count(*) AS n FROM k GROUP BY ALL)
+SELECT part_id, 'invalid' AS outcome, bad AS reason, n AS commands FROM n WHERE bad IS NOT NULL
+UNION ALL SELECT part_id, 'not_found', '', n FROM n WHERE bad IS NULL AND NOT known
+UNION ALL SELECT part_id, 'applied', '', 1 FROM n WHERE bad IS NULL AND known
+UNION ALL SELECT part_id, 'conflict', 'an earlier command for this key was applied', n - 1 FROM n WHERE bad IS NULL AND known AND n > 1""")
+def conditional_invalid(spark, sf_dir):
+    """Assigned values that do not fit, before any condition is asked."""
+    return _sorted_outcomes(write.conditional_update(
+        _boxes(spark, sf_dir), _box_commands(spark, sf_dir), ["part_id"], AS_OF, _ORDER, F.lit(True),
+        {"sizes": F.col("c.sizes")}))
+
+
+@_query(f"""WITH {_BOX_SQL}, n AS (SELECT part_id, why, count(*) AS n FROM c GROUP BY ALL)
+SELECT part_id, 'invalid' AS outcome, why AS reason, n AS commands FROM n WHERE why IS NOT NULL
+UNION ALL SELECT part_id, 'applied', '', 1 FROM n WHERE why IS NULL
+UNION ALL SELECT part_id, 'conflict', 'an earlier command for this key was applied', n - 1 FROM n WHERE why IS NULL AND n > 1""")
+def put_invalid(spark, sf_dir):
+    return _sorted_outcomes(write.conditional_put(
+        _boxes(spark, sf_dir), _box_commands(spark, sf_dir), ["part_id"], AS_OF, _ORDER, F.lit(True)))
+
+
+@_query(f"""WITH {_BOX_SQL}, n AS (SELECT part_id, {_KNOWN_PART} AS known, count(*) AS n FROM c GROUP BY ALL)
+SELECT part_id, 'invalid' AS outcome, 'part_id is not bigint' AS reason, n AS commands FROM n WHERE part_id IS NULL
+UNION ALL SELECT part_id, 'applied', '', 1 FROM n WHERE known
+UNION ALL SELECT part_id, 'not_found', '', n - CASE WHEN known THEN 1 ELSE 0 END FROM n
+WHERE part_id IS NOT NULL AND (n > 1 OR NOT known)""")
+def delete_invalid(spark, sf_dir):
+    """Keys given as texts, of which some are no numbers."""
+    return _sorted_outcomes(write.delete_keys(_boxes(spark, sf_dir), _box_commands(spark, sf_dir), ["part_id"]))
+
+
+@_query(f"""WITH {_BOX_SQL} SELECT part_id, CASE WHEN part_id IS NULL OR l_returnflag = 'R' OR CAST(l_quantity AS BIGINT) % 2 = 1 THEN 'invalid'
+    WHEN {_KNOWN_PART} THEN 'applied' ELSE 'not_found' END AS outcome,
+  CASE WHEN part_id IS NULL THEN 'part_id is not bigint' WHEN CAST(l_quantity AS BIGINT) % 2 = 1 THEN 'price is not decimal(10,0)'
+    WHEN l_returnflag = 'R' THEN 'box.size is not int' ELSE '' END AS reason, count(*) AS commands
+FROM c GROUP BY ALL""")
+def partial_invalid(spark, sf_dir):
+    """Texts of nested values and fractions."""
+    c = _lines(spark, sf_dir, f"{_PART_KEY} AS part_id", """map(
+        'price', CAST(CAST(l_quantity AS DECIMAL(12,2)) / 2 AS STRING),
+        'box', concat('{"size": ', IF(l_returnflag = 'R', '1.5', '3'), ', "tags": ["new"]}')) AS fields""")
+    return _sorted_outcomes(write.partial_update(_boxes(spark, sf_dir), c, ["part_id"], AS_OF, _ORDER))
+
+
+@_query("""WITH c AS (SELECT CASE WHEN l_linestatus = 'F' THEN l_orderkey END AS run_id,
+    CASE WHEN l_linestatus <> 'F' THEN 'run_id is not bigint' WHEN l_returnflag = 'R' THEN 'l_linenumber is not int'
+      WHEN CAST(l_quantity AS BIGINT) % 2 = 1 THEN 'records_processed is not bigint' END AS why FROM lineitem)
+SELECT run_id, CASE WHEN why IS NOT NULL THEN 'invalid' WHEN run_id IN (SELECT o_orderkey FROM orders) THEN 'applied'
+    ELSE 'not_found' END AS outcome, coalesce(why, '') AS reason, count(*) AS commands FROM c GROUP BY ALL""")
+def stage_invalid(spark, sf_dir):
+    """Stages with run ids, places and values of another type, some of which do not fit."""
+    c = table(spark, sf_dir, "lineitem").selectExpr(
+        "IF(l_linestatus = 'F', CAST(l_orderkey AS STRING), 'none') AS run_id", "l_shipdate", "l_orderkey", "l_suppkey", "l_extendedprice",
+        "IF(l_returnflag = 'R', 'last', CAST(l_linenumber AS STRING)) AS l_linenumber",
+        "named_struct('stage_name', 'load', 'records_processed', CAST(l_quantity AS DOUBLE) / 2) AS stage")
+    return _sorted_outcomes(life.stage_append(
+        _run_ids(spark, sf_dir), _staged(spark, sf_dir), c, AS_OF, _ORDER, _R))
+
+
 def _upserted(spark, sf_dir):
     c = _lines(spark, sf_dir, "l_partkey AS pipeline_id",
                "concat('order ', l_orderkey) AS pipeline_name",
@@ -332,6 +449,21 @@ def _upserted(spark, sf_dir):
     return write.upsert_many(pipelines(spark, sf_dir), c, _P, AS_OF, _ORDER)
 
 
+# The same state in folders by bucket: commands for parts of one brand, then deletes.
+@_query(f"""WITH {TABLES_SQL}, last AS (SELECT * FROM lineitem WHERE l_partkey % 10 = 3 {_LAST.format(order=_DESC)})
+SELECT tables.* REPLACE (coalesce(CAST(l_quantity AS BIGINT), record_count) AS record_count)
+FROM tables LEFT JOIN last ON l_partkey = table_id
+WHERE table_id NOT IN (SELECT l_partkey FROM lineitem WHERE l_partkey % 10 = 7)""")
+def upsert_buckets(spark, sf_dir):
+    path = new_path(prepare(spark), "tables")
+    state = layout.BucketedState.create(tables(spark, sf_dir), path, ["table_id"], 16)
+    told = _lines(spark, sf_dir, "CAST(l_partkey AS STRING) AS table_id", "l_partkey", "CAST(l_quantity AS BIGINT) AS record_count")
+    state.apply(told.where("l_partkey % 10 = 3"), lambda s, c: write.update_stats(s, c, ["table_id"], AS_OF, _ORDER))
+    again = layout.BucketedState(spark, path)
+    again.apply(told.where("l_partkey % 10 = 7"), lambda s, c: write.delete_keys(s, c, ["table_id"]))
+    return again.rows()
+
+
 # -- all or nothing ---------------------------------------------------------------------
 
 @_query(f"""WITH {PIPELINES_SQL}, ids AS (SELECT DISTINCT user_id AS k FROM events)
@@ -642,6 +774,16 @@ def purge_runs(spark, sf_dir):
     return kept.select("run_id", "pipeline_id", "status", "start_time")
 
 
+@_query(f"""WITH {RUNS_SQL} SELECT run_id, pipeline_id, status, start_time FROM runs
+WHERE start_time >= {AS_OF_SQL} - INTERVAL 156 HOUR""")
+def purge_days(spark, sf_dir):
+    """A log by day from which whole days are dropped, and the half of one."""
+    path = new_path(prepare(spark), "runs")
+    layout.write_run_log(runs(spark, sf_dir).select("run_id", "pipeline_id", "status", "start_time"), path)
+    layout.purge_days(spark, path, AS_OF - timedelta(hours=156))
+    return layout.read_run_log(spark, path)
+
+
 @_query("""SELECT event_id AS run_id, 'load' AS stage_name,
   timezone('UTC', timezone('America/Sao_Paulo', ts)) AS start_time,
   timezone('UTC', timezone('America/Sao_Paulo', ts + to_seconds(CAST(floor(value) AS BIGINT)))) AS end_time,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime
+from collections.abc import Callable, Sequence
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from opsframe.functions.predicates import literal_for
+from opsframe.operators.write import Change, Removal, key_given, keyed
+from opsframe.sources.storage import remove, saved, subfolders
 
 
 def write_run_log(runs: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -46,3 +48,92 @@ def save_bucketed(state: DataFrame, table: str, keys: Sequence[str], buckets: in
     """A state kept in buckets of its key, so that applying commands does not shuffle it."""
     (state.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
      .option("path", path).saveAsTable(table))
+
+
+# -- days that are dropped ----------------------------------------------------------------
+
+def purge_days(spark: SparkSession, path: str, cutoff: datetime) -> list[date]:
+    """Drop the runs that started before the cutoff from a log by day; the days dropped whole.
+
+    Days before the cutoff's own go by their folder, unread. Of the cutoff's day alone the
+    rows are read and written anew, after they were saved aside; every other file stays as
+    it is. Runs without a start are of unknown age and stay. Purging again changes nothing.
+    """
+    days = [date.fromisoformat(v) for v in subfolders(spark, path, "day") if v[:1].isdigit()]
+    gone = sorted(d for d in days if d < cutoff.date())
+    for day in gone:
+        remove(spark, f"{path}/day={day}")
+    if cutoff.date() in days:
+        log = spark.read.parquet(path)
+        edge = log.where(F.col("day") == F.lit(cutoff.date()))
+        kept = saved(edge.where(F.col("start_time") >= literal_for(log, "start_time", cutoff)), "edge")
+        if kept.isEmpty():
+            remove(spark, f"{path}/day={cutoff.date()}")
+        elif kept.count() < edge.count():
+            write_run_log(kept.drop("day"), path)
+    return gone
+
+
+# -- a state in folders by key bucket ------------------------------------------------------
+
+class BucketedState:
+    """A state of which a batch of commands rewrites the buckets it names and no others.
+
+    Rows lie in one folder per bucket of their key's hash. The number of buckets and the
+    keys are kept beside them and cannot be changed by opening. Commands take the keys'
+    types, so that equal keys have equal buckets. What is read and written grows with the
+    buckets that a batch touches: their numbers, at most as many as there are buckets, go
+    through the driver and prune the folders. One writer at a time; the outcomes and the
+    new rows are saved before any folder is replaced.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        settings = spark.read.parquet(f"{path}/layout").first()
+        self.buckets, self.keys = settings["buckets"], list(settings["keys"])
+
+    @classmethod
+    def create(cls, state: DataFrame, path: str, keys: Sequence[str], buckets: int) -> BucketedState:
+        if buckets < 1:
+            raise ValueError("a state needs a bucket")
+        spark = state.sparkSession
+        spark.range(1).select(F.lit(buckets).alias("buckets"), F.array(*map(F.lit, keys)).alias("keys")).coalesce(1).write.parquet(
+            f"{path}/layout")
+        spark.createDataFrame([], state.schema).write.parquet(f"{path}/schema")
+        out = cls(spark, path)
+        out._write(out._placed(state))
+        return out
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+
+    def _write(self, placed: DataFrame) -> None:
+        """Ranges of (bucket, keys), so that a large bucket fills several files."""
+        order = ["_bucket", *self.keys]
+        (placed.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(f"{self.path}/rows"))
+
+    def _rows(self) -> DataFrame:
+        schema = self.spark.read.parquet(f"{self.path}/schema").schema.add("_bucket", T.IntegerType())
+        if not subfolders(self.spark, f"{self.path}/rows", "_bucket"):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/rows")
+
+    def rows(self) -> DataFrame:
+        return self._rows().drop("_bucket")
+
+    def apply(self, c: DataFrame, change: Callable[[DataFrame, DataFrame], Change | Removal]) -> DataFrame:
+        """Let ``change(state, commands)`` change the touched buckets; the outcomes."""
+        rows = self._rows()
+        told = self._placed(keyed(c, rows, self.keys)).where(key_given(self.keys))
+        touched = sorted(r["_bucket"] for r in told.select("_bucket").distinct().collect())
+        held = rows.where(F.col("_bucket").isin(touched)).drop("_bucket")
+        changed = change(held, c)
+        outcomes = saved(changed.outcomes, "outcomes")
+        new = saved(self._placed(changed.state.select(*held.columns)), "buckets")
+        left = {r["_bucket"] for r in new.select("_bucket").distinct().collect()}
+        if left:
+            self._write(new)
+        for bucket in set(touched) - left:
+            remove(self.spark, f"{self.path}/rows/_bucket={bucket}")
+        return outcomes

@@ -31,3 +31,21 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _files(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def subfolders(spark: SparkSession, path: str, name: str) -> list[str]:
+    """The values of the folders ``name=value`` of a folder, in order; none where it is not there."""
+    files, found = _files(spark, path)
+    listed = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*")) if files.exists(found) else None
+    return sorted(s.getPath().getName()[len(name) + 1:] for s in listed or [])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that the library wrote; nothing happens where it is not there."""
+    files, found = _files(spark, path)
+    files.delete(found, True)

@@ -6,9 +6,10 @@ reading the folder gives the same runs as folding all the events at once. Now an
 partial rows are merged into a base, which bounds what a read has to merge; what the base
 before it held is then removed.
 
-The ids of events are kept in a table by the day of the event. A batch looks up the days
-it holds alone, so an event counts once however late it comes or comes again, and no state
-is held between batches.
+The ids of events are kept in a folder for each day of the events. A batch lists and looks
+up the days it holds alone, so an event counts once however late it comes or comes again,
+and no state is held between batches. A day's folder has a base and a bounded number of
+batches after it; a day that no batch holds any more is never listed again.
 """
 
 from __future__ import annotations
@@ -19,18 +20,75 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opsframe.operators.runs import KEYS, finish_fold, merge_folds, partial_fold
+from opsframe.operators.write import latest
+from opsframe.sources.storage import remove, subfolders
 
 
-def _new_events(batch: DataFrame, folder: str, number: int, ids: Sequence[str]) -> DataFrame:
-    """The events of a batch that no earlier batch held. An event comes again with its time."""
-    spark = batch.sparkSession
-    once = batch.withColumn("day", F.to_date("ts")).dropDuplicates([*ids])
-    days = [r["day"] for r in once.select("day").distinct().collect()]
-    seen = _existing(spark, f"{folder}/ids")
-    if seen is None or not days:
-        return once
-    earlier = seen.where(F.col("day").isin(days) & (F.col("batch") < number))
-    return once.join(earlier.select(*ids), [*ids], "left_anti")
+class DayIds:
+    """Ids of events by day: for each day a base and the batches after it.
+
+    Only one writer adds batches, by rising number; adding a batch again replaces it. Where
+    a day has ``most`` batches, those before the current one are merged into a new base.
+    They are removed once the base is whole, and an id found twice does no harm, so a
+    writer that was lost anywhere goes on.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, most: int = 32):
+        self.spark, self.folder, self.most = spark, folder, most
+
+    def _day(self, day) -> str:
+        return f"{self.folder}/day={day}"
+
+    def _parts(self, day, before: int) -> tuple[list[int], list[int]]:
+        """The whole bases and the batches of a day, as numbers."""
+        bases = [int(n) for n in subfolders(self.spark, self._day(day), "base")]
+        whole = [n for n in bases if _whole(self.spark, f"{self._day(day)}/base={n}")]
+        batches = [int(n) for n in subfolders(self.spark, self._day(day), "batch")]
+        upto = max(whole, default=-1)
+        return sorted(whole), sorted(n for n in batches if upto < n < before)
+
+    def _paths(self, day, before: int) -> list[str]:
+        bases, batches = self._parts(day, before)
+        return [f"{self._day(day)}/base={n}" for n in bases[-1:]] + [f"{self._day(day)}/batch={n}" for n in batches]
+
+    def seen(self, days, before: int) -> DataFrame | None:
+        """The ids of these days in batches before the given one; None if there are none."""
+        paths = [p for day in days for p in self._paths(day, before)]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def add(self, ids: DataFrame, days, number: int) -> None:
+        """The ids of a batch, with their ``day``."""
+        (ids.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day", "batch").parquet(self.folder))
+        for day in days:
+            self._merge(day, number)
+
+    def _merge(self, day, number: int) -> None:
+        bases, batches = self._parts(day, number)
+        if len(batches) < self.most:
+            return
+        self.spark.read.parquet(*self._paths(day, number)).write.mode("overwrite").parquet(f"{self._day(day)}/base={batches[-1]}")
+        for n in [int(n) for n in subfolders(self.spark, self._day(day), "batch") if int(n) <= batches[-1]]:
+            remove(self.spark, f"{self._day(day)}/batch={n}")
+        for n in bases:
+            remove(self.spark, f"{self._day(day)}/base={n}")
+
+
+def _whole(spark: SparkSession, path: str) -> bool:
+    files, found = _folder(spark, f"{path}/_SUCCESS")
+    return files.exists(found)
+
+
+def _new_events(batch: DataFrame, store: DayIds, number: int, ids: Sequence[str]) -> tuple[DataFrame, list]:
+    """The events of a batch that no earlier batch held, with their day, and these days. An
+    event comes again with its time. Of events that differ under one id in a batch, the one
+    with the least values, column by column, counts."""
+    told = batch.withColumn("day", F.to_date("ts"))
+    rest = [c for c in batch.columns if c not in ids]
+    once = latest(told, ids, rest, first=True) if rest else told.dropDuplicates([*ids])
+    days = [r["day"] for r in told.select("day").distinct().collect() if r["day"] is not None]
+    seen = store.seen(days, number) if days else None
+    return (once if seen is None else once.join(seen.select(*ids), [*ids], "left_anti")), days
 
 
 def start_fold(events: DataFrame, folder: str, order: Sequence[str], keys: Sequence[str] = KEYS,
@@ -40,6 +98,7 @@ def start_fold(events: DataFrame, folder: str, order: Sequence[str], keys: Seque
     An event is known by its keys and ``order`` columns.
     """
     spark, ids = events.sparkSession, [*keys, *order]
+    store = DayIds(spark, f"{folder}/ids")
     if _existing(spark, f"{folder}/partials") is None:
         none = spark.createDataFrame([], events.schema)
         partial_fold(none, keys, order).write.mode("overwrite").parquet(f"{folder}/partials/batch=-1")
@@ -47,13 +106,11 @@ def start_fold(events: DataFrame, folder: str, order: Sequence[str], keys: Seque
     def write(batch: DataFrame, number: int) -> None:
         if number and number % compact_every == 0:
             compact(spark, folder, number - 1, keys)
-        new = _new_events(batch, folder, number, ids)
+        new, days = _new_events(batch, store, number, ids)
         partial_fold(new.drop("day"), keys, order).write.mode("overwrite").parquet(
             f"{folder}/partials/batch={number}")
         # Last, and by the batch's number: a batch that is run again does not see its own ids.
-        (new.select(*ids, "day", F.lit(number).cast("bigint").alias("batch"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("day", "batch").parquet(f"{folder}/ids"))
+        store.add(new.where(F.col("day").isNotNull()).select(*ids, "day"), days, number)
 
     return (events.writeStream.foreachBatch(write)
             .option("checkpointLocation", f"{folder}/progress")
@@ -71,11 +128,6 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if parts else None
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    files, found = _folder(spark, path)
-    files.delete(found, True)
-
-
 def compact(spark: SparkSession, folder: str, upto: int, keys: Sequence[str] = KEYS) -> None:
     """Merge the folds of the batches up to ``upto`` into one base.
 
@@ -94,9 +146,9 @@ def compact(spark: SparkSession, folder: str, upto: int, keys: Sequence[str] = K
     if noted is not None:
         replaced = spark.read.parquet(f"{folder}/partials").where(F.col("batch") <= noted)
         for row in replaced.select("batch").distinct().collect():
-            _remove(spark, f"{folder}/partials/batch={row['batch']}")
+            remove(spark, f"{folder}/partials/batch={row['batch']}")
         for row in spark.read.parquet(f"{folder}/compacted").where(F.col("upto") < noted).distinct().collect():
-            _remove(spark, f"{folder}/base/upto={row['upto']}")
+            remove(spark, f"{folder}/base/upto={row['upto']}")
 
 
 def _noted(spark: SparkSession, folder: str) -> int | None:

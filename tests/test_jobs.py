@@ -128,6 +128,40 @@ def test_streamed_fold_equals_batch_fold(spark, tmp_path):
     assert as_dict(fold.folded(spark, folder)) == brute_force(events)
 
 
+def test_ids_of_many_batches_stay_in_few_folders(spark, tmp_path):
+    """Batches that mix days, repeat ids, are added twice and go on after a restart: an id is
+    new once, and a day never holds more than its base and a bounded number of batches."""
+    rnd, known, days = random.Random(3), set(), [datetime(2024, 1, d) for d in (1, 2, 3)]
+    for number in range(24):
+        store = fold.DayIds(spark, str(tmp_path / "ids"), most=4)
+        held = rnd.sample(days, 2) if number % 3 else days[:1]
+        ids = [(rnd.randrange(60), d) for d in held for _ in range(4)]
+        events = spark.createDataFrame([(i + 100 * d.day, d) for i, d in ids], "id bigint, ts timestamp").coalesce(1)
+        fresh = {r.id for r in fold._new_events(events, store, number, ["id"])[0].collect()}
+        assert fresh == {i + 100 * d.day for i, d in ids} - known
+        for _ in range(1 + (number % 10 == 7)):  # a batch that is run again
+            new, told = fold._new_events(events, store, number, ["id"])
+            assert {r.id for r in new.collect()} == fresh
+            store.add(new.select("id", "day"), told, number)
+        known |= fresh
+        for folder in (tmp_path / "ids").glob("day=*"):
+            assert len(list(folder.glob("batch=*"))) <= 5 and len(list(folder.glob("base=*"))) <= 1
+    assert sum(1 for _ in (tmp_path / "ids").glob("day=*")) == 3
+    listed = store._paths(days[0].date(), 99)
+    assert len(listed) <= 6 and all("day=2024-01-01/" in p for p in listed)
+
+
+def test_a_base_that_is_not_whole_is_not_read(spark, tmp_path):
+    store = fold.DayIds(spark, str(tmp_path / "ids"), most=2)
+    day = datetime(2024, 1, 1).date()
+    for number in range(2):
+        store.add(spark.createDataFrame([(number, day)], "id bigint, day date"), [day], number)
+    (tmp_path / "ids" / "day=2024-01-01" / "base=1").mkdir()  # a writer was lost here
+    assert {r.id for r in store.seen([day], 2).collect()} == {0, 1}
+    store.add(spark.createDataFrame([(2, day)], "id bigint, day date"), [day], 2)
+    assert {r.id for r in store.seen([day], 3).collect()} == {0, 1, 2}
+
+
 def test_a_fold_without_events_is_empty(spark, tmp_path):
     (tmp_path / "in").mkdir()
     stream = spark.readStream.schema(EVENTS).parquet(str(tmp_path / "in"))

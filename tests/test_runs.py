@@ -244,3 +244,57 @@ def test_a_state_goes_on_from_later_events(spark, seed):
     after = life.partial_fold(whole.where("seq >= 120"), life.KEYS, ["seq"])
     found = as_dict(life.apply_folds(before.withColumn("events", F.lit(0)), after).withColumn("events", F.lit(0)))
     assert found == {k: {**v, "n": 0} for k, v in brute_force(events).items()}
+
+
+# -- entries that do not fit, and entries that stay where they are -------------------------
+
+def test_orders_keys_and_values_of_entries_that_do_not_fit(spark):
+    s = spark.createDataFrame([(1,), (2,)], "run_id bigint")
+    stages = spark.createDataFrame([(1, 0, "a", 5)], "run_id bigint, seq int, stage_name string, n bigint")
+    c = spark.createDataFrame([("1", "7", ("b", "2.5")), ("1", "later", ("c", "3")), ("x", "8", ("d", "4")), ("2", "9", ("e", "6"))],
+                              "run_id string, seq string, stage struct<stage_name:string,n:string>")
+    for change in (life.stage_append(s, stages, c, NOW, ["seq"], ["run_id"]), life.stage_upsert(s, stages, c, NOW, ["seq"], ["run_id"])):
+        assert sorted((tuple(r) for r in change.outcomes.collect()), key=repr) == sorted([
+            (1, "invalid", "n is not bigint", 1), (1, "invalid", "seq is not int", 1), (2, "applied", None, 1),
+            (None, "invalid", "run_id is not bigint", 1)], key=repr)
+        assert sorted(tuple(r) for r in change.entries.collect()) == [(1, 0, "a", 5), (2, 9, "e", 6)]
+    metrics = spark.createDataFrame([(1, "m", 5)], "run_id bigint, name string, value bigint")
+    m = spark.createDataFrame([("1", 1, {"m": "2.5"}), ("2", 1, {"m": "6"}), ("x", 1, {"m": "6"})], "run_id string, seq int, metrics map<string,string>")
+    merged = life.metrics_merge(s, metrics, m, NOW, ["seq"], ["run_id"])
+    assert {(r.run_id, r.outcome, r.reason) for r in merged.outcomes.collect()} == {
+        (1, "invalid", "metrics{} is not bigint"), (2, "applied", None), (None, "invalid", "run_id is not bigint")}
+    assert sorted(tuple(r) for r in merged.entries.collect()) == [(1, "m", 5), (2, "m", 6)]
+    state = s.withColumn("total_records_processed", F.lit(0).cast("bigint"))
+    outputs = spark.createDataFrame([(1, 7, 5)], "run_id bigint, table_id bigint, records bigint")
+    o = spark.createDataFrame([("1", "7", "1.5"), ("1", "7", "2"), ("2", "t", "3"), ("x", "7", "3")], "run_id string, table_id string, records string")
+    done = life.record_outputs(state, outputs, o, NOW, ["run_id"])
+    assert {(r.run_id, r.outcome, r.reason) for r in done.outcomes.collect()} == {
+        (1, "invalid", "records is not bigint"), (1, "applied", None), (2, "invalid", "table_id is not bigint"),
+        (None, "invalid", "run_id is not bigint")}
+    assert [tuple(r) for r in done.entries.collect()] == [(1, 7, 7)]
+
+
+def test_status_changes_that_do_not_fit(spark):
+    s = spark.createDataFrame([(1, "running", NOW, None, None, None)],
+                              "run_id bigint, status string, start_time timestamp, end_time timestamp, error_message string, duration_seconds double")
+    c = spark.createDataFrame([("1", "success", "soon", 1), ("y", "success", None, 1)], "run_id string, status string, end_time string, seq int")
+    change = life.run_status_update(s, c, NOW, ["seq"], ["run_id"])
+    assert {(r.run_id, r.outcome, r.reason) for r in change.outcomes.collect()} == {
+        (1, "invalid", "end_time is not timestamp"), (None, "invalid", "run_id is not bigint")}
+    assert change.state.first().status == "running"
+    owned = s.withColumn("pipeline_id", F.lit(4))
+    for owner, status in (("z", "running"), ("4", "cancelled")):
+        owners = spark.createDataFrame([(owner,)], "pipeline_id string")
+        assert life.cancel_running(owned, NOW, owners, keys=["run_id"]).state.first().status == status
+
+
+def test_only_the_first_stage_of_a_name_is_replaced(spark):
+    s = spark.createDataFrame([(1,)], "run_id bigint")
+    stages = spark.createDataFrame([(1, 0, "a", 1), (1, 0, "a", 2), (1, 3, "a", 3), (1, None, "b", 4), (1, 1, "b", 5)],
+                                   "run_id bigint, seq int, stage_name string, n bigint")
+    c = spark.createDataFrame([(1, 9, ("a", 70)), (1, 8, ("b", 80)), (1, 7, ("c", 90))], "run_id bigint, seq int, stage struct<stage_name:string,n:bigint>")
+    found = life.stage_upsert(s, stages, c, NOW, ["seq"], ["run_id"]).entries.collect()
+    assert sorted(((r.stage_name, r.seq) for r in found), key=repr) == sorted(
+        [("a", 0), ("a", 0), ("a", 3), ("b", None), ("b", 1), ("c", 7)], key=repr)
+    changed = {(r.stage_name, r.seq): r.n for r in found if r.n >= 70}
+    assert changed == {("a", 0): 70, ("b", None): 80, ("c", 7): 90} and sum(r.n >= 70 for r in found) == 3

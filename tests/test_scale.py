@@ -16,7 +16,7 @@ from opsframe.sources import layout
 SF_DIR = "/root/testdata/sf0.001"
 EAGER = {"config_write", "write_stats", "job_run", "fold_events_stream", "run_log_by_day", "all_pages",
          "all_pages_limit_first", "failed_runs_by_day", "run_stats_by_day", "purge_runs_by_day",
-         "job_states", "table_driven_job"}
+         "job_states", "table_driven_job", "page_tokens", "upsert_buckets", "purge_days"}
 
 
 def plan(df, mode="formatted") -> str:
@@ -258,3 +258,80 @@ def test_cancelling_a_hot_pipeline_is_split(spark, hot, tiny_splits):
         "CAST(NULL AS DECIMAL(38,18)) AS duration_seconds", "sha2(CAST(seq AS STRING), 256) AS error_message")
     change = life.cancel_running(state, AS_OF, state.select("pipeline_id"))
     assert "skew=true" in executed(change.state)
+
+
+# -- entries, buckets and days that are left where they are ---------------------------------
+
+def shuffled_scans(text: str, file: str) -> int:
+    """Scans of a file whose rows are shuffled before a broadcast join cuts them down."""
+    lines = [(len(line) - len(line.lstrip(" :+-*")), line) for line in text.splitlines()]
+    found = 0
+    for k, (depth, line) in enumerate(lines):
+        if "FileScan" in line and file in line:
+            for above, other in reversed(lines[:k]):
+                if above < depth:
+                    depth = above
+                    if "BroadcastHashJoin" in other:
+                        break
+                    if re.search(r"\bExchange\b", other):
+                        found += 1
+                        break
+    return found
+
+
+def test_a_few_commands_leave_the_entries_unshuffled(spark, tmp_path):
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
+    s = orders.selectExpr("o_orderkey AS run_id", "0L AS total_records_processed")
+    orders.selectExpr("o_orderkey AS run_id", "1 AS seq", "'load' AS stage_name", "0L AS n").write.parquet(str(tmp_path / "entries_s"))
+    orders.selectExpr("o_orderkey AS run_id", "'m' AS name", "0L AS value").write.parquet(str(tmp_path / "entries_m"))
+    orders.selectExpr("o_orderkey AS run_id", "o_custkey AS table_id", "0L AS records").write.parquet(str(tmp_path / "entries_o"))
+    staged, measured, outputs = (spark.read.parquet(str(tmp_path / f"entries_{k}")) for k in "smo")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    one = orders.where("o_orderkey = 1").limit(1)
+    c = one.selectExpr("o_orderkey AS run_id", "2 AS seq", "named_struct('stage_name', 'load', 'n', 5L) AS stage",
+                       "map('m', 7L) AS metrics", "o_custkey AS table_id", "3L AS records")
+    for change in (life.stage_upsert(s, staged, c, AS_OF, ["seq"], ["run_id"]), life.metrics_merge(s, measured, c, AS_OF, ["seq"], ["run_id"]),
+                   life.record_outputs(s, outputs, c, AS_OF, ["run_id"])):
+        text = plan(change.entries, "simple")
+        assert "/entries_" in text and shuffled_scans(text, "/entries_") == 0
+
+
+def test_a_batch_rewrites_its_buckets_alone(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id", "id AS n")
+    state = layout.BucketedState.create(rows, str(tmp_path / "s"), ["id"], 16)
+    files = lambda: {f for f in state._rows().inputFiles()}
+    before = files()
+    c = spark.createDataFrame([("5", 7, 1), ("2000", 8, 1), ("x", 9, 1)], "id string, n bigint, seq int")
+    outcomes = state.apply(c, lambda s, c: write.upsert(s, c, ["id"], AS_OF, ["seq"]))
+    assert {(r.id, r.outcome, r.reason) for r in outcomes.collect()} == {
+        (5, "applied", None), (2000, "applied", None), (None, "invalid", "id is not bigint")}
+    after = files()
+    bucket = lambda f: re.search(r"_bucket=(\d+)", f)[1]
+    changed = {bucket(f) for f in before ^ after}
+    assert 1 <= len(changed) <= 2 and {f for f in before if bucket(f) not in changed} <= after
+    found = {r.id: r.n for r in state.rows().collect()}
+    assert len(found) == 1001 and (found[5], found[2000], found[6]) == (7, 8, 6)
+    again = layout.BucketedState(spark, str(tmp_path / "s"))  # another session knows the number of buckets
+    assert (again.buckets, again.keys) == (16, ["id"])
+    again.apply(rows.select("id"), lambda s, c: write.delete_keys(s, c, ["id"]))
+    assert [r.id for r in again.rows().collect()] == [2000]
+    again.apply(spark.createDataFrame([(2000,)], "id bigint"), lambda s, c: write.delete_keys(s, c, ["id"]))
+    assert again.rows().count() == 0 and again.rows().columns == ["id", "n"]
+    again.apply(c, lambda s, c: write.upsert(s, c, ["id"], AS_OF, ["seq"]))
+    assert {r.id for r in again.rows().collect()} == {5, 2000}
+
+
+def test_days_are_dropped_by_folder(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log = spark.range(240).selectExpr("id AS run_id", "'p' AS pipeline_id", "TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(0, CAST(id AS INT)) AS start_time")
+    layout.write_run_log(log.unionByName(log.limit(1).withColumn("start_time", F.lit(None).cast("timestamp_ntz"))), path)
+    before = set(spark.read.parquet(path).inputFiles())
+    gone = layout.purge_days(spark, path, datetime(2024, 1, 4, 6))
+    assert [d.day for d in gone] == [1, 2, 3]
+    after = set(spark.read.parquet(path).inputFiles())
+    assert {f for f in before if re.search("day=(2024-01-0[5-9]|2024-01-1|__HIVE)", f)} <= after
+    left = layout.read_run_log(spark, path)
+    assert left.count() == 240 - 78 + 1 and left.where("start_time < TIMESTAMP_NTZ '2024-01-04 06:00:00'").count() == 0
+    assert layout.purge_days(spark, path, datetime(2024, 1, 4, 6)) == [] and set(spark.read.parquet(path).inputFiles()) == after
+    layout.purge_days(spark, path, datetime(2024, 1, 5))
+    assert spark.read.parquet(path).where("day = DATE '2024-01-04'").count() == 0

@@ -1,10 +1,14 @@
 """Commands applied to a small state: exact states and outcomes."""
 
+from collections import Counter
 from datetime import datetime
+from decimal import Decimal
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
+from opsframe.functions.fits import as_column, misfit_at, row_misfit
 from opsframe.operators import lifecycle, write
 
 T0, NOW = datetime(2024, 1, 1), datetime(2024, 2, 1)
@@ -233,5 +237,108 @@ def test_nested_values_that_do_not_fit_are_refused(spark):
                               "pipeline_id string, fields map<string,string>, seq int")
     change = write.partial_update(s, c.where("seq < 3"), K, NOW, ["seq"])
     assert [tuple(p) for p in change.state.first().parts] == [("x", 1)]
-    assert [o[1] for o in outcomes(change)] == ["invalid"]
+    assert outcomes(change) == [
+        ("p1", "invalid", "parts is not array<struct<name:string,n:bigint>>", 1), ("p1", "invalid", "parts[].n is not bigint", 1)]
     assert [tuple(p) for p in write.partial_update(s, c, K, NOW, ["seq"]).state.first().parts] == [("z", None)]
+
+
+# -- values, keys and orders that do not fit ----------------------------------------------
+
+FIT_DDL = ("id bigint, n bigint, price decimal(10,0), day date, sizes array<int>, limits map<int,bigint>, "
+           "box struct<a:int,b:array<double>>, updated_at timestamp")
+
+
+@pytest.fixture(scope="module")
+def fit_state(spark):
+    return spark.createDataFrame([(1, 10, Decimal(5), None, [1], {1: 1}, (1, [0.5]), T0), (2, 20, Decimal(6), None, None, None, None, T0)], FIT_DDL)
+
+
+MISFITS = [
+    ("'x' AS n", "n is not bigint"), ("'1.9' AS n", "n is not bigint"), ("1.9D AS n", "n is not bigint"),
+    ("CAST(1.60 AS DECIMAL(10,2)) AS price", "price is not decimal(10,0)"), ("'1.60' AS price", "price is not decimal(10,0)"),
+    ("TIMESTAMP_NTZ '2024-01-01 10:00:00' AS day", "day is not date"), ("array('x', '3') AS sizes", "sizes[] is not int"),
+    ("array(1.5D, 2D) AS sizes", "sizes[] is not int"), ("7 AS sizes", "sizes is not array<int>"),
+    ("map('k', 1) AS limits", "limits{key} is not int"), ("map('1', 1, '01', 2) AS limits", "limits{key} repeats"),
+    ("map(1, '2.5') AS limits", "limits{} is not bigint"), ("named_struct('a', 'x') AS box", "box.a is not int"),
+    ("named_struct('b', array('y')) AS box", "box.b[] is not double"), ("named_struct('c', 1) AS box", "box.c is no field"),
+]
+FITS = [
+    ("'7' AS n", "n", 7), ("7.0D AS n", "n", 7), ("CAST(NULL AS STRING) AS n", "n", None), ("2.00BD AS price", "price", 2),
+    ("array('4', NULL) AS sizes", "sizes", [4, None]), ("map('3', '9') AS limits", "limits", {3: 9}),
+    ("named_struct('b', array(1), 'a', '2') AS box", "box", (2, [1.0])),
+]
+
+
+def test_misfits_are_told_by_their_path(spark, fit_state):
+    for k in range(0, len(MISFITS), 8):
+        some = [(spark.range(1).selectExpr(value), value.rsplit(" ", 1)[1], reason) for value, reason in MISFITS[k:k + 8]]
+        found = [c.select(misfit_at(F.col(n), c.schema[n].dataType, fit_state.schema[n].dataType, n).alias("why")) for c, n, _ in some]
+        assert [r.why for r in reduce(lambda a, b: a.unionAll(b), found).collect()] == [reason for _, _, reason in some]
+
+
+@pytest.mark.parametrize("value, reason", [MISFITS[2], MISFITS[6], MISFITS[12]])
+def test_misfits_leave_the_state(spark, fit_state, value, reason):
+    """Whole rows, assigned values and keys that exist: the state stays and the outcome tells."""
+    name = value.rsplit(" ", 1)[1]
+    c = spark.range(1, 2).selectExpr("id", value, "1 AS seq")
+    before = sorted(fit_state.collect(), key=repr)
+    for change in (
+        write.upsert(fit_state, c, ["id"], NOW, ["seq"]), write.upsert_many(fit_state, c, ["id"], NOW, ["seq"], max_bytes=1 << 20),
+        write.conditional_put(fit_state, c, ["id"], NOW, ["seq"], F.lit(True)),
+        write.conditional_update(fit_state, c, ["id"], NOW, ["seq"], F.lit(True), {name: F.col(f"c.{name}")}),
+        write.update_given(fit_state, c, ["id"], NOW, ["seq"], [name]), write.insert_if_absent(fit_state, c, ["id"], NOW, ["seq"]),
+    ):
+        assert [(r.id, r.outcome, r.reason, r.commands) for r in change.outcomes.collect()] == [(1, "invalid", reason, 1)]
+        assert sorted(change.state.collect(), key=repr) == before
+
+
+def test_values_that_fit_are_taken(spark, fit_state):
+    for value, name, read in FITS[:2]:
+        c = spark.range(1, 2).selectExpr("id", value, "1 AS seq")
+        put = write.upsert(fit_state, c, ["id"], NOW, ["seq"])
+        assert [r.outcome for r in put.outcomes.collect()] == ["applied"]
+        assert put.state.where("id = 1").first()[name] == read
+    for value, name, read in FITS:
+        c = spark.range(1).selectExpr(value)
+        assert c.select(as_column(c, fit_state, name).alias("v"), row_misfit(c, fit_state).alias("why")).collect() == [(read, None)]
+
+
+TEXTS = [
+    ("n", "1.9", "n is not bigint"), ("price", "1.60", "price is not decimal(10,0)"), ("day", "2024-01-01 10:00:00", "day is not date"),
+    ("sizes", '["x", 3]', "sizes[] is not int"), ("sizes", "[1", "sizes is not array<int>"), ("sizes", "5", "sizes is not array<int>"),
+    ("sizes", '[1],"w":[2]', "sizes is not array<int>"), ("limits", '{"k": 1}', "limits{key} is not int"), ("box", '{"b": [true]}', "box.b[] is not double"),
+]
+
+
+def test_texts_that_do_not_fit_are_told_by_their_path(spark, fit_state):
+    data = [(1, {name: text}, k) for k, (name, text, _) in enumerate(TEXTS)]
+    c = spark.createDataFrame([*data, (2, {"sizes": "[2, null]", "box": '{"a": 3}'}, 1)], "id bigint, fields map<string,string>, seq int")
+    change = write.partial_update(fit_state, c, ["id"], NOW, ["seq"])
+    expected = Counter((1, "invalid", reason) for _, _, reason in TEXTS) + Counter([(2, "applied", None)])
+    assert {(r.id, r.outcome, r.reason): r.commands for r in change.outcomes.collect()} == expected
+    rows = {r.id: r for r in change.state.collect()}
+    assert rows[1] == fit_state.where("id = 1").first() and (rows[2].sizes, rows[2].box) == ([2, None], (3, None))
+
+
+def test_keys_that_do_not_fit_do_not_stop_the_batch(spark, fit_state):
+    c = spark.createDataFrame([("1", 7, 1), ("x", 8, 1), (None, 9, 1), ("2.5", 9, 1), ("3", 4, 1)], "id string, n bigint, seq int")
+    unfit, missing = (None, "invalid", "id is not bigint", 2), (None, "invalid", "key missing", 1)
+    fields = c.withColumn("fields", F.create_map(F.lit("n"), F.col("n").cast("string")))
+    kept = {
+        "upsert": write.upsert(fit_state, c, ["id"], NOW, ["seq"]), "many": write.upsert_many(fit_state, c, ["id"], NOW, ["seq"], 1 << 20),
+        "insert": write.insert_if_absent(fit_state, c, ["id"], NOW, ["seq"]),
+        "put": write.conditional_put(fit_state, c, ["id"], NOW, ["seq"], F.lit(True)),
+        "update": write.conditional_update(fit_state, c, ["id"], NOW, ["seq"], F.lit(True), {"n": F.col("c.n")}),
+        "given": write.update_given(fit_state, c, ["id"], NOW, ["seq"], ["n"]), "delete": write.delete_keys(fit_state, c, ["id"]),
+        "partial": write.partial_update(fit_state, fields, ["id"], NOW, ["seq"]),
+    }
+    for name, change in kept.items():
+        told = {(r.id, r.outcome, r.reason, r.commands) for r in change.outcomes.collect()}
+        assert {unfit, missing} <= told and {o[0] for o in told} == {None, 1, 3}, name
+    assert {r.id: r.n for r in kept["upsert"].state.collect()} == {1: 7, 2: 20, 3: 4}
+    assert {r.id for r in kept["delete"].state.collect()} == {2}
+    marked = fit_state.withColumn("is_active", F.lit(False))
+    together = write.activate_pipelines(marked, c.where("id IN ('1', 'x')"), ["id"], NOW)
+    assert together.state.where("is_active").count() == 0
+    assert {(r.id, r.outcome, r.reason) for r in together.outcomes.collect()} == {
+        (1, "conflict", "batch rejected"), (None, "invalid", "id is not bigint")}
