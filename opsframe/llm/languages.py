@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -162,17 +164,26 @@ class LanguageModel:
     prior: np.ndarray
     pieces: Pieces
     logs: np.ndarray
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 class Scorer:
-    """Scores texts in a task and remembers a bounded number of words."""
+    """Scores texts in a task and remembers a bounded number of words that come again."""
 
     def __init__(self, model: LanguageModel):
         self.model, self.width = model, len(model.names)
         self.known: dict[str, int] = {}
         self.table = np.zeros((0, self.width + 1))
 
-    def _learn(self, tokens: list[str]) -> None:
+    @classmethod
+    def of(cls, model: LanguageModel) -> Scorer:
+        """The scorer of this Python worker, which outlives a task but not its model."""
+        if model.key not in _scorers:
+            _scorers.clear()
+            _scorers[model.key] = cls(model)
+        return _scorers[model.key]
+
+    def _rows(self, tokens: list[str]) -> np.ndarray:
         """One row for each token: the logarithms of its words added up, and their number."""
         found = [words_of(t) for t in tokens]
         numbers = {w: k for k, w in enumerate(dict.fromkeys(w for ws in found for w in ws))}
@@ -180,18 +191,22 @@ class Scorer:
         token = np.repeat(np.arange(len(tokens)), [len(ws) for ws in found])
         word = np.array([numbers[w] for ws in found for w in ws], np.int64)
         columns = [np.bincount(token, logs[word, k], len(tokens)) for k in range(self.width)]
-        rows = np.stack([*columns, np.bincount(token, minlength=len(tokens))], 1)
-        self.known.update(zip(tokens, range(len(self.table), len(self.table) + len(tokens)), strict=True))
-        self.table = np.concatenate([self.table, rows])
+        return np.stack([*columns, np.bincount(token, minlength=len(tokens))], 1)
 
     def __call__(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """The likeliest language of each text and its probability; the first of equal ones
         by name. A text without a letter, or a model without languages, has none."""
         split = [t.split() for t in texts]
-        wanted = set().union(*split) if split else set()
-        if len(self.known) + len(wanted) > CACHED_WORDS:
+        times: Counter[str] = Counter()
+        for tokens in split:
+            times.update(tokens)
+        if len(self.known) > CACHED_WORDS:
             self.known, self.table = {}, self.table[:0]
-        self._learn([t for t in wanted if t not in self.known])
+        new = sorted((t for t in times if t not in self.known), key=lambda t: times[t] == 1)
+        once = sum(times[t] == 1 for t in new)
+        begin = len(self.table)
+        self.known.update(zip(new, range(begin, begin + len(new)), strict=True))
+        self.table = np.concatenate([self.table, self._rows(new)])
         names, scores = [], np.zeros(len(texts))
         for k, tokens in enumerate(split):
             at = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
@@ -203,9 +218,16 @@ class Scorer:
             best = int(raw.argmax())
             names.append(self.model.names[best])
             scores[k] = 1.0 / np.exp(raw - raw[best]).sum()
+        # Words that came once stand at the end and are mostly not worth their memory.
+        for token in new[len(new) - once:]:
+            del self.known[token]
+        self.table = self.table[:len(self.table) - once]
         return names, scores
 
 
+_scorers: dict[str, Scorer] = {}
+
+
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", path: str | None = None, rounds: int = 2,
           strength: float = 500.0) -> LanguageModel:
     """A model from all rows with a language and a text.
@@ -261,7 +283,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", into: str
                         f"`{into}` string, `{score}` double"])
 
     def run(batches: Iterator[pa.RecordBatch]):
-        scorer = Scorer(model)
+        scorer = Scorer.of(model)
         for batch in small_batches(batches, text):
             names, scores = scorer([t or "" for t in batch.column(text).to_pylist()])
             yield pa.RecordBatch.from_arrays(
