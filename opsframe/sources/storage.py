@@ -38,6 +38,11 @@ def _files(spark: SparkSession, path: str):
     return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, found = _files(spark, path)
+    return files.exists(found)
+
+
 def subfolders(spark: SparkSession, path: str, name: str) -> list[str]:
     """The values of the folders ``name=value`` of a folder, in order; none where it is not there."""
     files, found = _files(spark, path)

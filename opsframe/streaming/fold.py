@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from opsframe.operators.runs import KEYS, finish_fold, merge_folds, partial_fold
 from opsframe.operators.write import latest
-from opsframe.sources.storage import remove, subfolders
+from opsframe.sources.storage import exists, remove, subfolders
 
 
 class DayIds:
@@ -42,7 +42,7 @@ class DayIds:
     def _parts(self, day, before: int) -> tuple[list[int], list[int]]:
         """The whole bases and the batches of a day, as numbers."""
         bases = [int(n) for n in subfolders(self.spark, self._day(day), "base")]
-        whole = [n for n in bases if _whole(self.spark, f"{self._day(day)}/base={n}")]
+        whole = [n for n in bases if exists(self.spark, f"{self._day(day)}/base={n}/_SUCCESS")]
         batches = [int(n) for n in subfolders(self.spark, self._day(day), "batch")]
         upto = max(whole, default=-1)
         return sorted(whole), sorted(n for n in batches if upto < n < before)
@@ -74,11 +74,6 @@ class DayIds:
             remove(self.spark, f"{self._day(day)}/base={n}")
 
 
-def _whole(spark: SparkSession, path: str) -> bool:
-    files, found = _folder(spark, f"{path}/_SUCCESS")
-    return files.exists(found)
-
-
 def _new_events(batch: DataFrame, store: DayIds, number: int, ids: Sequence[str]) -> tuple[DataFrame, list]:
     """The events of a batch that no earlier batch held, with their day, and these days. An
     event comes again with its time. Of events that differ under one id in a batch, the one
