@@ -72,32 +72,50 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
     return (mixed(keys, 1 << 40) >> np.uint64(32)).astype(np.uint32)
 
 
+def _spread(spark: SparkSession, shards: int) -> list[int]:
+    """A number for each shard that hash partitioning into ``shards`` parts sends to the part
+    of the shard's own number."""
+    found: dict[int, int] = {}
+    room = 32 * shards
+    while len(found) < shards:
+        place = F.pmod(F.hash("id"), F.lit(shards)).alias("place")
+        found = {r["place"]: r["id"] for r in spark.range(room).groupBy(place).agg(F.min("id").alias("id")).collect()}
+        room *= 2
+    return [found[k] for k in range(shards)]
+
+
 class TokenFiles:
     """Raw ids in ascending key order, and the index that finds a document in them.
 
     ``blocks``: one row of at most about ``BLOCK_BYTES`` of ids, or one document: ``shard``,
     ``block``, ``payload`` (raw little-endian ids of ``width`` bytes) and the ``keys``,
     ``lengths`` and ``offsets`` (in ids, within the shard) of its documents. It is a table
-    of one bucket per shard, so its payload is never shuffled to be read.
+    of one bucket per shard, by a ``spread`` number of the shard that Spark's hash sends to
+    the shard's own bucket, so no task has two shards and the payload is never shuffled to
+    be read.
 
     ``index``: parts of about ``PART_KEYS`` keys by hash. A part holds the displacements of
     its minimal perfect hash and, by slot, a 32-bit fingerprint and the place of the
     document. The keys are not in it: looking one up takes its part, one hash and one
     comparison; a key that was never stored is refused but for a chance of 2**-32.
+
+    ``repeats``: the places of the documents that the index leaves out, which are those of a
+    null key and all but the first of a key that repeats.
     """
 
     def __init__(self, spark: SparkSession, path: str, shards: int, shard_ids: list[int], width: int):
         self.spark, self.path, self.shards, self.width = spark, path, shards, width
         self.before = np.cumsum([0, *shard_ids]).tolist()
+        self.spread = _spread(spark, shards)
         self.table = "token_blocks_" + path.rsplit("-", 1)[-1]
 
     @classmethod
     def write(cls, docs: DataFrame, key: str = "doc_id", text: str = "text",
               path: str | None = None, tokenizer: str | None = None, end_id: int = END_ID) -> TokenFiles:
-        """Encode and write all documents. Whole-number keys; a null key comes first and is
-        stored but not indexed; of rows that repeat a key the index finds the first, in the
-        order of their ids. A null or empty text has the end id alone; an empty table makes
-        empty files."""
+        """Encode and write all documents. Whole-number keys, null ones first; of rows that
+        repeat a key the index finds the first, in the order of their ids, and ``repeats`` the
+        others. Rows of one key share a shard. A null or empty text has the end id alone; an
+        empty table makes empty files."""
         spark = docs.sparkSession
         path, tokenizer = path or new_path(spark, "tokens"), tokenizer or tokenizer_path()
         width = id_width(tokenizer, end_id)
@@ -108,16 +126,18 @@ class TokenFiles:
         bounds = (keyed.agg(F.percentile_approx("key", ranks, 100 * shards)).first()[0] or []) if ranks else []
         held = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>")
         shard = position(held, len(bounds), F.col("key")) if bounds else F.lit(0)
+        spread = _spread(spark, shards)
         ids = encode(keyed.withColumn("shard", F.coalesce(shard, F.lit(0))), "text", tokenizer, end_id, width)
         blocks = (
-            ids.repartition(shards, "shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "ids")
+            ids.withColumn("spread", looked_up(spread, F.col("shard"))).repartition(shards, "spread").drop("spread").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "ids")
             .mapInArrow(lambda batches: _blocks(batches, width),
                         "shard int, block int, payload binary, keys array<bigint>, "
                         "lengths array<bigint>, offsets array<bigint>")
         )
         table = "token_blocks_" + path.rsplit("-", 1)[-1]
-        blocks.write.format("parquet").option("compression", "zstd").option("path", f"{path}/blocks") \
-            .bucketBy(shards, "shard").sortBy("shard", "block").saveAsTable(table)
+        blocks.withColumn("spread", looked_up(spread, F.col("shard"))) \
+            .write.format("parquet").option("compression", "zstd").option("path", f"{path}/blocks") \
+            .bucketBy(shards, "spread").sortBy("spread", "block").saveAsTable(table)
         written = spark.table(table)
         sums = dict(written.groupBy("shard").agg(F.sum(F.aggregate(
             "lengths", F.lit(0).cast("bigint"), lambda a, b: a + b))).collect())
@@ -129,8 +149,9 @@ class TokenFiles:
         self.parts = max(1, rows // PART_KEYS)
         entries = self.spark.table(self.table).select(
             "shard", "block", F.explode(F.arrays_zip("keys", "lengths", "offsets")).alias("e"),
-        ).select("e.*", "shard", "block").where("keys IS NOT NULL")
-        first = entries.groupBy("keys").agg(F.min(F.struct("offsets", "shard", "block", "lengths")).alias("e"))
+        ).select("e.*", "shard", "block")
+        first = entries.where("keys IS NOT NULL").groupBy("keys").agg(
+            F.min(F.struct("offsets", "shard", "block", "lengths")).alias("e"), F.count("*").alias("n"))
 
         def build(part: pd.DataFrame) -> pd.DataFrame:
             keys = part["keys"].to_numpy()
@@ -143,6 +164,11 @@ class TokenFiles:
                    for c in ("shard", "block", "lengths", "offsets")},
             }])
 
+        many = first.where("n > 1").select("keys", F.col("e.offsets").alias("first"))
+        again = entries.join(many, "keys").where("offsets <> first").drop("first")
+        again.unionByName(entries.where("keys IS NULL")).select(
+            F.col("keys").alias("key"), "shard", "block", F.col("offsets").alias("offset"), F.col("lengths").alias("length"),
+        ).write.parquet(f"{self.path}/repeats")
         first.select(self._part("keys").alias("part"), "keys", "e.*").groupBy("part").applyInPandas(
             build, "part int, n int, seeds binary, prints binary, shard binary, block binary, "
                    "lengths binary, offsets binary",
@@ -171,19 +197,31 @@ class TokenFiles:
 
         return wanted.groupBy("part").cogroup(index.groupBy("part")).applyInPandas(find, schema)
 
-    def get(self, keys: DataFrame) -> DataFrame:
+    def repeats(self, keys: DataFrame) -> DataFrame:
+        """As ``locate``, the documents of those keys that the index leaves out; a null key
+        stands for all documents without one."""
+        wanted = keys.toDF("wanted").distinct()
+        left = self.spark.read.parquet(f"{self.path}/repeats")
+        return left.join(wanted, F.col("key").eqNullSafe(F.col("wanted")), "left_semi")
+
+    def get(self, keys: DataFrame, every: bool = False) -> DataFrame:
         """``key``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids``
-        (little-endian unsigned 32-bit) of the keys that are stored.
+        (little-endian unsigned 32-bit) of the keys that are stored: of the first document of
+        a key, or of ``every`` one, those of a null key included.
 
         The places found are gathered by block, which bounds them, and meet the payload in
         its own buckets; the block is compared beside the join so that its buckets serve.
         """
-        asked = self.locate(keys).groupBy("shard", "block").agg(
-            F.sort_array(F.collect_list(F.struct("offset", "length", "key"))).alias("asked"))
+        places = self.locate(keys)
+        if every:
+            places = places.unionByName(self.repeats(keys))
+        asked = places.groupBy("shard", "block").agg(
+            F.sort_array(F.collect_list(F.struct("offset", "length", "key"))).alias("asked")).withColumn(
+            "spread", looked_up(self.spread, F.col("shard")))
         blocks = self.spark.table(self.table).select(
-            F.col("shard").alias("s"), F.col("block").alias("b"), "payload",
+            F.col("spread").alias("s"), F.col("block").alias("b"), "payload",
             F.get("offsets", F.lit(0)).alias("first"))
-        joined = blocks.join(asked.hint("merge"), (F.col("s") == F.col("shard")) & (F.col("b") - F.col("block") == 0))
+        joined = blocks.join(asked.hint("merge"), (F.col("s") == F.col("spread")) & (F.col("b") - F.col("block") == 0))
         width = self.width
         cut = joined.select("shard", "payload", "first", "asked").mapInArrow(
             lambda batches: _cut(batches, width), "shard int, key bigint, offset bigint, n_tokens bigint, ids binary")
@@ -230,10 +268,11 @@ def _cut(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBat
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents written as token files and read back by key through the index."""
+    """All documents written as token files and read back by key through the index; those
+    without an id, or with one that repeats, by their place."""
     docs = read_table(spark, sf_dir, "documents")
     store = TokenFiles.write(docs)
-    return store.get(docs.select("doc_id")).select(
+    return store.get(docs.select("doc_id"), every=True).select(
         F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

@@ -96,6 +96,36 @@ def test_digest_index_over_batches(spark, odd, odd_texts, empty):
     assert {r.id for r in again if r.kept} == {999}
 
 
+def test_an_index_keeps_its_number_of_buckets(spark):
+    """Batches of different sizes and sessions: what is known stays known."""
+    path, texts = new_path(spark, "digests"), [(k, f"text {k}") for k in range(300)]
+    first = spark.createDataFrame(texts, "doc_id bigint, text string")
+    assert exact_dedup.DigestIndex(spark, path, buckets=64).add(first).where("kept").count() == 300
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, path, buckets=8)
+    again = exact_dedup.DigestIndex(spark, path)
+    spark.sql(f"DROP TABLE {again.table}")  # as in a session with another catalog
+    index = exact_dedup.DigestIndex(spark.newSession(), path)
+    more = spark.createDataFrame([(k + 1000, t.upper()) for k, t in texts] + [(k, "new") for k in range(2000, 2400)], "doc_id bigint, text string")
+    found = index.add(more).collect()
+    assert index.buckets == 64 and len(found) == 700
+    assert {r.id for r in found if r.kept} == {2399} and all(r.keep_id == r.id - 1000 for r in found if r.id < 2000)
+    assert index.rows().count() == 301 and index.add(more).where("kept").count() == 0
+
+
+def test_a_batch_meets_the_index_in_its_buckets(spark):
+    index = exact_dedup.DigestIndex(spark, new_path(spark, "digests"), buckets=4)
+    docs = spark.range(50).selectExpr("id AS doc_id", "CAST(id AS STRING) AS text")
+    index.add(docs)
+    groups = docs.select(exact_dedup.digest("text").alias("digest")).groupBy("digest").count()
+    text = groups.join(index.rows().hint("merge"), "digest", "left")._jdf.queryExecution().toString()
+    physical = text[text.index("== Physical Plan"):]
+    index_side = physical[physical.rindex("FileScan parquet"):]
+    assert "Bucketed: true" in index_side
+    branch = physical[:physical.rindex("FileScan parquet")].rsplit("+- Sort", 1)[1]
+    assert "Exchange" not in branch
+
+
 # -- line dedup -------------------------------------------------------------------------
 
 def lines_by_hand(texts, min_chars=20, min_docs=3):
@@ -155,6 +185,28 @@ def test_token_files_give_back_every_document(odd, odd_texts, tokenizer, spark):
     assert store.get(strangers).count() == 0
 
 
+def test_token_files_give_back_rows_that_repeat_a_key_or_have_none(spark, tokenizer, odd, odd_texts):
+    docs = spark.createDataFrame([(5, "b"), (5, "a a"), (None, "c"), (7, "d"), (None, None)], "doc_id bigint, text string")
+    store = token_files.TokenFiles.write(docs)
+    found = store.get(docs.select("doc_id"), every=True).collect()
+    assert Counter(r.key for r in found) == {5: 2, None: 2, 7: 1}
+    ends = sorted((r.start, r.start + r.n_tokens) for r in found)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:], strict=False))
+    assert [r.key for r in sorted(found, key=lambda r: r.start)] == [None, None, 5, 5, 7]
+    assert Counter(bytes(r.ids) for r in found) == Counter(ids_of(tokenizer, t).tobytes() for t in ("b", "a a", "c", "d", None))
+    assert {r.key for r in store.get(spark.createDataFrame([(7,)], "doc_id bigint"), every=True).collect()} == {7}
+    every = token_files.TokenFiles.write(odd).get(odd.select("doc_id"), every=True).collect()
+    assert Counter((r.key, bytes(r.ids)) for r in every) == Counter((d, ids_of(tokenizer, t).tobytes()) for d, t in odd_texts)
+
+
+def test_every_shard_has_a_task_of_its_own(spark):
+    for shards in (1, 7, 48):
+        spread = token_files._spread(spark, shards)
+        rows = spark.range(shards).withColumn("spread", token_files.looked_up(spread, F.col("id").cast("int")))
+        placed = rows.repartition(shards, "spread").select("id", F.spark_partition_id().alias("at")).collect()
+        assert all(r.id == r.at for r in placed)
+
+
 def test_token_files_of_odd_rows(odd, empty):
     assert token_files.TokenFiles.write(odd).get(odd.select("doc_id")).count() == odd.where(
         "doc_id is not null").select("doc_id").distinct().count()
