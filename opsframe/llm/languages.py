@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import re
-import uuid
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +20,8 @@ VOCABULARY, UNKNOWN = "piece_bpe_32k.model", "und"
 # What begins a word in the vocabulary, and the code point steps of the tree below.
 _BEGIN, _POINTS = "▁", 1 << 21
 _LETTERS = re.compile(r"[^\W\d_]+")
+# Below this, products of probabilities lose digits.
+_LEAST = 1e-250
 #: Sums (letters times languages) that a task holds at once, and words it remembers.
 HELD_SUMS, CACHED_WORDS = 1 << 20, 400_000
 
@@ -98,18 +98,36 @@ class Lattice:
         self.first = self.last - lengths
         self.longest = int(lengths.max(initial=0))
 
-    def sums(self, weights: np.ndarray, back: bool = False) -> np.ndarray:
-        """For each place the logarithm of the sum over all ways to it from the word's begin,
-        or from the word's end ``back``. Edges that go on from the same number of letters
-        never meet in one place, so each step is a plain addition of arrays."""
-        out = np.full((len(self.last) + int((self.last - self.first).sum()), weights.shape[1]), -np.inf)
-        out[self.last if back else self.first] = 0.0
+    def _steps(self, back: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The edges, and the places they lead from and to, by how far into the word they
+        begin, or from its end ``back``. Edges of one step never meet in one place, so a step
+        is a plain addition of arrays."""
         near, far, at = (self.target, self.source, self.longest - self.end) if back else (self.source, self.target, self.begin)
         order = np.argsort(at, kind="stable")
         limits = np.searchsorted(at[order], np.arange(self.longest + 1))
         for a, b in zip(limits[:-1], limits[1:], strict=True):
             some = order[a:b]
-            out[far[some]] = np.logaddexp(out[far[some]], out[near[some]] + weights[some])
+            yield some, near[some], far[some]
+
+    def _places(self, width: int, value: float) -> np.ndarray:
+        return np.full((len(self.last) + int((self.last - self.first).sum()), width), value)
+
+    def sums(self, weights: np.ndarray, back: bool = False) -> np.ndarray:
+        """For each place the logarithm of the sum over all ways to it from the word's begin,
+        or from the word's end ``back``, whose edges have logarithmic weights."""
+        out = self._places(weights.shape[1], -np.inf)
+        out[self.last if back else self.first] = 0.0
+        for some, near, far in self._steps(back):
+            out[far] = np.logaddexp(out[far], out[near] + weights[some])
+        return out
+
+    def products(self, weights: np.ndarray) -> np.ndarray:
+        """For each place the sum over all ways to it of the products of plain weights, which
+        vanishes in long words."""
+        out = self._places(weights.shape[1], 0.0)
+        out[self.first] = 1.0
+        for some, near, far in self._steps(False):
+            out[far] += out[near] * weights[some]
         return out
 
 
@@ -128,10 +146,15 @@ def _groups(words: list[str], width: int) -> Iterator[slice]:
 def word_logs(words: list[str], pieces: Pieces, logs: np.ndarray) -> np.ndarray:
     """For each word and language the logarithm of the word's probability: the forward
     algorithm adds up the products of piece probabilities of all its segmentations."""
-    out = np.zeros((len(words), logs.shape[1]))
+    out, plain = np.zeros((len(words), logs.shape[1])), np.exp(logs)
     for some in _groups(words, logs.shape[1]):
         lattice = Lattice(words[some], pieces)
-        out[some] = lattice.sums(logs[lattice.piece])[lattice.last]
+        total = lattice.products(plain[lattice.piece])[lattice.last]
+        if total.size and total.min() < _LEAST:  # long words, with logarithms all along
+            total = lattice.sums(logs[lattice.piece])[lattice.last]
+            out[some] = total
+        else:
+            out[some] = np.log(total)
     return out
 
 
@@ -164,49 +187,37 @@ class LanguageModel:
     prior: np.ndarray
     pieces: Pieces
     logs: np.ndarray
-    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 class Scorer:
-    """Scores texts in a task and remembers a bounded number of words that come again."""
+    """Scores texts in a task and remembers a bounded number of words."""
 
     def __init__(self, model: LanguageModel):
         self.model, self.width = model, len(model.names)
         self.known: dict[str, int] = {}
         self.table = np.zeros((0, self.width + 1))
 
-    @classmethod
-    def of(cls, model: LanguageModel) -> Scorer:
-        """The scorer of this Python worker, which outlives a task but not its model."""
-        if model.key not in _scorers:
-            _scorers.clear()
-            _scorers[model.key] = cls(model)
-        return _scorers[model.key]
-
-    def _rows(self, tokens: list[str]) -> np.ndarray:
+    def _learn(self, tokens: list[str]) -> None:
         """One row for each token: the logarithms of its words added up, and their number."""
+        tokens.sort(key=len)  # long words, which take logarithms, stand together
         found = [words_of(t) for t in tokens]
         numbers = {w: k for k, w in enumerate(dict.fromkeys(w for ws in found for w in ws))}
         logs = word_logs(list(numbers), self.model.pieces, self.model.logs)
         token = np.repeat(np.arange(len(tokens)), [len(ws) for ws in found])
         word = np.array([numbers[w] for ws in found for w in ws], np.int64)
         columns = [np.bincount(token, logs[word, k], len(tokens)) for k in range(self.width)]
-        return np.stack([*columns, np.bincount(token, minlength=len(tokens))], 1)
+        rows = np.stack([*columns, np.bincount(token, minlength=len(tokens))], 1)
+        self.known.update(zip(tokens, range(len(self.table), len(self.table) + len(tokens)), strict=True))
+        self.table = np.concatenate([self.table, rows])
 
     def __call__(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """The likeliest language of each text and its probability; the first of equal ones
         by name. A text without a letter, or a model without languages, has none."""
         split = [t.split() for t in texts]
-        times: Counter[str] = Counter()
-        for tokens in split:
-            times.update(tokens)
-        if len(self.known) > CACHED_WORDS:
+        wanted = set().union(*split) if split else set()
+        if len(self.known) + len(wanted) > CACHED_WORDS:
             self.known, self.table = {}, self.table[:0]
-        new = sorted((t for t in times if t not in self.known), key=lambda t: times[t] == 1)
-        once = sum(times[t] == 1 for t in new)
-        begin = len(self.table)
-        self.known.update(zip(new, range(begin, begin + len(new)), strict=True))
-        self.table = np.concatenate([self.table, self._rows(new)])
+        self._learn([t for t in wanted if t not in self.known])
         names, scores = [], np.zeros(len(texts))
         for k, tokens in enumerate(split):
             at = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
@@ -218,16 +229,9 @@ class Scorer:
             best = int(raw.argmax())
             names.append(self.model.names[best])
             scores[k] = 1.0 / np.exp(raw - raw[best]).sum()
-        # Words that came once stand at the end and are mostly not worth their memory.
-        for token in new[len(new) - once:]:
-            del self.known[token]
-        self.table = self.table[:len(self.table) - once]
         return names, scores
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", path: str | None = None, rounds: int = 2,
           strength: float = 500.0) -> LanguageModel:
     """A model from all rows with a language and a text.
@@ -283,7 +287,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", into: str
                         f"`{into}` string, `{score}` double"])
 
     def run(batches: Iterator[pa.RecordBatch]):
-        scorer = Scorer.of(model)
+        scorer = Scorer(model)
         for batch in small_batches(batches, text):
             names, scores = scorer([t or "" for t in batch.column(text).to_pylist()])
             yield pa.RecordBatch.from_arrays(
