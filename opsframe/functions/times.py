@@ -38,7 +38,7 @@ def to_zone(utc: Column, zone: str | None) -> Column:
 
 
 # A date, or a date and a time of day; a time alone would depend on today.
-_ISO = (r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2}(:\d{2})?)?)?)?$")
+_ISO = (r"\A\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2}(:\d{2})?)?)?)?\z")
 
 
 def parse_iso(text: Column) -> Column:

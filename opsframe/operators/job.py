@@ -46,9 +46,12 @@ class EventLog:
 def run_rows(events: DataFrame) -> DataFrame:
     keys = ["run_id", "pipeline_id"]
     extra = events.groupBy(*keys).agg(
-        F.first("trigger_type").alias("trigger_type"), F.first("created_by").alias("created_by"),
+        F.min_by("trigger_type", "seq").alias("trigger_type"), F.min_by("created_by", "seq").alias("created_by"),
         F.sort_array(F.collect_set("table_id")).alias("output_tables"))
-    return fold_events(events, ["seq"]).join(extra, keys)
+    folded, same = fold_events(events, ["seq"]), F.lit(True)
+    for k in keys:  # a run may lack a key
+        same = same & folded[k].eqNullSafe(extra[k])
+    return folded.join(extra, same).drop(*[extra[k] for k in keys])
 
 
 class JobRun:

@@ -88,6 +88,15 @@ def test_job_run_records_success_and_failure(spark):
     assert (row.status, row.error_message) == ("failed", "boom") and row.end_time is not None
 
 
+def test_runs_without_a_key_and_events_in_any_order(spark):
+    at = datetime(2024, 1, 1)
+    events = spark.createDataFrame([
+        ("r", None, "later", "bob", 1, at, "success", None, "t2", 4), ("r", None, "first", "ann", 0, at, "running", None, "t1", 3)], job.EVENT_DDL)
+    row = job.run_rows(events.repartition(2)).first()
+    assert (row.run_id, row.pipeline_id, row.status, row.trigger_type, row.created_by) == ("r", None, "success", "first", "ann")
+    assert row.output_tables == ["t1", "t2"] and job.run_rows(events).columns.count("run_id") == 1
+
+
 def test_record_write(spark):
     tables = spark.createDataFrame([("t1", 1, None), ("t2", 2, None)], "table_id string, record_count bigint, last_updated_data timestamp")
     now = datetime(2024, 1, 1)

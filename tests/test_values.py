@@ -300,7 +300,7 @@ def test_items_that_cannot_be_read_are_rejected_with_their_fields(spark):
 
 @pytest.mark.parametrize("text, ok", [
     ("12:30", False), ("T10:00:00", False), ("2024", False), ("2024-1-5", False), ("", False), (" 2024-01-15", False),
-    ("2024-01-15", True), ("2024-01-15T10:00", True), ("2024-01-15 10:00:00.123456+02:00", True), ("2024-13-01", False)])
+    ("2024-01-15", True), ("2024-01-15T10:00", True), ("2024-01-15 10:00:00.123456+02:00", True), ("2024-13-01", False), ("2024-01-15\n", False)])
 def test_only_iso_text_is_a_time(spark, text, ok):
     row = spark.createDataFrame([(text,)], "t string").select(times.parse_iso(F.col("t")).alias("t")).first()
     assert (row.t is not None) == ok
