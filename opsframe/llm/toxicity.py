@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -54,17 +55,78 @@ def word_features(texts: list[str]) -> list[np.ndarray]:
 
 
 class Swaps:
-    """Sentences with an identity term, beside the same sentence with another of its group."""
+    """Sentences with an identity term, beside the same sentence with that term replaced by
+    the next one of its group: one pair for each term of a sentence. A term of several
+    groups keeps to the first of them.
 
-    def __init__(self, groups=IDENTITY_TERMS):
-        self.next = {a.lower(): g[(k + 1) % len(g)] for g in groups for k, a in enumerate(g)}
+    Of a text the ``sentences`` with the least checksums are taken, which bounds what a very
+    long text of the sample adds.
+    """
+
+    def __init__(self, groups=IDENTITY_TERMS, sentences: int = 4):
+        self.next: dict[str, str] = {}
+        for g in groups:
+            for k, term in enumerate(g):
+                self.next.setdefault(term.lower(), g[(k + 1) % len(g)])
+        self.sentences = sentences
         self.terms = re.compile(r"\b(" + "|".join(map(re.escape, self.next)) + r")\b", re.I) if self.next else None
 
     def pairs(self, text: str) -> list[tuple[str, str]]:
         if not self.terms or not self.terms.search(text):
             return []
-        sentences = [s for s in re.split(r"(?<=[.!?])\s+|\n", text) if self.terms.search(s)]
-        return [(s, self.terms.sub(lambda m: self.next[m[0].lower()], s)) for s in sentences]
+        found = {s for s in re.split(r"(?<=[.!?])\s+|\n", text) if self.terms.search(s)}
+        chosen = sorted(found, key=lambda s: (zlib.crc32(s.encode("utf-8", "replace")), s))[:self.sentences]
+        return [(s, self._with_other(s, term)) for s in chosen
+                for term in sorted({m.lower() for m in self.terms.findall(s)} & self.next.keys())]
+
+    def _with_other(self, sentence: str, term: str) -> str:
+        return self.terms.sub(lambda m: self.next[term] if m[0].lower() == term else m[0], sentence)
+
+
+def neutral_groups(labelled: DataFrame, terms: int = 64, least: int = 20, alike: float = 0.5) -> list[tuple[str, ...]]:
+    """Pairs of terms of ``labelled`` (``text``, ``label``) that may stand for each other.
+
+    Candidates are the ``terms`` commonest words of letters, held by at least ``least`` rows,
+    that the labels do not tell apart: their log odds lie within 1.64 standard errors of
+    none. Two are grouped where their neighbouring words are alike, by the cosine of positive
+    pointwise mutual information, the most alike first. Spark counts words and neighbours;
+    the driver holds a table of ``terms`` by twice as many neighbours.
+    """
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
+    told = labelled.select("label", words.alias("ws"))
+    totals = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    held = (told.select("label", F.explode(F.array_distinct("ws")).alias("w")).where(F.length("w").between(2, 20))
+            .groupBy("w").agg(F.count("*").alias("n"), F.sum("label").alias("t")).where(F.col("n") >= least))
+    cells = [F.col("t"), F.col("n") - F.col("t"), F.lit(totals.get(1, 0)) - F.col("t"),
+             F.lit(totals.get(0, 0)) - F.col("n") + F.col("t")]
+    in_toxic, in_clean, out_toxic, out_clean = (c + F.lit(0.5) for c in cells)
+    error = F.sqrt(1 / in_toxic + 1 / in_clean + 1 / out_toxic + 1 / out_clean)
+    odds = F.log(in_toxic * out_clean / (in_clean * out_toxic))
+    named = sorted(r["w"] for r in held.where(F.abs(odds) < 1.64 * error).orderBy(F.desc("n"), "w").limit(terms).collect())
+    if len(named) < 2:
+        return []
+    at, size = {w: k for k, w in enumerate(named)}, len(named)
+    beside = F.explode(F.arrays_zip(F.slice("ws", 1, F.size("ws") - 1).alias("a"), F.slice("ws", 2, F.size("ws") - 1).alias("b")))
+    counted = (told.where(F.size("ws") > 1).select(beside.alias("p")).select("p.a", "p.b")
+               .where(F.col("a").isin(named) | F.col("b").isin(named))
+               .select(*[F.when(F.col(c).isin(named), F.col(c)).alias(c) for c in ("a", "b")])
+               .groupBy("a", "b").count().collect())
+    near = np.zeros((size, 2 * size + 2))  # those after it, then those before it; the last of each is any other word
+    for r in counted:
+        if r["a"] is not None:
+            near[at[r["a"]], at.get(r["b"], size)] += r["count"]
+        if r["b"] is not None:
+            near[at[r["b"]], size + 1 + at.get(r["a"], size)] += r["count"]
+    expected = near.sum(1, keepdims=True) * near.sum(0) / max(1.0, near.sum())
+    profile = np.log(np.maximum(1.0, np.divide(near, expected, out=np.ones_like(near), where=expected > 0)))
+    norms = np.linalg.norm(profile, axis=1)
+    cosine = profile @ profile.T / np.maximum(1e-12, np.outer(norms, norms))
+    groups, used = [], set()
+    for value, i, j in sorted((-round(cosine[i, j], 9), i, j) for i in range(size) for j in range(i + 1, size)):
+        if -value >= alike and not {i, j} & used:
+            groups.append((named[i], named[j]))
+            used |= {i, j}
+    return groups
 
 
 @dataclass
@@ -74,6 +136,7 @@ class ToxicityModel:
     chosen: np.ndarray
     weights: np.ndarray
     intercept: float
+    pairs: int = 0  # of sentences that it was regularised with
 
     def score(self, texts: list[str]) -> np.ndarray:
         raw = np.full(len(texts), self.intercept)
@@ -89,10 +152,11 @@ def places(found: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return at[chosen[at] == found] if len(chosen) else at[:0]
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], size: int,
-        ridge: float, counterfactual: float, steps: int = 400, rate: float = 0.1) -> tuple[np.ndarray, float]:
+def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]],
+        counts: np.ndarray, size: int, ridge: float, counterfactual: float, steps: int = 400, rate: float = 0.1) -> tuple[np.ndarray, float]:
     """Weights and intercept that minimise log loss + ridge * |w|^2 + counterfactual * the
-    mean squared change of the raw score over the pairs, by Adam over all rows."""
+    mean squared change of the raw score over the pairs, by Adam over all rows. A pair is
+    the features that either side alone has; ``counts`` says how often it occurs."""
     share = (y.sum() + 1.0) / (len(y) + 2.0)
     w, b = np.zeros(size), float(np.log(share / (1 - share)))
     if not len(y) or y.min() == y.max():
@@ -107,7 +171,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.
         error = (1 / (1 + np.exp(-(np.bincount(row, w[col], len(y)) + b))) - y) / len(y)
         grad = np.bincount(col, error[row], size) + 2 * ridge * w
         if len(pairs):
-            change = np.bincount(p_row, sign * w[p_col], len(pairs)) / len(pairs)
+            change = np.bincount(p_row, sign * w[p_col], len(pairs)) * (counts / counts.sum())
             grad += 2 * counterfactual * np.bincount(p_col, sign * change[p_row], size)
         full = np.append(grad, error.sum())
         m, v = 0.9 * m + 0.1 * full, 0.999 * v + 0.001 * full * full
@@ -122,7 +186,9 @@ def train(labelled: DataFrame, groups=IDENTITY_TERMS, size: int = 4000, ridge: f
 
     Spark counts the rows of each label that hold a feature, and the ``size`` features that
     tell them apart best are chosen, those of the identity terms always. The driver holds
-    the chosen features of the sampled rows alone.
+    the chosen features of the sampled rows alone. Of a pair of sentences only the features
+    that one side has alone matter; equal pairs are counted by Spark, so the driver holds at
+    most a few hundred for each term.
     """
     swaps = Swaps(groups)
 
@@ -131,7 +197,7 @@ def train(labelled: DataFrame, groups=IDENTITY_TERMS, size: int = 4000, ridge: f
             texts = [t or "" for t in batch.column("text").to_pylist()]
             pairs = [swaps.pairs(t) for t in texts]
             flat = iter(word_features([s for ps in pairs for pair in ps for s in pair]))
-            swapped = [[[next(flat), next(flat)] for _ in ps] for ps in pairs]
+            swapped = [[_apart(next(flat), next(flat)) for _ in ps] for ps in pairs]
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(word_features(texts), lists), pa.array(swapped, pa.list_(pa.list_(lists))), batch.column("label")],
@@ -160,12 +226,19 @@ def train(labelled: DataFrame, groups=IDENTITY_TERMS, size: int = 4000, ridge: f
                 [pa.array(x, lists), pa.array(pairs, pa.list_(pa.list_(lists))), batch.column("label")],
                 names=["x", "pairs", "label"])
 
-    held = rows.mapInArrow(pick, "x array<bigint>, pairs array<array<array<bigint>>>, label int").toArrow().to_pydict()
+    picked = saved(rows.mapInArrow(pick, "x array<bigint>, pairs array<array<array<bigint>>>, label int"), "picked")
+    held = picked.select("x", "label").toArrow().to_pydict()
     order = sorted(range(len(held["label"])), key=lambda k: (held["label"][k], held["x"][k]))
-    sides = [(np.array(x, int), np.array(z, int)) for k in order for x, z in held["pairs"][k]]
+    sides = picked.select(F.explode("pairs").alias("pair")).groupBy("pair").count().orderBy("pair").collect()
+    counts = np.array([r["count"] for r in sides], float)
     w, intercept = fit([np.array(held["x"][k], int) for k in order], np.array([held["label"][k] for k in order], float),
-                       sides, len(chosen), ridge, counterfactual)
-    return ToxicityModel(chosen, w, intercept)
+                       [(np.array(x, int), np.array(z, int)) for x, z in (r["pair"] for r in sides)], counts,
+                       len(chosen), ridge, counterfactual)
+    return ToxicityModel(chosen, w, intercept, int(counts.sum()))
+
+
+def _apart(x: np.ndarray, z: np.ndarray) -> list[np.ndarray]:
+    return [np.setdiff1d(x, z, assume_unique=True), np.setdiff1d(z, x, assume_unique=True)]
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", into: str = "score") -> DataFrame:
@@ -183,10 +256,15 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", into: str =
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str, max_rows: int = 20_000) -> DataFrame:
-    """Every document's toxicity, learned from at most ``max_rows`` labels not held out."""
+    """Every document's toxicity, learned from at most ``max_rows`` labels not held out.
+
+    The given documents name none of the default identity terms, so neutral words of the
+    labelled texts that stand for each other are swapped as well.
+    """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(True))
-    model = train(sample(docs, read_table(spark, sf_dir, "labels"), "toxic", held_out, max_rows))
+    rows = saved(sample(docs, read_table(spark, sf_dir, "labels"), "toxic", held_out, max_rows), "labelled")
+    model = train(rows, (*IDENTITY_TERMS, *neutral_groups(rows)))
     return score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 

@@ -66,6 +66,45 @@ def test_counterfactuals_clear_identity_terms(spark):
     assert fair[0] < 0.3 < fair[2] and abs(fair[0] - fair[1]) < abs(plain[0] - plain[1]) / 2
 
 
+def test_swaps_replace_one_term_at_a_time():
+    swaps = toxicity.Swaps((("is", "was"), ("was", "be"), ("a b",)))
+    assert swaps.pairs("It IS here and was.") == [("It IS here and was.", "It was here and was."), ("It IS here and was.", "It IS here and is.")]
+    assert swaps.pairs("") == swaps.pairs("no term") == swaps.pairs("\u017f \u0130s") == []  # alike in one case only
+    assert toxicity.Swaps((("is", "was"),)).pairs("\u0131\u017f is")[0][1] == "\u0131\u017f was"
+    many = toxicity.Swaps((("x", "y"),), sentences=3).pairs("\n".join(f"x {k}" for k in range(50)) + "\nx 1")
+    assert len(many) == 3 and many == sorted(many, key=lambda p: zlib.crc32(p[0].encode()))
+    assert toxicity.Swaps(()).pairs("is") == []
+
+
+def test_neutral_groups_stand_between_the_same_words(spark):
+    """The labels tell 'bad' apart and 'lone' has other neighbours; 'red' and 'blue' are alike."""
+    texts = [(f"the {c} {n}{' bad' if y else ''}.", y) for n in ("house", "horse", "garden") for c in ("red", "blue")
+             for y in (0, 1) for _ in range(20)]
+    rows = spark.createDataFrame(texts + [("lone one", 0), ("lone one", 1)] * 20 + [(None, 0), ("", 1)], "text string, label int")
+    assert ("blue", "red") in toxicity.neutral_groups(rows)
+    assert not any({"bad", "lone"} & set(g) for g in toxicity.neutral_groups(rows))
+    assert toxicity.neutral_groups(rows.limit(0)) == toxicity.neutral_groups(rows, terms=1) == []
+
+
+def test_counterfactuals_act_on_the_given_tables(spark):
+    """Without the penalty a swapped word moves the score of a sentence, with it hardly."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labelled = docs.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("toxic IS NOT NULL")
+    rows = labelled.where("doc_id % 4 <> 0").select("text", F.col("toxic").alias("label"))
+    groups = toxicity.neutral_groups(rows)
+    asked = labelled.where("doc_id % 4 = 0 AND toxic = 0").select("text").collect()
+    pairs = [p for r in asked for p in toxicity.Swaps(groups).pairs(r.text or "")]
+    plain, fair = (toxicity.train(rows, groups, counterfactual=c) for c in (0.0, 10.0))
+    assert plain.pairs == fair.pairs > 1000 and len(pairs) > 1000
+
+    def moved(model):
+        raw = [np.log(s / (1 - s)) for s in (model.score(list(side)) for side in zip(*pairs, strict=True))]
+        return np.abs(raw[0] - raw[1]).mean()
+
+    assert moved(plain) > 0.1 and moved(fair) < 0.1 * moved(plain)
+
+
 # -- near duplicates --------------------------------------------------------------------
 
 def near_by_hand(texts, words, percent):
