@@ -13,8 +13,9 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opsframe.operators.runs import fold_events
+from opsframe.operators.runs import KEYS, finish_fold, merge_folds, partial_fold
 from opsframe.operators.write import Change, update_stats
+from opsframe.sources.storage import exists, remove, subfolders
 
 EVENT_DDL = (
     "run_id STRING, pipeline_id STRING, trigger_type STRING, created_by STRING, seq BIGINT, "
@@ -27,31 +28,102 @@ def _now() -> datetime:
 
 
 class EventLog:
-    """An append-only table of run events in a folder."""
+    """A table of run events that any number of jobs append to, and the runs they tell of.
+
+    Every append is a folder of its own, so appending jobs never meet. ``compact`` folds the
+    appended events into a new base of one partial row per run and merges their files into
+    the history; reading the runs then takes the newest base and what came after it, however
+    old the log is. One job at a time compacts. A base counts once it is whole, and names the
+    appends it holds, so a compaction that was lost is made again and nothing counts twice.
+    What the base before it held is removed then; a reader may go on through one compaction.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
     def append(self, event: tuple) -> None:
-        self.spark.createDataFrame([event], EVENT_DDL).coalesce(1).write.mode("append").parquet(self.path)
+        self.append_all(self.spark.createDataFrame([event], EVENT_DDL).coalesce(1))
+
+    def append_all(self, events: DataFrame) -> None:
+        """Append many events (columns as in ``EVENT_DDL``) at once: all or none are seen."""
+        kind = self._none().schema
+        events.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kind]).write.parquet(
+            self._append(uuid.uuid4().hex))
+
+    def _none(self) -> DataFrame:
+        return self.spark.createDataFrame([], EVENT_DDL)
+
+    def _append(self, name: str) -> str:
+        return f"{self.path}/tail/event={name}"
+
+    def _whole(self, folder: str, name: str) -> list[str]:
+        return [v for v in subfolders(self.spark, folder, name)
+                if exists(self.spark, f"{folder}/{name}={v}/_SUCCESS")]
+
+    def _state(self) -> tuple[int, list[str], list[str]]:
+        """The newest base (-1: none), the appends it holds and those after it."""
+        base = max(map(int, self._whole(f"{self.path}/base", "number")), default=-1)
+        held = [] if base < 0 else [
+            r["name"] for r in self.spark.read.parquet(f"{self.path}/held/number={base}").collect()]
+        return base, held, sorted(set(self._whole(f"{self.path}/tail", "event")) - set(held))
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.schema(self._none().schema).parquet(*paths) if paths else self._none()
+
+    def _folds(self, base: int, tail: list[str]) -> DataFrame:
+        new = _partial(self._read([self._append(n) for n in tail]))
+        if base < 0:
+            return new
+        return merge_folds(self.spark.read.parquet(f"{self.path}/base/number={base}").unionByName(new), KEYS, (
+            F.min("opened").alias("opened"), F.array_distinct(F.flatten(F.collect_list("tables"))).alias("tables")))
+
+    def compact(self) -> int:
+        """Fold what was appended since the last base; the number of appends folded."""
+        base, held, tail = self._state()
+        if tail:
+            new = base + 1
+            self._read([self._append(n) for n in tail]).repartitionByRange("run_id").sortWithinPartitions(
+                "run_id", "seq").write.mode("overwrite").parquet(f"{self.path}/history/number={new}")
+            left = [n for n in subfolders(self.spark, f"{self.path}/tail", "event") if n in {*held, *tail}]
+            self.spark.createDataFrame([(n,) for n in left], "name string").coalesce(1).write.mode(
+                "overwrite").parquet(f"{self.path}/held/number={new}")
+            self._folds(base, tail).write.mode("overwrite").parquet(f"{self.path}/base/number={new}")
+            for name in held:
+                remove(self.spark, self._append(name))
+            for kind in ("base", "held"):
+                for n in subfolders(self.spark, f"{self.path}/{kind}", "number"):
+                    if int(n) < base:
+                        remove(self.spark, f"{self.path}/{kind}/number={n}")
+        return len(tail)
 
     def events(self) -> DataFrame:
-        return self.spark.read.schema(EVENT_DDL).parquet(self.path)
+        """Every event ever appended."""
+        base, _, tail = self._state()
+        told = [n for n in subfolders(self.spark, f"{self.path}/history", "number") if int(n) <= base]
+        return self._read([f"{self.path}/history/number={n}" for n in told] + [self._append(n) for n in tail])
 
     def runs(self) -> DataFrame:
         """All runs as they stand, with the tables they wrote."""
-        return run_rows(self.events())
+        base, _, tail = self._state()
+        return _finished(self._folds(base, tail))
+
+
+def _partial(events: DataFrame) -> DataFrame:
+    """The fold of some events, with the trigger of the first one and the tables written."""
+    opened = F.when(F.col("seq").isNotNull(), F.struct("seq", "trigger_type", "created_by"))
+    return partial_fold(events, KEYS, ["seq"], (
+        F.min(opened).alias("opened"), F.collect_set("table_id").alias("tables")))
+
+
+def _finished(folds: DataFrame) -> DataFrame:
+    return finish_fold(folds, KEYS, (
+        F.col("opened")["trigger_type"].alias("trigger_type"), F.col("opened")["created_by"].alias("created_by"),
+        F.sort_array("tables").alias("output_tables")))
 
 
 def run_rows(events: DataFrame) -> DataFrame:
-    keys = ["run_id", "pipeline_id"]
-    extra = events.groupBy(*keys).agg(
-        F.min_by("trigger_type", "seq").alias("trigger_type"), F.min_by("created_by", "seq").alias("created_by"),
-        F.sort_array(F.collect_set("table_id")).alias("output_tables"))
-    folded, same = fold_events(events, ["seq"]), F.lit(True)
-    for k in keys:  # a run may lack a key
-        same = same & folded[k].eqNullSafe(extra[k])
-    return folded.join(extra, same).drop(*[extra[k] for k in keys])
+    """The runs that these events tell of, with the tables they wrote."""
+    return _finished(_partial(events))
 
 
 class JobRun:

@@ -7,11 +7,12 @@ Every function takes and returns DataFrames; nothing runs until the caller acts,
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_, or_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from opsframe.functions.predicates import (
     col, index_condition, key_condition, literal_for, match_all, time_range,
@@ -63,6 +64,25 @@ def get_one(df: DataFrame, meta: TableMeta, columns: Sequence[str] | None = None
     return project(found, columns or meta.view_columns)
 
 
+def get_listed(df: DataFrame, meta: TableMeta, keys: Sequence[Mapping], columns: Sequence[str] | None = None) -> DataFrame:
+    """``get_many`` for keys that the caller holds, each a mapping of the key's columns.
+
+    The keys become equalities in the scan, which skips the folders and row groups that hold
+    none of them. At most 100, as they are part of the plan; more go as a table to
+    ``get_many``. A null part finds nothing.
+    """
+    if len(keys) > 100:
+        raise ValueError("more than 100 keys: give them as a table to get_many")
+    names = list(meta.keys)
+    parts = [meta.key(**k) for k in keys]
+    wanted = df.sparkSession.createDataFrame(
+        [tuple(p.values()) for p in parts], T.StructType([T.StructField(n, df.schema[n].dataType) for n in names]))
+    tests = [reduce(and_, [col(n) == literal_for(df, n, v) for n, v in p.items()])
+             for p in parts if None not in p.values()]
+    held = df.where(reduce(or_, tests)) if tests else df.limit(0)
+    return get_many(held, meta, wanted, columns)
+
+
 def missing_keys(df: DataFrame, meta: TableMeta, keys: DataFrame) -> DataFrame:
     names = list(meta.keys)
     wanted = meta.require_keys(keys).select(*names).distinct()

@@ -325,11 +325,11 @@ def record_outputs(s: DataFrame, outputs: DataFrame, c: DataFrame, as_of,
 
 # -- event log --------------------------------------------------------------------------
 
-def partial_fold(c: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def partial_fold(c: DataFrame, keys: Sequence[str], order: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
     """One row per run that later folds can be merged with.
 
     Each ``last`` is the greatest (order, value) pair, so that merging two folds is again
-    taking the greatest.
+    taking the greatest. ``more`` are further aggregates of the caller.
     """
     status, ts = F.col("status"), F.col("ts")
     message = _optional(c, "error_message", "string")
@@ -349,18 +349,20 @@ def partial_fold(c: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
         F.max(F.when(is_terminal(status), pair(end))).alias("closed"),
         F.sum(records).alias("records"),
         F.count("*").alias("events"),
+        *more,
     )
 
 
-def merge_folds(folds: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_folds(folds: DataFrame, keys: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
     return folds.groupBy(*keys).agg(
         F.min("first").alias("first"),
         *[F.max(n).alias(n) for n in ("latest", "status", "message", "end", "closed")],
         *[F.sum(n).alias(n) for n in ("records", "events")],
+        *more,
     )
 
 
-def finish_fold(folds: DataFrame, keys: Sequence[str]) -> DataFrame:
+def finish_fold(folds: DataFrame, keys: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
     """The run rows of a fold."""
     return folds.select(
         *keys,
@@ -373,6 +375,7 @@ def finish_fold(folds: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.col("first")["v"].alias("created_at"),
         F.col("latest")["v"].alias("updated_at"),
         F.col("events").alias("events"),
+        *more,
     )
 
 

@@ -10,6 +10,7 @@ from opsframe.operators import job, lifecycle, quality, read, report, runs as li
 from opsframe.plans.domains import AS_OF, AS_OF_SQL, RUNS_SQL, TABLES_SQL, runs, table, tables
 from opsframe.plans.registering import Registry
 from opsframe.plans.writes import FOLD_SQL, events_as_log
+from opsframe.schema import RUNS
 from opsframe.session import prepare
 from opsframe.sources import layout
 from opsframe.sources.configured import (
@@ -116,6 +117,29 @@ def job_states(spark, sf_dir):
     return seen.select("pipeline_id", "status", "error_message", F.col("total_records_processed").alias("records"))
 
 
+@_query("""WITH log AS (SELECT concat(user_id, '-', strftime(ts, '%Y%m%d')) AS run_id, user_id AS pipeline_id,
+    event_id AS seq, ts, event_type, CASE event_type WHEN 'signup' THEN 'pending' WHEN 'click' THEN 'running'
+      WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failed' END AS status,
+    CASE WHEN event_type = 'view' THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS records FROM events)
+SELECT run_id, pipeline_id, coalesce(arg_max(status, seq), 'pending') AS status, arg_min(ts, seq) AS start_time,
+  arg_max(ts, seq) FILTER (status IN ('success', 'failed')) AS end_time,
+  CAST(sum(records) AS BIGINT) AS total_records_processed, count(*) AS events,
+  arg_min(event_type, seq) AS trigger_type, count(DISTINCT records) AS n_outputs FROM log GROUP BY 1, 2""")
+def event_log(spark, sf_dir):
+    """The events, appended in four parts to a log that is compacted after the first three."""
+    log = job.EventLog(prepare(spark), new_path(spark, "events"))
+    told = events_as_log(table(spark, sf_dir, "events"), "event_type AS trigger_type").selectExpr(
+        "*", "CAST(NULL AS STRING) AS created_by", "CAST(records AS STRING) AS table_id")
+    for part in range(4):
+        log.append_all(told.where(F.col("seq") % 4 == part))
+        if part < 3:
+            log.compact()
+    times = [F.col(n).cast("timestamp_ntz").alias(n) for n in ("start_time", "end_time")]
+    return log.runs().select(
+        "run_id", F.col("pipeline_id").cast("bigint").alias("pipeline_id"), "status", *times, "total_records_processed", "events", "trigger_type",
+        F.size("output_tables").cast("bigint").alias("n_outputs"))
+
+
 @_query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice >= 100000")
 def table_driven_job(spark, sf_dir):
     """Source and target are rows of a tables state; the source is kept as its row says."""
@@ -144,6 +168,20 @@ def run_log_by_day(spark, sf_dir):
 _LOG_COLUMNS = ["run_id", "pipeline_id", "status", "trigger_type", "start_time", "end_time", "duration_seconds"]
 
 
+@_query(f"""WITH {RUNS_SQL}, keys AS (SELECT 7 * o_orderkey AS run_id, o_custkey AS pipeline_id FROM orders
+  WHERE o_orderkey <= 40 UNION SELECT event_id, user_id FROM events WHERE event_id <= 40)
+SELECT keys.run_id, keys.pipeline_id, status, start_time, runs.run_id IS NOT NULL AS found
+FROM keys LEFT JOIN runs ON runs.run_id = keys.run_id AND runs.pipeline_id = keys.pipeline_id""")
+def listed_runs(spark, sf_dir):
+    """A caller's short list of keys, some of them absent, from a log that is ordered otherwise."""
+    path = new_path(spark, "runs")
+    layout.write_run_log(runs(spark, sf_dir).select("run_id", "pipeline_id", "status", "start_time"), path)
+    some = table(spark, sf_dir, "orders").where("o_orderkey <= 40").selectExpr("7 * o_orderkey AS run_id", "o_custkey AS pipeline_id")
+    there = runs(spark, sf_dir).where("run_id <= 40").select("run_id", "pipeline_id")
+    keys = [r.asDict() for r in some.unionByName(there).collect()]
+    return read.get_listed(layout.open_run_log(spark, path), RUNS, keys, ["status", "start_time"])
+
+
 def _log_by_day(spark, sf_dir):
     path = new_path(spark, "runs")
     log = runs(spark, sf_dir)

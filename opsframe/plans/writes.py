@@ -691,8 +691,9 @@ def metrics_merge(spark, sf_dir):
 # -- event fold -------------------------------------------------------------------------
 
 # A user's events of one day are the log of one run.
-def events_as_log(events):
+def events_as_log(events, *more):
     return events.selectExpr(
+        *more,
         "concat(user_id, '-', date_format(ts, 'yyyyMMdd')) AS run_id", "user_id AS pipeline_id",
         "event_id AS seq", "ts",
         """CASE event_type WHEN 'signup' THEN 'pending' WHEN 'click' THEN 'running'

@@ -12,17 +12,27 @@ from opsframe.operators.write import Change, Removal, key_given, keyed
 from opsframe.sources.storage import remove, saved, subfolders
 
 
-def write_run_log(runs: DataFrame, path: str, mode: str = "overwrite") -> None:
+def bloom_options(columns: Sequence[str]) -> dict[str, str]:
+    """Write options for a Bloom filter of each of these columns in every row group, sized by
+    the values found. A read with an equality on such a column skips row groups without it,
+    however the rows are ordered."""
+    out = {"parquet.bloom.filter.adaptive.enabled": "true"} if columns else {}
+    return out | {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+
+
+def write_run_log(runs: DataFrame, path: str, mode: str = "overwrite", blooms: Sequence[str] = ("run_id",)) -> None:
     """A run log in one folder per day, ordered by pipeline and start inside its files.
 
     Rows are spread by ranges of (day, pipeline, start), so a day or pipeline that holds
-    much of the log fills several files; a read of one pipeline then skips most row groups.
-    Overwriting replaces only the days at hand.
+    much of the log fills several files; a read of one pipeline then skips most row groups,
+    and so does a read of a few values of the ``blooms`` columns, by which rows are not
+    ordered. Overwriting replaces only the days at hand.
     """
     order = ["day", "pipeline_id", "start_time"]
     (runs.withColumn("day", F.to_date("start_time"))
      .repartitionByRange(*order).sortWithinPartitions(*order)
-     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path))
+     .write.mode(mode).options(**bloom_options([c for c in blooms if c in runs.columns]))
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path))
 
 
 def read_run_log(spark: SparkSession, path: str, start: datetime | None = None,
@@ -44,10 +54,14 @@ def open_run_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def save_bucketed(state: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str) -> None:
-    """A state kept in buckets of its key, so that applying commands does not shuffle it."""
+def save_bucketed(state: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str,
+                  blooms: Sequence[str] = ()) -> None:
+    """A state kept in buckets of its key, so that applying commands does not shuffle it.
+
+    Files are ordered by the key; ``blooms`` names index columns to be looked up as well.
+    """
     (state.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
-     .option("path", path).saveAsTable(table))
+     .options(**bloom_options(blooms)).option("path", path).saveAsTable(table))
 
 
 # -- days that are dropped ----------------------------------------------------------------

@@ -190,6 +190,67 @@ def test_a_run_is_seen_while_it_goes_on_and_after_it_failed(spark, tmp_path):
     assert (row.run_id, row.status, row.error_message) == (run.run_id, "failed", "boom")
 
 
+def _log_rows(log):
+    return sorted(map(tuple, log.runs().collect()), key=repr)
+
+
+def test_a_compacted_log_tells_the_same_runs(spark, tmp_path):
+    """Appends and compactions in any order, as one fold of all events; files stay few."""
+    rng, at, told = random.Random(4), datetime(2024, 1, 1), []
+    log = job.EventLog(spark, str(tmp_path / "log"))
+    assert log.runs().count() == log.events().count() == log.compact() == 0
+    for step in range(9):
+        new = [(rng.choice(["a", "b", "c", None]), rng.choice(["p", None]), f"trigger {step}", None, 10 * step + k,
+                at + timedelta(seconds=rng.randrange(99)), rng.choice(["running", "success", "failed", None]), None,
+                rng.choice(["t1", "t2", None]), rng.choice([1, 2, None])) for k in range(rng.randrange(5))]
+        told += new
+        log.append_all(spark.createDataFrame(new, job.EVENT_DDL).coalesce(1))
+        if step % 2:
+            assert log.compact() == 2
+        whole = spark.createDataFrame(told, job.EVENT_DDL)
+        assert _log_rows(log) == sorted(map(tuple, job.run_rows(whole).collect()), key=repr)
+        assert sorted(map(tuple, log.events().collect()), key=repr) == sorted(map(tuple, told), key=repr)
+    assert len(storage.subfolders(spark, log.path + "/tail", "event")) <= 3
+    assert storage.subfolders(spark, log.path + "/base", "number") == ["2", "3"]
+
+
+@pytest.mark.parametrize("lost_at", ["history", "held", "base", "tail"])
+def test_a_lost_compaction_is_made_again(spark, tmp_path, lost_at, monkeypatch):
+    log = job.EventLog(spark, str(tmp_path / "log"))
+
+    def add(seq):
+        log.append(("r", "p", "manual", None, seq, datetime(2024, 1, 1), "running", None, None, 1))
+
+    for seq in range(3):
+        add(seq)
+        if seq == 0:
+            log.compact()
+    with monkeypatch.context() as m:
+        if lost_at == "tail":  # lost while it removed what the base before held
+            m.setattr(job, "remove", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                log.compact()
+        else:  # lost after it wrote that folder, the base without its mark
+            log.compact()
+            late = {"history": ("held", "base"), "held": ("base",), "base": ()}[lost_at]
+            for kind in late:
+                storage.remove(spark, f"{log.path}/{kind}/number=1")
+            storage.remove(spark, f"{log.path}/base/number=1/_SUCCESS")
+    assert (log.runs().first().events, log.events().count()) == (3, 3)
+    add(3)
+    log.compact()
+    add(4)
+    assert (log.runs().first().total_records_processed, log.events().count()) == (5, 5)
+
+
+def test_an_append_that_is_not_whole_is_not_seen(spark, tmp_path):
+    log = job.EventLog(spark, str(tmp_path / "log"))
+    log.append(("r", "p", "manual", None, 0, datetime(2024, 1, 1), "running", None, None, 1))
+    (name,) = storage.subfolders(spark, log.path + "/tail", "event")
+    storage.remove(spark, f"{log.path}/tail/event={name}/_SUCCESS")
+    assert log.events().count() == log.runs().count() == log.compact() == 0
+
+
 def test_compaction_changes_no_run(spark, tmp_path):
     events, folder = random_events(13), str(tmp_path)
     whole = spark.createDataFrame(events, EVENTS)

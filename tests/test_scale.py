@@ -16,7 +16,7 @@ from opsframe.sources import layout
 SF_DIR = "/root/testdata/sf0.001"
 EAGER = {"config_write", "write_stats", "job_run", "fold_events_stream", "run_log_by_day", "all_pages",
          "all_pages_limit_first", "failed_runs_by_day", "run_stats_by_day", "purge_runs_by_day",
-         "job_states", "table_driven_job", "page_tokens", "upsert_buckets", "purge_days"}
+         "job_states", "event_log", "listed_runs", "table_driven_job", "page_tokens", "upsert_buckets", "purge_days"}
 
 
 def plan(df, mode="formatted") -> str:
@@ -335,3 +335,37 @@ def test_days_are_dropped_by_folder(spark, tmp_path):
     assert layout.purge_days(spark, path, datetime(2024, 1, 4, 6)) == [] and set(spark.read.parquet(path).inputFiles()) == after
     layout.purge_days(spark, path, datetime(2024, 1, 5))
     assert spark.read.parquet(path).where("day = DATE '2024-01-04'").count() == 0
+
+
+def scanned_rows(df) -> int:
+    """The rows of the row groups that a scan did not skip."""
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = df.select("*")
+        df.collect()
+        leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return leaf.metrics().apply("numOutputRows").value()
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("blooms", [(), ("run_id",)])
+def test_a_run_is_found_without_reading_the_log(spark, tmp_path, blooms):
+    """Runs are ordered by pipeline, so only a Bloom filter tells where a run id is not."""
+    runs = spark.range(40_000).select(
+        F.concat(F.lit("run-"), F.md5(F.col("id").cast("string"))).alias("run_id"), (F.col("id") * 7919 % 1000).cast("string").alias("pipeline_id"),
+        F.lit("success").alias("status"), F.expr("TIMESTAMP '2024-01-01' + make_dt_interval(id % 10, 0, 0, id % 86400)").alias("start_time"))
+    layout.write_run_log(runs.repartition(4), str(tmp_path / "log"), blooms=blooms)
+    log, wanted = layout.open_run_log(spark, str(tmp_path / "log")), runs.where("id IN (3, 77, 4000)").select("run_id", "pipeline_id").collect()
+    found = log.where(F.col("run_id") == wanted[0].run_id)
+    assert found.count() == 1
+    assert scanned_rows(found) <= 5000 if blooms else scanned_rows(found) == 40_000
+    assert scanned_rows(log.where("pipeline_id = '17'")) <= 25_000  # by order
+    keys = [r.asDict() for r in wanted]
+    absent = [{"run_id": "run-0", "pipeline_id": "1"}, {"run_id": None, "pipeline_id": "1"}, {"run_id": keys[0]["run_id"], "pipeline_id": "x"}]
+    got = read.get_listed(log, RUNS, [*keys, *keys, *absent], ["status"]).collect()
+    assert sorted(r.found for r in got) == [False] * 3 + [True] * 3
+    assert {(r.run_id, r.pipeline_id) for r in got if r.found} == {(k["run_id"], k["pipeline_id"]) for k in keys}
+    assert read.get_listed(log, RUNS, []).count() == 0
+    with pytest.raises(ValueError, match="more than 100"):
+        read.get_listed(log, RUNS, keys * 34)
