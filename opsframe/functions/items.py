@@ -1,11 +1,15 @@
 """Mapping between typed rows and stored items.
 
 An item is one JSON document: booleans are the texts ``true`` and ``false``, instants are
-ISO text, and null fields are left out while nulls inside free-form maps stay.
+ISO text, and null fields are left out while nulls inside free-form maps stay. Free-form
+values (VARIANT) have no declared types and are stored as they are. With ``free_booleans``
+every boolean in them, at any depth, becomes a text, and on the way back every text ``true``
+or ``false`` a boolean, those that were texts before among them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -17,21 +21,29 @@ from opsframe.schema import MAX_ITEM_BYTES
 _INSTANTS = (T.TimestampType, T.TimestampNTZType)
 
 
-def _stored(value: Column, kind: T.DataType) -> Column:
+def _stored(value: Column, kind: T.DataType, free: bool = False) -> Column:
     if isinstance(kind, T.BooleanType):
         return value.cast("string")
     if isinstance(kind, _INSTANTS):
         return format_iso(value)
     if isinstance(kind, T.ArrayType):
-        return F.transform(value, lambda x: _stored(x, kind.elementType))
+        return F.transform(value, lambda x: _stored(x, kind.elementType, free))
     if isinstance(kind, T.MapType):
-        return F.transform_values(value, lambda k, v: _stored(v, kind.valueType))
+        return F.transform_values(value, lambda k, v: _stored(v, kind.valueType, free))
     if isinstance(kind, T.StructType):
-        fields = [_stored(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        fields = [_stored(value[f.name], f.dataType, free).alias(f.name) for f in kind.fields]
         return F.when(value.isNotNull(), F.struct(*fields))
+    if free and isinstance(kind, T.VariantType):
+        return _free(value, bools_to_texts)
     return value
 
 
+def _free(value: Column, change: Callable[[Column], Column]) -> Column:
+    """A free-form value with its JSON changed, in a list of one, as it may be a bare text."""
+    json = change(F.to_json(F.array(value)))
+    return F.when(value.isNotNull(), F.variant_get(F.parse_json(json), "$[0]", "variant"))
+
+
 def _text_kind(kind: T.DataType) -> T.DataType:
     """The type a stored value is read with before it is converted."""
     if isinstance(kind, (T.BooleanType, *_INSTANTS)):
@@ -49,24 +61,26 @@ def text_to_bool(text: Column) -> Column:
     return F.when(F.lower(text).isin("true", "false"), F.lower(text) == "true")
 
 
-def _loaded(value: Column, kind: T.DataType) -> Column:
+def _loaded(value: Column, kind: T.DataType, free: bool = False) -> Column:
     if isinstance(kind, T.BooleanType):
         return text_to_bool(value)
     if isinstance(kind, _INSTANTS):
         return parse_iso(value).cast(kind)
     if isinstance(kind, T.ArrayType):
-        return F.transform(value, lambda x: _loaded(x, kind.elementType))
+        return F.transform(value, lambda x: _loaded(x, kind.elementType, free))
     if isinstance(kind, T.MapType):
-        return F.transform_values(value, lambda k, v: _loaded(v, kind.valueType))
+        return F.transform_values(value, lambda k, v: _loaded(v, kind.valueType, free))
     if isinstance(kind, T.StructType):
-        fields = [_loaded(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        fields = [_loaded(value[f.name], f.dataType, free).alias(f.name) for f in kind.fields]
         return F.when(value.isNotNull(), F.struct(*fields))
+    if free and isinstance(kind, T.VariantType):
+        return _free(value, texts_to_bools)
     return value
 
 
-def to_item(df: DataFrame, keep: tuple[str, ...] = (), name: str = "item") -> DataFrame:
+def to_item(df: DataFrame, keep: tuple[str, ...] = (), name: str = "item", free_booleans: bool = False) -> DataFrame:
     """The rows as items, with the ``keep`` columns beside them."""
-    fields = [_stored(col(f.name), f.dataType).alias(f.name) for f in df.schema.fields]
+    fields = [_stored(col(f.name), f.dataType, free_booleans).alias(f.name) for f in df.schema.fields]
     return df.select(*[col(k) for k in keep], F.to_json(F.struct(*fields)).alias(name))
 
 
@@ -78,8 +92,9 @@ class Loaded(NamedTuple):
     rejected: DataFrame
 
 
-def from_item(df: DataFrame, kind: T.StructType, name: str = "item") -> Loaded:
-    """Typed rows from items. Only fields declared boolean or instant are converted.
+def from_item(df: DataFrame, kind: T.StructType, name: str = "item", free_booleans: bool = False) -> Loaded:
+    """Typed rows from items. Only fields declared boolean or instant are converted, and with
+    ``free_booleans`` the texts ``true`` and ``false`` inside free-form ones.
 
     A field that an item leaves out or gives as null is null; a value that is not of the
     declared type, at any depth, rejects its item.
@@ -90,7 +105,7 @@ def from_item(df: DataFrame, kind: T.StructType, name: str = "item") -> Loaded:
     parsed = F.from_json(item, corrupt, {"columnNameOfCorruptRecord": "_corrupt"})
     given = F.from_json(item, T.MapType(T.StringType(), T.StringType()))
     read = df.withColumns({"_parsed": parsed, "_given": given})
-    values = {f.name: _loaded(F.col("_parsed")[f.name], f.dataType) for f in kind.fields}
+    values = {f.name: _loaded(F.col("_parsed")[f.name], f.dataType, free_booleans) for f in kind.fields}
     broken = [F.when(F.col("_given")[f.name].isNotNull() & (values[f.name].isNull() | _holes(
         F.col("_parsed")[f.name], values[f.name], f.dataType)), F.lit(f.name)) for f in kind.fields]
     named = F.array_compact(F.array(*broken))
@@ -135,6 +150,17 @@ def texts_to_bools(json: Column) -> Column:
     return json
 
 
+# A text of a JSON document, or what stands between two of them.
+_PIECE = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^"]++'
+
+
+def bools_to_texts(json: Column) -> Column:
+    """Every boolean value, at any depth, as its text; keys and texts are left alone."""
+    pieces = F.regexp_extract_all(json, F.lit(_PIECE), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda p: F.when(F.startswith(p, F.lit('"')), p).otherwise(
+        F.regexp_replace(p, "(true|false)", '"$1"'))), "")
+
+
 def compact(json: Column) -> Column:
     return F.to_json(F.parse_json(json))
 

@@ -101,6 +101,32 @@ def from_item_greedy(spark, sf_dir):
         "conv_id", "turn", items.texts_to_bools(stored).alias("item"))
 
 
+def _free_form(spark, sf_dir):
+    """Turns with settings of no declared type, booleans four levels down."""
+    last = F.when(F.col("turn") >= 3, "true").otherwise("false")
+    free = F.concat(F.lit('{"a":{"b":[{"c":{"last":'), last, F.lit('}},'), last, F.lit(',null]},"n":'), F.col("turn").cast("string"),
+                    F.lit(',"note":"x:true,\\"false\\"","true":"'), F.col("role"), F.lit('"}'))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.parse_json(free).alias("settings"))
+
+
+_FREE_SQL = """concat('{"a":{"b":[{"c":{"last":', b, '}},', b, ',null]},"n":', turn,
+  ',"note":"x:true,\\"false\\"","true":"', role, '"}')"""
+
+
+@_query(f"""SELECT conv_id, turn, concat('{{"conv_id":', conv_id, ',"turn":', turn, ',"settings":', {_FREE_SQL}, '}}') AS item
+FROM (SELECT *, CASE WHEN turn >= 3 THEN '"true"' ELSE '"false"' END AS b FROM conversations)""")
+def to_item_free(spark, sf_dir):
+    return items.to_item(_free_form(spark, sf_dir), keep=("conv_id", "turn"), free_booleans=True)
+
+
+@_query(f"""SELECT conv_id, turn, {_FREE_SQL} AS settings
+FROM (SELECT *, CASE WHEN turn >= 3 THEN 'true' ELSE 'false' END AS b FROM conversations)""")
+def from_item_free(spark, sf_dir):
+    free = _free_form(spark, sf_dir)
+    back = items.from_item(items.to_item(free, free_booleans=True), free.schema, free_booleans=True).accepted
+    return back.select("conv_id", "turn", F.to_json("settings").alias("settings"))
+
+
 @_query("""SELECT doc_id, octet_length(encode(to_json(struct_pack(
   doc_id := doc_id, text := text, lang := lang, source := source, n_chars := n_chars)))) AS item_bytes
 FROM documents WHERE octet_length(encode(to_json(struct_pack(

@@ -321,3 +321,40 @@ def test_texts_that_are_no_values_break_a_type_rule(spark):
     rows = spark.createDataFrame([("1", "x"), (None, "2.5")], "n string, m string")
     checked = rules.check(rows, rules.type_rules(rows, {"n": "bigint", "m": "decimal(5,2)", "absent": "int"}))
     assert sorted(r.errors for r in checked.collect()) == [[], ["m_type"]]
+
+
+FREE = [
+    ('true', '"true"', 'true'), ('"FALSE"', '"FALSE"', 'false'), ('null', 'null', 'null'), ('"a true"', '"a true"', '"a true"'),
+    ('{"true":false,"b":"x:true,[false]"}', '{"b":"x:true,[false]","true":"false"}', '{"b":"x:true,[false]","true":false}'),
+    (r'["\"true\"",":\"true\",","\\",true,"\\\"",[false,{"d":{"e":[true,null,1.5,"True"]}}]]',
+     r'["\"true\"",":\"true\",","\\","true","\\\"",["false",{"d":{"e":["true",null,1.5,"True"]}}]]',
+     r'["\"true\"",":\"true\",","\\",true,"\\\"",[false,{"d":{"e":[true,null,1.5,true]}}]]'),
+    ('[]', '[]', '[]'), ('{}', '{}', '{}'),
+]
+
+
+def test_free_form_booleans_at_any_depth(spark):
+    """Booleans become texts on the way in; texts become booleans on the way back."""
+    rows = spark.createDataFrame([(k, v[0]) for k, v in enumerate(FREE)] + [(99, None)], "k int, j string")
+    free = rows.select("k", F.parse_json("j").alias("v"), F.array(F.parse_json("j")).alias("vs"),
+                       F.struct(F.parse_json("j").alias("w"), F.lit("true").alias("text")).alias("s"))
+    stored = items.to_item(free, keep=("k",), free_booleans=True)
+    told = {r.k: r.item for r in stored.collect()}
+    for k, (_, item, _) in enumerate(FREE):
+        assert told[k] == f'{{"k":{k},"v":{item},"vs":[{item}],"s":{{"w":{item},"text":"true"}}}}'
+    assert told[99] == '{"k":99,"vs":[null],"s":{"text":"true"}}'
+    back = items.from_item(stored, free.schema, free_booleans=True)
+    assert back.rejected.count() == 0
+    as_is = items.to_item(free, keep=("k",)).where("k = 0").first().item
+    assert as_is == '{"k":0,"v":true,"vs":[true],"s":{"w":true,"text":"true"}}'
+    for r in back.accepted.select("k", F.to_json("v").alias("v"), F.to_json("vs").alias("vs"), F.to_json("s.w").alias("w"), "s.text").collect():
+        if r.k < 99:
+            want = FREE[r.k][2]
+            assert (r.v, r.vs, r.w, r.text) == (want, f"[{want}]", want, "true")
+
+
+def test_long_free_form_texts(spark):
+    """Pieces are matched without recursion, so long texts of escapes do not overflow."""
+    text = '\\"' * 200_000 + "true"
+    row = spark.sql("SELECT 1 AS k").withColumn("j", F.lit(f'["{text}",true]'))
+    assert row.select(items.bools_to_texts(F.col("j"))).first()[0] == f'["{text}","true"]'
