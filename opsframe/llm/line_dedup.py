@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from opsframe.llm.common import ascii_lower, fresh, read_table, text_or_empty
+from opsframe.llm.common import ascii_lower, fresh, read_table, saved, text_or_empty
 
 SPACE = " \t\n\x0b\x0c\r"
+# Lines of a range of hashes on the mean; ranges of over twice as many are sliced.
+RANGE_LINES = 2048
 
 
 def lines_of(text: str | Column) -> Column:
@@ -27,6 +29,21 @@ def _hashed(line: str) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(7), F.reverse(line)).alias("h2")]
 
 
+def _in_ranges(entries: DataFrame) -> DataFrame:
+    """The entries with their ``range`` (leading bits of the hash, ``RANGE_LINES`` in each on
+    the mean) and their ``slice``: an overfull range has ``slices`` of its documents.
+
+    There are fewer overfull ranges than ``entries / RANGE_LINES``, and each is one small row.
+    """
+    bits = max(1, (entries.count() // RANGE_LINES).bit_length())
+    ranged = entries.withColumn("range", F.shiftrightunsigned("h1", 64 - bits))
+    overfull = saved(ranged.groupBy("range").agg(F.count("*").alias("held")).where(F.col("held") > 2 * RANGE_LINES)
+                     .select("range", F.ceil(F.col("held") / RANGE_LINES).alias("slices")), "ranges")
+    document = F.xxhash64(F.coalesce("id", "version"))
+    return ranged.join(overfull, "range", "left").withColumn("slices", F.coalesce("slices", F.lit(1))).withColumn(
+        "slice", F.pmod(document, "slices"))
+
+
 def keep_bitmaps(docs: DataFrame, key: str = "doc_id", text: str = "text",
                  min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """Which lines of which documents go, as sparse bitmaps.
@@ -37,28 +54,42 @@ def keep_bitmaps(docs: DataFrame, key: str = "doc_id", text: str = "text",
     bits) in which bit i of word w is line 64 w + i. A word that is absent keeps its lines,
     so the bitmap is as short as what is dropped.
 
-    Keys are counted with one row per document and key, combined before the shuffle, and the
-    few repeated keys are then joined to the line hashes, where adaptive execution splits a
-    hot one. The bitmaps come from hash aggregates: the bits of a word are combined by
-    ``bit_or``, and the words of a document collected and sorted. Every row is a document of
-    its own; rows repeated in id and text get the same bitmap; a null id is never the largest.
+    The hashes of all lines are written once and partitioned by ranges, sorted within them by
+    hash, document (largest first) and position. Windows over that order, which need no
+    further exchange, stream the first occurrence of each hash and of each document in it. A
+    range that a hot line overfills is dealt in slices of its documents, and one carried row
+    for each hash and slice tells the slices what the others hold. The bitmaps come from hash
+    aggregates: the bits of a word are combined by ``bit_or``.
+
+    Rows that repeat an id are one document, with one bitmap for each different text. Rows
+    without id are one document for each different text, and never the largest.
     """
-    source = docs.select(
-        F.col(key).alias("id"), F.xxhash64(text_or_empty(text)).alias("version"),
-        line_keys(text).alias("keys"))
-    long_enough = F.char_length("line") >= min_chars
-    repeated = (
-        source.select("id", F.explode(F.array_distinct("keys")).alias("line")).where(long_enough)
-        .select("id", *_hashed("line"))
-        .groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("id").alias("leader"))
-        .where(F.col("n") >= min_docs).drop("n")
+    entries = saved(
+        docs.select(F.col(key).alias("id"), F.xxhash64(text_or_empty(text)).alias("version"),
+                    F.posexplode(line_keys(text)).alias("pos", "line"))
+        .where(F.char_length("line") >= min_chars).select("id", "version", "pos", *_hashed("line")), "lines")
+    place, order = ["range", "slice", "h1", "h2"], [F.col("id").desc_nulls_last(), F.col("version"), F.col("pos")]
+    line = Window.partitionBy(*place)
+    occurrences = line.orderBy(*order)
+    before = lambda name: F.lag(name).over(occurrences)
+    same = before("id").eqNullSafe(F.col("id")) & (F.col("id").isNotNull() | (before("version") == F.col("version")))
+    streamed = (
+        _in_ranges(entries).repartitionByRange("range", "slice").sortWithinPartitions(*place, *order)
+        .withColumns({"head": before("pos").isNull(), "new": F.coalesce(~same, F.lit(True)).cast("int"),
+                      "leader": F.first("id").over(occurrences)})
+        .withColumn("held", F.sum("new").over(line))
     )
+    goes = ~F.col("id").eqNullSafe(F.col("leader"))
+    known = saved(streamed.where((F.col("slices") > 1) | (F.col("held") >= min_docs) & goes).drop("new"), "occurrences")
+    heads = known.where("slices > 1 AND head")
+    totals = heads.groupBy("h1", "h2").agg(F.sum("held").alias("held"), F.max("leader").alias("leader")).where(
+        F.col("held") >= min_docs)
+    told = heads.select("h1", "h2", "slice").join(totals.select("h1", "h2", "leader"), ["h1", "h2"])
+    sliced = known.where("slices > 1").drop("leader").join(told, ["h1", "h2", "slice"]).where(goes)
+    gone = known.where("slices = 1").select("id", "version", "pos").unionByName(sliced.select("id", "version", "pos"))
     return (
-        source.select("id", "version", F.posexplode("keys").alias("pos", "line")).where(long_enough)
-        .select("id", "version", "pos", *_hashed("line"))
-        .join(repeated, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("leader")))
-        .select("id", "version", F.expr("pos div 64").cast("int").alias("word"),
-                F.expr("shiftleft(1L, cast(pos % 64 as int))").alias("bit"))
+        gone.select("id", "version", F.expr("pos div 64").cast("int").alias("word"),
+                    F.expr("shiftleft(1L, cast(pos % 64 as int))").alias("bit"))
         .groupBy("id", "version", "word").agg(F.bit_or("bit").alias("bits"))
         .groupBy("id", "version").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("gone"))
     )

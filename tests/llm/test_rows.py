@@ -131,13 +131,13 @@ def test_a_batch_meets_the_index_in_its_buckets(spark):
 def lines_by_hand(texts, min_chars=20, min_docs=3):
     strip = " \t\n\x0b\x0c\r"
     split = [(d, (t or "").split("\n")) for d, t in texts]
-    holders = defaultdict(list)
-    for row, (_, lines) in enumerate(split):
+    # Rows of one id are one document, as count(DISTINCT doc_id) has it; without id each text is one.
+    holders = defaultdict(set)
+    for (doc, lines), (_, text) in zip(split, texts, strict=True):
         for key in {x.strip(strip).translate(LOWER) for x in lines}:
             if len(key) >= min_chars:
-                holders[key].append(row)
-    leader = {k: max((split[r][0] for r in v if split[r][0] is not None), default=None)
-              for k, v in holders.items() if len(v) >= min_docs}
+                holders[key].add((doc, None if doc is not None else text))
+    leader = {k: max((d for d, _ in v if d is not None), default=None) for k, v in holders.items() if len(v) >= min_docs}
     return [(d, [x for x in lines if (k := x.strip(strip).translate(LOWER)) not in leader or leader[k] == d]) for d, lines in split]
 
 
@@ -156,6 +156,44 @@ def test_bitmaps_of_long_documents(spark):
     assert out == dict(lines_by_hand(rows)) and len(out[0]) == 167 and len(out[2]) == 500
 
 
+def test_a_line_counts_documents_not_rows(spark):
+    line = "one line that several of the rows hold"
+    for rows in ([(5, line), (5, line), (7, line)], [(5, line), (5, f"{line}\nmore"), (7, line), (8, line)],
+                 [(None, line), (None, line), (7, line)], [(None, line), (None, f"{line}\nmore"), (7, line)],
+                 [(None, line), (None, f"{line}\na"), (None, f"{line}\nb")]):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        out = [(r.doc_id, list(r.lines)) for r in line_dedup.with_kept_lines(docs, line_dedup.keep_bitmaps(docs)).collect()]
+        assert sorted(out, key=repr) == sorted(lines_by_hand(rows), key=repr)
+
+
+def test_slices_of_hot_lines(spark, monkeypatch):
+    """A line that every document holds lies in many slices, whose carried rows agree."""
+    monkeypatch.setattr(line_dedup, "RANGE_LINES", 20)
+    rows = [(k, "\n".join(["A line that all of them hold", *[f"line {k % m} of those that some hold" for m in (2, 50, 299)],
+                           "A line that all of them hold "])) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    entries = docs.select(F.col("doc_id").alias("id"), F.lit(1).cast("bigint").alias("version"),
+                          F.lit(7).cast("bigint").alias("h1"))
+    dealt = line_dedup._in_ranges(entries).groupBy("range", "slice").count().collect()
+    assert len(dealt) == 15 and max(r["count"] for r in dealt) < 60
+    out = {r.doc_id: list(r.lines) for r in line_dedup.with_kept_lines(docs, line_dedup.keep_bitmaps(docs)).collect()}
+    assert out == dict(lines_by_hand(rows))
+
+
+def test_lines_stream_behind_one_range_exchange(spark, documents, monkeypatch):
+    plans, keep = [], line_dedup.saved
+
+    def told(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return keep(df, name)
+
+    monkeypatch.setattr(line_dedup, "saved", told)
+    last = line_dedup.keep_bitmaps(documents)._jdf.queryExecution().executedPlan().toString()
+    plan = dict(plans)["occurrences"]
+    assert plan.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in plan and plan.count("Window [") == 2
+    assert not any("Python" in p or "Arrow" in p for p in [last, *dict(plans).values()])
+
+
 def test_no_lines_in_an_empty_table(empty):
     assert line_dedup.with_kept_lines(empty, line_dedup.keep_bitmaps(empty)).count() == 0
 
