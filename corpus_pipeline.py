@@ -33,10 +33,34 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ).select(*docs.columns)
 
 
+def _copies_once(docs: DataFrame) -> DataFrame:
+    """The rows, those that ids do not tell apart once for each text: of rows with one id and
+    one text any one stays, and of rows of one text without id none beside a row with an id,
+    else any one. Texts without words are no copies. Ids alone are read where none repeats."""
+    ids = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    if ids.isEmpty():
+        return docs
+    digest, keep, named = fresh("digest"), fresh("keep"), F.col("doc_id").isNotNull()
+    words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    marked = docs.withColumn(digest, F.when(words, F.unhex(F.sha2("text", 256))))
+    held = saved(marked.where(words).groupBy("doc_id", digest).count(), "digests")
+    elsewhere = held.where(named).select(digest).distinct().withColumn(keep, F.lit(False))
+    odd = saved(
+        held.where(named & (F.col("count") > 1)).select(F.col("doc_id").alias("id"), F.col(digest).alias("of"), F.lit(True).alias(keep))
+        .union(held.where(~named).join(elsewhere, digest, "left")
+               .select("doc_id", digest, F.coalesce(keep, F.lit(True)))), "copies")
+    told = marked.join(odd.withColumnsRenamed({"id": f"{digest}_id", "of": f"{digest}_of"}),
+                       (F.col(digest) == F.col(f"{digest}_of")) & F.col("doc_id").eqNullSafe(F.col(f"{digest}_id")), "left")
+    once = told.where(F.col(keep)).dropDuplicates(["doc_id", digest])
+    return told.where(F.col(keep).isNull()).union(once).select(*docs.columns)
+
+
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates; documents without an id stay."""
+    """One document of each group of near duplicates. Rows that repeat an id with its text, and
+    rows without id that repeat a text, stay once; no other row without id goes."""
     gone = near_duplicates(docs).groupBy("id").agg(F.bool_or("kept").alias("kept")).where("NOT kept")
-    return docs.join(gone.select(F.col("id").alias("doc_id")), "doc_id", "left_anti").select(*docs.columns)
+    once = _copies_once(docs)
+    return once.join(gone.select(F.col("id").alias("doc_id")), "doc_id", "left_anti").select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
