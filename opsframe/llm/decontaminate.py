@@ -97,7 +97,7 @@ class ItemIndex:
     def __init__(self, items: list[tuple], words: int, similarity: float,
                  held: tuple[int, np.ndarray, np.ndarray] | None = None):
         hashed = Words([(text or "").encode("utf-8", "replace") for _, text in items], MARKS)
-        own, limits = hashed.hashes(), hashed.first
+        own, limits = hashed.keys(), hashed.first
         self.words, self.similarity = words, similarity
         rows = [(item, own[a:b]) for (item, _), a, b in zip(items, limits[:-1], limits[1:], strict=True) if b > a]
         self.ids, self.lengths = [r[0] for r in rows], np.array([len(r[1]) for r in rows], np.int64)
@@ -205,7 +205,7 @@ def _search(texts: list[str], index: ItemIndex) -> list[list[dict]]:
 
     def flush():
         hashed = Words(group, MARKS)
-        own, base = hashed.hashes(), 0
+        own, base = hashed.keys(), 0
         for k, raw in enumerate(group):
             a, b = int(hashed.first[k]), int(hashed.first[k + 1])
             leaks = []
@@ -276,7 +276,7 @@ def _holders(items: DataFrame, words: int) -> tuple[int, np.ndarray, np.ndarray]
         for batch in small_batches(batches, "text"):
             for t in batch.column("text").to_pylist():
                 hashed = Words([(t or "").encode("utf-8", "replace")], MARKS)
-                own = np.unique(hashed.shingles(words, 0, hashed.hashes()))
+                own = np.unique(hashed.shingles(words, 0, hashed.keys()))
                 if len(own):
                     yield pa.RecordBatch.from_arrays([pa.array([None, *own.view(np.int64).tolist()], pa.int64())], names=["shingle"])
 

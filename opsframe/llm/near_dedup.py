@@ -19,8 +19,8 @@ from opsframe.llm.wordhash import Words
 
 # Values a sketch retains, and those of them whose neighbours make inverted lists.
 RETAINED, LISTED = 48, 32
-# Bytes hashed at once; members of a list that one task compares with as many others.
-HASHED_BYTES, BLOCK = 1 << 20, 2000
+# Bytes hashed at once; members, and values of their sets, that one task compares with as many.
+HASHED_BYTES, BLOCK, BLOCK_VALUES = 1 << 20, 2000, 1 << 20
 # Below this similarity, in percent, lists of two neighbours would lose pairs.
 LEAST_PERCENT = 80
 
@@ -32,7 +32,7 @@ def shingle_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
 
     def flush():
         hashed = Words(group)
-        own = hashed.hashes()
+        own = hashed.keys()
         for k in range(len(group)):
             yield np.unique(hashed.shingles(words, k, own) >> np.uint64(1)).view(np.int64)
         group.clear()
@@ -172,25 +172,57 @@ def _blocks(batches: Iterator[pa.RecordBatch], decode) -> Iterator[tuple[bool, _
     """The rows of a group, or of two blocks of a large one, which follow each other."""
     def rows():
         for batch in batches:
-            yield from zip(*(batch.column(c).to_pylist() for c in ("list", "i", "j", "node", "n", "component", "part")),
+            yield from zip(*(batch.column(c).to_pylist() for c in ("list", "pair", "node", "n", "component", "part")),
                            decode(batch.column("set")), strict=True)
 
-    for (_, i, j), group in groupby(rows(), lambda r: r[:3]):
-        yield i != j, _Block([r[3:] for r in group])
+    for (_, pair), group in groupby(rows(), lambda r: r[:2]):
+        first, i, second, j = pair.values()
+        yield (first, i) != (second, j), _Block([r[2:] for r in group])
 
 
-def _dealt(rows: DataFrame, group: str) -> DataFrame:
-    """Rows of a group together; a group of more than ``BLOCK`` rows as pairs of blocks."""
-    sizes = rows.groupBy(group).agg(
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("component").alias("low"),
-        F.max("component").alias("high")).where("low <> high").drop("low", "high")
-    part = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = rows.join(sizes, group).withColumn("part", part).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+def _dealt(rows: DataFrame, group: str, held: Column, percent: int) -> DataFrame:
+    """Rows of a group together; ``held`` is the number of a row's values.
+
+    A group that is more than a block is cut in bands of set sizes, each as wide as two
+    similar sets may differ, and a band in blocks. Blocks of a band meet each other and those
+    of the next band, in a task for each pair, and no others: sets further apart in size are
+    not similar. Where two bands hold one component nothing is compared.
+    """
+    def blocks(n: Column, values: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(values / BLOCK_VALUES)).cast("int")
+
+    measured = [blocks(F.count("*"), F.sum(held)).alias("blocks"), F.min("component").alias("low"),
+                F.max("component").alias("high")]
+    whole = rows.groupBy(group).agg(*measured).where("low <> high").select(group, (F.col("blocks") > 1).alias("large"))
+    # A hair wider, so that rounding never puts two similar sets into bands that do not meet.
+    width = max(math.log(100 / percent), 1e-6) * (1 + 1e-9)
+    banded = rows.join(whole, group).withColumn(
+        "band", F.when(F.col("large"), F.floor(F.log("n") / width)).otherwise(0).cast("int"))
+    bands = banded.groupBy(group, "band").agg(*measured)
+    about = bands.withColumn("d", F.explode(F.array(*map(F.lit, (-1, 0, 1))))).groupBy(
+        group, (F.col("band") + F.col("d")).alias("band")).agg(*[
+            F.max(F.when(F.col("d") == d, F.struct("blocks", "low", "high"))).alias(name)
+            for name, d in (("lower", 1), ("own", 0), ("upper", -1))]).where("own IS NOT NULL")
+
+    def met(side: str, pair) -> Column:
+        """The block pairs with a side, unless it and the own one are one component."""
+        s, own = F.col(side), F.col("own")
+        mixed = s.isNotNull() & (F.least(s["low"], own["low"]) != F.greatest(s["high"], own["high"]))
+        return F.when(mixed, F.transform(F.sequence(F.lit(0), s["blocks"] - 1), pair)).otherwise(F.array())
+
+    def pair(first: Column, i: Column, second: Column, j: Column) -> Column:
+        return F.struct(first.alias("first"), i.alias("i"), second.alias("second"), j.alias("j"))
+
+    band, part = F.col("band"), F.col("part")
+    dealt = banded.join(about, [group, "band"]).withColumn(
+        "part", F.pmod(F.xxhash64("node"), F.col("own")["blocks"]).cast("int")).withColumn("pair", F.explode(F.concat(
+            met("own", lambda o: pair(band, F.least(part, o), band, F.greatest(part, o))),
+            met("upper", lambda o: pair(band, part, band + 1, o)),
+            met("lower", lambda o: pair(band - 1, o, band, part)))))
+    side = F.when(F.col("pair")["first"] == band, 0).otherwise(1)
     return dealt.select(
-        F.col(group).alias("list"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-        "node", "n", "component", "part", "set",
-    ).repartition("list", "i", "j").sortWithinPartitions("list", "i", "j", "node")
+        F.col(group).alias("list"), "pair", "node", "n", "component", (part * 2 + side).alias("part"), "set",
+    ).repartition("list", "pair").sortWithinPartitions("list", "pair", "node")
 
 
 def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -228,7 +260,7 @@ def _families(listed: DataFrame, labels: DataFrame, nodes: DataFrame, percent: i
     labelled = listed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     rows = labelled.join(mixed.select("list"), "list").join(nodes.select("node", "n", F.col("sketch").alias("set")), "node")
-    return components(_dealt(rows, "list").mapInArrow(run, "a bigint, b bigint").distinct())
+    return components(_dealt(rows, "list", F.least("n", F.lit(RETAINED)), percent).mapInArrow(run, "a bigint, b bigint").distinct())
 
 
 def _links_within(families: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -250,7 +282,7 @@ def _links_within(families: DataFrame, labels: DataFrame, sets: DataFrame, perce
         .join(families.select("node", F.col("component").alias("family")), "node")
         .join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     )
-    return _dealt(rows, "family").mapInArrow(run, "a bigint, b bigint")
+    return _dealt(rows, "family", F.col("n"), percent).mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
@@ -269,8 +301,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     all members are compared with the least one: union sketches filter, full sets verify.
     4. Lists whose members are by then in one component are done. In the others, members of
     different components that may be similar by their sketches make families, and the full
-    sets of a family meet in a task, or its blocks pair by pair, where components are joined
-    by exact links. No list is cut or skipped, and no task emits more rows than it has
+    sets of a family meet in a task, or its blocks pair by pair as far as their sizes allow the
+    similarity (members of like sizes, and not yet one component, make a number of pairs of
+    blocks that grows with its square), where components are joined by exact links. No list is cut or skipped, and no task emits more rows than it has
     members, however many pairs come near the similarity.
 
     An empty or null text links with nothing; rows that repeat an id count as one document

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from hashlib import blake2b
 
 import numpy as np
 
@@ -13,6 +14,10 @@ MARKS = bytes(b for b in range(128) if not chr(b).isalnum())
 # An odd multiplier and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
+# Longer words are told apart by a digest.
+LONG = 64
+# The first n bytes of a piece of eight.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 @lru_cache(maxsize=2)
@@ -46,17 +51,41 @@ class Words:
         self.starts, self.ends = edges[::2], edges[1::2]
         limits = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
         self.first = np.searchsorted(self.starts, limits)
-        room = 1 << max(10, int(len(data) + 1).bit_length())
-        self._sums = np.concatenate([[np.uint64(0)], np.cumsum(
-            (data.astype(np.uint64) + np.uint64(1)) * _powers(room, _BASE)[: len(data)], dtype=np.uint64)])
-        self._back = _powers(room, _INVERSE)
+        self._data = data
+
+    @cached_property
+    def _sums(self) -> np.ndarray:
+        return np.concatenate([[np.uint64(0)], np.cumsum(
+            (self._data.astype(np.uint64) + np.uint64(1)) * _powers(self._room, _BASE)[: len(self._data)], dtype=np.uint64)])
+
+    @property
+    def _room(self) -> int:
+        return 1 << max(10, int(len(self._data) + 1).bit_length())
 
     def hashes(self, seed: int = 0, prefix: int | None = None) -> np.ndarray:
-        """A hash of each word, or of its first ``prefix`` bytes."""
+        """A hash of each word, or of its first ``prefix`` bytes, for features: polynomials
+        modulo 2**64, of which two long words with one hash can be made."""
         ends = self.ends if prefix is None else np.minimum(self.ends, self.starts + prefix)
-        sums = (self._sums[ends] - self._sums[self.starts]) * self._back[self.starts]
+        sums = (self._sums[ends] - self._sums[self.starts]) * _powers(self._room, _INVERSE)[self.starts]
         return mix(sums ^ np.uint64((seed * 0xD1342543DE82EF95) % (1 << 64)))
 
+    def keys(self) -> np.ndarray:
+        """A hash of each word that stands for it where texts are compared: its length and its
+        pieces of eight bytes, mixed one after the other; words over ``LONG`` bytes by digest."""
+        sizes, padded = self.ends - self.starts, np.concatenate([self._data, np.zeros(8, np.uint8)])
+        pieces = np.ndarray(len(self._data), "<u8", padded, strides=(1,))
+        out = mix(sizes.astype(np.uint64) * np.uint64(_BASE))
+        for k in range(0, LONG, 8):
+            asked = np.flatnonzero((sizes > k) & (sizes <= LONG))
+            if not len(asked):
+                break
+            piece = pieces[self.starts[asked] + k] & _FIRST[np.minimum(sizes[asked] - k, 8)]
+            out[asked] = mix(out[asked] * np.uint64(_BASE) + piece)
+        for w in np.flatnonzero(sizes > LONG):
+            digest = blake2b(self._data[self.starts[w]:self.ends[w]].tobytes(), digest_size=8).digest()
+            out[w] = int.from_bytes(digest, "little")
+        return out
+
     def shingles(self, size: int, text: int, hashes: np.ndarray) -> np.ndarray:
         """The hashes of a text's runs of ``size`` words, in order; a text with fewer words
         has one run of them all, a text without words none."""

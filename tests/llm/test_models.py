@@ -166,6 +166,59 @@ def test_no_documents_no_components(empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_words_that_clash_as_polynomials_stay_apart(spark):
+    """Thue-Morse words of 2,048 letters have one polynomial hash modulo any power of two."""
+    letters = ["ab"[bin(k).count("1") % 2] for k in range(2048)]
+    a, b = "".join(letters), "".join("ab"[c == "a"] for c in letters)
+    both = Words([f"{a} {b} {a[:40]} {b[:40]} {a[:8]} {a[:9]}".encode()])
+    assert len(set(both.hashes()[:2].tolist())) == 1 and len(set(both.keys().tolist())) == 6
+    docs = spark.createDataFrame([(1, a), (2, b), (3, a.upper())], "doc_id bigint, text string")
+    found = {r.id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert found == {1: 1, 2: 2, 3: 1}
+
+
+def test_keys_of_words_do_not_depend_on_what_is_around():
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcé😀") for _ in range(n)) for n in range(1, 120)]
+    alone = [int(Words([w.encode()]).keys()[0]) for w in words]
+    assert Words([" ".join(words).encode()]).keys().tolist() == alone and len(set(alone)) == len(set(words))
+
+
+def test_blocks_of_a_hot_list_by_sizes(spark, monkeypatch):
+    """A list of members of unlike sizes deals a number of rows that grows with its members,
+    and every two members whose sizes allow the similarity meet in a task."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 50)
+
+    def dealt(n):
+        rows = spark.range(n).select(
+            F.lit(1).alias("list"), F.col("id").alias("node"), F.col("id").alias("component"),
+            F.floor(F.lit(3) * F.pow(F.lit(1.012 if n == 1000 else 1.006), F.col("id"))).cast("bigint").alias("n"),
+            F.array(F.col("id")).alias("set"))
+        return near_dedup._dealt(rows, "list", F.lit(1), 80)
+
+    small, large = dealt(1000), dealt(2000)
+    assert large.count() < 2.5 * small.count() < 2.5 * 8 * 1000
+    tasks, sizes = defaultdict(list), {}
+    for r in small.collect():
+        tasks[r["list"], tuple(r.pair)].append((r.node, r.part))
+        sizes[r.node] = r.n
+    met = set()
+    for (_, (first, i, second, j)), rows in tasks.items():
+        apart = (first, i) != (second, j)
+        met |= {(a, b) for a, p in rows for b, q in rows if a < b and (not apart or p != q)}
+    assert set(sizes) == set(range(1000))
+    near = {(a, b) for a in sizes for b in sizes if a < b and min(sizes[a], sizes[b]) * 100 >= max(sizes[a], sizes[b]) * 80}
+    assert near <= met
+
+
+def test_blocks_are_bounded_by_values(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_VALUES", 1000)
+    rows = spark.range(40).select(F.lit(1).alias("list"), F.col("id").alias("node"), F.col("id").alias("component"),
+                                  F.lit(200).cast("bigint").alias("n"), F.array(F.col("id")).alias("set"))
+    tasks = near_dedup._dealt(rows, "list", F.col("n"), 80).groupBy("list", "pair").agg(F.sum("n").alias("n")).collect()
+    assert len(tasks) > 8 and max(r["n"] for r in tasks) < 8000
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(200, 100), (100, 150), (9, 9)], "a bigint, b bigint")
     found = {r.node: r.component for r in components(links).collect()}
@@ -179,7 +232,7 @@ def leaks_by_hand(texts, items, words=5, similarity=0.8):
     found = set()
     for d, t in texts:
         hashed = Words([(t or "").encode()], MARKS)
-        own = hashed.hashes()
+        own = hashed.keys()
         for item, length, bag in zip(index.ids, index.lengths, index.bags, strict=True):
             for at in range(len(own) - int(length) + 1):
                 if decontaminate._similarity(shingled(own[at:at + int(length)], words), bag, index.weight) >= similarity:
@@ -212,7 +265,7 @@ def test_passages_with_swapped_parts_are_found(cut):
     text = " ".join([*[f"x{k}" for k in range(300)], *words[cut:], *words[:cut], *[f"y{k}" for k in range(300)]])
     items = [(1, " ".join(words)), (2, "other words of another item")]
     index = decontaminate.ItemIndex(items, 5, 0.8)
-    found = index.matches(Words([text.encode()], MARKS).hashes())
+    found = index.matches(Words([text.encode()], MARKS).keys())
     assert {(1, index.ids[item]) for item, *_ in found} == leaks_by_hand([(1, text)], items) == {(1, 1)}
     assert found[0][1:3] == (300, 100) and found[0][3] >= 0.9
 
@@ -228,7 +281,7 @@ def test_windows_equal_brute_force_on_shuffled_items():
         around = [rng.choice(vocabulary) for _ in range(40)]
         texts.append((k, " ".join([*around[:20], *parts[at:], *parts[:at], *around[20:]])))
     index = decontaminate.ItemIndex(items, 5, 0.8)
-    found = {(d, index.ids[item]) for d, t in texts for item, *_ in index.matches(Words([t.encode()], MARKS).hashes())}
+    found = {(d, index.ids[item]) for d, t in texts for item, *_ in index.matches(Words([t.encode()], MARKS).keys())}
     assert found == leaks_by_hand(texts, items)
 
 
@@ -318,6 +371,18 @@ def test_pipeline_stages_take_effect(spark, documents):
     assert {r.doc_id for r in docs.select("doc_id").distinct().collect()} == set(kept["decontaminate"])
 
 
+def test_pipeline_keeps_copies_without_own_ids_once(spark):
+    text, other = " ".join(f"w{k}" for k in range(40)), " ".join(f"v{k}" for k in range(40))
+    rows = [(5, text), (5, text), (6, text), (None, text), (None, other), (None, other), (None, "alone"),
+            (8, None), (8, None), (9, " "), (None, ""), (None, None), (4, "one"), (4, "two"), (4, "two")]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id bigint, text string, lang string").repartition(4)
+    out = corpus_pipeline.near(spark, docs, SF_DIR)
+    assert out.columns == docs.columns
+    expected = [(5, text), (None, other), (None, "alone"), (8, None), (8, None), (9, " "), (None, ""), (None, None),
+                (4, "one"), (4, "two")]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(expected, key=repr)
+
+
 def test_pipeline_over_odd_and_empty_tables(spark, odd, empty):
     for docs in (odd, empty):
         for name, stage in corpus_pipeline.STAGES:
