@@ -147,10 +147,15 @@ class _Block:
         self.node, self.n, self.component, self.part = (np.array([m[k] for m in members], np.int64) for k in range(4))
         values = [m[4] for m in members]
         sizes = np.array([len(v) for v in values])
-        distinct, self.code = np.unique(np.concatenate(values), return_inverse=True)
-        owner = np.repeat(np.arange(len(members)), sizes)
-        self.holders = owner[np.argsort(self.code, kind="stable")]
-        self.begin = np.concatenate([[0], np.cumsum(np.bincount(self.code, minlength=len(distinct)))])
+        every = np.concatenate(values)
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        starts = np.ones(len(every), bool)
+        starts[1:] = every[1:] != every[:-1]
+        self.begin = np.append(np.flatnonzero(starts), len(order))
+        self.code = np.empty(len(order), np.int32)
+        self.code[order] = np.cumsum(starts, dtype=np.int32) - 1
+        self.holders = np.repeat(np.arange(len(members), dtype=np.int32), sizes)[order]  # ascending in each list
         self.first = np.concatenate([[0], np.cumsum(sizes)])
 
     def pairs(self, apart: bool, near) -> Iterator[tuple[int, int]]:

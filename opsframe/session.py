@@ -8,7 +8,8 @@ from pyspark.sql import SparkSession
 
 # A rank filter is applied before the shuffle for ranks up to the group limit threshold.
 # Adaptive execution sizes the shuffles, and splits a hot key of a join even when the
-# split costs another exchange. Instants are UTC everywhere.
+# split costs another exchange. Instants are UTC everywhere. A batch of rows for Python is
+# bounded in bytes: by rows alone it grows with the texts, on both sides of the pipe.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -16,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 

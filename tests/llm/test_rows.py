@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,6 +17,7 @@ from tokenizers import Tokenizer
 
 from opsframe.llm import catalog, exact_dedup, line_dedup, packing, secrets, sharding, token_files
 from opsframe.llm.tokens import END_ID, WordEncoder, tokenizer_path
+from opsframe.session import prepare
 from opsframe.sources.storage import new_path
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -258,6 +260,15 @@ def test_perfect_hash_is_minimal():
         assert sorted(token_files.slots_of(keys, seeds, n).tolist()) == list(range(n))
 
 
+def test_batches_for_python_are_bounded_in_bytes(spark):
+    rows = prepare(spark).range(0, 12_000, 1, 1).select(F.repeat(F.lit("x"), 3000).alias("text"))
+    sizes = rows.mapInArrow(
+        lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+                         for b in batches), "n bigint, size bigint").collect()
+    assert sum(r["n"] for r in sizes) == 12_000
+    assert max(r["size"] for r in sizes) <= 9 << 20
+
+
 # -- packing ----------------------------------------------------------------------------
 
 def check_packing(rows, texts, tokenizer, key="doc_id"):
