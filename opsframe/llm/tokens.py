@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,8 +11,13 @@ from pyspark.sql import DataFrame
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 
-# Bytes of text that a task encodes at once, and words whose ids a Python worker remembers.
-BATCH_BYTES, CACHED_WORDS = 8 << 20, 500_000
+# Bytes of text that a task encodes at once, and words whose ids a Python worker remembers
+# within a task and beyond it.
+BATCH_BYTES, CACHED_WORDS, KEPT_WORDS = 8 << 20, 600_000, 50_000
+
+# Words of the letters of Latin-1 that have two cases, and of ß and ÿ, with ASCII marks behind them;
+# an apostrophe may begin a piece of letters.
+_MARKED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 
 _encoders: dict = {}
 
@@ -22,6 +28,21 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class _Known(dict):
+    """The ids of words, each worked out when it is first asked for. A word as long as a text
+    is not worth its memory."""
+
+    def __init__(self, ids_of):
+        super().__init__({"": b""})
+        self.ids_of = ids_of
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.ids_of(word)
+        if len(word) <= 64:
+            self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids of a text by a tokenizer that drops white space between words.
 
@@ -37,10 +58,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        self.tokenizer, self.kind, self.known = Tokenizer.from_file(path), f"<u{width}", {"": b""}
+        self.tokenizer, self.kind, self.known = Tokenizer.from_file(path), f"<u{width}", _Known(self._word)
+        self._model = self.tokenizer.model
+        self._raw = [k.to_bytes(width, "little") for k in range(self.tokenizer.get_vocab_size())]
         bytes_as_text = ByteLevel(add_prefix_space=False, use_regex=False)
         self._table = {k: bytes_as_text.pre_tokenize_str(chr(k))[0][0] for k in range(0xC0, 0x100)}
-        probe = "Zażółć gęślą, The THE don't\tx1 2.\nß é. É,"
+        probe = "Zażółć gęślą, The THE don't\tx1 2.\nß é. É, the.##! THE_a É- x'."
         self._by_word = self([probe]) == self._encoded([probe])
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
@@ -56,42 +79,35 @@ class WordEncoder:
             _encoders[path, width] = cls(path, width)
         return _encoders[path, width]
 
-    def _learn_letters(self, words: set[str]) -> None:
-        """Words of lower-case Latin letters: one piece each, so the merges alone are asked."""
-        from struct import pack
-
-        tokenize, code = self.tokenizer.model.tokenize, "H" if self.kind == "<u2" else "I"
-        for word in words:
-            ids = [t.id for t in tokenize(word if word.isascii() else word.translate(self._table))]
-            self.known[word] = pack(f"<{len(ids)}{code}", *ids)
+    def _word(self, word: str) -> bytes:
+        """A word of Latin letters is one piece, so the merges alone are asked; the tokenizer
+        splits before the marks behind it and keeps them together."""
+        found = _MARKED(word)
+        if not found:
+            return self._encoded([word])[0]
+        letters, marks = found.groups()
+        if marks:
+            return self.known[letters] + self.known[marks]
+        lower = word.lower()
+        if lower != word:
+            return self.known[lower]
+        raw = self._raw
+        return b"".join([raw[t.id] for t in self._model.tokenize(word if word.isascii() else word.translate(self._table))])
+
+    def forget(self) -> None:
+        """Drop the words of a task that had many; the next one may need the memory."""
+        if len(self.known) > KEPT_WORDS:
+            self.known = _Known(self._word)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not getattr(self, "_by_word", True):
             return self._encoded(texts)
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        known, letters, marked, others = self.known, set(), [], []
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = set().union(*split).difference(known) if split else set()
-        for word in new:
-            # Latin letters and one mark: the tokenizer splits before the mark, and
-            # lower-cases these letters alike in every Unicode version.
-            body, mark = (word[:-1], word[-1]) if word[-1] in ".," else (word, "")
-            if body.isalpha() and (body.isascii() or max(body) <= "\xff" and min(filter("\x7f".__lt__, body)) >= "\xc0"):
-                lower = body.lower()
-                letters.add(lower)
-                marked.append((word, lower, mark))
-            else:
-                others.append(word)
-        others += [m for m in ".," if m not in known and m not in new]
-        known.update(zip(others, self._encoded(others), strict=True))
-        self._learn_letters(letters - known.keys())
-        for word, body, mark in marked:
-            known[word] = known[body] + known[mark] if mark else known[body]
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in new:  # a word as long as a text is not worth its memory
-            if len(word) > 64:
-                del known[word]
+        out = []
+        for text in texts:
+            if len(self.known) > CACHED_WORDS:
+                self.known = _Known(self._word)
+            words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            out.append(b"".join(map(self.known.__getitem__, words)))
         return out
 
 
@@ -126,5 +142,6 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, end_id:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in others] + [pa.array([x + end for x in ids], pa.binary())],
                 names=[*others, "ids"])
+        encoder.forget()
 
     return docs.select(*others, text).mapInArrow(run, f"{schema}, ids binary" if schema else "ids binary")

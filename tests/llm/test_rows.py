@@ -210,6 +210,16 @@ def test_word_encoder_equals_the_tokenizer(tokenizer, texts):
     assert encoder(texts) == expected
 
 
+def test_words_are_encoded_by_their_letters_and_marks(tokenizer):
+    encoder, asked = WordEncoder(tokenizer_path(), 4), []
+    encoded = encoder._encoded
+    encoder._encoded = lambda texts: asked.extend(texts) or encoded(texts)
+    texts = ["house### House!! HOUSE. Élan-- x'll <|ENDOFTEXT|> a<|endoftext|>", "house!! élan### ª. µ# don't. _a_ #a"]
+    assert encoder(texts) == encoded(texts)
+    assert not [w for w in asked if w.lower().startswith(("house", "élan"))]
+    assert len(asked) == len(set(asked))
+
+
 def test_token_files_give_back_every_document(odd, odd_texts, tokenizer, spark):
     texts = [(d, t) for d, t in dict(odd_texts).items() if d is not None]
     docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
@@ -269,6 +279,17 @@ def test_batches_for_python_are_bounded_in_bytes(spark):
     assert max(r["size"] for r in sizes) <= 9 << 20
 
 
+def test_an_encoder_forgets_the_words_of_a_large_task(monkeypatch):
+    encoder, text = WordEncoder(tokenizer_path(), 4), " ".join(f"word{k}" for k in range(200))
+    first = encoder([text])
+    encoder.forget()
+    assert len(encoder.known) > 200
+    monkeypatch.setattr("opsframe.llm.tokens.KEPT_WORDS", 100)
+    encoder.forget()
+    assert len(encoder.known) < 10
+    assert encoder([text]) == first
+
+
 # -- packing ----------------------------------------------------------------------------
 
 def check_packing(rows, texts, tokenizer, key="doc_id"):
