@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -189,38 +190,46 @@ class LanguageModel:
     logs: np.ndarray
 
 
+class _Numbered(dict):
+    """Numbers of tokens, in the order they are first asked for."""
+
+    def __missing__(self, token: str) -> int:
+        number = self[token] = len(self)
+        return number
+
+
 class Scorer:
     """Scores texts in a task and remembers a bounded number of words."""
 
     def __init__(self, model: LanguageModel):
         self.model, self.width = model, len(model.names)
-        self.known: dict[str, int] = {}
-        self.table = np.zeros((0, self.width + 1))
+        self.known, self.table = _Numbered(), np.zeros((0, self.width + 1))
 
     def _learn(self, tokens: list[str]) -> None:
         """One row for each token: the logarithms of its words added up, and their number."""
-        tokens.sort(key=len)  # long words, which take logarithms, stand together
-        found = [words_of(t) for t in tokens]
-        numbers = {w: k for k, w in enumerate(dict.fromkeys(w for ws in found for w in ws))}
-        logs = word_logs(list(numbers), self.model.pieces, self.model.logs)
-        token = np.repeat(np.arange(len(tokens)), [len(ws) for ws in found])
-        word = np.array([numbers[w] for ws in found for w in ws], np.int64)
-        columns = [np.bincount(token, logs[word, k], len(tokens)) for k in range(self.width)]
-        rows = np.stack([*columns, np.bincount(token, minlength=len(tokens))], 1)
-        self.known.update(zip(tokens, range(len(self.table), len(self.table) + len(tokens)), strict=True))
+        found = [(t,) if t.isalpha() else _LETTERS.findall(t) for t in tokens]
+        # Long words, which take logarithms, stand together.
+        words = sorted({_BEGIN + w for ws in found for w in ws}, key=len)
+        numbers = dict(zip(words, range(len(words)), strict=True))
+        logs = word_logs(words, self.model.pieces, self.model.logs)
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        token = np.repeat(np.arange(len(tokens)), counts)
+        word = np.array([numbers[_BEGIN + w] for ws in found for w in ws], np.int64)
+        rows = np.stack([*(np.bincount(token, logs[word, k], len(tokens)) for k in range(self.width)), counts], 1)
         self.table = np.concatenate([self.table, rows])
 
     def __call__(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """The likeliest language of each text and its probability; the first of equal ones
         by name. A text without a letter, or a model without languages, has none."""
-        split = [t.split() for t in texts]
-        wanted = set().union(*split) if split else set()
-        if len(self.known) + len(wanted) > CACHED_WORDS:
-            self.known, self.table = {}, self.table[:0]
-        self._learn([t for t in wanted if t not in self.known])
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.table = _Numbered(), self.table[:0]
+        split = []
+        for text in texts:  # in lower case before it is cut, as a letter may depend on those about it
+            tokens = text.lower().replace(".", " ").replace(",", " ").split()
+            split.append(np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens)))
+        self._learn(list(islice(self.known, len(self.table), None)))
         names, scores = [], np.zeros(len(texts))
-        for k, tokens in enumerate(split):
-            at = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+        for k, at in enumerate(split):
             total = self.table[at].sum(axis=0)
             if not self.width or not total[-1]:
                 names.append(UNKNOWN)

@@ -290,3 +290,30 @@ def test_a_forgetful_scorer_says_the_same(spark, documents, monkeypatch):
     monkeypatch.setattr(languages, "CACHED_WORDS", 50)
     scorer = languages.Scorer(model)
     assert [scorer([t])[0][0] for t in texts] == whole[0]
+
+
+def test_a_scorer_learns_a_word_once_whatever_its_case_and_marks(spark, documents, monkeypatch):
+    model = languages.train(documents)
+    words = [w for w in {w.lower() for r in documents.limit(200).collect() for w in (r.text or "").split()} if w.isalpha()][:300]
+    asked, logs = [], languages.word_logs
+    monkeypatch.setattr(languages, "CACHED_WORDS", len(words) + 100)
+    monkeypatch.setattr(languages, "word_logs", lambda some, *rest: asked.extend(some) or logs(some, *rest))
+    scorer, texts = languages.Scorer(model), [" ".join(words), ", ".join(w.upper() for w in words if w.isascii()) + "."]
+    names = [scorer([t])[0] for t in texts]
+    assert sorted(asked) == sorted("\u2581" + w for w in words)
+    monkeypatch.undo()
+    assert names == [languages.Scorer(model)([t])[0] for t in texts]
+
+
+def test_words_of_a_text_are_its_runs_of_letters(spark, documents):
+    model = languages.train(documents)
+    for text in ("ΑΣ.Β ΑΣ. a.b,c  x1y_z", "İstanbul, ½ a-b. 12.3 ² é!", "one.two one.two ONE,", " .,. "):
+        wanted = [w for t in text.split() for w in languages.words_of(t)]
+        scorer = languages.Scorer(model)
+        name, score = scorer([text])
+        if not wanted:
+            assert (name, score[0]) == (["und"], 0.0)
+            continue
+        raw = model.prior + languages.word_logs(wanted, model.pieces, model.logs).sum(axis=0)
+        assert name == [model.names[int(raw.argmax())]]
+        assert np.isclose(score[0], 1 / np.exp(raw - raw.max()).sum())
